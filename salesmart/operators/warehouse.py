@@ -10,6 +10,8 @@ touches the large table.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -216,7 +218,7 @@ def targets_from_prior_year(fact: DataFrame, factor: float = 1.10) -> DataFrame:
     s = (fact.groupBy("ClienteID", "ProductoID", "Anio", "Mes")
          .agg(F.sum("TotalUSD").alias("_v")))
     return s.select("ClienteID", "ProductoID", (F.col("Anio") + 1).alias("Anio"), "Mes",
-                    (F.col("_v") * F.lit(factor)).cast("decimal(18,2)").alias("MetaUSD"))
+                    (F.col("_v") * F.lit(Decimal(str(factor)))).cast("decimal(18,2)").alias("MetaUSD"))
 
 
 def target_duplicates(metas: DataFrame) -> DataFrame:

@@ -89,3 +89,287 @@ SELECT f.anio AS Anio, f.mes AS Mes, pr.sku AS SKU, pr.nombre AS Producto, pr.ca
 FROM fact f JOIN prod pr ON f.p = pr.p
 GROUP BY 1, 2, 3, 4, 5
 """)
+
+
+# ------------------------------------------------------------------ helpers
+
+SRC_NAMES = "['mssql','mysql','supabase','mongo','neo4j']"
+
+# parts present per source, with the bridge row each source writes
+PRESENT_CTE = """
+srcs AS (SELECT * FROM (VALUES (0, 'mssql'), (1, 'mysql'), (2, 'supabase'), (3, 'mongo'), (4, 'neo4j')) t(k, s)),
+pres AS (
+  SELECT pr.p, pr.cat, pr.sku, pr.nombre AS dim_nombre, pr.es_servicio, pa.nm, srcs.k, srcs.s,
+    CASE srcs.k WHEN 0 THEN CAST(pr.p AS VARCHAR)
+                WHEN 1 THEN 'ALT-' || CAST(pr.p AS VARCHAR)
+                WHEN 2 THEN CASE WHEN pr.p % 97 = 1 OR pr.p % 10 = 5
+                                 THEN '00000000-0000-0000-0000-' || printf('%012d', pr.p)
+                                 ELSE 'SKU-' || CAST(1000 + pr.p AS VARCHAR) END
+                WHEN 3 THEN 'MN-' || CAST(4000 + pr.p AS VARCHAR)
+                ELSE 'SKU' || CAST(1000 + pr.p AS VARCHAR) END AS source_code,
+    CASE srcs.k WHEN 1 THEN upper(pa.nm) WHEN 2 THEN '  ' || pa.nm || '  ' ELSE pa.nm END AS nombre_norm,
+    (srcs.k = 2 AND pr.p % 97 = 1) AS es_serv_row
+  FROM prod pr JOIN parts pa ON pr.p = pa.p CROSS JOIN srcs
+  WHERE CASE WHEN pr.p % 97 = 0 THEN srcs.k = 1 WHEN pr.p % 97 = 1 THEN srcs.k = 2 ELSE pr.p % 10 <> srcs.k END
+)
+"""
+
+CUST_CTE = """
+cu AS (
+  SELECT c_custkey AS ck, c_name, c_nationkey, CAST(c_custkey % 5 AS INTEGER) AS src FROM customer
+),
+cx AS (
+  SELECT cu.*,
+    """ + SRC_NAMES + """[src + 1] AS source_system,
+    CASE src WHEN 2 THEN '00000000-0000-0000-0000-' || printf('%012d', ck) WHEN 3 THEN printf('%024d', ck)
+             WHEN 4 THEN printf('C%05d', ck) ELSE CAST(ck AS VARCHAR) END AS source_code,
+    CASE WHEN src = 4 THEN 'Sin correo' WHEN src = 1 AND ck % 7 = 0 THEN NULL
+         ELSE 'cliente' || CAST(ck AS VARCHAR) || '@correo.test' END AS cliente_email,
+    ['Masculino', 'Femenino', 'No especificado'][CAST(ck % 3 AS INTEGER) + 1] AS genero_norm,
+    ['Costa Rica', 'México', 'Spain', 'Panama', 'Estados Unidos', 'Korea', 'United States', 'CR'][CAST(c_nationkey % 8 AS INTEGER) + 1] AS pais0,
+    CASE WHEN src = 4 THEN DATE '2024-06-01' ELSE CAST(DATE '1995-01-01' + CAST(ck % 2000 AS INTEGER) AS DATE) END AS fecha_creado_dt
+  FROM cu
+),
+cz AS (
+  SELECT cx.*,
+    CASE WHEN src IN (2, 4) THEN CASE pais0 WHEN 'Costa Rica' THEN 'CR' WHEN 'Spain' THEN 'ES' WHEN 'Panama' THEN 'PA'
+                                             WHEN 'Korea' THEN 'KR' WHEN 'United States' THEN 'US' WHEN 'CR' THEN 'CD'
+                                             ELSE pais0 END
+         ELSE pais0 END AS pais_raw
+  FROM cx
+),
+dimc AS (
+  SELECT cz.*, row_number() OVER (ORDER BY source_system, source_code) AS cliente_id FROM cz
+)
+"""
+
+# fact rows with their business keys (client, SourceKey, transaction id)
+FACTK_CTE = """
+factk AS (
+  SELECT f.*, pr.sku, pr.cat, pr.nombre AS producto,
+    CASE f.src WHEN 2 THEN '00000000-0000-0000-0000-' || printf('%012d', f.ck) WHEN 3 THEN printf('%024d', f.ck)
+               WHEN 4 THEN printf('C%05d', f.ck) ELSE CAST(f.ck AS VARCHAR) END AS client_key,
+    CASE f.src WHEN 2 THEN '00000000-0000-0000-0000-' || printf('%012d', f.ok) WHEN 3 THEN printf('%024d', f.ok)
+               WHEN 4 THEN printf('ORD-%06d', f.ok) ELSE CAST(f.ok AS VARCHAR) END AS txn,
+    CASE f.src WHEN 2 THEN '00000000-0000-0000-0000-' || printf('%012d', f.ok) || '-' || '00000000-0000-0000-0000-' || printf('%012d', f.ok * 10 + f.line_id)
+               WHEN 3 THEN printf('%024d', f.ok) || '-' || printf('%024d', f.p)
+               WHEN 4 THEN printf('ORD-%06d', f.ok) || '-SKU-' || CAST(1000 + f.p AS VARCHAR)
+               ELSE CAST(f.ok AS VARCHAR) || '-' || CAST(f.ok * 10 + f.line_id AS VARCHAR) END AS source_key,
+    CAST(strftime(f.d, '%Y%m%d') AS INTEGER) AS tiempo_id
+  FROM fact f JOIN prod pr ON f.p = pr.p
+)
+"""
+
+
+def with_all(body: str, *ctes: str) -> str:
+    parts = [LINES_CTE.strip()] + [c.strip() for c in ctes]
+    return "WITH " + ",\n".join(parts) + "\n" + body
+
+
+ORACLE["equivalence_map"] = with_lines("""
+SELECT lower(pa.nm) AS key_nombre, lower(pa.cat) AS key_categoria, pr.sku AS sku_oficial,
+       CASE WHEN pa.p % 97 IN (0, 1) THEN 'generated' WHEN pa.p % 10 <> 0 THEN 'mssql' ELSE 'supabase' END AS sku_origin
+FROM parts pa JOIN prod pr ON pa.p = pr.p
+""")
+
+ORACLE["equivalence_stats"] = with_all("""
+SELECT (SELECT count(*) FROM parts) AS total_products,
+  count(*) FILTER (WHERE k = 0) AS in_mssql, count(*) FILTER (WHERE k = 1) AS in_mysql,
+  count(*) FILTER (WHERE k = 2) AS in_supabase, count(*) FILTER (WHERE k = 3) AS in_mongo,
+  count(*) FILTER (WHERE k = 4) AS in_neo4j,
+  (SELECT count(*) FROM parts WHERE p % 97 NOT IN (0, 1) AND p % 10 <> 0) AS sku_from_mssql,
+  (SELECT count(*) FROM parts WHERE p % 97 NOT IN (0, 1) AND p % 10 = 0) AS sku_from_supabase,
+  CAST(0 AS BIGINT) AS sku_from_mongo, CAST(0 AS BIGINT) AS sku_from_neo4j,
+  (SELECT count(*) FROM parts WHERE p % 97 IN (0, 1)) AS sku_from_generated
+FROM pres
+""", PRESENT_CTE)
+
+ORACLE["map_producto"] = with_all("""
+SELECT s AS source_system, source_code, sku AS sku_oficial, nombre_norm, cat AS categoria_norm, es_serv_row AS es_servicio
+FROM pres
+""", PRESENT_CTE)
+
+ORACLE["stg_clientes"] = with_all("""
+SELECT source_system, source_code, cliente_email, c_name AS cliente_nombre, genero_norm, pais_raw, fecha_creado_dt
+FROM cz
+""", CUST_CTE)
+
+ORACLE["rejects_by_reason"] = with_lines("""
+SELECT fuente AS source_system,
+  CASE WHEN src = 3 AND NOT present THEN 'unknown_product' WHEN src = 4 AND NOT present THEN 'no_product'
+       ELSE 'ok' END AS motivo, count(*) AS filas
+FROM lx GROUP BY 1, 2
+""")
+
+ORACLE["staging_stats_items"] = with_lines("""
+SELECT fuente AS source_system, cur AS moneda, count(*) AS lineas, count(DISTINCT ok) AS ordenes,
+  CAST(round(sum(CAST(line_total AS DECIMAL(18,6))), 2) AS DOUBLE) AS monto
+FROM staged GROUP BY 1, 2
+""")
+
+ORACLE["staging_stats_bridge"] = with_all("""
+SELECT s AS source_system, count(*) AS productos, count(DISTINCT sku) AS skus_distintos,
+  sum(CAST(es_serv_row AS BIGINT)) AS servicios
+FROM pres GROUP BY 1
+""", PRESENT_CTE)
+
+ORACLE["staging_stats_clients"] = with_all("""
+SELECT source_system, count(*) AS clientes, count(DISTINCT cliente_email) AS emails_distintos,
+  count(DISTINCT pais_raw) AS paises_distintos
+FROM cz GROUP BY 1
+""", CUST_CTE)
+
+RATE_DAYS_CTE = """
+rb AS (SELECT CAST(min(o_orderdate) AS DATE) AS lo, CAST(max(o_orderdate) AS DATE) AS hi FROM orders),
+rdays AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS fecha FROM rb),
+rates AS (
+  SELECT fecha, CAST(500 + dayofyear(fecha) % 50 AS DOUBLE) AS buy, CAST(510 + dayofyear(fecha) % 50 AS DOUBLE) AS sell
+  FROM rdays WHERE dayofyear(fecha) % 37 <> 0
+)
+"""
+
+ORACLE["tipo_cambio"] = with_all("""
+SELECT fecha, 'CRC' AS de, 'USD' AS a, buy AS tasa FROM rates
+UNION ALL
+SELECT fecha, 'USD' AS de, 'CRC' AS a, sell AS tasa FROM rates
+""", RATE_DAYS_CTE)
+
+ORACLE["dim_tiempo"] = with_all("""
+SELECT CAST(strftime(days.Fecha, '%Y%m%d') AS INTEGER) AS TiempoID, days.Fecha AS Fecha, year(days.Fecha) AS Anio,
+       month(days.Fecha) AS Mes, day(days.Fecha) AS Dia, r.buy AS TC_CRC_USD, r.sell AS TC_USD_CRC
+FROM days LEFT JOIN rates r ON r.fecha = days.Fecha
+""", RATE_DAYS_CTE, CUST_CTE, """
+bounds AS (
+  SELECT least((SELECT min(d) FROM staged), (SELECT min(fecha_creado_dt) FROM cz)) AS lo,
+         greatest((SELECT max(d) FROM staged), (SELECT max(fecha_creado_dt) FROM cz)) AS hi
+),
+days AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS Fecha FROM bounds)
+""")
+
+ORACLE["dim_cliente"] = with_all("""
+SELECT cliente_id AS ClienteID, source_system AS SourceSystem, source_code AS SourceKey, genero_norm AS Genero,
+       pais_raw AS Pais, CAST(strftime(fecha_creado_dt, '%Y%m%d') AS INTEGER) AS FechaCreacionID
+FROM dimc
+""", CUST_CTE)
+
+DIMP_CTE = """
+dimp0 AS (
+  SELECT *, row_number() OVER (PARTITION BY sku ORDER BY CASE k WHEN 0 THEN 0 WHEN 4 THEN 1 WHEN 1 THEN 2
+                                                               WHEN 2 THEN 3 ELSE 4 END, source_code) AS rk
+  FROM pres
+),
+dimp AS (
+  SELECT row_number() OVER (ORDER BY sku) AS producto_id, sku, nombre_norm, cat, es_serv_row, s, source_code
+  FROM dimp0 WHERE rk = 1
+)
+"""
+
+ORACLE["dim_producto"] = with_all("""
+SELECT producto_id AS ProductoID, sku AS SKU, nombre_norm AS Nombre, cat AS Categoria, es_serv_row AS EsServicio,
+       s AS SourceSystem, source_code AS SourceKey
+FROM dimp
+""", PRESENT_CTE, DIMP_CTE)
+
+ORACLE["fact_ventas"] = with_all("""
+SELECT fuente AS Fuente, source_key AS SourceKey, tiempo_id AS TiempoID, sku AS SKU, canal AS Canal,
+       CAST(qty AS DOUBLE) AS Cantidad, CAST(price_usd AS DOUBLE) AS PrecioUnitUSD,
+       CAST(total_usd AS DOUBLE) AS TotalUSD, cur AS MonedaOriginal
+FROM factk
+""", FACTK_CTE)
+
+ORACLE["incremental_load"] = with_lines("""
+SELECT 1 AS lote, count(*) FILTER (WHERE d < DATE '2001-01-01') AS filas FROM fact
+UNION ALL SELECT 2 AS lote, count(*) FILTER (WHERE d >= DATE '2001-01-01') AS filas FROM fact
+UNION ALL SELECT 3 AS lote, CAST(0 AS BIGINT) AS filas
+""")
+
+ORACLE["dw_stats"] = with_all("""
+SELECT coalesce(fuente, 'TOTAL') AS Fuente, count(*) AS filas, CAST(round(sum(total_usd), 2) AS DOUBLE) AS ventas_usd,
+       min(tiempo_id) AS primer_tiempo, max(tiempo_id) AS ultimo_tiempo
+FROM factk GROUP BY ROLLUP (fuente)
+""", FACTK_CTE)
+
+ORACLE["load_diagnostics"] = with_lines("""
+SELECT motivo, filas FROM (
+  SELECT 'sin_mapeo' AS motivo, count(*) FILTER (WHERE NOT present) AS filas FROM staged
+  UNION ALL SELECT 'duplicado', (SELECT count(*) FROM fact)
+  UNION ALL SELECT 'crc_sin_tasa', count(*) FILTER (WHERE cur = 'CRC' AND rate IS NULL) FROM staged
+) t WHERE filas > 0
+""")
+
+ORACLE["fx_coverage"] = with_lines("""
+SELECT count(DISTINCT d) AS fechas_sin_tasa, count(*) AS filas_sin_tasa
+FROM staged WHERE cur = 'CRC' AND rate IS NULL
+""")
+
+ORACLE["kpi_total"] = with_all("""
+SELECT CAST(round(sum(total_usd), 2) AS DOUBLE) AS ventas_usd, count(*) AS lineas
+FROM factk WHERE tiempo_id BETWEEN 19970101 AND 19991231 AND canal = 'WEB'
+""", FACTK_CTE)
+
+MONTHLY_CTE = """
+mon AS (SELECT anio, mes, sum(total_usd) AS v FROM fact GROUP BY 1, 2)
+"""
+
+ORACLE["kpi_growth_yoy"] = with_all("""
+SELECT m.anio AS Anio, m.mes AS Mes, CAST(round(m.v, 2) AS DOUBLE) AS ventas_usd,
+       CAST(round(p.v, 2) AS DOUBLE) AS ventas_anio_anterior,
+       round(CAST(m.v - p.v AS DOUBLE) * 100 / CAST(p.v AS DOUBLE), 4) AS crecimiento_pct
+FROM mon m LEFT JOIN mon p ON p.anio = m.anio - 1 AND p.mes = m.mes
+""", MONTHLY_CTE)
+
+ORACLE["kpi_top_clients"] = with_all("""
+SELECT fuente AS SourceSystem, client_key AS SourceKey, CAST(round(sum(total_usd), 2) AS DOUBLE) AS ventas_usd,
+       row_number() OVER (ORDER BY sum(total_usd) DESC, fuente, client_key) AS rank
+FROM factk GROUP BY 1, 2 ORDER BY rank LIMIT 10
+""", FACTK_CTE)
+
+ORACLE["kpi_top_products"] = with_all("""
+SELECT sku AS SKU, CAST(round(sum(total_usd), 2) AS DOUBLE) AS ventas_usd,
+       row_number() OVER (ORDER BY sum(total_usd) DESC, sku) AS rank
+FROM factk GROUP BY 1 ORDER BY rank LIMIT 10
+""", FACTK_CTE)
+
+ORACLE["kpi_category_share"] = with_all("""
+SELECT cat AS Categoria, CAST(round(sum(total_usd), 2) AS DOUBLE) AS ventas_usd,
+       round(CAST(sum(total_usd) AS DOUBLE) * 100 / CAST((SELECT sum(total_usd) FROM fact) AS DOUBLE), 4) AS participacion_pct
+FROM factk GROUP BY 1
+""", FACTK_CTE)
+
+ORACLE["kpi_avg_ticket"] = with_all("""
+SELECT count(*) AS ordenes, CAST(round(sum(v), 2) AS DOUBLE) AS ventas_usd,
+       round(CAST(sum(v) AS DOUBLE) / count(*), 4) AS ticket_promedio FROM per
+""", FACTK_CTE, "per AS (SELECT fuente, txn, sum(total_usd) AS v FROM factk GROUP BY 1, 2)")
+
+ORACLE["kpi_active_clients"] = with_lines("""
+SELECT coalesce(anio, 0) AS Anio, count(DISTINCT (src, ck)) AS clientes_activos FROM fact GROUP BY ROLLUP (anio)
+""")
+
+ORACLE["kpi_channel_month"] = with_lines("""
+SELECT anio AS Anio, mes AS Mes, canal AS Canal, CAST(round(sum(total_usd), 2) AS DOUBLE) AS ventas_usd
+FROM fact GROUP BY 1, 2, 3
+""")
+
+ORACLE["kpi_mom_accum"] = with_all("""
+SELECT anio AS Anio, mes AS Mes, round(pct, 4) AS mom_pct,
+       round(sum(pct) OVER (PARTITION BY anio ORDER BY mes ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 4) AS mom_acumulado_pct
+FROM (
+  SELECT m.anio, m.mes, coalesce(CAST(m.v - p.v AS DOUBLE) * 100 / CAST(p.v AS DOUBLE), 0.0) AS pct
+  FROM mon m LEFT JOIN mon p ON p.anio * 12 + p.mes + 1 = m.anio * 12 + m.mes
+) t
+""", MONTHLY_CTE)
+
+ORACLE["ventas_vs_metas"] = with_all("""
+SELECT coalesce(s.fuente, t.fuente) AS SourceSystem, coalesce(s.client_key, t.client_key) AS SourceKey,
+       coalesce(s.sku, t.sku) AS SKU, coalesce(s.anio, t.anio) AS Anio, coalesce(s.mes, t.mes) AS Mes,
+       CAST(round(coalesce(s.v, 0), 2) AS DOUBLE) AS ventas_usd, CAST(t.meta AS DOUBLE) AS meta_usd,
+       round(CAST(coalesce(s.v, 0) AS DOUBLE) * 100 / CAST(t.meta AS DOUBLE), 4) AS cumplimiento_pct,
+       CASE WHEN t.meta IS NULL THEN NULL
+            WHEN round(CAST(coalesce(s.v, 0) AS DOUBLE) * 100 / CAST(t.meta AS DOUBLE), 4) > 100 THEN 'green'
+            WHEN round(CAST(coalesce(s.v, 0) AS DOUBLE) * 100 / CAST(t.meta AS DOUBLE), 4) >= 80 THEN 'amber'
+            ELSE 'red' END AS banda
+FROM sales s FULL OUTER JOIN metas t
+  ON s.fuente = t.fuente AND s.client_key = t.client_key AND s.sku = t.sku AND s.anio = t.anio AND s.mes = t.mes
+""", FACTK_CTE,
+    "sales AS (SELECT fuente, client_key, sku, anio, mes, sum(total_usd) AS v FROM factk GROUP BY 1, 2, 3, 4, 5)",
+    "metas AS (SELECT fuente, client_key, sku, anio + 1 AS anio, mes, CAST(v * 1.10 AS DECIMAL(18,2)) AS meta FROM sales)")

@@ -45,3 +45,219 @@ def vw_ventas_mensuales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (f.join(p, "ProductoID")
             .groupBy("Anio", "Mes", "SKU", "Producto", "Categoria")
             .agg(F.sum("Cantidad").cast("double").alias("Qty"), money(F.sum("TotalUSD")).alias("VentasUSD")))
+
+
+# ------------------------------------------------------------------ M2
+
+@register("equivalence_map")
+def equivalence_map(spark, sf_dir):
+    """ER1-ER4: one row per product group with its official SKU and origin."""
+    e = _w(spark, sf_dir)["eq_map"]
+    return e.select("key_nombre", "key_categoria", "sku_oficial", "sku_origin")
+
+
+@register("equivalence_stats")
+def equivalence_stats_q(spark, sf_dir):
+    from ..operators.equivalence import equivalence_stats
+    return equivalence_stats(_w(spark, sf_dir)["eq_map"])
+
+
+@register("map_producto")
+def map_producto(spark, sf_dir):
+    """ER8 + SNK1: the bridge table."""
+    b = _w(spark, sf_dir)["map_producto"]
+    return b.select("source_system", "source_code", "sku_oficial", "nombre_norm", "categoria_norm", "es_servicio")
+
+
+@register("stg_clientes")
+def stg_clientes(spark, sf_dir):
+    """ST1-ST5 clients (SC1-SC4, SC10-SC12, SC15-SC16, SC30, SNK2)."""
+    c = _w(spark, sf_dir)["stg_clientes"]
+    return c.select("source_system", "source_code", "cliente_email", "cliente_nombre", "genero_norm",
+                    "pais_raw", "fecha_creado_dt")
+
+
+@register("rejects_by_reason")
+def rejects_by_reason(spark, sf_dir):
+    """FL1-FL5: staged vs rejected order lines per source and reason."""
+    from ..operators.quality import rejects_by_reason as rr
+    return rr(_w(spark, sf_dir)["items_all"])
+
+
+@register("staging_stats_items")
+def staging_stats_items(spark, sf_dir):
+    """AG3 over staged lines (after SNK3 first-wins)."""
+    s = _w(spark, sf_dir)["stg_orden_items"]
+    return s.groupBy("source_system", "moneda").agg(
+        F.count(F.lit(1)).alias("lineas"), F.countDistinct("source_key_orden").alias("ordenes"),
+        money(F.sum(F.col("line_total_num").cast("decimal(18,6)"))).alias("monto"))
+
+
+@register("staging_stats_bridge")
+def staging_stats_bridge(spark, sf_dir):
+    from ..operators.quality import bridge_stats
+    return bridge_stats(_w(spark, sf_dir)["map_producto"])
+
+
+@register("staging_stats_clients")
+def staging_stats_clients(spark, sf_dir):
+    from ..operators.quality import client_stats
+    return client_stats(_w(spark, sf_dir)["stg_clientes"])
+
+
+# ------------------------------------------------------------------ M3
+
+@register("tipo_cambio")
+def tipo_cambio(spark, sf_dir):
+    """SNK4: directed daily rates."""
+    t = _w(spark, sf_dir)["tipo_cambio"]
+    return t.select("fecha", "de", "a", F.col("tasa").cast("double").alias("tasa"))
+
+
+@register("dim_tiempo")
+def dim_tiempo(spark, sf_dir):
+    """DW1 + DW2 (JN7)."""
+    t = _w(spark, sf_dir)["dim_tiempo"]
+    return t.select("TiempoID", "Fecha", "Anio", "Mes", "Dia", F.col("TC_CRC_USD").cast("double").alias("TC_CRC_USD"),
+                    F.col("TC_USD_CRC").cast("double").alias("TC_USD_CRC"))
+
+
+@register("dim_cliente")
+def dim_cliente(spark, sf_dir):
+    """DW3 + DW6."""
+    return _w(spark, sf_dir)["dim_cliente"].select("ClienteID", "SourceSystem", "SourceKey", "Genero", "Pais",
+                                                    "FechaCreacionID")
+
+
+@register("dim_producto")
+def dim_producto(spark, sf_dir):
+    """DW4 + DW6."""
+    return _w(spark, sf_dir)["dim_producto"].select("ProductoID", "SKU", "Nombre", "Categoria", "EsServicio",
+                                                     "SourceSystem", "SourceKey")
+
+
+@register("fact_ventas")
+def fact_ventas(spark, sf_dir):
+    """DW7 (JN4, SC26, SC28, FL6, JN5)."""
+    w = _w(spark, sf_dir)
+    p = w["dim_producto"].select("ProductoID", "SKU")
+    return w["fact_ventas"].join(p, "ProductoID").select(
+        "Fuente", "SourceKey", "TiempoID", "SKU", "Canal", F.col("Cantidad").cast("double").alias("Cantidad"),
+        F.col("PrecioUnitUSD").cast("double").alias("PrecioUnitUSD"),
+        F.col("TotalUSD").cast("double").alias("TotalUSD"), "MonedaOriginal")
+
+
+@register("incremental_load")
+def incremental_load(spark, sf_dir):
+    """IN1/FL7/JN5: load orders before 2001-01-01, then the rest, then re-run
+    everything; the re-run must add nothing."""
+    from ..operators.warehouse import fact_ventas as load
+    w = _w(spark, sf_dir)
+    items = w["stg_orden_items"]
+    args = (w["dim_tiempo"], w["dim_cliente"], w["map_producto"], w["dim_producto"])
+    cut = F.lit("2001-01-01").cast("date")
+    b1 = load(items.where(F.col("fecha_dt") < cut), *args)
+    b2 = load(items.where(F.col("fecha_dt") >= cut), *args, existing=b1)
+    b3 = load(items, *args, existing=b1.unionByName(b2))
+    parts = [b.agg(F.count(F.lit(1)).alias("filas")).select(F.lit(i).alias("lote"), "filas")
+             for i, b in enumerate([b1, b2, b3], start=1)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+# ------------------------------------------------------------------ M4
+
+@register("dw_stats")
+def dw_stats(spark, sf_dir):
+    from ..operators.quality import fact_stats
+    return fact_stats(_w(spark, sf_dir)["fact_ventas"])
+
+
+@register("load_diagnostics")
+def load_diagnostics(spark, sf_dir):
+    from ..operators.quality import load_diagnostics as ld
+    w = _w(spark, sf_dir)
+    return ld(w["stg_orden_items"], w["dim_tiempo"], w["dim_cliente"], w["map_producto"], w["dim_producto"],
+              w["fact_ventas"])
+
+
+@register("fx_coverage")
+def fx_coverage(spark, sf_dir):
+    from ..operators.quality import fx_coverage as fc
+    w = _w(spark, sf_dir)
+    return fc(w["stg_orden_items"], w["dim_tiempo"])
+
+
+# ------------------------------------------------------------------ M6
+
+def _sales(spark, sf_dir):
+    from ..operators.kpi import sales_base
+    w = _w(spark, sf_dir)
+    return sales_base(w["fact_ventas"], w["dim_cliente"], w["dim_producto"])
+
+
+@register("kpi_total")
+def kpi_total(spark, sf_dir):
+    from ..operators import kpi
+    return kpi.total_sales(kpi.apply_filters(_sales(spark, sf_dir), date_from="1997-01-01", date_to="1999-12-31",
+                                             canal="WEB"))
+
+
+@register("kpi_growth_yoy")
+def kpi_growth_yoy(spark, sf_dir):
+    from ..operators import kpi
+    return kpi.growth_vs_last_year(_sales(spark, sf_dir))
+
+
+@register("kpi_top_clients")
+def kpi_top_clients(spark, sf_dir):
+    from ..operators import kpi
+    return kpi.top_clients(_sales(spark, sf_dir), 10)
+
+
+@register("kpi_top_products")
+def kpi_top_products(spark, sf_dir):
+    from ..operators import kpi
+    return kpi.top_products(_sales(spark, sf_dir), 10)
+
+
+@register("kpi_category_share")
+def kpi_category_share(spark, sf_dir):
+    from ..operators import kpi
+    return kpi.sales_by_category(_sales(spark, sf_dir))
+
+
+@register("kpi_avg_ticket")
+def kpi_avg_ticket(spark, sf_dir):
+    from ..operators import kpi
+    return kpi.average_ticket(_sales(spark, sf_dir))
+
+
+@register("kpi_active_clients")
+def kpi_active_clients(spark, sf_dir):
+    from ..operators import kpi
+    return kpi.active_clients(_sales(spark, sf_dir))
+
+
+@register("kpi_channel_month")
+def kpi_channel_month(spark, sf_dir):
+    from ..operators import kpi
+    return kpi.sales_by_channel_month(_sales(spark, sf_dir))
+
+
+@register("kpi_mom_accum")
+def kpi_mom_accum(spark, sf_dir):
+    from ..operators import kpi
+    return kpi.mom_accumulated(_sales(spark, sf_dir))
+
+
+@register("ventas_vs_metas")
+def ventas_vs_metas(spark, sf_dir):
+    """KP6/KP12 + DW10: targets = 1.10 x the same month of the previous year."""
+    from ..operators import kpi
+    from ..operators.warehouse import targets_from_prior_year
+    w = _w(spark, sf_dir)
+    metas = targets_from_prior_year(w["fact_ventas"])
+    r = kpi.sales_vs_targets(w["fact_ventas"], metas)
+    c = w["dim_cliente"].select("ClienteID", "SourceSystem", "SourceKey")
+    p = w["dim_producto"].select("ProductoID", "SKU")
+    return r.join(c, "ClienteID").join(p, "ProductoID").drop("ClienteID", "ProductoID")
