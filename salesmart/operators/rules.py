@@ -96,16 +96,16 @@ def association_rules(itemsets: DataFrame, min_confidence: float = MIN_CONFIDENC
     sup = itemsets.select(canon("items").alias("_k"), F.col("support").alias("_s"))
     big = itemsets.where(F.size("items") >= 2)
     n = F.size("items")
-    masks = F.sequence(F.lit(1), F.shiftleft(F.lit(1), n) - 2)
+    masks = F.sequence(F.lit(1), F.pow(F.lit(2), n).cast("long") - 2)
 
-    def subset(m, bit_set: bool):
-        return F.filter(F.col("items"), lambda x, i: (F.shiftright(m, i) % 2 == (1 if bit_set else 0)))
+    def bit(i):
+        return F.pow(F.lit(2), i).cast("long")
 
     splits = big.select("items", "support", F.explode(masks).alias("m"))
     splits = splits.select(
         "items", F.col("support"),
-        F.filter("items", lambda x, i: F.shiftright(F.col("m"), i) % 2 == 1).alias("antecedents"),
-        F.filter("items", lambda x, i: F.shiftright(F.col("m"), i) % 2 == 0).alias("consequents"))
+        F.filter("items", lambda x, i: F.col("m").bitwiseAND(bit(i)) != 0).alias("antecedents"),
+        F.filter("items", lambda x, i: F.col("m").bitwiseAND(bit(i)) == 0).alias("consequents"))
     a = sup.select(F.col("_k").alias("_ak"), F.col("_s").alias("antecedent_support"))
     c = sup.select(F.col("_k").alias("_ck"), F.col("_s").alias("consequent_support"))
     r = (splits.withColumn("_ak", canon("antecedents")).withColumn("_ck", canon("consequents"))

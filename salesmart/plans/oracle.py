@@ -373,3 +373,95 @@ FROM sales s FULL OUTER JOIN metas t
 """, FACTK_CTE,
     "sales AS (SELECT fuente, client_key, sku, anio, mes, sum(total_usd) AS v FROM factk GROUP BY 1, 2, 3, 4, 5)",
     "metas AS (SELECT fuente, client_key, sku, anio + 1 AS anio, mes, CAST(v * 1.10 AS DECIMAL(18,2)) AS meta FROM sales)")
+
+
+# ------------------------------------------------------------------ M5
+
+ORACLE["baskets"] = with_all("""
+SELECT fuente AS Fuente, txn AS transaction_id, string_agg(sku, ', ' ORDER BY sku) AS item, count(*) AS n_lines
+FROM factk GROUP BY 1, 2
+""", FACTK_CTE)
+
+ORACLE["baskets_merged_sources"] = with_all("""
+SELECT txn AS transaction_id, string_agg(sku, ', ' ORDER BY sku) AS item, count(*) AS n_lines
+FROM factk GROUP BY 1
+""", FACTK_CTE)
+
+
+def _mining_ctes(item: str, min_support: float, min_item_count: int = 5) -> list[str]:
+    return [
+        FACTK_CTE,
+        f"bl AS (SELECT fuente, txn, {item} AS item FROM factk)",
+        "multi AS (SELECT fuente, txn FROM bl GROUP BY 1, 2 HAVING count(*) >= 2)",
+        "kl AS (SELECT bl.* FROM bl JOIN multi USING (fuente, txn))",
+        f"fi AS (SELECT item FROM kl GROUP BY item HAVING count(*) >= {min_item_count})",
+        "mb AS (SELECT fuente, txn, list_sort(list_distinct(list(item))) AS items FROM kl "
+        "WHERE item IN (SELECT item FROM fi) GROUP BY 1, 2)",
+        "nb AS (SELECT count(*) AS n FROM mb)",
+        "subs AS (SELECT list_filter(items, lambda x, i: ((m >> (i - 1)) & 1) = 1) AS s "
+        "FROM mb, LATERAL (SELECT unnest(range(1, (1 << len(items)))) AS m))",
+        f"isets AS (SELECT s, count(*) AS cnt FROM subs GROUP BY s "
+        f"HAVING count(*) >= ceil({min_support} * (SELECT n FROM nb)))",
+    ]
+
+
+def _itemsets_sql(item: str, min_support: float) -> str:
+    return with_all("""
+SELECT array_to_string(s, ', ') AS itemset, len(s) AS n_items, cnt AS count,
+       round(cnt / (SELECT n FROM nb), 9) AS support
+FROM isets
+""", *_mining_ctes(item, min_support))
+
+
+def _rules_sql(item: str, min_support: float, min_conf: float, min_lift: float) -> str:
+    return with_all(f"""
+SELECT array_to_string(a, ', ') AS Antecedent, array_to_string(c, ', ') AS Consequent,
+       round(sup, 9) AS support, round(conf, 9) AS confidence, round(lift, 9) AS lift
+FROM rules WHERE conf >= {min_conf} AND lift >= {min_lift}
+""", *_mining_ctes(item, min_support), """
+splits AS (
+  SELECT s, cnt, list_filter(s, lambda x, i: ((m >> (i - 1)) & 1) = 1) AS a,
+         list_filter(s, lambda x, i: ((m >> (i - 1)) & 1) = 0) AS c
+  FROM isets, LATERAL (SELECT unnest(range(1, (1 << len(s)) - 1)) AS m) WHERE len(s) >= 2
+),
+rules AS (
+  SELECT sp.a, sp.c, sp.cnt / nb.n AS sup,
+         (sp.cnt / nb.n) / (ia.cnt / nb.n) AS conf,
+         ((sp.cnt / nb.n) / (ia.cnt / nb.n)) / (ic.cnt / nb.n) AS lift
+  FROM splits sp JOIN isets ia ON ia.s = sp.a JOIN isets ic ON ic.s = sp.c CROSS JOIN nb
+)
+""")
+
+
+ORACLE["frequent_itemsets_sku"] = _itemsets_sql("sku", 0.002)
+ORACLE["frequent_itemsets_category"] = _itemsets_sql("cat", 0.002)
+ORACLE["association_rules_sku"] = _rules_sql("sku", 0.002, 0.10, 1.5)
+ORACLE["association_rules_category"] = _rules_sql("cat", 0.002, 0.10, 0.0)
+
+ORACLE["recommend_top5"] = with_all("""
+SELECT fuente AS Fuente, txn AS transaction_id, Consequent, rank FROM (
+  SELECT b.fuente, b.txn, array_to_string(r.c, ', ') AS Consequent,
+         row_number() OVER (PARTITION BY b.fuente, b.txn ORDER BY r.conf DESC, r.lift DESC,
+                            array_to_string(r.c, ', ')) AS rank
+  FROM bsets b JOIN rules r ON array_to_string(r.a, ', ') = b.k
+  WHERE r.conf >= 0.10
+) t WHERE rank <= 5
+""", *_mining_ctes("cat", 0.002), """
+splits AS (
+  SELECT s, cnt, list_filter(s, lambda x, i: ((m >> (i - 1)) & 1) = 1) AS a,
+         list_filter(s, lambda x, i: ((m >> (i - 1)) & 1) = 0) AS c
+  FROM isets, LATERAL (SELECT unnest(range(1, (1 << len(s)) - 1)) AS m) WHERE len(s) >= 2
+),
+rules AS (
+  SELECT sp.a, sp.c, (sp.cnt / nb.n) / (ia.cnt / nb.n) AS conf,
+         ((sp.cnt / nb.n) / (ia.cnt / nb.n)) / (ic.cnt / nb.n) AS lift
+  FROM splits sp JOIN isets ia ON ia.s = sp.a JOIN isets ic ON ic.s = sp.c CROSS JOIN nb
+),
+bsets AS (SELECT fuente, txn, array_to_string(list_sort(list_distinct(list(cat))), ', ') AS k FROM factk GROUP BY 1, 2)
+""")
+
+ORACLE["codes_to_skus"] = with_lines("""
+SELECT DISTINCT 'MN-' || CAST(4000 + lx.p AS VARCHAR) AS code, pr.sku AS SKU
+FROM lx JOIN prod pr ON lx.p = pr.p
+WHERE lx.src = 3 AND CASE WHEN lx.p % 97 = 0 THEN false WHEN lx.p % 97 = 1 THEN false ELSE lx.p % 10 <> 3 END
+""")

@@ -261,3 +261,94 @@ def ventas_vs_metas(spark, sf_dir):
     c = w["dim_cliente"].select("ClienteID", "SourceSystem", "SourceKey")
     p = w["dim_producto"].select("ProductoID", "SKU")
     return r.join(c, "ClienteID").join(p, "ProductoID").drop("ClienteID", "ProductoID")
+
+
+# ------------------------------------------------------------------ M5
+
+def _lines(spark, sf_dir, item_col="SKU", merge_sources=False):
+    from ..operators.rules import basket_lines
+    w = _w(spark, sf_dir)
+    return basket_lines(w["fact_ventas"], w["dim_producto"], item_col, merge_sources)
+
+
+@register("baskets")
+def baskets_q(spark, sf_dir):
+    """AR1 + AR2: one basket per (source, order) with its sorted SKU text."""
+    from ..operators.rules import baskets
+    w = _w(spark, sf_dir)
+    return baskets(w["fact_ventas"], w["dim_producto"]).drop("items")
+
+
+@register("baskets_merged_sources")
+def baskets_merged(spark, sf_dir):
+    """AR1 as the reference groups it: transaction id only (D2)."""
+    from ..operators.rules import baskets
+    w = _w(spark, sf_dir)
+    return baskets(w["fact_ventas"], w["dim_producto"], merge_sources=True).drop("items", "Fuente")
+
+
+def _itemsets_out(fi):
+    from ..operators.rules import canon
+    return fi.select(canon("items").alias("itemset"), F.size("items").alias("n_items"), "count",
+                     F.round("support", 9).alias("support"))
+
+
+@register("frequent_itemsets_sku")
+def frequent_itemsets_sku(spark, sf_dir):
+    """AR3 + AR4 on SKUs with the reference thresholds (FP-Growth)."""
+    from ..operators.rules import frequent_itemsets, mining_baskets
+    return _itemsets_out(frequent_itemsets(mining_baskets(_lines(spark, sf_dir)), 0.002))
+
+
+@register("frequent_itemsets_category")
+def frequent_itemsets_category(spark, sf_dir):
+    """AR3 + AR4 with the product category as the item."""
+    from ..operators.rules import frequent_itemsets, mining_baskets
+    return _itemsets_out(frequent_itemsets(mining_baskets(_lines(spark, sf_dir, "Categoria")), 0.002))
+
+
+def _rules_out(r):
+    return r.select("Antecedent", "Consequent", F.round("support", 9).alias("support"),
+                    F.round("confidence", 9).alias("confidence"), F.round("lift", 9).alias("lift"))
+
+
+@register("association_rules_sku")
+def association_rules_sku(spark, sf_dir):
+    """AR5 with every reference threshold (support 0.002, confidence 0.10, lift 1.5, item count 5)."""
+    from ..operators.rules import mine_rules
+    return _rules_out(mine_rules(_lines(spark, sf_dir)))
+
+
+def _category_rules(spark, sf_dir):
+    from ..operators.rules import mine_rules
+    return mine_rules(_lines(spark, sf_dir, "Categoria"), min_support=0.002, min_confidence=0.10, min_lift=0.0)
+
+
+@register("association_rules_category")
+def association_rules_category(spark, sf_dir):
+    """AR5 on categories: all splits incl. multi-item consequents (lift filter off)."""
+    return _rules_out(_category_rules(spark, sf_dir))
+
+
+@register("recommend_top5")
+def recommend_top5(spark, sf_dir):
+    """AR8/JN11 for every basket at once: rules whose antecedent equals the
+    basket's category set, top 5 by confidence, lift, consequent text."""
+    from ..operators.rules import recommend
+    lines = _lines(spark, sf_dir, "Categoria")
+    b = lines.groupBy("Fuente", "transaction_id").agg(F.collect_set("item").alias("items"))
+    r = recommend(b, _category_rules(spark, sf_dir), 5, "items", ("Fuente", "transaction_id"))
+    return r.select("Fuente", "transaction_id", "Consequent", "rank")
+
+
+@register("codes_to_skus")
+def codes_to_skus_q(spark, sf_dir):
+    """JN12/AR9: Mongo product codes of every Mongo order line -> official SKU."""
+    from ..operators.rules import codes_to_skus
+    from ..sources import fixtures
+    w = _w(spark, sf_dir)
+    t = fixtures.load_tables(spark, sf_dir, ["lineitem", "orders"])
+    li = t["lineitem"].join(t["orders"], F.col("l_orderkey") == F.col("o_orderkey"))
+    codes = (li.where(fixtures.src_index(F.col("o_custkey")) == 3)
+             .select(F.concat(F.lit("MN-"), (F.col("l_partkey") + 4000).cast("string")).alias("code")).distinct())
+    return codes_to_skus(codes, w["map_producto"], w["dim_producto"], "mongo").select("code", "SKU")
