@@ -76,10 +76,19 @@ def build_warehouse(spark: SparkSession, sf_dir: str, sources=None, run_date: st
     return {
         "eq_std": std, "eq_map": eq_map, "map_producto": bridge, "stg_clientes": stg_clientes,
         "items_all": items_all, "stg_orden_items": stg_items, "tipo_cambio": tipo_cambio,
-        "dim_tiempo": dim_t, "_total_basis": total_basis,
+        "dim_tiempo": dim_t, "_total_basis": total_basis, "_products": products,
     }
 
 
+def write_fact(fact: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Fact partitioned by year/month.  A range shuffle on (Anio, Mes) keeps
+    few files per month while a large month is still split over several
+    tasks (a hash shuffle would put a whole month in one task)."""
+    n = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    (fact.repartitionByRange(n, "Anio", "Mes").write.mode(mode)
+     .option("maxRecordsPerFile", 5_000_000).partitionBy("Anio", "Mes").parquet(path))
+
+
 _CACHE: dict = {}
 _LOCK = threading.Lock()
 
@@ -99,10 +108,14 @@ def warehouse_tables(spark: SparkSession, sf_dir: str, total_basis: str = "line"
         base = ensure_checkpoint_dir(spark).rstrip("/") + "/warehouse/" + \
             sf_dir.rstrip("/").replace("/", "_") + "_" + total_basis + "_" + _dt.datetime.now().strftime("%H%M%S%f")
         w = build_warehouse(spark, sf_dir, total_basis=total_basis)
-        out = {}
-        for name in ["eq_map", "map_producto", "stg_clientes", "items_all", "tipo_cambio"]:
+        out = {"eq_std": w["eq_std"]}
+        out["eq_map"] = _write(spark, w["eq_map"], f"{base}/eq_map")
+        # the bridge reads the written map instead of re-deriving it
+        bridge = eqv.bridge_rows(w["eq_std"], out["eq_map"], w["_products"])
+        bridge = merge.merge_overwrite(None, bridge, ["source_system", "source_code"], "pos").drop("pos")
+        out["map_producto"] = _write(spark, bridge, f"{base}/map_producto")
+        for name in ["stg_clientes", "items_all", "tipo_cambio"]:
             out[name] = _write(spark, w[name], f"{base}/{name}")
-        out["eq_std"] = w["eq_std"]
         out["stg_orden_items"] = _write(spark, staging.stage_items(out["items_all"]), f"{base}/stg_orden_items")
         bounds = warehouse.spine_bounds((out["stg_orden_items"], "fecha_dt"),
                                         (out["stg_clientes"], "fecha_creado_dt"))
@@ -112,7 +125,7 @@ def warehouse_tables(spark: SparkSession, sf_dir: str, total_basis: str = "line"
         out["dim_producto"] = _write(spark, warehouse.dim_producto(out["map_producto"]), f"{base}/dim_producto")
         fact = warehouse.fact_ventas(out["stg_orden_items"], out["dim_tiempo"], out["dim_cliente"],
                                      out["map_producto"], out["dim_producto"], total_basis=total_basis)
-        fact.write.mode("overwrite").partitionBy("Anio", "Mes").parquet(f"{base}/fact_ventas")
+        write_fact(fact, f"{base}/fact_ventas")
         out["fact_ventas"] = spark.read.parquet(f"{base}/fact_ventas")
         out["_base"] = base
         _CACHE[key] = out

@@ -465,3 +465,108 @@ SELECT DISTINCT 'MN-' || CAST(4000 + lx.p AS VARCHAR) AS code, pr.sku AS SKU
 FROM lx JOIN prod pr ON lx.p = pr.p
 WHERE lx.src = 3 AND CASE WHEN lx.p % 97 = 0 THEN false WHEN lx.p % 97 = 1 THEN false ELSE lx.p % 10 <> 3 END
 """)
+
+
+# ------------------------------------------------------------------ M7
+
+MSSQL_ORDERS_CTE = """
+mo AS (
+  SELECT CAST(o_orderkey AS INTEGER) AS OrdenId, CAST(o_custkey AS INTEGER) AS ClienteId, o_orderdate AS Fecha,
+         ['WEB','TIENDA','APP','PARTNER','WEB'][CAST(substr(o_orderpriority, 1, 1) AS INTEGER)] AS Canal,
+         CAST(o_totalprice AS DECIMAL(18,2)) AS Total
+  FROM orders WHERE o_custkey % 5 = 0
+),
+mof AS (
+  SELECT * FROM mo WHERE Canal = 'WEB' AND Total >= 1000
+    AND Fecha BETWEEN TIMESTAMP '1996-01-01 00:00:00' AND TIMESTAMP '1998-12-31 23:59:59'
+)
+"""
+
+ORACLE["list_ordenes"] = with_all("""
+SELECT OrdenId, ClienteId, Fecha, Canal, CAST(Total AS DOUBLE) AS Total FROM mof
+ORDER BY Total DESC, OrdenId DESC LIMIT 20 OFFSET 20
+""", MSSQL_ORDERS_CTE)
+
+ORACLE["list_ordenes_count"] = with_all("""
+SELECT count(*) AS total, CAST(ceil(count(*) / 20) AS BIGINT) AS paginas FROM mof
+""", MSSQL_ORDERS_CTE)
+
+ORACLE["list_clientes"] = with_all("""
+SELECT CAST(ck AS INTEGER) AS ClienteId, c_name AS Nombre, pais0 AS Pais FROM cx
+WHERE src = 0 AND lower(pais0) = 'spain' AND genero_norm = 'Femenino' AND contains(lower(c_name), 'customer#0000')
+  AND ck % 3 = 1
+ORDER BY c_name, ck LIMIT 20
+""", CUST_CTE)
+
+SUPA_PRICE = ("CASE WHEN cur = 'CRC' THEN CAST(cents * 5 AS DECIMAL(18,2)) "
+              "ELSE CAST(cents / 100.0 AS DECIMAL(18,2)) END")
+
+ORACLE["orden_completa"] = with_all(f"""
+SELECT '00000000-0000-0000-0000-' || printf('%012d', l.ok) AS orden_id,
+       '00000000-0000-0000-0000-' || printf('%012d', l.ok * 10 + l.line_id) AS orden_detalle_id,
+       '  ' || pa.nm || '  ' AS producto_nombre, c.c_name AS cliente_nombre, l.qty AS cantidad,
+       CAST({SUPA_PRICE} AS DOUBLE) AS precio_unit,
+       CAST(CAST(l.qty * {SUPA_PRICE} AS DECIMAL(18,2)) AS DOUBLE) AS subtotal
+FROM lx l JOIN parts pa ON pa.p = l.p JOIN customer c ON c.c_custkey = l.ck
+WHERE l.src = 2 AND l.present
+""")
+
+ORACLE["orders_nested"] = with_lines(f"""
+SELECT printf('ORD-%06d', o.o_orderkey) AS orden_id, printf('C%05d', o.o_custkey) AS cliente_id,
+       count(l.ok) AS n_items,
+       CAST(sum(CAST(qty * {SUPA_PRICE} AS DECIMAL(18,2))) AS DOUBLE) AS items_total,
+       arg_min('SKU' || CAST(1000 + p AS VARCHAR), line_id) AS primer_producto
+FROM orders o LEFT JOIN lx l ON l.ok = o.o_orderkey
+WHERE o.o_custkey % 5 = 4 GROUP BY o.o_orderkey, o.o_custkey
+""")
+
+ORACLE["merge_repeated_products"] = with_lines(f"""
+SELECT printf('ORD-%06d', ok) AS orden_id, 'SKU' || CAST(1000 + p AS VARCHAR) AS producto_id,
+       sum(qty) AS cantidad, CAST(arg_min({SUPA_PRICE}, line_id) AS DOUBLE) AS precio_unit
+FROM lx WHERE src = 4 GROUP BY ok, p
+""")
+
+ORACLE["order_total_check"] = with_lines("""
+SELECT count(DISTINCT ok) AS ordenes_revisadas, CAST(0 AS BIGINT) AS descuadres FROM lx WHERE src = 1
+""")
+
+ORACLE["orders_after_changes"] = with_lines("""
+SELECT '00000000-0000-0000-0000-' || printf('%012d', ok) AS orden_id, count(*) AS n_lineas,
+       sum(qty + CASE WHEN ok % 13 = 0 THEN 1 ELSE 0 END) AS unidades
+FROM lx WHERE src = 2 AND ok % 11 <> 0 GROUP BY ok
+""")
+
+ORACLE["order_change_rejects"] = """
+SELECT 'delete' AS op, 'unknown_order' AS motivo, count(*) AS filas
+FROM orders WHERE o_custkey % 5 = 2 AND o_orderkey % 101 = 0 HAVING count(*) > 0
+"""
+
+ORACLE["new_order_ids"] = """
+SELECT printf('C%05d', c_custkey) AS cliente_id,
+       printf('ORD-%06d', (SELECT max(o_orderkey) FROM orders WHERE o_custkey % 5 = 4)
+                          + row_number() OVER (ORDER BY printf('C%05d', c_custkey))) AS nuevo_id
+FROM customer WHERE c_custkey % 5 = 4 AND c_custkey % 50 = 4
+"""
+
+ORACLE["include_order_lines"] = with_lines("""
+SELECT CAST(o.o_orderkey AS INTEGER) AS OrdenId, count(l.ok) AS n_lineas,
+       coalesce(string_agg(CASE WHEN l.present THEN 'SKU-' || CAST(1000 + l.p AS VARCHAR) END, ', '
+                           ORDER BY 'SKU-' || CAST(1000 + l.p AS VARCHAR)), '') AS skus
+FROM orders o LEFT JOIN lx l ON l.ok = o.o_orderkey
+WHERE o.o_custkey % 5 = 0 GROUP BY o.o_orderkey
+""")
+
+ORACLE["bulk_violations"] = """
+SELECT 'Orden' AS hoja, 'correo_invalido' AS regla, count(*) AS filas
+FROM orders WHERE o_custkey % 5 = 1 AND o_custkey % 7 = 0 HAVING count(*) > 0
+UNION ALL
+SELECT 'Orden' AS hoja, 'total_invalido' AS regla, count(*) AS filas
+FROM orders o WHERE o_custkey % 5 = 1 AND NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)
+HAVING count(*) > 0
+"""
+
+ORACLE["bulk_upsert"] = """
+SELECT 'actualizado' AS accion, count(*) AS filas FROM customer WHERE c_custkey % 10 = 0
+UNION ALL SELECT 'insertado', count(*) FROM customer WHERE c_custkey % 5 = 1
+UNION ALL SELECT 'total_tabla', count(*) FROM customer WHERE c_custkey % 5 IN (0, 1)
+"""

@@ -352,3 +352,188 @@ def codes_to_skus_q(spark, sf_dir):
     codes = (li.where(fixtures.src_index(F.col("o_custkey")) == 3)
              .select(F.concat(F.lit("MN-"), (F.col("l_partkey") + 4000).cast("string")).alias("code")).distinct())
     return codes_to_skus(codes, w["map_producto"], w["dim_producto"], "mongo").select("code", "SKU")
+
+
+# ------------------------------------------------------------------ M7
+
+def _src(spark, sf_dir):
+    from ..sources import fixtures
+    return fixtures.fixture_sources(spark, sf_dir)
+
+
+@register("list_ordenes")
+def list_ordenes(spark, sf_dir):
+    """FL12 + SO1: filtered SQL Server orders, sorted by total desc, page 2 of 20."""
+    from ..operators.listing import PageSpec, apply_filter_spec, page
+    o = _src(spark, sf_dir)["mssql"]["Orden"]
+    f = apply_filter_spec(o, {"Canal": ("eq", "WEB"), "Total": ("gte", 1000),
+                              "Fecha": ("between", ("1996-01-01", "1998-12-31 23:59:59"))})
+    out = page(f, "OrdenId", PageSpec(page=2, limit=20, sort_by="Total", sort_order="desc"),
+               ("Total", "Fecha", "ClienteId"))
+    return out.select("OrdenId", "ClienteId", "Fecha", "Canal", F.col("Total").cast("double").alias("Total"))
+
+
+@register("list_ordenes_count")
+def list_ordenes_count(spark, sf_dir):
+    """SO1: total rows and pages of the same filter."""
+    from ..operators.listing import apply_filter_spec, page_count
+    o = _src(spark, sf_dir)["mssql"]["Orden"]
+    f = apply_filter_spec(o, {"Canal": ("eq", "WEB"), "Total": ("gte", 1000),
+                              "Fecha": ("between", ("1996-01-01", "1998-12-31 23:59:59"))})
+    return page_count(f, 20)
+
+
+@register("list_clientes")
+def list_clientes(spark, sf_dir):
+    """FL10 + SO3: clients by country and gender, name contains, sorted by name."""
+    from ..operators.listing import PageSpec, apply_filter_spec, page
+    c = _src(spark, sf_dir)["mssql"]["Cliente"]
+    f = apply_filter_spec(c, {"Pais": ("eq", "spain"), "Genero": ("eq", "Femenino"),
+                              "Nombre": ("contains", "customer#0000")}, case_insensitive=True)
+    return page(f, "ClienteId", PageSpec(page=1, limit=20, sort_by="Nombre"), ("Nombre",)).select(
+        "ClienteId", "Nombre", "Pais")
+
+
+@register("orden_completa")
+def orden_completa_q(spark, sf_dir):
+    """JN16: the Supabase complete-order view over all orders."""
+    from ..operators.orders import orden_completa
+    s = _src(spark, sf_dir)["supabase"]
+    v = orden_completa(s["orden"], s["orden_detalle"], s["producto"], s["cliente"])
+    return v.select("orden_id", "orden_detalle_id", "producto_nombre", "cliente_nombre", "cantidad",
+                    F.col("precio_unit").cast("double").alias("precio_unit"),
+                    F.col("subtotal").cast("double").alias("subtotal"))
+
+
+@register("orders_nested")
+def orders_nested(spark, sf_dir):
+    """JN13 + AG16 + AG13: graph orders rebuilt with client and item array."""
+    from ..operators.orders import graph_order_lines, nested_orders
+    g = _src(spark, sf_dir)["neo4j"]
+    lines = graph_order_lines(g["Orden"], g["REALIZO"], g["CONTIENE"], g["Producto"], g["PERTENECE_A"],
+                              g["Categoria"])
+    n = nested_orders(lines, ["id", "cliente_id"], ["producto_id", "cantidad", "precio_unit", "categoria"], "seq")
+    return n.select(F.col("id").alias("orden_id"), "cliente_id", "n_items",
+                    F.col("items_total").cast("double").alias("items_total"),
+                    F.try_element_at("items", F.lit(1))["producto_id"].alias("primer_producto"))
+
+
+@register("merge_repeated_products")
+def merge_repeated_products_q(spark, sf_dir):
+    """AG15: repeated product lines of one graph order merged."""
+    from ..operators.orders import merge_repeated_products
+    e = _src(spark, sf_dir)["neo4j"]["CONTIENE"]
+    return merge_repeated_products(e, "from_id", "to_id", "seq").select(
+        F.col("from_id").alias("orden_id"), F.col("to_id").alias("producto_id"), "cantidad", "precio_unit")
+
+
+@register("order_total_check")
+def order_total_check(spark, sf_dir):
+    """AG14: MySQL text totals vs the sum of their parsed lines."""
+    from ..functions.clean import parse_amount
+    from ..operators.orders import total_mismatches
+    s = _src(spark, sf_dir)["mysql"]
+    o = s["Orden"].select(F.col("id").alias("orden_id"), parse_amount(F.col("total")).alias("total"))
+    d = s["OrdenDetalle"]
+    lt = (F.col("cantidad") * parse_amount(F.col("precio_unit"))).cast("decimal(18,2)")
+    checked = o.join(d.select("orden_id").distinct(), "orden_id", "left_semi").agg(
+        F.count(F.lit(1)).alias("ordenes_revisadas"))
+    bad = total_mismatches(o, d, "orden_id", "total", lt).agg(F.count(F.lit(1)).alias("descuadres"))
+    return checked.crossJoin(bad)
+
+
+def _supabase_change_events(s):
+    o = s["orden"].withColumn("_ok", F.regexp_extract("orden_id", r"(\d{12})$", 1).cast("long"))
+    d = s["orden_detalle"]
+    items = (d.groupBy("orden_id").agg(F.collect_list(F.struct(
+        "producto_id", (F.col("cantidad") + 1).alias("cantidad"), "precio_unit")).alias("items")))
+    deletes = o.where(F.col("_ok") % 11 == 0).select("orden_id", F.lit("delete").alias("op"))
+    updates = (o.where((F.col("_ok") % 13 == 0) & (F.col("_ok") % 11 != 0)).join(items, "orden_id")
+               .select("orden_id", F.lit("update").alias("op"), "cliente_id", "fecha", "canal", "moneda",
+                       "total", "items"))
+    unknown = o.where(F.col("_ok") % 101 == 0).select(
+        F.concat(F.lit("99999999-"), F.col("orden_id")).alias("orden_id"), F.lit("delete").alias("op"))
+    ev = deletes.unionByName(updates, allowMissingColumns=True).unionByName(unknown, allowMissingColumns=True)
+    return ev.withColumn("seq", F.lit(1))
+
+
+@register("orders_after_changes")
+def orders_after_changes(spark, sf_dir):
+    """CH1-CH3: a batch of delete / update (replace lines) events applied."""
+    from ..operators.orders import apply_order_changes
+    s = _src(spark, sf_dir)["supabase"]
+    _, lines, _ = apply_order_changes(s["orden"], s["orden_detalle"], _supabase_change_events(s))
+    return lines.groupBy("orden_id").agg(F.count(F.lit(1)).alias("n_lineas"),
+                                         F.sum("cantidad").cast("long").alias("unidades"))
+
+
+@register("order_change_rejects")
+def order_change_rejects(spark, sf_dir):
+    """CH3: events naming unknown orders go to the reject frame."""
+    from ..operators.orders import apply_order_changes
+    s = _src(spark, sf_dir)["supabase"]
+    _, _, rej = apply_order_changes(s["orden"], s["orden_detalle"], _supabase_change_events(s))
+    return rej.groupBy("op", "motivo").agg(F.count(F.lit(1)).alias("filas"))
+
+
+@register("new_order_ids")
+def new_order_ids(spark, sf_dir):
+    """CH4: one new graph order per selected client, ids after the maximum."""
+    from ..operators.orders import next_order_ids
+    g = _src(spark, sf_dir)["neo4j"]
+    new = g["Cliente"].where(F.regexp_extract("id", r"(\d+)$", 1).cast("long") % 50 == 4).select(
+        F.col("id").alias("cliente_id"))
+    return next_order_ids(g["Orden"], new, ["cliente_id"]).select("cliente_id", "nuevo_id")
+
+
+@register("include_order_lines")
+def include_order_lines(spark, sf_dir):
+    """JN20: orders with their lines and products nested (?include=)."""
+    s = _src(spark, sf_dir)["mssql"]
+    d = s["OrdenDetalle"].join(s["Producto"].select("ProductoId", "SKU"), "ProductoId", "left")
+    n = (s["Orden"].join(d, "OrdenId", "left").groupBy("OrdenId")
+         .agg(F.collect_list(F.when(F.col("OrdenDetalleId").isNotNull(),
+                                    F.struct("OrdenDetalleId", "SKU", "Cantidad"))).alias("lineas")))
+    return n.select("OrdenId", F.size("lineas").alias("n_lineas"),
+                    F.array_join(F.array_sort(F.filter(F.transform("lineas", lambda x: x["SKU"]),
+                                                       lambda v: v.isNotNull())), ", ").alias("skus"))
+
+
+@register("bulk_violations")
+def bulk_violations(spark, sf_dir):
+    """FL15/FL16: rule violations of bulk sheets built from the sources."""
+    from ..operators import bulk
+    s = _src(spark, sf_dir)
+    my = s["mysql"]
+    cl = my["Cliente"].withColumn("_row", F.col("id").cast("long"))
+    orden = (my["Orden"].join(my["Cliente"].select(F.col("id").alias("cliente_id"), "correo"), "cliente_id", "left")
+             .withColumn("_row", F.col("id").cast("long")))
+    lines = (s["mssql"]["OrdenDetalle"].withColumn("_row", F.col("OrdenDetalleId").cast("long"))
+             .withColumn("OrdenIndex", F.col("OrdenId")))
+    parts = [(n, bulk.sheet_violations(df, rules)) for n, df, rules in [
+        ("Cliente", cl, bulk.client_rules_mysql()), ("Orden", orden, bulk.order_rules_mysql()),
+        ("OrdenDetalle", lines, bulk.line_rules_mssql())]]
+    u = None
+    for n, v in parts:
+        x = v.select(F.lit(n).alias("hoja"), F.explode("violaciones").alias("regla"))
+        u = x if u is None else u.unionByName(x)
+    return u.groupBy("hoja", "regla").agg(F.count(F.lit(1)).alias("filas"))
+
+
+@register("bulk_upsert")
+def bulk_upsert(spark, sf_dir):
+    """BL1: upload of clients upserted by email into the SQL Server clients."""
+    from ..operators import bulk
+    from ..sources import fixtures
+    s = _src(spark, sf_dir)
+    stored = s["mssql"]["Cliente"]
+    c = fixtures.read_table(spark, sf_dir, "customer")
+    ck = F.col("c_custkey")
+    email = F.when((ck % 5 == 1) & (ck % 7 == 0), F.lit(None)).otherwise(fixtures.email_of(ck))
+    up = (c.where((ck % 10 == 0) | (ck % 5 == 1))
+          .select(ck.alias("_row"), F.upper("c_name").alias("Nombre"), email.alias("Email"),
+                  F.lit("Femenino").alias("Genero"), F.lit("CR").alias("Pais"),
+                  F.lit("2001-01-01").cast("date").alias("FechaRegistro")))
+    table, actions = bulk.upsert_clients_by_email(stored, up)
+    a = actions.groupBy("accion").agg(F.count(F.lit(1)).alias("filas"))
+    return a.unionByName(table.agg(F.count(F.lit(1)).alias("filas")).select(F.lit("total_tabla").alias("accion"), "filas"))
