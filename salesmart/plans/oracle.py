@@ -570,3 +570,19 @@ SELECT 'actualizado' AS accion, count(*) AS filas FROM customer WHERE c_custkey
 UNION ALL SELECT 'insertado', count(*) FROM customer WHERE c_custkey % 5 = 1
 UNION ALL SELECT 'total_tabla', count(*) FROM customer WHERE c_custkey % 5 IN (0, 1)
 """
+
+
+# ------------------------------------------------------------------ M8
+
+ORACLE["stream_fact_load"] = with_lines("""
+SELECT fuente AS Fuente, count(*) AS filas, CAST(round(sum(total_usd), 2) AS DOUBLE) AS ventas_usd FROM fact GROUP BY 1
+""")
+
+ORACLE["stream_dedup"] = with_lines("""
+SELECT fuente AS source_system, count(*) AS filas FROM staged GROUP BY 1
+""")
+
+ORACLE["stream_daily_sales"] = """
+SELECT CAST(date_trunc('day', ts) AS DATE) AS dia, count(*) AS compras, round(sum(value), 4) AS valor
+FROM events WHERE event_type = 'purchase' GROUP BY 1
+"""

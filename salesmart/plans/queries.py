@@ -537,3 +537,45 @@ def bulk_upsert(spark, sf_dir):
     table, actions = bulk.upsert_clients_by_email(stored, up)
     a = actions.groupBy("accion").agg(F.count(F.lit(1)).alias("filas"))
     return a.unionByName(table.agg(F.count(F.lit(1)).alias("filas")).select(F.lit("total_tabla").alias("accion"), "filas"))
+
+
+# ------------------------------------------------------------------ M8
+
+def _stream_dir(spark, name):
+    import uuid
+    from ..session import work_path
+    return work_path(spark, f"stream/{name}-{uuid.uuid4().hex[:8]}")
+
+
+@register("stream_fact_load")
+def stream_fact_load_q(spark, sf_dir):
+    """SM1: staged lines streamed year by year into the fact (availableNow)."""
+    from ..streaming.ingest import stream_fact_load, write_lines_by_year
+    w = _w(spark, sf_dir)
+    base = _stream_dir(spark, "fact")
+    write_lines_by_year(w["stg_orden_items"], f"{base}/in")
+    stream_fact_load(spark, f"{base}/in", w, f"{base}/fact", f"{base}/ckpt")
+    f = spark.read.parquet(f"{base}/fact")
+    return f.groupBy("Fuente").agg(F.count(F.lit(1)).alias("filas"), money(F.sum("TotalUSD")).alias("ventas_usd"))
+
+
+@register("stream_dedup")
+def stream_dedup_q(spark, sf_dir):
+    """SM2: every line sent twice; dropDuplicatesWithinWatermark keeps one."""
+    from ..streaming.ingest import dedup_stream, write_lines_by_year
+    w = _w(spark, sf_dir)
+    base = _stream_dir(spark, "dedup")
+    items = w["stg_orden_items"]
+    write_lines_by_year(items.unionByName(items), f"{base}/in")
+    dedup_stream(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt")
+    return spark.read.parquet(f"{base}/out").groupBy("source_system").agg(F.count(F.lit(1)).alias("filas"))
+
+
+@register("stream_daily_sales")
+def stream_daily_sales_q(spark, sf_dir):
+    """SM3: purchase events per 1-day tumbling window with a watermark."""
+    from ..streaming.ingest import daily_sales_stream, read_latest_by_key
+    base = _stream_dir(spark, "daily")
+    daily_sales_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet", f"{base}/out", f"{base}/ckpt")
+    r = read_latest_by_key(spark, f"{base}/out", "dia")
+    return r.select(F.to_date("dia").alias("dia"), "compras", F.round("valor", 4).alias("valor"))
