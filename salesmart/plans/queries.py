@@ -508,8 +508,11 @@ def bulk_violations(spark, sf_dir):
     cl = my["Cliente"].withColumn("_row", F.col("id").cast("long"))
     orden = (my["Orden"].join(my["Cliente"].select(F.col("id").alias("cliente_id"), "correo"), "cliente_id", "left")
              .withColumn("_row", F.col("id").cast("long")))
+    from ..operators.keys import global_row_number
+    # JN19: a line names its order by the 1-based row position of the order sheet
+    idx = global_row_number(s["mssql"]["Orden"].select("OrdenId"), ["OrdenId"], "OrdenIndex")
     lines = (s["mssql"]["OrdenDetalle"].withColumn("_row", F.col("OrdenDetalleId").cast("long"))
-             .withColumn("OrdenIndex", F.col("OrdenId")))
+             .join(idx, "OrdenId", "left"))
     parts = [(n, bulk.sheet_violations(df, rules)) for n, df, rules in [
         ("Cliente", cl, bulk.client_rules_mysql()), ("Orden", orden, bulk.order_rules_mysql()),
         ("OrdenDetalle", lines, bulk.line_rules_mssql())]]
