@@ -188,10 +188,23 @@ def used_sku_numbers(groups: DataFrame) -> DataFrame:
             .where(clean.sku_text(F.col("n")) == F.col("s")).select("n").distinct())
 
 
-def resolve_skus(groups: DataFrame, existing_max_sku: int = 0) -> DataFrame:
-    """ER3 + ER4: official SKU per group; generated ones flagged."""
+def resolve_skus(groups: DataFrame, existing_max_sku: int = 0, cut_lineage: bool = True) -> DataFrame:
+    """ER3 + ER4: official SKU per group; generated ones flagged.
+
+    The group table feeds several ranking jobs; with ``cut_lineage`` it is
+    checkpointed once (reliable checkpoint in ``spark.checkpoint.dir``) so
+    the five source scans and the group shuffle run once, and a lost
+    executor restarts from the checkpoint files."""
     start = existing_max_sku + 1 if existing_max_sku > 0 else 1
+    if cut_lineage:
+        groups = groups.checkpoint(eager=True)
     todo = groups.where(F.col("sku_resolved").isNull()).select("key_nombre", "key_categoria", "first_pos")
+    if cut_lineage and todo.isEmpty():
+        return (groups.withColumn("sku_generated", F.lit(None).cast("string"))
+                .withColumn("sku_oficial", F.col("sku_resolved"))
+                .withColumn("sku_origin", F.coalesce(
+                    *[F.when(_blank_to_null(F.col(f"sku_{s}")) == F.col("sku_oficial"), F.lit(s)) for s in SKU_PRIORITY],
+                    F.lit("generated"))))
     todo = global_row_number(todo, ["first_pos", "key_nombre", "key_categoria"], "k")
     numbers = allocate_free_numbers(todo.select("k"), used_sku_numbers(groups), start)
     gen = todo.join(numbers, "k").select("key_nombre", "key_categoria",

@@ -21,6 +21,8 @@ from ..operators import merge, staging, warehouse
 from ..session import ensure_checkpoint_dir
 from ..sources import fixtures
 
+_LOCK = threading.RLock()
+
 # Parameters of the fixture run.
 DEFAULT_RUN_DATE = "2001-08-01"
 
@@ -46,10 +48,37 @@ def select_sources(raw_filters=None) -> list[str]:
     return sorted(chosen) if chosen else list(fixtures.SOURCES)
 
 
+_SRC_CACHE: dict = {}
+
+
+def source_tables(spark: SparkSession, sf_dir: str) -> dict[str, dict[str, DataFrame]]:
+    """The five source shapes landed once as files in the shared work folder
+    (as real extracts would be), then read back with their schemas."""
+    key = (id(spark), sf_dir.rstrip("/"))
+    with _LOCK:
+        if key in _SRC_CACHE:
+            return _SRC_CACHE[key]
+        base = ensure_checkpoint_dir(spark).rstrip("/") + "/sources/" + sf_dir.rstrip("/").replace("/", "_") + \
+            "_" + _dt.datetime.now().strftime("%H%M%S%f")
+        out = {}
+        # the per-order line numbering is shared by every source: land it once
+        t = fixtures.load_tables(spark, sf_dir)
+        fixtures.lines_with_orders(t).write.mode("overwrite").parquet(f"{base}/_lines")
+        lines = spark.read.parquet(f"{base}/_lines")
+        for src, tables in fixtures.fixture_sources(spark, sf_dir, lines).items():
+            out[src] = {}
+            for name, df in tables.items():
+                path = f"{base}/{src}/{name}"
+                df.write.mode("overwrite").parquet(path)
+                out[src][name] = spark.read.parquet(path)
+        _SRC_CACHE[key] = out
+        return out
+
+
 def build_warehouse(spark: SparkSession, sf_dir: str, sources=None, run_date: str = DEFAULT_RUN_DATE,
-                    existing_max_sku: int = 0, total_basis: str = "line") -> dict[str, DataFrame]:
+                    existing_max_sku: int = 0, total_basis: str = "line", landed: bool = True) -> dict[str, DataFrame]:
     names = select_sources(sources)
-    all_src = fixtures.fixture_sources(spark, sf_dir)
+    all_src = source_tables(spark, sf_dir) if landed else fixtures.fixture_sources(spark, sf_dir)
     src = {k: v for k, v in all_src.items() if k in names}
     countries = country_table(spark)
 
@@ -90,7 +119,6 @@ def write_fact(fact: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 _CACHE: dict = {}
-_LOCK = threading.Lock()
 
 
 def _write(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:

@@ -357,8 +357,8 @@ def codes_to_skus_q(spark, sf_dir):
 # ------------------------------------------------------------------ M7
 
 def _src(spark, sf_dir):
-    from ..sources import fixtures
-    return fixtures.fixture_sources(spark, sf_dir)
+    from .etl import source_tables
+    return source_tables(spark, sf_dir)
 
 
 @register("list_ordenes")

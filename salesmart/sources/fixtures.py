@@ -388,9 +388,9 @@ def neo4j_source(t: dict[str, DataFrame], lines: DataFrame | None = None) -> dic
             "REALIZO": realizo, "CONTIENE": contiene, "PERTENECE_A": pertenece}
 
 
-def fixture_sources(spark: SparkSession, sf_dir: str) -> dict[str, dict[str, DataFrame]]:
+def fixture_sources(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> dict[str, dict[str, DataFrame]]:
     t = load_tables(spark, sf_dir)
-    lines = lines_with_orders(t)
+    lines = lines if lines is not None else lines_with_orders(t)
     return {
         "mssql": mssql_source(t, lines),
         "mysql": mysql_source(t, lines),
