@@ -586,3 +586,95 @@ ORACLE["stream_daily_sales"] = """
 SELECT CAST(date_trunc('day', ts) AS DATE) AS dia, count(*) AS compras, round(sum(value), 4) AS valor
 FROM events WHERE event_type = 'purchase' GROUP BY 1
 """
+
+
+# ----------------------------------------------------- sources and cleaning
+
+ORACLE["extraction_counts"] = with_all("""
+SELECT source_system, entity, CAST(rows AS BIGINT) AS rows FROM (
+  SELECT s AS source_system, CASE k WHEN 0 THEN 'Producto' WHEN 1 THEN 'Producto' WHEN 2 THEN 'producto'
+                                    WHEN 3 THEN 'productos' ELSE 'Producto' END AS entity, count(*) AS rows
+  FROM pres GROUP BY 1, 2
+  UNION ALL
+  SELECT """ + SRC_NAMES + """[CAST(c_custkey % 5 AS INTEGER) + 1],
+         ['Cliente', 'Cliente', 'cliente', 'clientes', 'Cliente'][CAST(c_custkey % 5 AS INTEGER) + 1], count(*)
+  FROM customer GROUP BY 1, 2
+  UNION ALL
+  SELECT """ + SRC_NAMES + """[CAST(o_custkey % 5 AS INTEGER) + 1],
+         ['Orden', 'Orden', 'orden', 'ordenes', 'Orden'][CAST(o_custkey % 5 AS INTEGER) + 1], count(*)
+  FROM orders GROUP BY 1, 2
+  UNION ALL
+  SELECT 'neo4j', 'REALIZO', count(*) FROM orders WHERE o_custkey % 5 = 4
+  UNION ALL
+  SELECT fuente, ['OrdenDetalle', 'OrdenDetalle', 'orden_detalle', NULL, 'CONTIENE'][src + 1], count(*)
+  FROM lx WHERE src <> 3 GROUP BY 1, 2
+  UNION ALL
+  SELECT 'neo4j', 'Categoria', count(DISTINCT p_type) FROM part
+  UNION ALL
+  SELECT 'neo4j', 'PERTENECE_A', count(*) FROM pres WHERE k = 4
+) t
+""", PRESENT_CTE)
+
+ORACLE["mongo_item_count"] = with_lines("""
+SELECT count(*) AS items FROM lx WHERE src = 3
+""")
+
+ORACLE["graph_triplets"] = with_lines("""
+SELECT printf('ORD-%06d', l.ok) AS orden_id, 'SKU' || CAST(1000 + l.p AS VARCHAR) AS producto_id, l.line_id AS seq,
+       l.d AS fecha, CASE WHEN l.present THEN pa.nm END AS producto_nombre
+FROM lx l JOIN parts pa ON pa.p = l.p WHERE l.src = 4
+""")
+
+ORACLE["fx_feed_parse"] = with_all("""
+SELECT fecha, 'CRC' AS de, 'USD' AS a, buy AS tasa FROM rates
+UNION ALL
+SELECT fecha, 'USD' AS de, 'CRC' AS a, sell AS tasa FROM rates
+""", RATE_DAYS_CTE)
+
+ORACLE["clean_amounts"] = with_lines("""
+SELECT CAST(ok * 10 + line_id AS INTEGER) AS id,
+       CASE WHEN cur = 'CRC' THEN CAST(cents * 5 AS DOUBLE) ELSE CAST(CAST(cents / 100.0 AS DECIMAL(18,2)) AS DOUBLE) END
+         AS precio_unit_num
+FROM lx WHERE src = 1
+""")
+
+ORACLE["clean_dates"] = with_all("""
+SELECT CAST(ck AS INTEGER) AS id, fecha_creado_dt AS fecha FROM cz WHERE src = 1
+""", CUST_CTE)
+
+ORACLE["country_iso"] = with_all("""
+SELECT DISTINCT pais0 AS pais,
+  CASE pais0 WHEN 'Costa Rica' THEN 'CR' WHEN 'Spain' THEN 'ES' WHEN 'Panama' THEN 'PA' WHEN 'Korea' THEN 'KR'
+             WHEN 'United States' THEN 'US' WHEN 'CR' THEN 'CD' ELSE '' END AS codigo
+FROM cz WHERE src IN (2, 4)
+""", CUST_CTE)
+
+ORACLE["lookup_by_name"] = with_all("""
+SELECT source_code AS codigo_alt, sku AS sku_oficial FROM pres WHERE k = 1
+""", PRESENT_CTE)
+
+ORACLE["collapsed_items"] = with_lines("""
+SELECT fuente AS source_system, count(*) AS collapsed_lines FROM lp
+WHERE src IN (3, 4) AND present AND dup_rank > 1 GROUP BY 1
+""")
+
+ORACLE["missing_product_refs"] = with_lines("""
+SELECT DISTINCT 'SKU' || CAST(1000 + p AS VARCHAR) AS producto_id FROM lx WHERE src = 4 AND NOT present
+""")
+
+ORACLE["duplicate_products_in_orders"] = with_lines("""
+SELECT DISTINCT printf('%024d', ok) AS orden_id FROM lx WHERE src = 3 GROUP BY ok, p HAVING count(*) > 1
+""")
+
+ORACLE["rate_availability"] = with_all("""
+SELECT count(*) * 2 AS filas, min(fecha) AS desde, max(fecha) AS hasta FROM rates
+WHERE fecha BETWEEN DATE '1998-01-01' AND DATE '1998-12-31'
+""", RATE_DAYS_CTE)
+
+ORACLE["fx_status"] = with_all("""
+SELECT (SELECT max(fecha) FROM rates) AS ultima_fecha, (SELECT count(*) FROM rates) AS dias,
+       (SELECT count(*) * 2 FROM rates WHERE fecha = (SELECT max(d) FROM staged)) AS tasas_hoy,
+       CASE WHEN (SELECT count(*) * 2 FROM rates WHERE fecha = (SELECT max(d) FROM staged)) >= 2 THEN 'OK'
+            WHEN (SELECT max(fecha) FROM rates) >= (SELECT max(d) FROM staged) - 1 THEN 'WARNING'
+            ELSE 'ERROR' END AS estado
+""", RATE_DAYS_CTE)

@@ -582,3 +582,121 @@ def stream_daily_sales_q(spark, sf_dir):
     daily_sales_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet", f"{base}/out", f"{base}/ckpt")
     r = read_latest_by_key(spark, f"{base}/out", "dia")
     return r.select(F.to_date("dia").alias("dia"), "compras", F.round("valor", 4).alias("valor"))
+
+
+# ----------------------------------------------------- sources and cleaning
+
+@register("extraction_counts")
+def extraction_counts(spark, sf_dir):
+    """SRC10: rows per (source, entity) over every landed source table."""
+    from ..sources.readers import extraction_counts as ec
+    return ec(_src(spark, sf_dir))
+
+
+@register("mongo_item_count")
+def mongo_item_count(spark, sf_dir):
+    """SRC4: nested items of the document source (null array counts 0)."""
+    from ..sources.readers import item_count
+    return item_count(_src(spark, sf_dir)["mongo"]["ordenes"])
+
+
+@register("graph_triplets")
+def graph_triplets_q(spark, sf_dir):
+    """SRC5: CONTIENE edges with both end nodes' properties."""
+    from ..sources.readers import graph_triplets
+    g = _src(spark, sf_dir)["neo4j"]
+    t = graph_triplets(g["CONTIENE"], g["Orden"], g["Producto"])
+    return t.select(F.col("from_id").alias("orden_id"), F.col("to_id").alias("producto_id"), "seq",
+                    F.to_date("from_fecha").alias("fecha"), F.col("to_nombre").alias("producto_nombre"))
+
+
+@register("fx_feed_parse")
+def fx_feed_parse(spark, sf_dir):
+    """SRC6 + JN9 + SNK4: monthly XML documents of buy and sell series parsed
+    with regexp_extract_all / arrays_zip / try_cast, paired by date, unpivoted."""
+    from ..operators.merge import fx_rows
+    from ..sources import fixtures
+    from ..sources.readers import fx_feed_pair, parse_fx_feed
+    feed = fixtures.fixture_rates(spark, sf_dir)
+
+    def docs(col):
+        rec = F.concat(F.lit("<INGC011_CAT_INDICADORECONOMIC><DES_FECHA>"),
+                       F.date_format("fecha", "yyyy-MM-dd'T'00:00:00-06:00"), F.lit("</DES_FECHA><NUM_VALOR>"),
+                       F.col(col).cast("string"), F.lit("</NUM_VALOR></INGC011_CAT_INDICADORECONOMIC>"))
+        return (feed.groupBy(F.date_format("fecha", "yyyy-MM").alias("mes"))
+                .agg(F.concat_ws("", F.collect_list(rec)).alias("xml")))
+    pair = fx_feed_pair(parse_fx_feed(docs("compra")), parse_fx_feed(docs("venta")))
+    return fx_rows(pair).select("fecha", "de", "a", F.col("tasa").cast("double").alias("tasa"))
+
+
+@register("clean_amounts")
+def clean_amounts(spark, sf_dir):
+    """SC8 on every MySQL line price text (three formats)."""
+    from ..functions.clean import parse_amount
+    d = _src(spark, sf_dir)["mysql"]["OrdenDetalle"]
+    return d.select("id", parse_amount(F.col("precio_unit")).alias("precio_unit_num"))
+
+
+@register("clean_dates")
+def clean_dates(spark, sf_dir):
+    """SC10 on every MySQL client creation text (two formats)."""
+    from ..functions.clean import parse_date_mysql
+    c = _src(spark, sf_dir)["mysql"]["Cliente"]
+    return c.select("id", parse_date_mysql(F.col("created_at")).alias("fecha"))
+
+
+@register("country_iso")
+def country_iso(spark, sf_dir):
+    """SC30: distinct client country texts -> ISO code (broadcast contains-join)."""
+    from ..functions.country import country_codes, country_table
+    s = _src(spark, sf_dir)
+    u = s["supabase"]["cliente"].select("pais").unionByName(s["neo4j"]["Cliente"].select("pais")).distinct()
+    return country_codes(u, "pais", "codigo", country_table(spark))
+
+
+@register("lookup_by_name")
+def lookup_by_name(spark, sf_dir):
+    """ER6: official SKU of each MySQL product by (name, category)."""
+    from ..operators.equivalence import lookup_by_name as lk
+    p = _src(spark, sf_dir)["mysql"]["Producto"]
+    return lk(p, _w(spark, sf_dir)["eq_map"], "nombre", "categoria").select("codigo_alt", "sku_oficial")
+
+
+@register("collapsed_items")
+def collapsed_items_q(spark, sf_dir):
+    """D12: clean lines dropped because the item key is the product id."""
+    from ..operators.staging import collapsed_items
+    return collapsed_items(_w(spark, sf_dir)["items_all"])
+
+
+@register("missing_product_refs")
+def missing_product_refs(spark, sf_dir):
+    """JN17/SE3: products named by graph order edges that have no node."""
+    from ..operators.orders import missing_references
+    g = _src(spark, sf_dir)["neo4j"]
+    return missing_references(g["CONTIENE"].select(F.col("to_id").alias("producto_id")),
+                              g["Producto"], "producto_id", "id")
+
+
+@register("duplicate_products_in_orders")
+def duplicate_products_in_orders(spark, sf_dir):
+    """FL18: document orders that list a product twice."""
+    from ..operators.orders import duplicate_products
+    o = _src(spark, sf_dir)["mongo"]["ordenes"]
+    return duplicate_products(o.where(F.col("items").isNotNull())).select(F.col("_id").alias("orden_id"))
+
+
+@register("rate_availability")
+def rate_availability_q(spark, sf_dir):
+    """AG9: rates loaded for 1998."""
+    from ..operators.quality import rate_availability
+    return rate_availability(_w(spark, sf_dir)["tipo_cambio"], "1998-01-01", "1998-12-31")
+
+
+@register("fx_status")
+def fx_status_q(spark, sf_dir):
+    """AG11 + SC36: status as of the last order date of the data."""
+    from ..operators.quality import rate_status
+    w = _w(spark, sf_dir)
+    today = w["stg_orden_items"].agg(F.max("fecha_dt")).first()[0]
+    return rate_status(w["tipo_cambio"], today)
