@@ -26,10 +26,13 @@ def sales_base(fact: DataFrame, dim_c: DataFrame | None = None, dim_p: DataFrame
 def apply_filters(df: DataFrame, date_from=None, date_to=None, cliente=None, producto=None,
                   categoria=None, canal=None) -> DataFrame:
     """KP1 filter builder (date range on TiempoID yyyyMMdd ints)."""
+    # the implied year bounds prune the fact's Anio=/Mes= partitions
     if date_from is not None:
         df = df.where(F.col("TiempoID") >= F.lit(int(str(date_from).replace("-", ""))))
+        df = df.where(F.col("Anio") >= F.lit(int(str(date_from)[:4])))
     if date_to is not None:
         df = df.where(F.col("TiempoID") <= F.lit(int(str(date_to).replace("-", ""))))
+        df = df.where(F.col("Anio") <= F.lit(int(str(date_to)[:4])))
     if cliente is not None:
         df = df.where(F.col("ClienteID") == cliente)
     if producto is not None:
