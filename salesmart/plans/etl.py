@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import threading
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,16 +66,27 @@ def source_tables(spark: SparkSession, sf_dir: str) -> dict[str, dict[str, DataF
         t = fixtures.load_tables(spark, sf_dir)
         fixtures.lines_with_orders(t).write.mode("overwrite").parquet(f"{base}/_lines")
         lines = spark.read.parquet(f"{base}/_lines")
-        for src, tables in fixtures.fixture_sources(spark, sf_dir, lines).items():
-            out[src] = {}
-            for name, df in tables.items():
-                path = f"{base}/{src}/{name}"
-                df.write.mode("overwrite").parquet(path)
-                out[src][name] = spark.read.parquet(path)
+        jobs = {(src, name): (df, f"{base}/{src}/{name}")
+                for src, tables in fixtures.fixture_sources(spark, sf_dir, lines).items()
+                for name, df in tables.items()}
+        written = write_all(spark, jobs)
+        for (src, name), df in written.items():
+            out.setdefault(src, {})[name] = df
         _SRC_CACHE[key] = out
         return out
 
 
+def write_all(spark: SparkSession, jobs: dict, workers: int = 8) -> dict:
+    """Write independent tables as concurrent Spark jobs (one thread submits
+    each job; Spark schedules their tasks together), then read them back."""
+    def one(item):
+        k, (df, path) = item
+        df.write.mode("overwrite").parquet(path)
+        return k, spark.read.parquet(path)
+    with ThreadPoolExecutor(max_workers=workers) as ex:
+        return dict(ex.map(one, jobs.items()))
+
+
 def build_warehouse(spark: SparkSession, sf_dir: str, sources=None, run_date: str = DEFAULT_RUN_DATE,
                     existing_max_sku: int = 0, total_basis: str = "line", landed: bool = True) -> dict[str, DataFrame]:
     names = select_sources(sources)
@@ -137,20 +149,22 @@ def warehouse_tables(spark: SparkSession, sf_dir: str, total_basis: str = "line"
             sf_dir.rstrip("/").replace("/", "_") + "_" + total_basis + "_" + _dt.datetime.now().strftime("%H%M%S%f")
         w = build_warehouse(spark, sf_dir, total_basis=total_basis)
         out = {"eq_std": w["eq_std"]}
-        out["eq_map"] = _write(spark, w["eq_map"], f"{base}/eq_map")
+        # independent tables of one step are written as concurrent jobs
+        out.update(write_all(spark, {n: (w[n], f"{base}/{n}")
+                                     for n in ["eq_map", "stg_clientes", "items_all", "tipo_cambio"]}))
         # the bridge reads the written map instead of re-deriving it
         bridge = eqv.bridge_rows(w["eq_std"], out["eq_map"], w["_products"])
         bridge = merge.merge_overwrite(None, bridge, ["source_system", "source_code"], "pos").drop("pos")
-        out["map_producto"] = _write(spark, bridge, f"{base}/map_producto")
-        for name in ["stg_clientes", "items_all", "tipo_cambio"]:
-            out[name] = _write(spark, w[name], f"{base}/{name}")
-        out["stg_orden_items"] = _write(spark, staging.stage_items(out["items_all"]), f"{base}/stg_orden_items")
+        out.update(write_all(spark, {
+            "map_producto": (bridge, f"{base}/map_producto"),
+            "stg_orden_items": (staging.stage_items(out["items_all"]), f"{base}/stg_orden_items")}))
         bounds = warehouse.spine_bounds((out["stg_orden_items"], "fecha_dt"),
                                         (out["stg_clientes"], "fecha_creado_dt"))
-        out["dim_tiempo"] = _write(spark, warehouse.dim_tiempo(bounds, out["tipo_cambio"]), f"{base}/dim_tiempo")
+        out.update(write_all(spark, {
+            "dim_tiempo": (warehouse.dim_tiempo(bounds, out["tipo_cambio"]), f"{base}/dim_tiempo"),
+            "dim_producto": (warehouse.dim_producto(out["map_producto"]), f"{base}/dim_producto")}))
         out["dim_cliente"] = _write(spark, warehouse.dim_cliente(out["stg_clientes"], out["dim_tiempo"]),
                                     f"{base}/dim_cliente")
-        out["dim_producto"] = _write(spark, warehouse.dim_producto(out["map_producto"]), f"{base}/dim_producto")
         fact = warehouse.fact_ventas(out["stg_orden_items"], out["dim_tiempo"], out["dim_cliente"],
                                      out["map_producto"], out["dim_producto"], total_basis=total_basis)
         write_fact(fact, f"{base}/fact_ventas")
