@@ -172,3 +172,24 @@ def warehouse_tables(spark: SparkSession, sf_dir: str, total_basis: str = "line"
         out["_base"] = base
         _CACHE[key] = out
         return out
+
+
+_RULES_CACHE: dict = {}
+
+
+def published_rules(spark: SparkSession, sf_dir: str, item_col: str, min_support: float, min_confidence: float,
+                    min_lift: float) -> DataFrame:
+    """AR7: mine, then publish the rules table (overwrite of a new version
+    folder); later readers use the published files, not the mining lineage."""
+    from ..operators.rules import basket_lines, mine_rules
+    key = (id(spark), sf_dir.rstrip("/"), item_col, min_support, min_confidence, min_lift)
+    with _LOCK:
+        if key in _RULES_CACHE:
+            return _RULES_CACHE[key]
+        w = warehouse_tables(spark, sf_dir)
+        lines = basket_lines(w["fact_ventas"], w["dim_producto"], item_col)
+        r = mine_rules(lines, min_support=min_support, min_confidence=min_confidence, min_lift=min_lift)
+        path = f"{w['_base']}/rules_{item_col}_{min_support}_{min_confidence}_{min_lift}"
+        r.write.mode("overwrite").parquet(path)
+        _RULES_CACHE[key] = spark.read.parquet(path)
+        return _RULES_CACHE[key]

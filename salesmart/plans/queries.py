@@ -315,13 +315,14 @@ def _rules_out(r):
 @register("association_rules_sku")
 def association_rules_sku(spark, sf_dir):
     """AR5 with every reference threshold (support 0.002, confidence 0.10, lift 1.5, item count 5)."""
-    from ..operators.rules import mine_rules
-    return _rules_out(mine_rules(_lines(spark, sf_dir)))
+    from .etl import published_rules
+    from ..operators.rules import MIN_CONFIDENCE, MIN_LIFT, MIN_SUPPORT
+    return _rules_out(published_rules(spark, sf_dir, "SKU", MIN_SUPPORT, MIN_CONFIDENCE, MIN_LIFT))
 
 
 def _category_rules(spark, sf_dir):
-    from ..operators.rules import mine_rules
-    return mine_rules(_lines(spark, sf_dir, "Categoria"), min_support=0.002, min_confidence=0.10, min_lift=0.0)
+    from .etl import published_rules
+    return published_rules(spark, sf_dir, "Categoria", 0.002, 0.10, 0.0)
 
 
 @register("association_rules_category")
