@@ -111,3 +111,21 @@ def next_order_ids(existing_ids: DataFrame, new_orders: DataFrame, order_cols: l
     return (n.crossJoin(F.broadcast(mx))   # one-row side
             .withColumn("nuevo_id", F.concat(F.lit(prefix), F.format_string(f"%0{width}d", F.col("_max") + F.col("_k"))))
             .drop("_max", "_k"))
+
+
+# Order payload domains per source (FL17).
+PAYLOAD_CHANNELS = {"mongo": ["WEB", "TIENDA"], "supabase": ["WEB", "APP", "PARTNER"],
+                    "neo4j": ["WEB", "TIENDA", "APP", "PARTNER"]}
+PAYLOAD_CURRENCIES = {"mongo": ["CRC"], "supabase": ["USD", "CRC"], "neo4j": ["USD", "CRC"]}
+
+
+def payload_rules(source: str, items_col: str = "items", qty: str = "cantidad", price: str = "precio_unit"):
+    """FL17: at least one item, qty >= 1, price >= 0, channel and currency in the source's enums."""
+    it = F.col(items_col)
+    return [
+        ("sin_items", it.isNull() | (F.size(it) < 1)),
+        ("cantidad_invalida", F.exists(F.coalesce(it, F.array()), lambda x: x[qty] < 1)),
+        ("precio_invalido", F.exists(F.coalesce(it, F.array()), lambda x: x[price] < 0)),
+        ("canal_invalido", ~F.col("canal").isin(PAYLOAD_CHANNELS[source])),
+        ("moneda_invalida", ~F.col("moneda").isin(PAYLOAD_CURRENCIES[source])),
+    ]

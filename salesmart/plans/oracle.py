@@ -678,3 +678,66 @@ SELECT (SELECT max(fecha) FROM rates) AS ultima_fecha, (SELECT count(*) FROM rat
             WHEN (SELECT max(fecha) FROM rates) >= (SELECT max(d) FROM staged) - 1 THEN 'WARNING'
             ELSE 'ERROR' END AS estado
 """, RATE_DAYS_CTE)
+
+
+# ----------------------------------------------------- more reports and lists
+
+ORACLE["dw_counts"] = with_all("""
+SELECT 'dim_tiempo' AS tabla, (SELECT count(*) FROM days) AS filas
+UNION ALL SELECT 'dim_cliente', (SELECT count(*) FROM cz)
+UNION ALL SELECT 'dim_producto', (SELECT count(*) FROM parts)
+UNION ALL SELECT 'fact_ventas', (SELECT count(*) FROM fact)
+UNION ALL SELECT 'map_producto', (SELECT count(*) FROM pres)
+UNION ALL SELECT 'stg_clientes', (SELECT count(*) FROM cz)
+UNION ALL SELECT 'stg_orden_items', (SELECT count(*) FROM staged)
+UNION ALL SELECT 'tipo_cambio', (SELECT count(*) * 2 FROM rates)
+""", RATE_DAYS_CTE, CUST_CTE, PRESENT_CTE, """
+bounds AS (
+  SELECT least((SELECT min(d) FROM staged), (SELECT min(fecha_creado_dt) FROM cz)) AS lo,
+         greatest((SELECT max(d) FROM staged), (SELECT max(fecha_creado_dt) FROM cz)) AS hi
+),
+days AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS Fecha FROM bounds)
+""")
+
+ORACLE["loaded_by_source"] = with_lines("""
+SELECT fuente AS Fuente, count(*) AS cargadas FROM fact WHERE d >= DATE '2001-01-01' GROUP BY 1
+""")
+
+ORACLE["orders_newest_page"] = """
+SELECT '00000000-0000-0000-0000-' || printf('%012d', o_orderkey) AS orden_id,
+       strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || '-06:00' AS fecha,
+       CAST(coalesce(t.total, 0) AS DOUBLE) AS total
+FROM orders o LEFT JOIN (
+  SELECT l.l_orderkey, CAST(sum(l.l_quantity * CASE WHEN l.l_orderkey % 2 = 1
+           THEN CAST(floor(l.l_extendedprice * 100 / l.l_quantity) * 5 AS DECIMAL(18,2))
+           ELSE CAST(floor(l.l_extendedprice * 100 / l.l_quantity) / 100.0 AS DECIMAL(18,2)) END) AS DECIMAL(18,2)) AS total
+  FROM lineitem l GROUP BY 1) t ON t.l_orderkey = o.o_orderkey
+WHERE o_custkey % 5 = 2
+ORDER BY fecha DESC, orden_id DESC LIMIT 20
+"""
+
+ORACLE["list_orden_detalles"] = with_lines("""
+SELECT CAST(ok * 10 + line_id AS INTEGER) AS OrdenDetalleId, qty AS Cantidad,
+       CAST(CAST(cents / 100.0 AS DECIMAL(18,2)) AS DOUBLE) AS PrecioUnit, pct AS DescuentoPct
+FROM lx WHERE src = 0 AND qty BETWEEN 10 AND 20 AND line_id % 3 <> 0 AND pct >= 5
+ORDER BY PrecioUnit DESC, OrdenDetalleId DESC LIMIT 20
+""")
+
+ORACLE["list_productos"] = with_all("""
+SELECT CAST(p AS INTEGER) AS ProductoId, 'SKU-' || CAST(1000 + p AS VARCHAR) AS SKU, nm AS Nombre
+FROM pres WHERE k = 0 AND contains(nm, 'widget') AND cat = 'LARGE'
+ORDER BY nm, p LIMIT 20
+""", PRESENT_CTE)
+
+ORACLE["order_payload_violations"] = """
+SELECT regla, count(*) AS filas FROM (
+  SELECT 'sin_items' AS regla FROM orders o WHERE o_custkey % 5 = 3
+    AND NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)
+  UNION ALL
+  SELECT 'canal_invalido' FROM orders WHERE o_custkey % 5 = 3 AND substr(o_orderpriority, 1, 1) IN ('3', '4')
+) t GROUP BY 1
+"""
+
+ORACLE["product_categories"] = with_all("""
+SELECT 'SKU' || CAST(1000 + p AS VARCHAR) AS producto_id, nm AS nombre, cat AS categoria FROM pres WHERE k = 4
+""", PRESENT_CTE)

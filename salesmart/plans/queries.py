@@ -701,3 +701,79 @@ def fx_status_q(spark, sf_dir):
     w = _w(spark, sf_dir)
     today = w["stg_orden_items"].agg(F.max("fecha_dt")).first()[0]
     return rate_status(w["tipo_cambio"], today)
+
+
+# ----------------------------------------------------- more reports and lists
+
+@register("dw_counts")
+def dw_counts_q(spark, sf_dir):
+    """AG4: rows per warehouse table."""
+    from ..operators.quality import dw_counts
+    w = _w(spark, sf_dir)
+    return dw_counts({k: w[k] for k in ["dim_tiempo", "dim_cliente", "dim_producto", "fact_ventas", "map_producto",
+                                         "stg_clientes", "stg_orden_items", "tipo_cambio"]})
+
+
+@register("loaded_by_source")
+def loaded_by_source_q(spark, sf_dir):
+    """AG8: rows appended per source by the second incremental batch."""
+    from ..operators.quality import loaded_by_source
+    from ..operators.warehouse import fact_ventas as load
+    w = _w(spark, sf_dir)
+    items = w["stg_orden_items"]
+    args = (w["dim_tiempo"], w["dim_cliente"], w["map_producto"], w["dim_producto"])
+    cut = F.lit("2001-01-01").cast("date")
+    b1 = load(items.where(F.col("fecha_dt") < cut), *args)
+    return loaded_by_source(load(items, *args, existing=b1))
+
+
+@register("orders_newest_page")
+def orders_newest_page(spark, sf_dir):
+    """SO2: Supabase orders newest first (id as tie-break), first page of 20."""
+    from ..operators.listing import PageSpec, page
+    o = _src(spark, sf_dir)["supabase"]["orden"]
+    return page(o, "orden_id", PageSpec(page=1, limit=20, sort_by="fecha", sort_order="desc"), ("fecha",)).select(
+        "orden_id", "fecha", F.col("total").cast("double").alias("total"))
+
+
+@register("list_orden_detalles")
+def list_orden_detalles(spark, sf_dir):
+    """FL13: order lines by quantity and discount ranges, priciest first, page 1."""
+    from ..operators.listing import PageSpec, apply_filter_spec, page
+    d = _src(spark, sf_dir)["mssql"]["OrdenDetalle"]
+    f = apply_filter_spec(d, {"Cantidad": ("between", (10, 20)), "DescuentoPct": ("gte", 5)})
+    return page(f, "OrdenDetalleId", PageSpec(page=1, limit=20, sort_by="PrecioUnit", sort_order="desc"),
+                ("PrecioUnit", "Cantidad")).select("OrdenDetalleId", "Cantidad",
+                                                   F.col("PrecioUnit").cast("double").alias("PrecioUnit"),
+                                                   F.col("DescuentoPct").cast("double").alias("DescuentoPct"))
+
+
+@register("list_productos")
+def list_productos(spark, sf_dir):
+    """FL11: products whose name contains a word, exact category, by name."""
+    from ..operators.listing import PageSpec, apply_filter_spec, page
+    p = _src(spark, sf_dir)["mssql"]["Producto"]
+    f = apply_filter_spec(p, {"Nombre": ("contains", "widget"), "Categoria": ("eq", "LARGE")})
+    return page(f, "ProductoId", PageSpec(page=1, limit=20, sort_by="Nombre"), ("Nombre", "SKU")).select(
+        "ProductoId", "SKU", "Nombre")
+
+
+@register("order_payload_violations")
+def order_payload_violations(spark, sf_dir):
+    """FL17: document orders checked against the order payload rules."""
+    from ..functions.validate import violations
+    from ..operators.orders import payload_rules
+    o = _src(spark, sf_dir)["mongo"]["ordenes"]
+    v = o.select(F.explode(violations(payload_rules("mongo"))).alias("regla"))
+    return v.groupBy("regla").agg(F.count(F.lit(1)).alias("filas"))
+
+
+@register("product_categories")
+def product_categories(spark, sf_dir):
+    """JN15: graph path Producto -> Categoria."""
+    g = _src(spark, sf_dir)["neo4j"]
+    c = g["Categoria"].select(F.col("id").alias("to_id"), F.col("nombre").alias("_cat"))
+    e = g["PERTENECE_A"].join(c, "to_id")
+    p = g["Producto"].select("id", "nombre")
+    return p.join(e, p.id == e.from_id).select(F.col("id").alias("producto_id"), "nombre",
+                                                F.col("_cat").alias("categoria"))
