@@ -103,9 +103,8 @@ def upsert_clients_by_email(stored: DataFrame, upload: DataFrame, key_col: str =
     from .keys import global_row_number
     cols = stored.columns
     keep = [c for c in keep_cols if c in cols]
-    with_email = upload.where(F.col(key_col).isNotNull())
-    w = Window.partitionBy(key_col).orderBy(F.col("_row").desc())
-    with_email = with_email.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    from .merge import _dedup
+    with_email = _dedup(upload.where(F.col(key_col).isNotNull()), [key_col], "_row", last=True)
     st = stored.where(F.col(key_col).isNotNull()).groupBy(key_col).agg(F.min(id_col).alias("_sid"))
     matched = with_email.join(st, key_col, "left")
     updates = (matched.where(F.col("_sid").isNotNull()).drop(*keep)

@@ -14,10 +14,18 @@ from pyspark.sql import functions as F
 
 
 def _dedup(batch: DataFrame, keys: list[str], order_col: str, last: bool) -> DataFrame:
-    """Keep one row per key: last (or first) by ``order_col`` (D4)."""
-    o = F.col(order_col).desc() if last else F.col(order_col).asc()
-    w = Window.partitionBy(*keys).orderBy(o)
-    return batch.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    """Keep one row per key: last (or first) by ``order_col`` (D4).
+
+    An aggregate (``max_by``/``min_by`` of the whole row) rather than a
+    window: it combines map-side before the shuffle, so a key holding a
+    large share of the rows never lands whole in one task."""
+    rest = [c for c in batch.columns if c not in keys]
+    if not rest:
+        return batch.dropDuplicates(keys)
+    pick = F.max_by if last else F.min_by
+    row = F.struct(*[F.col(c) for c in rest])
+    return (batch.groupBy(*keys).agg(pick(row, F.col(order_col)).alias("_r"))
+            .select(*keys, *[F.col("_r")[c].alias(c) for c in rest]))
 
 
 def merge_overwrite(target: DataFrame | None, batch: DataFrame, keys: list[str],
