@@ -272,3 +272,27 @@ def bridge_rows(std: DataFrame, eq_map: DataFrame, products: dict[str, DataFrame
         F.col("categoria").alias("categoria_norm"),
         es_serv.alias("es_servicio"),
         F.col("pos"))
+
+
+# ------------------------------------------------------------- WN2 / JN21
+
+# Source priority of the name+category bridge lookup.
+NAME_LOOKUP_PRIORITY = ["mssql", "supabase"]
+
+
+def best_bridge_by_name(names: DataFrame, bridge: DataFrame, nombre: str, categoria: str,
+                        newest_col: str = "source_code") -> DataFrame:
+    """WN2/JN21: SKU of the best bridge row whose lower(name), lower(category)
+    equal the input's (no trim, as the lookup does): mssql first, then
+    supabase, then any other source, newest (``newest_col`` desc) first.
+    One aggregate per input key (map-side combined), then joined back."""
+    rank = F.coalesce(*[F.when(F.col("source_system") == s, F.lit(i)) for i, s in enumerate(NAME_LOOKUP_PRIORITY)],
+                      F.lit(len(NAME_LOOKUP_PRIORITY)))
+    b = (bridge.where(F.col("sku_oficial").isNotNull() & (F.col("sku_oficial") != ""))
+         .select(F.lower("nombre_norm").alias("_n"), F.lower("categoria_norm").alias("_c"), "sku_oficial",
+                 rank.alias("_rank"), F.col(newest_col).alias("_newest")))
+    # max of (-rank, newest): best priority first, then the newest row
+    best = b.groupBy("_n", "_c").agg(
+        F.max_by("sku_oficial", F.struct((-F.col("_rank")).alias("r"), F.col("_newest").alias("n"))).alias("_sku"))
+    k = names.withColumn("_n", F.lower(F.col(nombre))).withColumn("_c", F.lower(F.col(categoria)))
+    return k.join(best, ["_n", "_c"], "left").withColumnRenamed("_sku", "sku_por_nombre").drop("_n", "_c")

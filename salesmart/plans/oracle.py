@@ -741,3 +741,19 @@ SELECT regla, count(*) AS filas FROM (
 ORACLE["product_categories"] = with_all("""
 SELECT 'SKU' || CAST(1000 + p AS VARCHAR) AS producto_id, nm AS nombre, cat AS categoria FROM pres WHERE k = 4
 """, PRESENT_CTE)
+
+ORACLE["sku_by_name_fallback"] = with_all("""
+SELECT source_code AS codigo_mongo, sku AS sku_por_nombre FROM pres WHERE k = 3
+""", PRESENT_CTE)
+
+ORACLE["bulk_sheets_roundtrip"] = """
+SELECT 'Cliente' AS hoja, count(*) AS filas, count(*) FILTER (WHERE c_custkey % 7 = 0) AS correo_nulo
+FROM customer WHERE c_custkey % 5 = 1
+UNION ALL
+SELECT 'Producto', count(*), 0 FROM part WHERE CASE WHEN p_partkey % 97 = 0 THEN true WHEN p_partkey % 97 = 1 THEN false
+                                                  ELSE p_partkey % 10 <> 1 END
+UNION ALL
+SELECT 'Orden', count(*), count(*) FILTER (WHERE o_custkey % 7 = 0) FROM orders WHERE o_custkey % 5 = 1
+UNION ALL
+SELECT 'OrdenDetalle', 0, 0
+"""

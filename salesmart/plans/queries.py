@@ -777,3 +777,41 @@ def product_categories(spark, sf_dir):
     p = g["Producto"].select("id", "nombre")
     return p.join(e, p.id == e.from_id).select(F.col("id").alias("producto_id"), "nombre",
                                                 F.col("_cat").alias("categoria"))
+
+
+@register("sku_by_name_fallback")
+def sku_by_name_fallback(spark, sf_dir):
+    """WN2/JN21: each document-source product resolved through the bridge by
+    (name, category) with source priority and newest row first."""
+    from ..operators.equivalence import best_bridge_by_name
+    p = _src(spark, sf_dir)["mongo"]["productos"]
+    return best_bridge_by_name(p, _w(spark, sf_dir)["map_producto"], "nombre", "categoria").select(
+        "codigo_mongo", "sku_por_nombre")
+
+
+@register("bulk_sheets_roundtrip")
+def bulk_sheets_roundtrip(spark, sf_dir):
+    """SRC7: MySQL-shaped bulk sheets written as one CSV per sheet, read back
+    with per-sheet typed coercion (bad cells -> null, raw text kept)."""
+    from ..sources.readers import read_bulk
+    s = _src(spark, sf_dir)["mysql"]
+    base = _stream_dir(spark, "bulk")
+    orden = s["Orden"].join(s["Cliente"].select(F.col("id").alias("cliente_id"), "correo"), "cliente_id", "left")
+    sheets = {"Cliente": s["Cliente"].select("nombre", "correo", "genero", "pais", "created_at"),
+              "Producto": s["Producto"].select("codigo_alt", "nombre", "categoria"),
+              "Orden": orden.select("correo", "fecha", "canal", "moneda", "total")}
+    for name, df in sheets.items():      # the OrdenDetalle sheet is absent on purpose
+        df.write.option("header", True).csv(f"{base}/{name}.csv")
+    got = read_bulk(spark, base, "mysql", "csv")
+    parts = []
+    for name, df in got.items():
+        if df is None:
+            parts.append(spark.createDataFrame([(name, 0, 0)], "hoja string, filas long, correo_nulo long"))
+            continue
+        nul = F.count(F.when(F.col("correo").isNull(), 1)) if "correo" in df.columns else F.lit(0).cast("long")
+        parts.append(df.agg(F.count(F.lit(1)).alias("filas"), nul.alias("correo_nulo"))
+                     .select(F.lit(name).alias("hoja"), "filas", "correo_nulo"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -159,10 +159,15 @@ def read_bulk(spark: SparkSession, base_path: str, flavour: str = "mssql", fmt:
         path = f"{base_path.rstrip('/')}/{sheet}.{fmt}"
         try:
             r = spark.read.option("header", True) if fmt == "csv" else spark.read
-            df = r.format(fmt).load(path).withColumn("_row", F.monotonically_increasing_id())
-            out[sheet] = coerce_sheet(df, types)
+            df = r.format(fmt).load(path)
         except Exception:  # missing sheet
             out[sheet] = None
+            continue
+        # JN19: 1-based row position of the sheet.  Split ids grow with the
+        # file offset, so ranking them gives the file order without a single task.
+        from ..operators.keys import global_row_number
+        df = global_row_number(df.withColumn("_mid", F.monotonically_increasing_id()), ["_mid"], "_row").drop("_mid")
+        out[sheet] = coerce_sheet(df, types)
     return out
 
 
