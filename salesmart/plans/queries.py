@@ -582,7 +582,7 @@ def stream_daily_sales_q(spark, sf_dir):
     base = _stream_dir(spark, "daily")
     daily_sales_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet", f"{base}/out", f"{base}/ckpt")
     r = read_latest_by_key(spark, f"{base}/out", "dia")
-    return r.select(F.to_date("dia").alias("dia"), "compras", F.round("valor", 4).alias("valor"))
+    return r.select("dia", "compras", F.round("valor", 4).alias("valor"))
 
 
 # ----------------------------------------------------- sources and cleaning

@@ -75,14 +75,20 @@ def daily_sales_stream(spark: SparkSession, events_path: str, out_path: str, che
               .parquet(os.path.dirname(events_path)))
     else:
         ev = spark.readStream.schema(schema).parquet(events_path)
+    # The event time is a wall-clock (timestamp_ntz) value: map it to the
+    # instant with the same UTC reading, so 1-day windows (aligned to the
+    # UTC epoch) follow the wall-clock days whatever the session time zone.
+    secs = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', "
+                  "CAST(ts AS TIMESTAMP_NTZ))")
     agg = (ev.where(F.col("event_type") == "purchase")
-           .withColumn("ts", F.col("ts").cast("timestamp"))     # session zone UTC: wall clock kept
+           .withColumn("ts", F.timestamp_micros(secs))
            .withWatermark("ts", delay)
            .groupBy(F.window("ts", "1 day").alias("w"))
            .agg(F.count(F.lit(1)).alias("compras"), F.sum("value").alias("valor")))
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.select(F.col("w.start").alias("dia"), "compras", "valor")
+        start_day = F.floor(F.unix_micros(F.col("w.start")) / F.lit(86_400_000_000)).cast("int")
+        rows = batch.select(F.date_add(F.lit("1970-01-01").cast("date"), start_day).alias("dia"), "compras", "valor")
         rows.write.mode("overwrite").parquet(f"{out_path}/_batch={batch_id}")
 
     q = (agg.writeStream.outputMode("update").foreachBatch(upsert).option("checkpointLocation", checkpoint)
