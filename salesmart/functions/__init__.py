@@ -1 +1 @@
-from . import clean, country, validate  # noqa: F401
+from . import clean, country, sql_functions, validate  # noqa: F401

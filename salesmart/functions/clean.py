@@ -316,6 +316,12 @@ def clean_object_id(c) -> Column:
     return F.when(s.rlike(r"^[0-9a-fA-F]{24}$"), s)
 
 
+def items_from_json(c, item_schema: str) -> Column:
+    """SC35: JSON array text of order items -> array of typed structs
+    (explode / inline it for one row per item); bad JSON -> null."""
+    return F.from_json(_c(c), f"array<struct<{item_schema}>>", {"mode": "PERMISSIVE"})
+
+
 def attainment_band(pct) -> Column:
     """SC40: >100 green, 80-100 amber, <80 red."""
     p = _c(pct)

@@ -1,4 +1,4 @@
-"""SC30: country name -> ISO alpha-2 code.
+"""SC30 + JN10: country name -> ISO alpha-2 code (contains theta join).
 
 Lookup order follows the ISO 3166-1 list (sorted by alpha-3): exact name
 (case-insensitive) first, else the first country whose name contains the

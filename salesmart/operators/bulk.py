@@ -82,8 +82,8 @@ def sheet_violations(df: DataFrame, rules, row_col: str = "_row") -> DataFrame:
 
 def resolve_emails(orders: DataFrame, batch_clients: DataFrame | None, stored_clients: DataFrame,
                    email_col: str, id_col: str, latest: bool) -> DataFrame:
-    """JN18: client id for each order email - same upload first, then the
-    stored table (latest id per email when duplicates are allowed)."""
+    """JN18 + WN3: client id for each order email - same upload first, then
+    the stored table (latest id per email when duplicates are allowed)."""
     st = stored_clients.where(F.col(email_col).isNotNull())
     st = (st.groupBy(email_col).agg((F.max if latest else F.min)(id_col).alias("_stored_id")))
     o = orders.join(st, email_col, "left")

@@ -152,7 +152,7 @@ def group_products(std: DataFrame) -> DataFrame:
 # ------------------------------------------------------------- ER4 / ER5
 
 def max_existing_sku(bridge: DataFrame | None) -> DataFrame:
-    """ER5: highest numeric SKU in an existing bridge (0 when none), as a 1-row frame."""
+    """ER5 + FL8: highest numeric SKU among bridge SKUs starting 'SKU' (0 when none), as a 1-row frame."""
     if bridge is None:
         raise ValueError("bridge required")
     n = F.regexp_extract(F.col("sku_oficial"), r"^SKU-?(\d+)", 1).try_cast("long")

@@ -64,7 +64,7 @@ def total_mismatches(orders: DataFrame, lines: DataFrame, key: str, total_col: s
 
 
 def missing_references(requested: DataFrame, existing: DataFrame, col: str, existing_col: str | None = None) -> DataFrame:
-    """JN17 / SE3: requested ids (string, trimmed) that do not exist."""
+    """JN17 / SE3 / SE4: distinct requested ids (string, trimmed) that do not exist."""
     r = requested.select(F.trim(F.col(col).cast("string")).alias(col)).distinct()
     e = existing.select(F.trim(F.col(existing_col or col).cast("string")).alias(col))
     return r.join(e, col, "left_anti")
@@ -104,7 +104,8 @@ def apply_order_changes(orders: DataFrame, lines: DataFrame, events: DataFrame,
 
 def next_order_ids(existing_ids: DataFrame, new_orders: DataFrame, order_cols: list[str], id_col: str = "id",
                    prefix: str = "ORD-", width: int = 6) -> DataFrame:
-    """CH4: sequential ids after the current maximum, keeping prefix and width."""
+    """CH4 + WN4: sequential ids after the current maximum order number,
+    keeping prefix and width."""
     from .keys import global_row_number
     mx = existing_ids.agg(F.coalesce(F.max(clean.order_number(F.col(id_col))), F.lit(0)).alias("_max"))
     n = global_row_number(new_orders, order_cols, "_k")
@@ -129,3 +130,19 @@ def payload_rules(source: str, items_col: str = "items", qty: str = "cantidad",
         ("canal_invalido", ~F.col("canal").isin(PAYLOAD_CHANNELS[source])),
         ("moneda_invalida", ~F.col("moneda").isin(PAYLOAD_CURRENCIES[source])),
     ]
+
+
+def valid_order_ids(df: DataFrame, col: str = "id") -> DataFrame:
+    """FL9: ids shaped 'ORD-<digits>' or 'O<digits>' (anchored, like a whole-string match)."""
+    return df.where(F.col(col).rlike(r"^(ORD-\d+|O\d+)$"))
+
+
+def validate_against_bridge(products: DataFrame, bridge: DataFrame, sku: str, nombre: str, categoria: str) -> DataFrame:
+    """JN22: does (SKU, name, category) exist in the bridge, case-insensitive?"""
+    b = (bridge.select(F.lower("sku_oficial").alias("_s"), F.lower("nombre_norm").alias("_n"),
+                       F.lower("categoria_norm").alias("_c")).distinct()   # SE4
+         .withColumn("valido", F.lit(True)))
+    k = (products.withColumn("_s", F.lower(F.col(sku))).withColumn("_n", F.lower(F.col(nombre)))
+         .withColumn("_c", F.lower(F.col(categoria))))
+    return (k.join(b, ["_s", "_n", "_c"], "left").withColumn("valido", F.coalesce("valido", F.lit(False)))
+            .drop("_s", "_n", "_c"))

@@ -53,8 +53,9 @@ def fact_stats(fact: DataFrame) -> DataFrame:
 
 def load_diagnostics(items: DataFrame, dim_t: DataFrame, dim_c: DataFrame, bridge: DataFrame,
                      dim_p: DataFrame, fact: DataFrame | None = None) -> DataFrame:
-    """AG6: staged rows that cannot load, by reason (reasons overlap; zero
-    counts hidden)."""
+    """AG6 + SE1: staged rows that cannot load, by reason (reasons overlap;
+    zero counts hidden) - the reference's UNION ALL of six counts becomes one
+    pass with conditional counts and a ``stack`` unpivot."""
     x = fact_candidates(items, dim_t, dim_c, bridge, dim_p)
     sk = F.concat(F.col("source_key_orden"), F.lit("-"), F.col("source_key_item"))
     if fact is not None:

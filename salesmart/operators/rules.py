@@ -130,7 +130,7 @@ def mine_rules(lines: DataFrame, min_support: float = MIN_SUPPORT, min_confidenc
 
 def recommend(baskets_df: DataFrame, rules: DataFrame, k: int = 5, items_col: str = "items",
               id_cols=("basket_id",)) -> DataFrame:
-    """AR8 for many baskets at once.
+    """AR8 + WN1 for many baskets at once.
 
     A rule applies when its antecedent set equals the basket's item set
     (JN11).  Rules are ranked per antecedent first (confidence, lift desc,

@@ -44,7 +44,8 @@ def rates_view(tipo_cambio: DataFrame) -> DataFrame:
 
 def dim_tiempo(bounds: DataFrame, tipo_cambio: DataFrame | None = None,
                existing: DataFrame | None = None) -> DataFrame:
-    """DW1 + DW2: date dimension over ``bounds`` (one row, columns lo, hi).
+    """DW1 + DW2 + SE5: date dimension over ``bounds`` (one row, columns lo, hi);
+    ``sequence`` replaces the recursive CTE.
 
     New dates only when ``existing`` is given; FX columns synced with
     ``coalesce(new, old)`` so a missing direction never nulls a rate (D6)."""
@@ -225,3 +226,20 @@ def target_duplicates(metas: DataFrame) -> DataFrame:
     """DW10 uniqueness rule: keys present more than once."""
     return (metas.groupBy("ClienteID", "ProductoID", "Anio", "Mes").agg(F.count(F.lit(1)).alias("n"))
             .where("n > 1"))
+
+
+# ---------------------------------------------------------------- IN2/IN3
+
+def new_rate_days(feed: DataFrame, tipo_cambio: DataFrame) -> DataFrame:
+    """IN2: feed days not yet loaded (both directions present counts as loaded)."""
+    have = (rates_by_date(tipo_cambio).where(F.col("crc_usd").isNotNull() & F.col("usd_crc").isNotNull())
+            .select("fecha"))
+    return feed.join(have, "fecha", "left_anti")
+
+
+def backfill_range(tipo_cambio: DataFrame, today, years: int = 3, min_rows: int = 100) -> DataFrame:
+    """IN3: one row (desde, hasta, cargar) - load ``years`` of history only
+    when fewer than ``min_rows`` rates exist."""
+    t = F.lit(today).cast("date")
+    return tipo_cambio.agg(F.count(F.lit(1)).alias("_n")).select(
+        F.add_months(t, -12 * years).alias("desde"), t.alias("hasta"), (F.col("_n") < min_rows).alias("cargar"))

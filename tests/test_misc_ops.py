@@ -58,3 +58,42 @@ def test_absent_sources_tolerated(spark):
     m = spark.createDataFrame([(1, "SKU-0005", "A", "c")], "ProductoId int, SKU string, Nombre string, Categoria string")
     out = eqv.build_equivalence_map({"mssql": m, "mysql": None, "supabase": None, "mongo": None, "neo4j": None})
     assert [r.sku_oficial for r in out.collect()] == ["SKU-0005"]
+
+
+def test_sql_functions_match_columns(spark):
+    from salesmart.functions.sql_functions import register_sql_functions
+    register_sql_functions(spark)
+    vals = ["m", "HOMBRE", " f ", "mujer", "X", "", None, "online", "retail", "fax", " SKU1234 ", "SKU-7", "ALT-1"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, v string")
+    df.createOrReplaceTempView("sm_vals")
+    a = spark.sql("SELECT i, sm_gender(v) g, sm_channel(v) c, sm_normalize_sku(v) s, sm_sku_number(v) n, "
+                  "sm_match_key(v) k FROM sm_vals ORDER BY i").collect()
+    b = df.orderBy("i").select("i", clean.gender_shared(F.col("v")).alias("g"), clean.channel_shared(F.col("v")).alias("c"),
+                               clean.normalize_sku(F.col("v")).alias("s"), clean.sku_number(F.col("v")).alias("n"),
+                               clean.match_key(F.col("v")).alias("k")).collect()
+    assert a == b
+
+
+def test_json_items_and_validations(spark):
+    from salesmart.operators import orders
+    df = spark.createDataFrame([('[{"producto_id": "p1", "cantidad": 2, "precio_unitario": 3.5}]',), ("not json",)],
+                               "items string")
+    r = df.select(clean.items_from_json(F.col("items"), "producto_id string, cantidad int, precio_unitario double")
+                  .alias("it")).collect()
+    assert r[0].it[0].cantidad == 2 and r[1].it is None
+    ids = spark.createDataFrame([("ORD-000001",), ("O77",), ("XORD-1",), ("ORD-1x",)], "id string")
+    assert sorted(x.id for x in orders.valid_order_ids(ids).collect()) == ["O77", "ORD-000001"]
+    bridge = spark.createDataFrame([("SKU-1", "TV", "Elec")], "sku_oficial string, nombre_norm string, categoria_norm string")
+    p = spark.createDataFrame([("sku-1", "tv", "ELEC"), ("SKU-2", "TV", "Elec")], "s string, n string, c string")
+    got = {r.s: r.valido for r in orders.validate_against_bridge(p, bridge, "s", "n", "c").collect()}
+    assert got == {"sku-1": True, "SKU-2": False}
+
+
+def test_rate_loading_helpers(spark):
+    from salesmart.operators import warehouse
+    feed = spark.createDataFrame([(dt.date(2024, 1, 1), 500.0, 510.0), (dt.date(2024, 1, 2), 501.0, 511.0)],
+                                 "fecha date, compra double, venta double")
+    tc = merge.upsert_rates(None, feed.where("fecha = '2024-01-01'"))
+    assert [r.fecha for r in warehouse.new_rate_days(feed, tc).collect()] == [dt.date(2024, 1, 2)]
+    b = warehouse.backfill_range(tc, "2024-06-30", 3).first()
+    assert b.cargar is True and b.desde == dt.date(2021, 6, 30)
