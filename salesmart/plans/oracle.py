@@ -757,3 +757,15 @@ SELECT 'Orden', count(*), count(*) FILTER (WHERE o_custkey % 7 = 0) FROM orders
 UNION ALL
 SELECT 'OrdenDetalle', 0, 0
 """
+
+ORACLE["fx_new_days"] = with_all("""
+SELECT count(*) AS dias, min(fecha) AS desde, max(fecha) AS hasta FROM rates WHERE fecha >= DATE '1998-01-01'
+""", RATE_DAYS_CTE)
+
+ORACLE["bridge_validation"] = with_all("""
+SELECT (p % 10 NOT IN (6, 7, 8)) AS valido, count(*) AS filas FROM pres WHERE k = 3 GROUP BY 1
+""", PRESENT_CTE)
+
+ORACLE["order_items_json"] = with_lines("""
+SELECT count(*) AS items, sum(qty) AS unidades, count(DISTINCT ok) AS ordenes FROM lx WHERE src = 3
+""")

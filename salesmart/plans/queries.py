@@ -815,3 +815,36 @@ def bulk_sheets_roundtrip(spark, sf_dir):
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+@register("fx_new_days")
+def fx_new_days(spark, sf_dir):
+    """IN2: with rates loaded up to 1997, the feed days still to load."""
+    from ..operators.merge import upsert_rates
+    from ..operators.warehouse import new_rate_days
+    from ..sources import fixtures
+    feed = fixtures.fixture_rates(spark, sf_dir)
+    loaded = upsert_rates(None, feed.where(F.col("fecha") < F.lit("1998-01-01").cast("date")))
+    n = new_rate_days(feed, loaded)
+    return n.agg(F.count(F.lit(1)).alias("dias"), F.min("fecha").alias("desde"), F.max("fecha").alias("hasta"))
+
+
+@register("bridge_validation")
+def bridge_validation(spark, sf_dir):
+    """JN22: document products' (SKU, name, category) checked against the bridge."""
+    from ..functions.clean import normalize_sku
+    from ..operators.orders import validate_against_bridge
+    p = _src(spark, sf_dir)["mongo"]["productos"].withColumn("_sku", normalize_sku(F.col("equivalencias.sku")))
+    v = validate_against_bridge(p, _w(spark, sf_dir)["map_producto"], "_sku", "nombre", "categoria")
+    return v.groupBy("valido").agg(F.count(F.lit(1)).alias("filas"))
+
+
+@register("order_items_json")
+def order_items_json(spark, sf_dir):
+    """SC35: order items carried as JSON text, parsed back and exploded."""
+    from ..functions.clean import items_from_json
+    o = _src(spark, sf_dir)["mongo"]["ordenes"].select("_id", F.to_json("items").alias("items_json"))
+    it = o.select("_id", F.explode(items_from_json(F.col("items_json"),
+                                                   "producto_id string, cantidad int, precio_unit long")).alias("it"))
+    return it.agg(F.count(F.lit(1)).alias("items"), F.sum("it.cantidad").alias("unidades"),
+                  F.countDistinct("_id").alias("ordenes"))
