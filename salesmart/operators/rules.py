@@ -75,14 +75,20 @@ def mining_baskets(lines: DataFrame, min_item_frequency: int = MIN_ITEM_FREQUENC
 
 # ------------------------------------------------------------------ AR4
 
-def frequent_itemsets(mb: DataFrame, min_support: float = MIN_SUPPORT) -> DataFrame:
-    """AR4: FP-Growth itemsets with count and support (denominator = baskets)."""
-    n = mb.agg(F.count(F.lit(1)).alias("n_baskets"))
+def frequent_itemsets(mb: DataFrame, min_support: float = MIN_SUPPORT, cut_lineage: bool = True) -> DataFrame:
+    """AR4: FP-Growth itemsets with count and support (denominator = baskets).
+
+    The basket table is checkpointed once (shared checkpoint folder), so the
+    basket count and the FP-Growth passes read files instead of re-running
+    the basket shuffles; only the count (a scalar) reaches the driver."""
+    if cut_lineage:
+        mb = mb.checkpoint(eager=True)
+    n = mb.count()
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=1.0).fit(mb)
     fi = model.freqItemsets
-    return (fi.crossJoin(F.broadcast(n))   # one-row side
-            .select(F.array_sort("items").alias("items"), F.col("freq").alias("count"),
-                    (F.col("freq") / F.col("n_baskets")).alias("support"), "n_baskets"))
+    return fi.select(F.array_sort("items").alias("items"), F.col("freq").alias("count"),
+                     (F.col("freq") / F.lit(float(n) if n else None)).alias("support"),
+                     F.lit(n).cast("long").alias("n_baskets"))
 
 
 # ------------------------------------------------------------------ AR5
