@@ -52,7 +52,7 @@ fact AS (
   SELECT staged.*,
     CAST(CASE WHEN cur = 'CRC' THEN line_total / rate ELSE line_total END AS DECIMAL(18,6)) AS total_usd,
     CAST(CASE WHEN cur = 'CRC' THEN price / rate ELSE price END AS DECIMAL(18,6)) AS price_usd,
-    year(d) AS anio, month(d) AS mes
+    CAST(year(d) AS INTEGER) AS anio, CAST(month(d) AS INTEGER) AS mes
   FROM staged
   WHERE present AND (cur <> 'CRC' OR rate IS NOT NULL)
 ),
@@ -209,7 +209,7 @@ FROM staged GROUP BY 1, 2
 
 ORACLE["staging_stats_bridge"] = with_all("""
 SELECT s AS source_system, count(*) AS productos, count(DISTINCT sku) AS skus_distintos,
-  sum(CAST(es_serv_row AS BIGINT)) AS servicios
+  CAST(sum(CAST(es_serv_row AS BIGINT)) AS BIGINT) AS servicios
 FROM pres GROUP BY 1
 """, PRESENT_CTE)
 
@@ -235,8 +235,8 @@ SELECT fecha, 'USD' AS de, 'CRC' AS a, sell AS tasa FROM rates
 """, RATE_DAYS_CTE)
 
 ORACLE["dim_tiempo"] = with_all("""
-SELECT CAST(strftime(days.Fecha, '%Y%m%d') AS INTEGER) AS TiempoID, days.Fecha AS Fecha, year(days.Fecha) AS Anio,
-       month(days.Fecha) AS Mes, day(days.Fecha) AS Dia, r.buy AS TC_CRC_USD, r.sell AS TC_USD_CRC
+SELECT CAST(strftime(days.Fecha, '%Y%m%d') AS INTEGER) AS TiempoID, days.Fecha AS Fecha, CAST(year(days.Fecha) AS INTEGER) AS Anio,
+       CAST(month(days.Fecha) AS INTEGER) AS Mes, CAST(day(days.Fecha) AS INTEGER) AS Dia, r.buy AS TC_CRC_USD, r.sell AS TC_USD_CRC
 FROM days LEFT JOIN rates r ON r.fecha = days.Fecha
 """, RATE_DAYS_CTE, CUST_CTE, """
 bounds AS (
@@ -320,13 +320,13 @@ FROM mon m LEFT JOIN mon p ON p.anio = m.anio - 1 AND p.mes = m.mes
 
 ORACLE["kpi_top_clients"] = with_all("""
 SELECT fuente AS SourceSystem, client_key AS SourceKey, CAST(round(sum(total_usd), 2) AS DOUBLE) AS ventas_usd,
-       row_number() OVER (ORDER BY sum(total_usd) DESC, fuente, client_key) AS rank
+       CAST(row_number() OVER (ORDER BY sum(total_usd) DESC, fuente, client_key) AS INTEGER) AS rank
 FROM factk GROUP BY 1, 2 ORDER BY rank LIMIT 10
 """, FACTK_CTE)
 
 ORACLE["kpi_top_products"] = with_all("""
 SELECT sku AS SKU, CAST(round(sum(total_usd), 2) AS DOUBLE) AS ventas_usd,
-       row_number() OVER (ORDER BY sum(total_usd) DESC, sku) AS rank
+       CAST(row_number() OVER (ORDER BY sum(total_usd) DESC, sku) AS INTEGER) AS rank
 FROM factk GROUP BY 1 ORDER BY rank LIMIT 10
 """, FACTK_CTE)
 
@@ -378,12 +378,12 @@ FROM sales s FULL OUTER JOIN metas t
 # ------------------------------------------------------------------ M5
 
 ORACLE["baskets"] = with_all("""
-SELECT fuente AS Fuente, txn AS transaction_id, string_agg(sku, ', ' ORDER BY sku) AS item, count(*) AS n_lines
+SELECT fuente AS Fuente, txn AS transaction_id, string_agg(sku, ', ' ORDER BY sku) AS item, CAST(count(*) AS INTEGER) AS n_lines
 FROM factk GROUP BY 1, 2
 """, FACTK_CTE)
 
 ORACLE["baskets_merged_sources"] = with_all("""
-SELECT txn AS transaction_id, string_agg(sku, ', ' ORDER BY sku) AS item, count(*) AS n_lines
+SELECT txn AS transaction_id, string_agg(sku, ', ' ORDER BY sku) AS item, CAST(count(*) AS INTEGER) AS n_lines
 FROM factk GROUP BY 1
 """, FACTK_CTE)
 
@@ -407,7 +407,7 @@ def _mining_ctes(item: str, min_support: float, min_item_count: int = 5) -> list
 
 def _itemsets_sql(item: str, min_support: float) -> str:
     return with_all("""
-SELECT array_to_string(s, ', ') AS itemset, len(s) AS n_items, cnt AS count,
+SELECT array_to_string(s, ', ') AS itemset, CAST(len(s) AS INTEGER) AS n_items, cnt AS count,
        round(cnt / (SELECT n FROM nb), 9) AS support
 FROM isets
 """, *_mining_ctes(item, min_support))
@@ -439,7 +439,7 @@ ORACLE["association_rules_sku"] = _rules_sql("sku", 0.002, 0.10, 1.5)
 ORACLE["association_rules_category"] = _rules_sql("cat", 0.002, 0.10, 0.0)
 
 ORACLE["recommend_top5"] = with_all("""
-SELECT fuente AS Fuente, txn AS transaction_id, Consequent, rank FROM (
+SELECT fuente AS Fuente, txn AS transaction_id, Consequent, CAST(rank AS INTEGER) AS rank FROM (
   SELECT b.fuente, b.txn, array_to_string(r.c, ', ') AS Consequent,
          row_number() OVER (PARTITION BY b.fuente, b.txn ORDER BY r.conf DESC, r.lift DESC,
                             array_to_string(r.c, ', ')) AS rank
@@ -513,7 +513,7 @@ WHERE l.src = 2 AND l.present
 
 ORACLE["orders_nested"] = with_lines(f"""
 SELECT printf('ORD-%06d', o.o_orderkey) AS orden_id, printf('C%05d', o.o_custkey) AS cliente_id,
-       count(l.ok) AS n_items,
+       CAST(count(l.ok) AS INTEGER) AS n_items,
        CAST(sum(CAST(qty * {SUPA_PRICE} AS DECIMAL(18,2))) AS DOUBLE) AS items_total,
        arg_min('SKU' || CAST(1000 + p AS VARCHAR), line_id) AS primer_producto
 FROM orders o LEFT JOIN lx l ON l.ok = o.o_orderkey
@@ -522,7 +522,7 @@ WHERE o.o_custkey % 5 = 4 GROUP BY o.o_orderkey, o.o_custkey
 
 ORACLE["merge_repeated_products"] = with_lines(f"""
 SELECT printf('ORD-%06d', ok) AS orden_id, 'SKU' || CAST(1000 + p AS VARCHAR) AS producto_id,
-       sum(qty) AS cantidad, CAST(arg_min({SUPA_PRICE}, line_id) AS DOUBLE) AS precio_unit
+       CAST(sum(qty) AS BIGINT) AS cantidad, CAST(arg_min({SUPA_PRICE}, line_id) AS DOUBLE) AS precio_unit
 FROM lx WHERE src = 4 GROUP BY ok, p
 """)
 
@@ -532,7 +532,7 @@ SELECT count(DISTINCT ok) AS ordenes_revisadas, CAST(0 AS BIGINT) AS descuadres
 
 ORACLE["orders_after_changes"] = with_lines("""
 SELECT '00000000-0000-0000-0000-' || printf('%012d', ok) AS orden_id, count(*) AS n_lineas,
-       sum(qty + CASE WHEN ok % 13 = 0 THEN 1 ELSE 0 END) AS unidades
+       CAST(sum(qty + CASE WHEN ok % 13 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS unidades
 FROM lx WHERE src = 2 AND ok % 11 <> 0 GROUP BY ok
 """)
 
@@ -549,7 +549,7 @@ FROM customer WHERE c_custkey % 5 = 4 AND c_custkey % 50 = 4
 """
 
 ORACLE["include_order_lines"] = with_lines("""
-SELECT CAST(o.o_orderkey AS INTEGER) AS OrdenId, count(l.ok) AS n_lineas,
+SELECT CAST(o.o_orderkey AS INTEGER) AS OrdenId, CAST(count(l.ok) AS INTEGER) AS n_lineas,
        coalesce(string_agg(CASE WHEN l.present THEN 'SKU-' || CAST(1000 + l.p AS VARCHAR) END, ', '
                            ORDER BY 'SKU-' || CAST(1000 + l.p AS VARCHAR)), '') AS skus
 FROM orders o LEFT JOIN lx l ON l.ok = o.o_orderkey
@@ -620,7 +620,7 @@ SELECT count(*) AS items FROM lx WHERE src = 3
 """)
 
 ORACLE["graph_triplets"] = with_lines("""
-SELECT printf('ORD-%06d', l.ok) AS orden_id, 'SKU' || CAST(1000 + l.p AS VARCHAR) AS producto_id, l.line_id AS seq,
+SELECT printf('ORD-%06d', l.ok) AS orden_id, 'SKU' || CAST(1000 + l.p AS VARCHAR) AS producto_id, CAST(l.line_id AS INTEGER) AS seq,
        l.d AS fecha, CASE WHEN l.present THEN pa.nm END AS producto_nombre
 FROM lx l JOIN parts pa ON pa.p = l.p WHERE l.src = 4
 """)
@@ -767,5 +767,5 @@ SELECT (p % 10 NOT IN (6, 7, 8)) AS valido, count(*) AS filas FROM pres WHERE k
 """, PRESENT_CTE)
 
 ORACLE["order_items_json"] = with_lines("""
-SELECT count(*) AS items, sum(qty) AS unidades, count(DISTINCT ok) AS ordenes FROM lx WHERE src = 3
+SELECT count(*) AS items, CAST(sum(qty) AS BIGINT) AS unidades, count(DISTINCT ok) AS ordenes FROM lx WHERE src = 3
 """)
