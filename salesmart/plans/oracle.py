@@ -545,7 +545,7 @@ ORACLE["new_order_ids"] = """
 SELECT printf('C%05d', c_custkey) AS cliente_id,
        printf('ORD-%06d', (SELECT max(o_orderkey) FROM orders WHERE o_custkey % 5 = 4)
                           + row_number() OVER (ORDER BY printf('C%05d', c_custkey))) AS nuevo_id
-FROM customer WHERE c_custkey % 5 = 4 AND c_custkey % 50 = 4
+FROM customer WHERE c_custkey % 5 = 4
 """
 
 ORACLE["include_order_lines"] = with_lines("""
@@ -566,7 +566,7 @@ HAVING count(*) > 0
 """
 
 ORACLE["bulk_upsert"] = """
-SELECT 'actualizado' AS accion, count(*) AS filas FROM customer WHERE c_custkey % 10 = 0
+SELECT 'actualizado' AS accion, count(*) AS filas FROM customer WHERE c_custkey % 5 = 0
 UNION ALL SELECT 'insertado', count(*) FROM customer WHERE c_custkey % 5 = 1
 UNION ALL SELECT 'total_tabla', count(*) FROM customer WHERE c_custkey % 5 IN (0, 1)
 """

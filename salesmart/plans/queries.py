@@ -479,11 +479,10 @@ def order_change_rejects(spark, sf_dir):
 
 @register("new_order_ids")
 def new_order_ids(spark, sf_dir):
-    """CH4: one new graph order per selected client, ids after the maximum."""
+    """CH4: one new graph order per client, ids after the current maximum."""
     from ..operators.orders import next_order_ids
     g = _src(spark, sf_dir)["neo4j"]
-    new = g["Cliente"].where(F.regexp_extract("id", r"(\d+)$", 1).cast("long") % 50 == 4).select(
-        F.col("id").alias("cliente_id"))
+    new = g["Cliente"].select(F.col("id").alias("cliente_id"))     # one new order per graph client
     return next_order_ids(g["Orden"], new, ["cliente_id"]).select("cliente_id", "nuevo_id")
 
 
@@ -534,7 +533,9 @@ def bulk_upsert(spark, sf_dir):
     c = fixtures.read_table(spark, sf_dir, "customer")
     ck = F.col("c_custkey")
     email = F.when((ck % 5 == 1) & (ck % 7 == 0), F.lit(None)).otherwise(fixtures.email_of(ck))
-    up = (c.where((ck % 10 == 0) | (ck % 5 == 1))
+    # every SQL Server client re-uploaded with a new name (updates by email) plus
+    # every MySQL client (new emails or none: inserts)
+    up = (c.where((ck % 5 == 0) | (ck % 5 == 1))
           .select(ck.alias("_row"), F.upper("c_name").alias("Nombre"), email.alias("Email"),
                   F.lit("Femenino").alias("Genero"), F.lit("CR").alias("Pais"),
                   F.lit("2001-01-01").cast("date").alias("FechaRegistro")))

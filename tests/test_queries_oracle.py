@@ -43,3 +43,15 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_entry_runs(spark):
     assert E.entry(spark).count() > 0
+
+
+_TYPES = {"IntegerType()": "INTEGER", "LongType()": "BIGINT", "DoubleType()": "DOUBLE", "StringType()": "VARCHAR",
+          "DateType()": "DATE", "BooleanType()": "BOOLEAN", "TimestampNTZType()": "TIMESTAMP"}
+
+
+@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+def test_query_types_match_oracle(spark, con, name):
+    df = E.queries()[name](spark, SF)
+    spark_types = {f.name: _TYPES.get(repr(f.dataType), repr(f.dataType)) for f in df.schema.fields}
+    duck_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {E.oracle_sql()[name]}").fetchall()}
+    assert spark_types == duck_types
