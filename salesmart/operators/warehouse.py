@@ -196,19 +196,18 @@ def fact_ventas(items: DataFrame, dim_t: DataFrame, dim_c: DataFrame, bridge: Da
 def should_run(last_loads: DataFrame, stg_max: DataFrame, now=None, max_age_hours: int = 24) -> DataFrame:
     """DW8: run when a table's last load is older than ``max_age_hours`` or
     staging holds newer rows.  Inputs: ``last_loads`` (table, last_ts) and
-    ``stg_max`` (table, max_ts).  Output: one row (run, reason)."""
+    ``stg_max`` (table, max_ts).  Output: one row (run, reason) with the
+    reasons sorted, so the text does not depend on row order."""
     now_c = F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
+    floor = F.lit("1900-01-01").cast("timestamp")
     j = last_loads.join(stg_max, "table", "full_outer")
-    stale = F.coalesce(F.col("last_ts"), F.lit("1900-01-01").cast("timestamp")) < now_c - F.expr(
-        f"interval {int(max_age_hours)} hours")
-    newer = F.col("max_ts") > F.coalesce(F.col("last_ts"), F.lit("1900-01-01").cast("timestamp"))
-    flags = j.select("table", stale.alias("stale"), F.coalesce(newer, F.lit(False)).alias("newer"))
-    return flags.agg(
-        (F.max(F.col("stale").cast("int")) + F.max(F.col("newer").cast("int")) > 0).alias("run"),
-        F.concat_ws("; ",
-                    F.collect_list(F.when(F.col("stale"), F.concat(F.col("table"), F.lit(" stale")))),
-                    F.collect_list(F.when(F.col("newer"), F.concat(F.col("table"), F.lit(" has new rows"))))
-                    ).alias("reason"))
+    stale = F.coalesce(F.col("last_ts"), floor) < now_c - F.expr(f"interval {int(max_age_hours)} hours")
+    newer = F.coalesce(F.col("max_ts") > F.coalesce(F.col("last_ts"), floor), F.lit(False))
+    reasons = j.select(F.explode(F.array_compact(F.array(
+        F.when(stale, F.concat(F.col("table"), F.lit(" stale"))),
+        F.when(newer, F.concat(F.col("table"), F.lit(" has new rows")))))).alias("r"))
+    return reasons.agg(F.array_join(F.array_sort(F.collect_list("r")), "; ").alias("reason")) \
+        .select((F.col("reason") != "").alias("run"), "reason")
 
 
 # ----------------------------------------------------------------- DW10

@@ -769,3 +769,16 @@ SELECT (p % 10 NOT IN (6, 7, 8)) AS valido, count(*) AS filas FROM pres WHERE k
 ORACLE["order_items_json"] = with_lines("""
 SELECT count(*) AS items, CAST(sum(qty) AS BIGINT) AS unidades, count(DISTINCT ok) AS ordenes FROM lx WHERE src = 3
 """)
+
+ORACLE["run_gate"] = with_all("""
+SELECT reason <> '' AS run, reason FROM (
+  SELECT array_to_string(list_sort(list_filter([
+      CASE WHEN (SELECT max(d) FROM fact WHERE d < DATE '2001-01-01') < (SELECT max(d) FROM staged) - INTERVAL 1 DAY
+           THEN 'fact_ventas stale' END,
+      CASE WHEN (SELECT max(d) FROM staged) > (SELECT max(d) FROM fact WHERE d < DATE '2001-01-01')
+           THEN 'fact_ventas has new rows' END,
+      CASE WHEN (SELECT max(fecha_creado_dt) FROM cz) < (SELECT max(d) FROM staged) - INTERVAL 1 DAY
+           THEN 'dim_cliente stale' END
+    ], lambda x: x IS NOT NULL)), '; ') AS reason
+) t
+""", CUST_CTE)

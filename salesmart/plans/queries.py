@@ -849,3 +849,26 @@ def order_items_json(spark, sf_dir):
                                                    "producto_id string, cantidad int, precio_unit long")).alias("it"))
     return it.agg(F.count(F.lit(1)).alias("items"), F.sum("it.cantidad").alias("unidades"),
                   F.countDistinct("_id").alias("ordenes"))
+
+
+@register("run_gate")
+def run_gate(spark, sf_dir):
+    """DW8: should the load run?  Last loads = the fact after the first
+    incremental batch and the full client dimension; staging maxima from the
+    staged tables; 'now' = the newest staged order date."""
+    from ..operators.warehouse import fact_ventas as load
+    from ..operators.warehouse import should_run
+    w = _w(spark, sf_dir)
+    items = w["stg_orden_items"]
+    args = (w["dim_tiempo"], w["dim_cliente"], w["map_producto"], w["dim_producto"])
+    b1 = load(items.where(F.col("fecha_dt") < F.lit("2001-01-01").cast("date")), *args)
+    as_ts = lambda c: F.to_timestamp(F.col(c).cast("string"), "yyyyMMdd")
+    last = (b1.agg(F.max(as_ts("TiempoID")).alias("last_ts")).select(F.lit("fact_ventas").alias("table"), "last_ts")
+            .unionByName(w["dim_cliente"].agg(F.max(as_ts("FechaCreacionID")).alias("last_ts"))
+                         .select(F.lit("dim_cliente").alias("table"), "last_ts")))
+    stg = (items.agg(F.max(F.col("fecha_dt").cast("timestamp")).alias("max_ts"))
+           .select(F.lit("fact_ventas").alias("table"), "max_ts")
+           .unionByName(w["stg_clientes"].agg(F.max(F.col("fecha_creado_dt").cast("timestamp")).alias("max_ts"))
+                        .select(F.lit("dim_cliente").alias("table"), "max_ts")))
+    now = items.agg(F.max("fecha_dt")).first()[0]
+    return should_run(last, stg, now)
