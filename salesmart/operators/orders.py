@@ -146,3 +146,14 @@ def validate_against_bridge(products: DataFrame, bridge: DataFrame, sku: str, no
          .withColumn("_c", F.lower(F.col(categoria))))
     return (k.join(b, ["_s", "_n", "_c"], "left").withColumn("valido", F.coalesce("valido", F.lit(False)))
             .drop("_s", "_n", "_c"))
+
+
+def order_by_id(orden: DataFrame, realizo: DataFrame, contiene: DataFrame, producto: DataFrame,
+                order_id: str) -> DataFrame:
+    """JN14: one order's full path (client, lines, products), every hop mandatory."""
+    o = orden.where(F.col("id") == order_id)
+    r = realizo.select(F.col("to_id").alias("id"), F.col("from_id").alias("cliente_id"))
+    lines = contiene.select(F.col("from_id").alias("id"), F.col("to_id").alias("producto_id"), "cantidad",
+                            "precio_unit")
+    p = producto.select(F.col("id").alias("producto_id"), F.col("nombre").alias("producto_nombre"))
+    return o.join(r, "id").join(lines, "id").join(p, "producto_id")

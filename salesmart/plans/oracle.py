@@ -782,3 +782,23 @@ SELECT reason <> '' AS run, reason FROM (
     ], lambda x: x IS NOT NULL)), '; ') AS reason
 ) t
 """, CUST_CTE)
+
+ORACLE["max_existing_sku"] = """
+SELECT CAST(max(1000 + p_partkey) AS BIGINT) AS max_sku FROM part
+WHERE p_partkey % 97 NOT IN (0, 1)
+"""
+
+ORACLE["bulk_orders_fk"] = """
+SELECT count(*) FILTER (WHERE o_custkey % 7 <> 0) AS resueltas, count(*) FILTER (WHERE o_custkey % 7 = 0) AS sin_resolver,
+       count(*) FILTER (WHERE o_custkey % 7 = 0) = 0 AS carga_aceptada
+FROM orders WHERE o_custkey % 5 = 1
+"""
+
+ORACLE["sql_clean_functions"] = """
+SELECT 'genero' AS campo, ['Masculino', 'Femenino', 'No especificado'][CAST(c_custkey % 3 AS INTEGER) + 1] AS valor,
+       count(*) AS filas
+FROM customer WHERE c_custkey % 5 = 1 GROUP BY 2
+UNION ALL
+SELECT 'canal', ['WEB', 'TIENDA', 'APP', 'PARTNER', 'WEB'][CAST(substr(o_orderpriority, 1, 1) AS INTEGER)], count(*)
+FROM orders WHERE o_custkey % 5 = 1 GROUP BY 2
+"""

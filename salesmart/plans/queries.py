@@ -51,27 +51,28 @@ def vw_ventas_mensuales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("equivalence_map")
 def equivalence_map(spark, sf_dir):
-    """ER1-ER4: one row per product group with its official SKU and origin."""
+    """ER1-ER4, ER10 (SC17-SC20): one row per product group with its official SKU and origin."""
     e = _w(spark, sf_dir)["eq_map"]
     return e.select("key_nombre", "key_categoria", "sku_oficial", "sku_origin")
 
 
 @register("equivalence_stats")
 def equivalence_stats_q(spark, sf_dir):
+    """ER7: group and SKU-origin statistics."""
     from ..operators.equivalence import equivalence_stats
     return equivalence_stats(_w(spark, sf_dir)["eq_map"])
 
 
 @register("map_producto")
 def map_producto(spark, sf_dir):
-    """ER8 + SNK1: the bridge table."""
+    """ER8, ER9, SNK1: the bridge table."""
     b = _w(spark, sf_dir)["map_producto"]
     return b.select("source_system", "source_code", "sku_oficial", "nombre_norm", "categoria_norm", "es_servicio")
 
 
 @register("stg_clientes")
 def stg_clientes(spark, sf_dir):
-    """ST1-ST5 clients (SC1-SC4, SC10-SC12, SC15-SC16, SC30, SNK2)."""
+    """ST1-ST5 clients (SC2-SC4, SC10, SC12, SC15-SC16, SC30, JN10, SNK2)."""
     c = _w(spark, sf_dir)["stg_clientes"]
     return c.select("source_system", "source_code", "cliente_email", "cliente_nombre", "genero_norm",
                     "pais_raw", "fecha_creado_dt")
@@ -86,7 +87,7 @@ def rejects_by_reason(spark, sf_dir):
 
 @register("staging_stats_items")
 def staging_stats_items(spark, sf_dir):
-    """AG3 over staged lines (after SNK3 first-wins)."""
+    """AG3 over staged lines (after SNK3 first-wins; SC21-SC22 line totals)."""
     s = _w(spark, sf_dir)["stg_orden_items"]
     return s.groupBy("source_system", "moneda").agg(
         F.count(F.lit(1)).alias("lineas"), F.countDistinct("source_key_orden").alias("ordenes"),
@@ -95,12 +96,14 @@ def staging_stats_items(spark, sf_dir):
 
 @register("staging_stats_bridge")
 def staging_stats_bridge(spark, sf_dir):
+    """AG1: bridge rows, distinct SKUs and services per source."""
     from ..operators.quality import bridge_stats
     return bridge_stats(_w(spark, sf_dir)["map_producto"])
 
 
 @register("staging_stats_clients")
 def staging_stats_clients(spark, sf_dir):
+    """AG2: clients, distinct emails and countries per source."""
     from ..operators.quality import client_stats
     return client_stats(_w(spark, sf_dir)["stg_clientes"])
 
@@ -109,14 +112,14 @@ def staging_stats_clients(spark, sf_dir):
 
 @register("tipo_cambio")
 def tipo_cambio(spark, sf_dir):
-    """SNK4: directed daily rates."""
+    """SNK4: directed daily rates (feed unpivoted, upserted on (fecha, de, a))."""
     t = _w(spark, sf_dir)["tipo_cambio"]
     return t.select("fecha", "de", "a", F.col("tasa").cast("double").alias("tasa"))
 
 
 @register("dim_tiempo")
 def dim_tiempo(spark, sf_dir):
-    """DW1 + DW2 (JN7)."""
+    """DW1 + DW2 (JN7, JN8, SE5, SC27)."""
     t = _w(spark, sf_dir)["dim_tiempo"]
     return t.select("TiempoID", "Fecha", "Anio", "Mes", "Dia", F.col("TC_CRC_USD").cast("double").alias("TC_CRC_USD"),
                     F.col("TC_USD_CRC").cast("double").alias("TC_USD_CRC"))
@@ -124,21 +127,22 @@ def dim_tiempo(spark, sf_dir):
 
 @register("dim_cliente")
 def dim_cliente(spark, sf_dir):
-    """DW3 + DW6."""
+    """DW3 + DW6 (distributed surrogate keys)."""
     return _w(spark, sf_dir)["dim_cliente"].select("ClienteID", "SourceSystem", "SourceKey", "Genero", "Pais",
                                                     "FechaCreacionID")
 
 
 @register("dim_producto")
 def dim_producto(spark, sf_dir):
-    """DW4 + DW6."""
+    """DW4/DW5 + DW6: one row per SKU by source priority."""
     return _w(spark, sf_dir)["dim_producto"].select("ProductoID", "SKU", "Nombre", "Categoria", "EsServicio",
                                                      "SourceSystem", "SourceKey")
 
 
 @register("fact_ventas")
 def fact_ventas(spark, sf_dir):
-    """DW7 (JN4, SC26, SC28, FL6, JN5)."""
+    """DW7/DW9 over the whole run: sources (SE2 union) -> staging (JN1-JN3, FL1-FL4,
+    SC2, SC6-SC8, SC10, SC12-SC14, SC17, SC21-SC25) -> dims (DW1-DW6) -> fact (JN4, SC26-SC28, FL6, JN5)."""
     w = _w(spark, sf_dir)
     p = w["dim_producto"].select("ProductoID", "SKU")
     return w["fact_ventas"].join(p, "ProductoID").select(
@@ -149,7 +153,7 @@ def fact_ventas(spark, sf_dir):
 
 @register("incremental_load")
 def incremental_load(spark, sf_dir):
-    """IN1/FL7/JN5: load orders before 2001-01-01, then the rest, then re-run
+    """IN1/FL7/JN5/JN6: load orders before 2001-01-01, then the rest, then re-run
     everything; the re-run must add nothing."""
     from ..operators.warehouse import fact_ventas as load
     w = _w(spark, sf_dir)
@@ -168,12 +172,14 @@ def incremental_load(spark, sf_dir):
 
 @register("dw_stats")
 def dw_stats(spark, sf_dir):
+    """AG5: fact rows, sales and date range per source plus a total row."""
     from ..operators.quality import fact_stats
     return fact_stats(_w(spark, sf_dir)["fact_ventas"])
 
 
 @register("load_diagnostics")
 def load_diagnostics(spark, sf_dir):
+    """AG6 + SE1: one-pass load diagnostics by reason."""
     from ..operators.quality import load_diagnostics as ld
     w = _w(spark, sf_dir)
     return ld(w["stg_orden_items"], w["dim_tiempo"], w["dim_cliente"], w["map_producto"], w["dim_producto"],
@@ -182,6 +188,7 @@ def load_diagnostics(spark, sf_dir):
 
 @register("fx_coverage")
 def fx_coverage(spark, sf_dir):
+    """AG7: CRC sales days and rows without a rate."""
     from ..operators.quality import fx_coverage as fc
     w = _w(spark, sf_dir)
     return fc(w["stg_orden_items"], w["dim_tiempo"])
@@ -197,6 +204,7 @@ def _sales(spark, sf_dir):
 
 @register("kpi_total")
 def kpi_total(spark, sf_dir):
+    """KP1: sales for a date range and channel (shared filter builder)."""
     from ..operators import kpi
     return kpi.total_sales(kpi.apply_filters(_sales(spark, sf_dir), date_from="1997-01-01", date_to="1999-12-31",
                                              canal="WEB"))
@@ -204,55 +212,63 @@ def kpi_total(spark, sf_dir):
 
 @register("kpi_growth_yoy")
 def kpi_growth_yoy(spark, sf_dir):
+    """KP2 + KP11: each month against the same month of the previous year."""
     from ..operators import kpi
     return kpi.growth_vs_last_year(_sales(spark, sf_dir))
 
 
 @register("kpi_top_clients")
 def kpi_top_clients(spark, sf_dir):
+    """KP3: top 10 clients by sales (WN1-style top-k with key tie-break)."""
     from ..operators import kpi
     return kpi.top_clients(_sales(spark, sf_dir), 10)
 
 
 @register("kpi_top_products")
 def kpi_top_products(spark, sf_dir):
+    """KP4: top 10 products by sales."""
     from ..operators import kpi
     return kpi.top_products(_sales(spark, sf_dir), 10)
 
 
 @register("kpi_category_share")
 def kpi_category_share(spark, sf_dir):
+    """KP5: sales and share per category."""
     from ..operators import kpi
     return kpi.sales_by_category(_sales(spark, sf_dir))
 
 
 @register("kpi_avg_ticket")
 def kpi_avg_ticket(spark, sf_dir):
+    """KP7 (SC29): average ticket per order."""
     from ..operators import kpi
     return kpi.average_ticket(_sales(spark, sf_dir))
 
 
 @register("kpi_active_clients")
 def kpi_active_clients(spark, sf_dir):
+    """KP8: active clients per year and overall."""
     from ..operators import kpi
     return kpi.active_clients(_sales(spark, sf_dir))
 
 
 @register("kpi_channel_month")
 def kpi_channel_month(spark, sf_dir):
+    """KP9: sales by channel and month."""
     from ..operators import kpi
     return kpi.sales_by_channel_month(_sales(spark, sf_dir))
 
 
 @register("kpi_mom_accum")
 def kpi_mom_accum(spark, sf_dir):
+    """KP10: month-over-month percent, accumulated within the year."""
     from ..operators import kpi
     return kpi.mom_accumulated(_sales(spark, sf_dir))
 
 
 @register("ventas_vs_metas")
 def ventas_vs_metas(spark, sf_dir):
-    """KP6/KP12 + DW10: targets = 1.10 x the same month of the previous year."""
+    """KP6/KP12 + DW10 + SC40: targets = 1.10 x the same month of the previous year."""
     from ..operators import kpi
     from ..operators.warehouse import targets_from_prior_year
     w = _w(spark, sf_dir)
@@ -273,7 +289,7 @@ def _lines(spark, sf_dir, item_col="SKU", merge_sources=False):
 
 @register("baskets")
 def baskets_q(spark, sf_dir):
-    """AR1 + AR2: one basket per (source, order) with its sorted SKU text."""
+    """AR1 + AR2 (SC29, AR6): one basket per (source, order) with its sorted SKU text."""
     from ..operators.rules import baskets
     w = _w(spark, sf_dir)
     return baskets(w["fact_ventas"], w["dim_producto"]).drop("items")
@@ -281,7 +297,7 @@ def baskets_q(spark, sf_dir):
 
 @register("baskets_merged_sources")
 def baskets_merged(spark, sf_dir):
-    """AR1 as the reference groups it: transaction id only (D2)."""
+    """AR1 as the reference groups it: transaction id only (D2, SC29)."""
     from ..operators.rules import baskets
     w = _w(spark, sf_dir)
     return baskets(w["fact_ventas"], w["dim_producto"], merge_sources=True).drop("items", "Fuente")
@@ -314,7 +330,8 @@ def _rules_out(r):
 
 @register("association_rules_sku")
 def association_rules_sku(spark, sf_dir):
-    """AR5 with every reference threshold (support 0.002, confidence 0.10, lift 1.5, item count 5)."""
+    """AR2-AR7 (SC33, AR6) with every reference threshold (support 0.002, confidence 0.10,
+    lift 1.5, item count 5); the rules table is published once (AR7, SNK5)."""
     from .etl import published_rules
     from ..operators.rules import MIN_CONFIDENCE, MIN_LIFT, MIN_SUPPORT
     return _rules_out(published_rules(spark, sf_dir, "SKU", MIN_SUPPORT, MIN_CONFIDENCE, MIN_LIFT))
@@ -327,13 +344,13 @@ def _category_rules(spark, sf_dir):
 
 @register("association_rules_category")
 def association_rules_category(spark, sf_dir):
-    """AR5 on categories: all splits incl. multi-item consequents (lift filter off)."""
+    """AR3-AR7 on categories: all splits incl. multi-item consequents (lift filter off)."""
     return _rules_out(_category_rules(spark, sf_dir))
 
 
 @register("recommend_top5")
 def recommend_top5(spark, sf_dir):
-    """AR8/JN11 for every basket at once: rules whose antecedent equals the
+    """AR8/JN11/WN1 for every basket at once: rules whose antecedent equals the
     basket's category set, top 5 by confidence, lift, consequent text."""
     from ..operators.rules import recommend
     lines = _lines(spark, sf_dir, "Categoria")
@@ -364,7 +381,7 @@ def _src(spark, sf_dir):
 
 @register("list_ordenes")
 def list_ordenes(spark, sf_dir):
-    """FL12 + SO1: filtered SQL Server orders, sorted by total desc, page 2 of 20."""
+    """FL12 + FL14 + SO1: filtered SQL Server orders, sorted by total desc, page 2 of 20."""
     from ..operators.listing import PageSpec, apply_filter_spec, page
     o = _src(spark, sf_dir)["mssql"]["Orden"]
     f = apply_filter_spec(o, {"Canal": ("eq", "WEB"), "Total": ("gte", 1000),
@@ -376,7 +393,7 @@ def list_ordenes(spark, sf_dir):
 
 @register("list_ordenes_count")
 def list_ordenes_count(spark, sf_dir):
-    """SO1: total rows and pages of the same filter."""
+    """SO1/AG17: total rows and pages of the same filter."""
     from ..operators.listing import apply_filter_spec, page_count
     o = _src(spark, sf_dir)["mssql"]["Orden"]
     f = apply_filter_spec(o, {"Canal": ("eq", "WEB"), "Total": ("gte", 1000),
@@ -397,7 +414,7 @@ def list_clientes(spark, sf_dir):
 
 @register("orden_completa")
 def orden_completa_q(spark, sf_dir):
-    """JN16: the Supabase complete-order view over all orders."""
+    """JN16 (SC39): the Supabase complete-order view over all orders."""
     from ..operators.orders import orden_completa
     s = _src(spark, sf_dir)["supabase"]
     v = orden_completa(s["orden"], s["orden_detalle"], s["producto"], s["cliente"])
@@ -408,7 +425,7 @@ def orden_completa_q(spark, sf_dir):
 
 @register("orders_nested")
 def orders_nested(spark, sf_dir):
-    """JN13 + AG16 + AG13: graph orders rebuilt with client and item array."""
+    """JN13 + AG16 + AG13 (SC39): graph orders rebuilt with client and item array."""
     from ..operators.orders import graph_order_lines, nested_orders
     g = _src(spark, sf_dir)["neo4j"]
     lines = graph_order_lines(g["Orden"], g["REALIZO"], g["CONTIENE"], g["Producto"], g["PERTENECE_A"],
@@ -479,7 +496,7 @@ def order_change_rejects(spark, sf_dir):
 
 @register("new_order_ids")
 def new_order_ids(spark, sf_dir):
-    """CH4: one new graph order per client, ids after the current maximum."""
+    """CH4/WN4 (SC37): one new graph order per client, ids after the current maximum."""
     from ..operators.orders import next_order_ids
     g = _src(spark, sf_dir)["neo4j"]
     new = g["Cliente"].select(F.col("id").alias("cliente_id"))     # one new order per graph client
@@ -501,7 +518,7 @@ def include_order_lines(spark, sf_dir):
 
 @register("bulk_violations")
 def bulk_violations(spark, sf_dir):
-    """FL15/FL16: rule violations of bulk sheets built from the sources."""
+    """FL15/FL16 + JN19: rule violations of bulk sheets built from the sources."""
     from ..operators import bulk
     s = _src(spark, sf_dir)
     my = s["mysql"]
@@ -525,7 +542,7 @@ def bulk_violations(spark, sf_dir):
 
 @register("bulk_upsert")
 def bulk_upsert(spark, sf_dir):
-    """BL1: upload of clients upserted by email into the SQL Server clients."""
+    """BL1 + AG19: upload of clients upserted by email into the SQL Server clients."""
     from ..operators import bulk
     from ..sources import fixtures
     s = _src(spark, sf_dir)
@@ -673,7 +690,7 @@ def collapsed_items_q(spark, sf_dir):
 
 @register("missing_product_refs")
 def missing_product_refs(spark, sf_dir):
-    """JN17/SE3: products named by graph order edges that have no node."""
+    """JN17/SE3/SE4: distinct products named by graph order edges that have no node."""
     from ..operators.orders import missing_references
     g = _src(spark, sf_dir)["neo4j"]
     return missing_references(g["CONTIENE"].select(F.col("to_id").alias("producto_id")),
@@ -697,7 +714,7 @@ def rate_availability_q(spark, sf_dir):
 
 @register("fx_status")
 def fx_status_q(spark, sf_dir):
-    """AG11 + SC36: status as of the last order date of the data."""
+    """AG11 + SC36 + AG10: status as of the last order date of the data."""
     from ..operators.quality import rate_status
     w = _w(spark, sf_dir)
     today = w["stg_orden_items"].agg(F.max("fecha_dt")).first()[0]
@@ -708,7 +725,7 @@ def fx_status_q(spark, sf_dir):
 
 @register("dw_counts")
 def dw_counts_q(spark, sf_dir):
-    """AG4: rows per warehouse table."""
+    """AG4 + AG10: rows per warehouse table (the rate row count included)."""
     from ..operators.quality import dw_counts
     w = _w(spark, sf_dir)
     return dw_counts({k: w[k] for k in ["dim_tiempo", "dim_cliente", "dim_producto", "fact_ventas", "map_producto",
@@ -853,7 +870,7 @@ def order_items_json(spark, sf_dir):
 
 @register("run_gate")
 def run_gate(spark, sf_dir):
-    """DW8: should the load run?  Last loads = the fact after the first
+    """DW8 + AG18: should the load run?  Last loads = the fact after the first
     incremental batch and the full client dimension; staging maxima from the
     staged tables; 'now' = the newest staged order date."""
     from ..operators.warehouse import fact_ventas as load
@@ -872,3 +889,43 @@ def run_gate(spark, sf_dir):
                         .select(F.lit("dim_cliente").alias("table"), "max_ts")))
     now = items.agg(F.max("fecha_dt")).first()[0]
     return should_run(last, stg, now)
+
+
+@register("max_existing_sku")
+def max_existing_sku_q(spark, sf_dir):
+    """ER5 + FL8 + SC18: highest SKU number in the built bridge (the start
+    point of the next run's generated SKUs)."""
+    from ..operators.equivalence import max_existing_sku
+    return max_existing_sku(_w(spark, sf_dir)["map_producto"])
+
+
+@register("bulk_orders_fk")
+def bulk_orders_fk(spark, sf_dir):
+    """JN18 + WN3 + BL2/BL4/BL5: the MySQL order sheet's emails resolved to
+    client ids (latest id per email, duplicates allowed); any unresolved
+    order rejects the whole upload."""
+    from ..operators.bulk import resolve_emails
+    s = _src(spark, sf_dir)["mysql"]
+    sheet = s["Orden"].join(s["Cliente"].select(F.col("id").alias("cliente_id"), "correo"), "cliente_id", "left") \
+        .select("correo", "fecha", "total")
+    stored = s["Cliente"].select("id", "correo")
+    r = resolve_emails(sheet, None, stored, "correo", "id", latest=True)
+    c = r.agg(F.count(F.col("cliente_id")).alias("resueltas"),
+              F.count(F.when(F.col("cliente_id").isNull(), 1)).alias("sin_resolver"))
+    return c.withColumn("carga_aceptada", F.col("sin_resolver") == 0)
+
+
+@register("sql_clean_functions")
+def sql_clean_functions(spark, sf_dir):
+    """UD1-UD4: the cleaning rules called from SQL over the landed MySQL clients
+    and order lines (session SQL functions, inlined as native expressions)."""
+    from ..functions.sql_functions import register_sql_functions
+    register_sql_functions(spark)
+    s = _src(spark, sf_dir)["mysql"]
+    s["Cliente"].createOrReplaceTempView("sm_mysql_cliente")
+    s["Orden"].createOrReplaceTempView("sm_mysql_orden")
+    return spark.sql("""
+        SELECT 'genero' AS campo, sm_gender(genero) AS valor, count(*) AS filas FROM sm_mysql_cliente GROUP BY 2
+        UNION ALL
+        SELECT 'canal' AS campo, sm_channel(canal) AS valor, count(*) AS filas FROM sm_mysql_orden GROUP BY 2
+    """)

@@ -50,3 +50,13 @@ def test_paging_rules(spark):
     assert [(r.v, r.k) for r in p] == [(0, 18), (0, 21), (0, 24), (0, 27), (0, 30)]
     f = listing.apply_filter_spec(df, {"v": ("eq", 0), "k": ("gte", 0)})   # a 0 bound is honoured (D16)
     assert f.count() == 16
+
+
+def test_order_by_id_path(spark):
+    o = spark.createDataFrame([("ORD-1", "WEB"), ("ORD-2", "APP")], "id string, canal string")
+    r = spark.createDataFrame([("C1", "ORD-1"), ("C2", "ORD-2")], "from_id string, to_id string")
+    c = spark.createDataFrame([("ORD-1", "P1", 2, 1.5), ("ORD-1", "P9", 1, 2.0)],
+                              "from_id string, to_id string, cantidad int, precio_unit double")
+    p = spark.createDataFrame([("P1", "Lamp")], "id string, nombre string")
+    rows = orders.order_by_id(o, r, c, p, "ORD-1").collect()
+    assert [(x.cliente_id, x.producto_id, x.producto_nombre) for x in rows] == [("C1", "P1", "Lamp")]

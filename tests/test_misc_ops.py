@@ -97,3 +97,27 @@ def test_rate_loading_helpers(spark):
     assert [r.fecha for r in warehouse.new_rate_days(feed, tc).collect()] == [dt.date(2024, 1, 2)]
     b = warehouse.backfill_range(tc, "2024-06-30", 3).first()
     assert b.cargar is True and b.desde == dt.date(2021, 6, 30)
+
+
+def test_safe_casts_and_shared_dates(spark):
+    df = spark.createDataFrame([("1,234.5", "12", "2024/05/06"), ("x", None, "06-05-2024")], "a string, b string, d string")
+    r = df.select(clean.safe_decimal(F.col("a"), 18, 2, 0).alias("dec"), clean.safe_int(F.col("b"), -1).alias("i"),
+                  clean.safe_float(F.col("a")).alias("f"), clean.safe_date(F.col("d")).alias("t")).collect()
+    assert float(r[0].dec) == 1234.5 and r[0].i == 12 and r[0].f == 1234.5 and r[0].t == dt.datetime(2024, 5, 6)
+    assert float(r[1].dec) == 0 and r[1].i == -1 and r[1].f is None and r[1].t == dt.datetime(2024, 5, 6)
+
+
+def test_rule_products_json(spark):
+    from salesmart.operators import rules
+    r = spark.createDataFrame([("A", "B, C", ["B", "C"])], "Antecedent string, Consequent string, consequents array<string>")
+    p = spark.createDataFrame([("B", "Bolt", "11"), ("C", "Cog", "12")], "SKU string, Nombre string, SourceKey string")
+    j = rules.rule_products_json(r, p).first().productos_json
+    assert j == '[{"SKU":"B","Nombre":"Bolt","codigo":"11"},{"SKU":"C","Nombre":"Cog","codigo":"12"}]'
+
+
+def test_product_upsert_on_code(spark):
+    stored = spark.createDataFrame([("ALT-1", "old", "c", 0)], "codigo_alt string, nombre string, categoria string, seq int")
+    up = spark.createDataFrame([("ALT-1", "new", "c", 1), ("ALT-2", "n2", "c", 2)],
+                               "codigo_alt string, nombre string, categoria string, seq int")
+    got = {r.codigo_alt: r.nombre for r in merge.merge_overwrite(stored, up, ["codigo_alt"]).collect()}   # BL3
+    assert got == {"ALT-1": "new", "ALT-2": "n2"}
