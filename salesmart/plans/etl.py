@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.country import country_table
 from ..operators import equivalence as eqv
 from ..operators import merge, staging, warehouse
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, session_key
 from ..sources import fixtures
 
 _LOCK = threading.RLock()
@@ -55,7 +55,7 @@ _SRC_CACHE: dict = {}
 def source_tables(spark: SparkSession, sf_dir: str) -> dict[str, dict[str, DataFrame]]:
     """The five source shapes landed once as files in the shared work folder
     (as real extracts would be), then read back with their schemas."""
-    key = (id(spark), sf_dir.rstrip("/"))
+    key = (session_key(spark), sf_dir.rstrip("/"))
     with _LOCK:
         if key in _SRC_CACHE:
             return _SRC_CACHE[key]
@@ -141,7 +141,7 @@ def _write(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
 def warehouse_tables(spark: SparkSession, sf_dir: str, total_basis: str = "line") -> dict[str, DataFrame]:
     """All staging / dimension / fact tables for ``sf_dir``, written once per
     session to the shared checkpoint folder and read back from there."""
-    key = (id(spark), sf_dir.rstrip("/"), total_basis)
+    key = (session_key(spark), sf_dir.rstrip("/"), total_basis)
     with _LOCK:
         if key in _CACHE:
             return _CACHE[key]
@@ -182,7 +182,7 @@ def published_rules(spark: SparkSession, sf_dir: str, item_col: str, min_support
     """AR7: mine, then publish the rules table (overwrite of a new version
     folder); later readers use the published files, not the mining lineage."""
     from ..operators.rules import basket_lines, mine_rules
-    key = (id(spark), sf_dir.rstrip("/"), item_col, min_support, min_confidence, min_lift)
+    key = (session_key(spark), sf_dir.rstrip("/"), item_col, min_support, min_confidence, min_lift)
     with _LOCK:
         if key in _RULES_CACHE:
             return _RULES_CACHE[key]

@@ -43,12 +43,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="salesmart-ckpt-")
+        master = spark.sparkContext.master or ""
+        if not master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
+        d = tempfile.mkdtemp(prefix="salesmart-ckpt-")     # local runs and tests only
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
 
 
+def session_key(spark: SparkSession) -> tuple:
+    """Identity of a live session: application id plus the session object."""
+    return (spark.sparkContext.applicationId, id(spark))
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A path for an intermediate table inside the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
