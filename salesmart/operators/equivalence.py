@@ -26,9 +26,6 @@ ADD_ORDER = ["mssql", "mysql", "supabase", "mongo", "neo4j"]
 # Priority for the official SKU.
 SKU_PRIORITY = ["mssql", "supabase", "mongo", "neo4j"]
 
-STD_COLS = ["source", "source_code", "sku", "nombre", "categoria", "seq", "source_rank"]
-
-
 def _blank_to_null(c: Column) -> Column:
     return F.when(c != "", c)
 
@@ -61,12 +58,6 @@ def std_mysql(producto: DataFrame) -> DataFrame:
         _rank("mysql").alias("source_rank"))
 
 
-def _seq_from(c: Column) -> Column:
-    """Read order for sources keyed by text ids: a hash-free, order-preserving
-    rank is taken by the caller; here the id text itself is the order."""
-    return c
-
-
 def std_supabase(producto: DataFrame) -> DataFrame:
     sku = _blank_to_null(F.col("sku"))
     return producto.select(

@@ -21,8 +21,6 @@ from .keys import hash_key, surrogate_keys
 # Product-dimension source priority (D8).
 DIM_PRODUCT_PRIORITY = ["mssql", "neo4j", "mysql", "supabase", "mongo"]
 
-DIM_TIME_COLS = ["TiempoID", "Fecha", "Anio", "Mes", "Dia", "TC_CRC_USD", "TC_USD_CRC"]
-
 
 # ------------------------------------------------------------------ FX
 

@@ -87,10 +87,17 @@ def write_all(spark: SparkSession, jobs: dict, workers: int = 8) -> dict:
         return dict(ex.map(one, jobs.items()))
 
 
-def build_warehouse(spark: SparkSession, sf_dir: str, sources=None, run_date: str = DEFAULT_RUN_DATE,
-                    existing_max_sku: int = 0, total_basis: str = "line", landed: bool = True) -> dict[str, DataFrame]:
+def build_warehouse(spark: SparkSession, sf_dir: str | None, sources=None, run_date: str = DEFAULT_RUN_DATE,
+                    existing_max_sku: int = 0, total_basis: str = "line", landed: bool = True,
+                    source_frames: dict | None = None, rates_feed: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Lazy job graph of the whole load.  ``source_frames`` / ``rates_feed``
+    take real extracts (for instance ``readers.read_file_source`` or JDBC
+    reads); without them the fixture sources of ``sf_dir`` are used."""
     names = select_sources(sources)
-    all_src = source_tables(spark, sf_dir) if landed else fixtures.fixture_sources(spark, sf_dir)
+    if source_frames is not None:
+        all_src = source_frames
+    else:
+        all_src = source_tables(spark, sf_dir) if landed else fixtures.fixture_sources(spark, sf_dir)
     src = {k: v for k, v in all_src.items() if k in names}
     countries = country_table(spark)
 
@@ -109,7 +116,8 @@ def build_warehouse(spark: SparkSession, sf_dir: str, sources=None, run_date: st
     stg_items = staging.stage_items(items_all)
 
     # FX (SRC6 feed -> SNK4)
-    tipo_cambio = merge.upsert_rates(None, fixtures.fixture_rates(spark, sf_dir))
+    feed = rates_feed if rates_feed is not None else fixtures.fixture_rates(spark, sf_dir)
+    tipo_cambio = merge.upsert_rates(None, feed)
 
     # dimensions and fact
     bounds = warehouse.spine_bounds((stg_items, "fecha_dt"), (stg_clientes, "fecha_creado_dt"))
@@ -193,3 +201,37 @@ def published_rules(spark: SparkSession, sf_dir: str, item_col: str, min_support
         r.write.mode("overwrite").parquet(path)
         _RULES_CACHE[key] = spark.read.parquet(path)
         return _RULES_CACHE[key]
+
+
+def run_etl(spark: SparkSession, source_frames: dict, rates_feed: DataFrame, out_base: str,
+            sources=None, run_date: str = DEFAULT_RUN_DATE, existing_max_sku: int = 0,
+            total_basis: str = "line") -> dict[str, str]:
+    """Entry A for real data: every table of the load written to a new
+    version folder under ``out_base`` (a shared location); returns the paths
+    to switch readers to (DW9: nothing is overwritten while it may be read).
+    Each table is read back before the next step uses it, so a lost executor
+    recomputes from files, not from the source extracts."""
+    w = build_warehouse(spark, None, sources=sources, run_date=run_date, existing_max_sku=existing_max_sku,
+                        total_basis=total_basis, source_frames=source_frames, rates_feed=rates_feed)
+    paths: dict[str, str] = {}
+
+    def pub(name, df):
+        paths[name] = merge.publish(df, out_base, name)
+        return spark.read.parquet(paths[name])
+
+    eq_map = pub("eq_map", w["eq_map"])
+    bridge = eqv.bridge_rows(w["eq_std"], eq_map, w["_products"])
+    bridge = pub("map_producto", merge.merge_overwrite(None, bridge, ["source_system", "source_code"], "pos")
+                 .drop("pos"))
+    clients = pub("stg_clientes", w["stg_clientes"])
+    items_all = pub("items_all", w["items_all"])
+    rates = pub("tipo_cambio", w["tipo_cambio"])
+    items = pub("stg_orden_items", staging.stage_items(items_all))
+    bounds = warehouse.spine_bounds((items, "fecha_dt"), (clients, "fecha_creado_dt"))
+    dim_t = pub("dim_tiempo", warehouse.dim_tiempo(bounds, rates))
+    dim_c = pub("dim_cliente", warehouse.dim_cliente(clients, dim_t))
+    dim_p = pub("dim_producto", warehouse.dim_producto(bridge))
+    fact = warehouse.fact_ventas(items, dim_t, dim_c, bridge, dim_p, total_basis=total_basis)
+    paths["fact_ventas"] = f"{out_base.rstrip('/')}/fact_ventas/v-{_dt.datetime.now().strftime('%Y%m%d%H%M%S%f')}"
+    write_fact(fact, paths["fact_ventas"], mode="errorifexists")
+    return paths

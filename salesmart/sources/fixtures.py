@@ -3,7 +3,8 @@
 The given tables (customer, orders, lineitem, part, nation) are spread over
 five differently shaped sources by integer rules, so that a DuckDB oracle can
 recompute every expected figure from the raw columns.  Nothing is written
-back; every frame here is a lazy projection of the parquet scans.
+back; every frame here is a lazy projection of the parquet scans (the ETL
+plan lands them once as files, as real extracts would be).
 
 Rules (all integer / string arithmetic, identical in Spark and DuckDB):
 
@@ -149,7 +150,7 @@ def lines_with_orders(t: dict[str, DataFrame]) -> DataFrame:
         (F.col("l_orderkey") * 10 + F.col("line_id")).alias("line_key"))
 
 
-def _price(k: int, cur: Column, cents: Column, as_decimal=True) -> Column:
+def _price(k: int, cur: Column, cents: Column) -> Column:
     usd = (cents / F.lit(100)).cast("decimal(18,2)")
     crc = (cents * 5).cast("decimal(18,2)")
     return F.when(cur == "CRC", crc).otherwise(usd)
