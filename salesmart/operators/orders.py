@@ -84,8 +84,8 @@ def apply_order_changes(orders: DataFrame, lines: DataFrame, events: DataFrame,
     replaces header and all lines; delete removes both; unknown ids for
     update/delete go to the reject frame.  Returns (orders, lines, rejects).
     """
-    w = Window.partitionBy(key).orderBy(F.col("seq").desc())
-    ev = events.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    from .merge import _dedup
+    ev = _dedup(events, [key], "seq", last=True)     # map-side combined, not a per-order window
     known = orders.select(key).withColumn("_known", F.lit(True))
     ev = ev.join(known, key, "left")
     rejects = ev.where(F.col("op").isin("update", "delete") & F.col("_known").isNull()) \

@@ -50,9 +50,15 @@ def basket_lines(fact: DataFrame, dim_p: DataFrame, item_col: str = "SKU", merge
 def baskets(fact: DataFrame, dim_p: DataFrame, item_col: str = "SKU", merge_sources: bool = False) -> DataFrame:
     """AR1 + AR2: one row per transaction, sorted item list (duplicates kept)
     and its ', ' text; ``n_lines`` counts fact rows."""
-    b = (basket_lines(fact, dim_p, item_col, merge_sources)
-         .groupBy("Fuente", "transaction_id")
-         .agg(F.array_sort(F.collect_list("item")).alias("items")))
+    # pre-aggregate (basket, item) counts map-side; the basket shuffle then
+    # carries one row per distinct item, and duplicates are re-expanded
+    counted = (basket_lines(fact, dim_p, item_col, merge_sources)
+               .groupBy("Fuente", "transaction_id", "item").agg(F.count(F.lit(1)).alias("_n")))
+    b = (counted.groupBy("Fuente", "transaction_id")
+         .agg(F.array_sort(F.collect_list(F.struct("item", "_n"))).alias("_pairs"))
+         .select("Fuente", "transaction_id",
+                 F.flatten(F.transform("_pairs", lambda x: F.array_repeat(x["item"], x["_n"].cast("int"))))
+                 .alias("items")))
     return b.select("Fuente", "transaction_id", "items", F.array_join("items", SEP).alias("item"),
                     F.size("items").alias("n_lines"))
 

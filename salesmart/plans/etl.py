@@ -130,11 +130,12 @@ def build_warehouse(spark: SparkSession, sf_dir: str | None, sources=None, run_d
 
 
 def write_fact(fact: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Fact partitioned by year/month.  A range shuffle on (Anio, Mes) keeps
-    few files per month while a large month is still split over several
-    tasks (a hash shuffle would put a whole month in one task)."""
+    """Fact partitioned by year/month.  The range shuffle is on (Anio, Mes,
+    FactID): rows stay grouped by month (few files per month), and the hashed
+    fact key lets a month holding a large share of the rows spread over
+    several tasks (equal range keys could not be split)."""
     n = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    (fact.repartitionByRange(n, "Anio", "Mes").write.mode(mode)
+    (fact.repartitionByRange(n, "Anio", "Mes", "FactID").write.mode(mode)
      .option("maxRecordsPerFile", 5_000_000).partitionBy("Anio", "Mes").parquet(path))
 
 

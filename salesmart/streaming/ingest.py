@@ -25,12 +25,14 @@ from ..operators.warehouse import fact_ventas
 
 def write_lines_by_year(items: DataFrame, path: str) -> None:
     """Input files for the stream: one folder per order year."""
-    (items.withColumn("anio", F.year("fecha_dt")).repartition("anio")
+    n = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    key = F.xxhash64("source_system", "source_key_orden", "source_key_item")
+    (items.withColumn("anio", F.year("fecha_dt")).repartitionByRange(n, "anio", key)   # a hot year still splits
      .write.mode("overwrite").partitionBy("anio").parquet(path))
 
 
 def stream_fact_load(spark: SparkSession, lines_path: str, dims: dict[str, DataFrame], fact_path: str,
-                     checkpoint: str, max_files_per_trigger: int = 1) -> None:
+                     checkpoint: str, max_files_per_trigger: int = 16) -> None:
     schema = spark.read.parquet(lines_path).schema
     src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
            .parquet(lines_path))
