@@ -81,6 +81,8 @@ def write_all(spark: SparkSession, jobs: dict, workers: int = 8) -> dict:
     each job; Spark schedules their tasks together), then read them back."""
     def one(item):
         k, (df, path) = item
+        if callable(df):          # a frame whose construction itself runs jobs
+            df = df()
         df.write.mode("overwrite").parquet(path)
         return k, spark.read.parquet(path)
     with ThreadPoolExecutor(max_workers=workers) as ex:
@@ -89,7 +91,8 @@ def write_all(spark: SparkSession, jobs: dict, workers: int = 8) -> dict:
 
 def build_warehouse(spark: SparkSession, sf_dir: str | None, sources=None, run_date: str = DEFAULT_RUN_DATE,
                     existing_max_sku: int = 0, total_basis: str = "line", landed: bool = True,
-                    source_frames: dict | None = None, rates_feed: DataFrame | None = None) -> dict[str, DataFrame]:
+                    source_frames: dict | None = None, rates_feed: DataFrame | None = None,
+                    defer_equivalence: bool = False) -> dict[str, DataFrame]:
     """Lazy job graph of the whole load.  ``source_frames`` / ``rates_feed``
     take real extracts (for instance ``readers.read_file_source`` or JDBC
     reads); without them the fixture sources of ``sf_dir`` are used."""
@@ -104,9 +107,16 @@ def build_warehouse(spark: SparkSession, sf_dir: str | None, sources=None, run_d
     # equivalences (ER10) and bridge (ER8 + SNK1)
     products = staging.product_frames(src)
     std = eqv.standardize_products(products)
-    eq_map = eqv.resolve_skus(eqv.group_products(std), existing_max_sku)
-    bridge_batch = eqv.bridge_rows(std, eq_map, products)
-    bridge = merge.merge_overwrite(None, bridge_batch, ["source_system", "source_code"], "pos").drop("pos")
+
+    def eq_map_fn():
+        # runs jobs (checkpoint + ranking): deferred so callers can overlap it
+        return eqv.resolve_skus(eqv.group_products(std), existing_max_sku)
+
+    eq_map = bridge = None
+    if not defer_equivalence:
+        eq_map = eq_map_fn()
+        bridge_batch = eqv.bridge_rows(std, eq_map, products)
+        bridge = merge.merge_overwrite(None, bridge_batch, ["source_system", "source_code"], "pos").drop("pos")
 
     # staging (ST1-ST5 + SNK2/SNK3)
     clients_batch = staging.all_clients(src, countries)
@@ -125,7 +135,7 @@ def build_warehouse(spark: SparkSession, sf_dir: str | None, sources=None, run_d
     return {
         "eq_std": std, "eq_map": eq_map, "map_producto": bridge, "stg_clientes": stg_clientes,
         "items_all": items_all, "stg_orden_items": stg_items, "tipo_cambio": tipo_cambio,
-        "dim_tiempo": dim_t, "_total_basis": total_basis, "_products": products,
+        "dim_tiempo": dim_t, "_total_basis": total_basis, "_products": products, "_eq_map_fn": eq_map_fn,
     }
 
 
@@ -156,11 +166,12 @@ def warehouse_tables(spark: SparkSession, sf_dir: str, total_basis: str = "line"
             return _CACHE[key]
         base = ensure_checkpoint_dir(spark).rstrip("/") + "/warehouse/" + \
             sf_dir.rstrip("/").replace("/", "_") + "_" + total_basis + "_" + _dt.datetime.now().strftime("%H%M%S%f")
-        w = build_warehouse(spark, sf_dir, total_basis=total_basis)
+        w = build_warehouse(spark, sf_dir, total_basis=total_basis, defer_equivalence=True)
         out = {"eq_std": w["eq_std"]}
         # independent tables of one step are written as concurrent jobs
-        out.update(write_all(spark, {n: (w[n], f"{base}/{n}")
-                                     for n in ["eq_map", "stg_clientes", "items_all", "tipo_cambio"]}))
+        jobs = {n: (w[n], f"{base}/{n}") for n in ["stg_clientes", "items_all", "tipo_cambio"]}
+        jobs["eq_map"] = (w["_eq_map_fn"], f"{base}/eq_map")
+        out.update(write_all(spark, jobs))
         # the bridge reads the written map instead of re-deriving it
         bridge = eqv.bridge_rows(w["eq_std"], out["eq_map"], w["_products"])
         bridge = merge.merge_overwrite(None, bridge, ["source_system", "source_code"], "pos").drop("pos")
