@@ -51,6 +51,15 @@ def select_sources(raw_filters=None) -> list[str]:
 
 _SRC_CACHE: dict = {}
 
+# Fixture tables that do not read the order lines.
+LINE_FREE_TABLES = {
+    "mssql": ("Cliente", "Producto", "Orden"),
+    "mysql": ("Cliente", "Producto"),
+    "supabase": ("cliente", "producto"),
+    "mongo": ("productos", "clientes"),
+    "neo4j": ("Cliente", "Producto", "Categoria", "PERTENECE_A"),
+}
+
 
 def source_tables(spark: SparkSession, sf_dir: str) -> dict[str, dict[str, DataFrame]]:
     """The five source shapes landed once as files in the shared work folder
@@ -62,14 +71,19 @@ def source_tables(spark: SparkSession, sf_dir: str) -> dict[str, dict[str, DataF
         base = ensure_checkpoint_dir(spark).rstrip("/") + "/sources/" + sf_dir.rstrip("/").replace("/", "_") + \
             "_" + _dt.datetime.now().strftime("%H%M%S%f")
         out = {}
-        # the per-order line numbering is shared by every source: land it once
+        # The per-order line numbering is shared by the line-based tables: land
+        # it once, together with the tables that do not need it, then the rest.
         t = fixtures.load_tables(spark, sf_dir)
-        fixtures.lines_with_orders(t).write.mode("overwrite").parquet(f"{base}/_lines")
-        lines = spark.read.parquet(f"{base}/_lines")
-        jobs = {(src, name): (df, f"{base}/{src}/{name}")
+        lazy = fixtures.fixture_sources(spark, sf_dir, fixtures.lines_with_orders(t))
+        first = {(src, name): (df, f"{base}/{src}/{name}") for src, tables in lazy.items()
+                 for name, df in tables.items() if name in LINE_FREE_TABLES.get(src, ())}
+        first["_lines"] = (fixtures.lines_with_orders(t), f"{base}/_lines")
+        written = write_all(spark, first)
+        lines = written.pop("_lines")
+        rest = {(src, name): (df, f"{base}/{src}/{name}")
                 for src, tables in fixtures.fixture_sources(spark, sf_dir, lines).items()
-                for name, df in tables.items()}
-        written = write_all(spark, jobs)
+                for name, df in tables.items() if (src, name) not in written}
+        written.update(write_all(spark, rest))
         for (src, name), df in written.items():
             out.setdefault(src, {})[name] = df
         _SRC_CACHE[key] = out
