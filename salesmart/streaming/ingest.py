@@ -52,6 +52,38 @@ def stream_fact_load(spark: SparkSession, lines_path: str, dims: dict[str, DataF
     q.awaitTermination()
 
 
+def stream_fact_load_bucketed(spark: SparkSession, lines_path: str, dims: dict[str, DataFrame], fact_path: str,
+                              checkpoint: str, table: str, buckets: int, max_files_per_trigger: int = 16) -> None:
+    """SM1 at scale: the fact is a catalog table partitioned by ``_batch`` and
+    bucketed on (Fuente, SourceKey).  Each micro-batch anti-joins against it
+    bucket by bucket (only the batch is shuffled) and overwrites its own
+    ``_batch`` partition, so a replayed batch replaces its output."""
+    schema = spark.read.parquet(lines_path).schema
+    src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
+           .parquet(lines_path))
+
+    def load_batch(batch: DataFrame, batch_id: int) -> None:
+        exists = spark.catalog.tableExists(table)
+        existing = spark.table(table).where(F.col("_batch") != batch_id) if exists else None
+        new = fact_ventas(batch.drop("anio"), dims["dim_tiempo"], dims["dim_cliente"], dims["map_producto"],
+                          dims["dim_producto"], existing=existing).withColumn("_batch", F.lit(batch_id).cast("long"))
+        new = new.repartition(buckets, "Fuente", "SourceKey")
+        if not exists:
+            (new.write.partitionBy("_batch").bucketBy(buckets, "Fuente", "SourceKey")
+             .sortBy("Fuente", "SourceKey").option("path", fact_path).saveAsTable(table))
+        else:
+            # the anti join read the table: cut lineage (reliable checkpoint in the
+            # shared folder) before overwriting this batch's partition of it;
+            # insertInto is positional, so align with the table's column order
+            new = new.select(*spark.table(table).columns).checkpoint(eager=True)
+            (new.write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").insertInto(table))
+
+    q = (src.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+
+
 def dedup_stream(spark: SparkSession, lines_path: str, out_path: str, checkpoint: str,
                  delay: str = "30 days", max_files_per_trigger: int | None = None) -> None:
     """Rows later than the watermark are dropped by design; a historical

@@ -161,3 +161,19 @@ def test_bucketed_fact_rerun_does_not_shuffle_the_fact(spark, tmp_path):
     fact_branch = tree[tree.index("SortMergeJoin"):]
     fact_branch = fact_branch[fact_branch.rindex("+- Sort"):]     # the join's right child: the fact
     assert "Exchange" not in fact_branch
+
+
+def test_streaming_load_into_bucketed_fact(spark, tmp_path):
+    """SM1 into a bucketed fact: two streams over the same lines (fresh
+    checkpoints) - the second adds nothing; totals equal the batch load."""
+    from salesmart.plans import etl
+    from salesmart.streaming import ingest
+    sf = "/root/testdata/sf0.001"
+    w = etl.warehouse_tables(spark, sf)
+    ingest.write_lines_by_year(w["stg_orden_items"], str(tmp_path / "in"))
+    for run in ("a", "b"):
+        ingest.stream_fact_load_bucketed(spark, str(tmp_path / "in"), w, str(tmp_path / "fact"),
+                                         str(tmp_path / f"ckpt_{run}"), "fact_stream_test", 4)
+    got = spark.table("fact_stream_test")
+    assert got.count() == w["fact_ventas"].count()
+    assert got.groupBy("Fuente", "SourceKey").count().where("count > 1").count() == 0
