@@ -112,9 +112,9 @@ def upsert_clients_by_email(stored: DataFrame, upload: DataFrame, key_col: str =
                .withColumn(id_col, F.col("_sid")))
     inserts = matched.where(F.col("_sid").isNull()).unionByName(
         upload.where(F.col(key_col).isNull()), allowMissingColumns=True)
-    max_id = stored.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("_mx"))
-    inserts = (global_row_number(inserts, ["_row"], "_k").crossJoin(F.broadcast(max_id))   # one-row side
-               .withColumn(id_col, (F.col("_mx") + F.col("_k")).cast(stored.schema[id_col].dataType)))
+    max_id = stored.agg(F.coalesce(F.max(id_col), F.lit(0))).first()[0]     # a scalar
+    inserts = (global_row_number(inserts, ["_row"], "_k")
+               .withColumn(id_col, (F.lit(max_id) + F.col("_k")).cast(stored.schema[id_col].dataType)))
     kept = stored.join(updates.select(id_col), id_col, "left_anti")
     new_table = kept.unionByName(updates.select(*cols)).unionByName(inserts.select(*cols))
     actions = (updates.select("_row", F.lit("actualizado").alias("accion"))

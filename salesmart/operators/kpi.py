@@ -89,10 +89,10 @@ def top_products(df: DataFrame, k: int = 10) -> DataFrame:
 def sales_by_category(df: DataFrame) -> DataFrame:
     """KP5: sales and share of total per category."""
     s = df.groupBy("Categoria").agg(F.sum("TotalUSD").alias("_v"))
-    tot = df.agg(F.sum("TotalUSD").alias("_t"))          # one row: broadcast side
-    return s.crossJoin(F.broadcast(tot)).select(
-        "Categoria", money(F.col("_v")).alias("ventas_usd"),
-        F.round(F.col("_v").cast("double") * 100 / F.col("_t").cast("double"), 4).alias("participacion_pct"))
+    tot = df.agg(F.sum("TotalUSD")).first()[0]             # a scalar total
+    t = float(tot) if tot is not None else None
+    return s.select("Categoria", money(F.col("_v")).alias("ventas_usd"),
+                    F.round(F.col("_v").cast("double") * 100 / F.lit(t), 4).alias("participacion_pct"))
 
 
 def sales_vs_targets(df: DataFrame, metas: DataFrame) -> DataFrame:

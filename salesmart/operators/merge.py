@@ -117,11 +117,10 @@ def append_log(log: DataFrame | None, spark: SparkSession, tipo: str, estado: st
 
 def advance_high_water(state: DataFrame | None, new_dates: DataFrame, col: str = "fecha") -> DataFrame:
     """SNK9: one-row state keeping the max date loaded, only moving forward."""
-    m = new_dates.agg(F.max(col).alias("hw"))
+    m = new_dates.select(F.col(col).alias("hw"))
     if state is None:
-        return m
-    return state.crossJoin(m.withColumnRenamed("hw", "_n")).select(
-        F.greatest(F.col("hw"), F.coalesce(F.col("_n"), F.col("hw"))).alias("hw"))
+        return m.agg(F.max("hw").alias("hw"))
+    return state.select("hw").unionByName(m).agg(F.max("hw").alias("hw"))
 
 
 def publish(df: DataFrame, base_path: str, name: str) -> str:

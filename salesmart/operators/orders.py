@@ -56,11 +56,13 @@ def merge_repeated_products(lines: DataFrame, order_col: str, product_col: str,
 
 
 def total_mismatches(orders: DataFrame, lines: DataFrame, key: str, total_col: str, line_total: F.Column,
-                     tolerance: float = 0.01) -> DataFrame:
-    """AG14: stored order total vs sum of its lines, beyond a tolerance."""
+                     tolerance: float = 0.01, keep_all: bool = False) -> DataFrame:
+    """AG14: stored order total vs sum of its lines, beyond a tolerance
+    (``keep_all``: every order with lines, flagged in ``descuadre``)."""
     s = lines.groupBy(key).agg(F.sum(line_total).alias("_lines"))
     j = orders.select(key, F.col(total_col).alias("_stored")).join(s, key, "inner")
-    return j.where(F.abs(F.col("_stored") - F.col("_lines")) > tolerance)
+    j = j.withColumn("descuadre", F.abs(F.col("_stored") - F.col("_lines")) > tolerance)
+    return j if keep_all else j.where("descuadre")
 
 
 def missing_references(requested: DataFrame, existing: DataFrame, col: str, existing_col: str | None = None) -> DataFrame:
@@ -107,11 +109,10 @@ def next_order_ids(existing_ids: DataFrame, new_orders: DataFrame, order_cols: l
     """CH4 + WN4: sequential ids after the current maximum order number,
     keeping prefix and width."""
     from .keys import global_row_number
-    mx = existing_ids.agg(F.coalesce(F.max(clean.order_number(F.col(id_col))), F.lit(0)).alias("_max"))
+    mx = existing_ids.agg(F.coalesce(F.max(clean.order_number(F.col(id_col))), F.lit(0))).first()[0]   # a scalar
     n = global_row_number(new_orders, order_cols, "_k")
-    return (n.crossJoin(F.broadcast(mx))   # one-row side
-            .withColumn("nuevo_id", F.concat(F.lit(prefix), F.format_string(f"%0{width}d", F.col("_max") + F.col("_k"))))
-            .drop("_max", "_k"))
+    return (n.withColumn("nuevo_id", F.concat(F.lit(prefix), F.format_string(f"%0{width}d", F.lit(mx) + F.col("_k"))))
+            .drop("_k"))
 
 
 # Order payload domains per source (FL17).

@@ -454,10 +454,9 @@ def order_total_check(spark, sf_dir):
     o = s["Orden"].select(F.col("id").alias("orden_id"), parse_amount(F.col("total")).alias("total"))
     d = s["OrdenDetalle"]
     lt = (F.col("cantidad") * parse_amount(F.col("precio_unit"))).cast("decimal(18,2)")
-    checked = o.join(d.select("orden_id").distinct(), "orden_id", "left_semi").agg(
-        F.count(F.lit(1)).alias("ordenes_revisadas"))
-    bad = total_mismatches(o, d, "orden_id", "total", lt).agg(F.count(F.lit(1)).alias("descuadres"))
-    return checked.crossJoin(bad)
+    j = total_mismatches(o, d, "orden_id", "total", lt, keep_all=True)
+    return j.agg(F.count(F.lit(1)).alias("ordenes_revisadas"),
+                  F.count(F.when(F.col("descuadre"), 1)).alias("descuadres"))
 
 
 def _supabase_change_events(s):

@@ -55,3 +55,21 @@ def test_query_types_match_oracle(spark, con, name):
     spark_types = {f.name: _TYPES.get(repr(f.dataType), repr(f.dataType)) for f in df.schema.fields}
     duck_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {E.oracle_sql()[name]}").fetchall()}
     assert spark_types == duck_types
+
+
+# Nested-loop joins are allowed only against a broadcast side of proven size:
+# the country table (a fixed list of at most ~250 rows).
+_BOUNDED_NESTED_LOOP = {"country_iso": 1}
+
+
+@pytest.mark.parametrize("name", sorted(k for k in E.queries() if not k.startswith("stream_")))
+def test_plan_has_no_python_and_no_cross_products(spark, name):
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        E.queries()[name](spark, SF).explain("formatted")
+    tree = buf.getvalue().split("\n\n(")[0]
+    for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct"):
+        assert bad not in tree
+    assert tree.count("BroadcastNestedLoopJoin") <= _BOUNDED_NESTED_LOOP.get(name, 0)
