@@ -7,8 +7,11 @@ is sorted, and the position is the row's index inside its partition plus
 the number of rows in all earlier partitions (a table of one count per
 partition, broadcast).  Work and memory stay spread over all tasks.
 
-The order columns must form a total order (unique), so that a retried task
-sees its rows in the same sequence.
+The range-partitioned rows are materialised **once** (a reliable checkpoint
+in the shared folder) before anything is derived from them.  A range shuffle
+draws its boundaries from a sample of its input, so a plan that evaluates it
+twice, once for the counts and once for the rows, sees two different
+layouts, and offsets of one do not fit positions in the other.
 """
 
 from __future__ import annotations
@@ -16,23 +19,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def _partitions(df: DataFrame, n: int | None) -> int:
-    if n:
-        return n
-    conf = df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")
-    return max(1, int(conf))
+from ..session import ensure_checkpoint_dir
 
 
 def global_row_number(df: DataFrame, order_cols: list, name: str = "rn",
                       num_partitions: int | None = None) -> DataFrame:
+    """``df`` plus ``name``: 1-based position of each row in the order of ``order_cols``.
+
+    Without ``num_partitions`` the range shuffle is unnumbered, so adaptive
+    execution sizes its partitions.  Rows that tie get consecutive numbers
+    in the order in which the materialised partition holds them.
+    """
     cols = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    n = _partitions(df, num_partitions)
-    parted = (df.repartitionByRange(n, *cols)
-              .sortWithinPartitions(*cols)
+    ensure_checkpoint_dir(df.sparkSession)
+    ranged = df.repartitionByRange(num_partitions, *cols) if num_partitions else df.repartitionByRange(*cols)
+    parted = (ranged.sortWithinPartitions(*cols)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_local", F.monotonically_increasing_id()
-                          - F.shiftleft(F.col("_pid").cast("long"), 33)))
+                          - F.shiftleft(F.col("_pid").cast("long"), 33))
+              .checkpoint())
     counts = parted.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     # one row per partition: a tiny window is fine here
     offsets = counts.select(

@@ -1,4 +1,5 @@
 """Product equivalence golden cases (FIXTURES C1) and the free-number allocation."""
+import pytest
 from pyspark.sql import functions as F
 
 from salesmart.operators import equivalence as eqv
@@ -76,3 +77,22 @@ def test_global_row_number(spark):
     df = spark.range(0, 5000).select(((F.col("id") * 7919) % 5003).alias("v"))
     out = global_row_number(df, ["v"], "rn", num_partitions=7).orderBy("v").collect()
     assert [r.rn for r in out] == list(range(1, 5001))
+
+
+@pytest.mark.parametrize("parts", [2, 4, 8, 200])
+def test_global_row_number_beyond_the_range_sample(spark, parts):
+    # a wide payload and more rows than one partition's sample: counts and rows must come from one layout
+    df = spark.range(0, 25000, 1, 6).select(((F.col("id") * 7919) % 25000).alias("v"),
+                                            F.repeat(F.lit("x"), 300).alias("payload"))
+    out = global_row_number(df, ["v"], "rn", num_partitions=parts)
+    got = out.agg(F.count("rn"), F.countDistinct("rn"), F.min("rn"), F.max("rn"),
+                  F.sum(F.abs(F.col("rn") - F.col("v") - 1))).first()
+    assert tuple(got) == (25000, 25000, 1, 25000, 0)
+
+
+def test_free_sku_numbers_skip_used_ones_at_scale(spark):
+    used = spark.range(1, 20001, 2).select(F.col("id").alias("n"))
+    req = spark.range(0, 12000).select((F.col("id") + 1).alias("k"))
+    got = {r.k: r.number for r in eqv.allocate_free_numbers(req, used, 1).collect()}
+    free = list(range(2, 20001, 2)) + list(range(20001, 22001))
+    assert [got[k] for k in range(1, 12001)] == free
