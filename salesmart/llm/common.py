@@ -33,8 +33,9 @@ def values(spark: SparkSession, schema: str, rows: list[tuple]) -> DataFrame:
     casts = ", ".join(f"CAST(col{i + 1} AS {t}) AS `{n}`" for i, (n, t) in enumerate(cols))
     if not rows:
         return spark.sql("SELECT " + ", ".join(f"CAST(NULL AS {t}) AS `{n}`" for n, t in cols) + " WHERE false")
-    marks = ", ".join("(" + ", ".join("?" for _ in cols) + ")" for _ in rows)
-    return spark.sql(f"SELECT {casts} FROM VALUES {marks}", args=[v for r in rows for v in r])
+    w = len(cols)
+    marks = ", ".join("(" + ", ".join(f":p{i * w + j}" for j in range(w)) + ")" for i in range(len(rows)))
+    return spark.sql(f"SELECT {casts} FROM VALUES {marks}", args={f"p{i}": v for i, v in enumerate(v for r in rows for v in r)})
 
 
 def spaced(text: Column) -> Column:
