@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality_rules, url_filter
+from . import decontaminate, quality_rules, simhash, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -63,3 +63,26 @@ best AS (
 SELECT u.page_id, u.host, u.path, best.rule, coalesce(best.verdict, 'allow') AS verdict
 FROM u LEFT JOIN best USING (page_id)
 """
+
+
+@register
+def op7_decontaminate(spark, sf_dir):
+    """Benchmark windows found in every document."""
+    marked = decontaminate.mark(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    hits = F.col("hits")
+    return marked.select(
+        "doc_id", hits["n_words"].alias("n_words"), decontaminate.n_hit(hits).alias("n_hit"),
+        F.size(hits["items"]).cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort(hits["items"]), ","), 256).alias("items_sha256"),
+        (F.size(hits["spans"]) > 0).alias("contaminated"))
+
+
+#: Shingle length and largest bit distance of the near-duplicate contract.
+SHINGLE, MAX_BITS = 3, 2
+
+
+@register
+def op10_simhash(spark, sf_dir):
+    """Fingerprint and near-duplicate component of every document."""
+    return (simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=SHINGLE, max_bits=MAX_BITS)
+            .select("doc_id", simhash.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id"))
