@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, quality_rules, simhash, url_filter
+from . import decontaminate, mixing, quality_rules, sharding, simhash, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -86,3 +86,21 @@ def op10_simhash(spark, sf_dir):
     """Fingerprint and near-duplicate component of every document."""
     return (simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=SHINGLE, max_bits=MAX_BITS)
             .select("doc_id", simhash.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id"))
+
+
+SHARDS = 24
+
+
+@register
+def op2_sharding(spark, sf_dir):
+    """Shard and slot of every document; sizes near equal, equal texts together."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sharding.assign(docs, SHARDS).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@register
+def op6_mixing(spark, sf_dir):
+    """Words the source mix takes of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mix(docs).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "source")
