@@ -3,6 +3,8 @@
 ``STAGES`` lists (name, function); each function takes ``(spark, docs, sf_dir)``
 and returns a frame that is written as Parquet and read again as the next
 stage's ``docs``.  All but the last return the columns of ``documents``.
+Texts are shuffled only where a stage has to meet a decision made by id
+(near-duplicates, mix); quality rules, passages and shards are one scan each.
 """
 
 from __future__ import annotations
@@ -11,8 +13,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.llm import quality_rules
-from salesmart.llm.queries import table
+from salesmart.llm import decontaminate, mixing, quality_rules, sharding, simhash
+from salesmart.llm.queries import MAX_BITS, SHARDS, SHINGLE, table
 from salesmart.session import work_path
 
 
@@ -21,7 +23,28 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_good(docs, quality_rules.fit(docs, table(spark, sf_dir, "labels")))
 
 
-STAGES = [("quality_rules", quality)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each SimHash component the document with the smallest id."""
+    return simhash.keep_one(docs, shingle=SHINGLE, max_bits=MAX_BITS)
+
+
+def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a word inside a benchmark window."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
+    return mixing.repeat_to_mix(docs)
+
+
+def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every row with its shard: sizes near equal, repeats of a text together."""
+    return sharding.with_shard(docs, SHARDS)
+
+
+STAGES = [("quality_rules", quality), ("near_duplicates", near_duplicates), ("benchmark_passages", benchmark_passages),
+          ("source_mix", source_mix), ("shards", shards)]
 
 #: The learned list and the near-duplicate components have no SQL form; tests compare with brute force.
 ORACLE_SQL = None

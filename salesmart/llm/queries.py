@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, quality_rules, sharding, simhash, url_filter
+from . import decontaminate, licenses, mixing, quality_rules, sharding, simhash, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -104,3 +104,25 @@ def op6_mixing(spark, sf_dir):
     """Words the source mix takes of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix(docs).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "source")
+
+
+@register
+def op4_toxicity(spark, sf_dir):
+    """Expected severity of every document; toxic where a grade of at least 1 is likelier than not."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    s = F.col("severity")
+    scored = toxicity.judge(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", s["expected_severity"].alias("expected_severity"), s["p_ge_1"].alias("p_ge_1"),
+                         s["p_ge_2"].alias("p_ge_2"), s["grade"].alias("grade"), (s["p_ge_1"] >= 0.5).alias("toxic"))
+
+
+@register
+def op9_licenses(spark, sf_dir):
+    """Licence passages of every document."""
+    m = F.col("matches")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.scan(docs, name="matches").select(
+        "doc_id", F.size(m).cast("long").alias("n_matches"),
+        F.array_join(F.array_sort(F.array_distinct(m["license"])), ",").alias("licenses"),
+        F.array_join(F.array_sort(F.array_distinct(m["family"])), ",").alias("families"),
+        F.coalesce(F.array_max(m["dice"]), F.lit(0.0)).alias("best_dice"))
