@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, licenses, mixing, quality_rules, sharding, simhash, toxicity, url_filter
+from . import decontaminate, licenses, mixing, quality_rules, sharding, simhash, surrogates, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -126,3 +126,17 @@ def op9_licenses(spark, sf_dir):
         F.array_join(F.array_sort(F.array_distinct(m["license"])), ",").alias("licenses"),
         F.array_join(F.array_sort(F.array_distinct(m["family"])), ",").alias("families"),
         F.coalesce(F.array_max(m["dice"]), F.lit(0.0)).alias("best_dice"))
+
+
+#: Key of the surrogates; a deployment passes its own secret.
+SURROGATE_KEY = b"op8 surrogate key"
+
+
+@register
+def op8_surrogates(spark, sf_dir):
+    """Every document with its personal data replaced."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    e = F.col("entities")
+    return surrogates.pseudonymise(docs, SURROGATE_KEY).select(
+        "doc_id", "text", F.size(e).cast("long").alias("n_entities"),
+        F.array_join(F.array_sort(F.array_distinct(e["kind"])), ",").alias("kinds"))
