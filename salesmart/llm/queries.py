@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, licenses, mixing, quality_rules, sharding, simhash, surrogates, toxicity, url_filter
+from . import decontaminate, licenses, mixing, quality_rules, sharding, simhash, substrings, surrogates, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -140,3 +140,9 @@ def op8_surrogates(spark, sf_dir):
     return surrogates.pseudonymise(docs, SURROGATE_KEY).select(
         "doc_id", "text", F.size(e).cast("long").alias("n_entities"),
         F.array_join(F.array_sort(F.array_distinct(e["kind"])), ",").alias("kinds"))
+
+
+@register
+def op5_substrings(spark, sf_dir):
+    """Bytes of every document inside 400-byte strings that also start elsewhere."""
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"))
