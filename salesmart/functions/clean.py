@@ -219,7 +219,7 @@ def normalize_sku(c) -> Column:
     """SC17: trim; 'SKU1234' without '-' -> 'SKU-1234'; others unchanged."""
     s = F.trim(_c(c))
     return (F.when(F.upper(s).startswith("SKU") & ~s.contains("-") & (F.length(s) > 3),
-                   F.concat(F.lit("SKU-"), F.substring(s, 4, 1 << 20)))
+                   F.concat(F.lit("SKU-"), F.substr(s, F.lit(4))))
             .otherwise(s))
 
 

@@ -4,19 +4,23 @@ Lookup order follows the ISO 3166-1 list (sorted by alpha-3): exact name
 (case-insensitive) first, else the first country whose name contains the
 text, else no code (the caller keeps the original text; empty -> 'CR').
 
-The full ISO list is used when ``pycountry`` is importable; otherwise the
-fixed subset below is used.  Either way the table is a broadcast side of
-at most ~250 rows, and only the distinct raw values of the input are matched
-against it (a broadcast nested-loop join), then joined back.
+The table is complete wherever it runs: codes, their order and most names come
+from the JDK's ISO 3166-1 data, and the formal names in which the ISO list
+differs from the JDK's short ones are fixed values below.  A caller may pass
+its own table instead.  The table is a broadcast side of at most ~250 rows, and
+only the distinct raw values of the input are matched against it (a broadcast
+nested-loop join), then joined back.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from functools import lru_cache
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Fixed values: (alpha_2, English short name) in ISO 3166-1 alpha-3 order.
-COUNTRY_SUBSET = [
+# Fixed values: (alpha_2, ISO 3166-1 English short name) of frequent countries and of formal names, in alpha-3 order.
+ISO_NAMES = [
     ("AR", "Argentina"),
     ("BO", "Bolivia, Plurinational State of"),
     ("BR", "Brazil"),
@@ -54,14 +58,24 @@ COUNTRY_SUBSET = [
 ]
 
 
-def country_table(spark: SparkSession) -> DataFrame:
-    try:  # full list when available
-        import pycountry  # type: ignore
-        rows = [(c.alpha_2, c.name) for c in sorted(pycountry.countries, key=lambda c: c.alpha_3)]
-    except Exception:  # pragma: no cover - depends on the environment
-        rows = COUNTRY_SUBSET
-    data = [(i, a, n) for i, (a, n) in enumerate(rows)]
-    return spark.createDataFrame(data, "ord int, alpha_2 string, name string")
+@lru_cache(maxsize=1)
+def _jdk_countries(jvm) -> list[tuple[str, str, str]]:
+    """(alpha-3, alpha-2, English name) of every ISO 3166-1 country the JDK knows."""
+    locale = jvm.java.util.Locale
+    out = []
+    for code in locale.getISOCountries():
+        c = locale("", code)
+        out.append((c.getISO3Country(), code, c.getDisplayCountry(locale.ENGLISH)))
+    return out
+
+
+def country_table(spark: SparkSession, table: DataFrame | None = None) -> DataFrame:
+    """ord, alpha_2, name of every country, in alpha-3 order; ``table`` (same columns) replaces it."""
+    if table is not None:
+        return table.select("ord", "alpha_2", "name")
+    formal = dict(ISO_NAMES)
+    rows = sorted((a3, a2, formal.get(a2, name)) for a3, a2, name in _jdk_countries(spark._jvm))
+    return spark.createDataFrame([(i, a2, n) for i, (_, a2, n) in enumerate(rows)], "ord int, alpha_2 string, name string")
 
 
 def country_codes(df: DataFrame, col: str, out: str, countries: DataFrame) -> DataFrame:

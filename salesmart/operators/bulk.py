@@ -27,21 +27,35 @@ def _len_gt(c: str, n: int):
     return F.length(F.col(c)) > n
 
 
+def _text(code: str, c: str, longest: int):
+    """A required text of 1 to ``longest`` characters; a blank one counts as absent."""
+    return [(f"{code}_requerido", F.col(c).isNull() | (F.trim(F.col(c)) == "")), (f"{code}_largo", _len_gt(c, longest))]
+
+
+def _email(code: str, c: str, required: bool):
+    bad = ~F.col(c).rlike(EMAIL_RE)
+    return (f"{code}_invalido", F.col(c).isNull() | bad if required else F.col(c).isNotNull() & bad)
+
+
+# Fixed values in the rules below: codes, lengths, enums and bounds of the upload sheets.
+
 def client_rules_mssql():
     return [
-        ("nombre_requerido", F.col("Nombre").isNull() | (F.trim(F.col("Nombre")) == "")),
-        ("nombre_largo", _len_gt("Nombre", 120)),
-        ("email_invalido", F.col("Email").isNotNull() & ~F.col("Email").rlike(EMAIL_RE)),
-        ("email_largo", _len_gt("Email", 150)),
+        *_text("nombre", "Nombre", 120),
+        _email("email", "Email", False), ("email_largo", _len_gt("Email", 150)),
         ("genero_invalido", F.col("Genero").isNotNull() & ~F.col("Genero").isin(MSSQL_GENDERS)),
-        ("pais_requerido", F.col("Pais").isNull() | (F.trim(F.col("Pais")) == "")),
+        *_text("pais", "Pais", 60),
     ]
 
 
+def product_rules_mssql():
+    return [*_text("sku", "SKU", 40), *_text("nombre", "Nombre", 150), *_text("categoria", "Categoria", 80)]
+
+
 def order_rules_mssql():
     return [
-        ("email_invalido", F.col("Email").isNull() | ~F.col("Email").rlike(EMAIL_RE)),
-        ("canal_invalido", ~F.col("Canal").isin(MSSQL_CHANNELS)),
+        _email("email", "Email", True),
+        ("canal_invalido", F.col("Canal").isNull() | ~F.col("Canal").isin(MSSQL_CHANNELS)),
         ("moneda_invalida", F.col("Moneda").isNotNull() & (F.length(F.col("Moneda")) != 3)),
         ("total_invalido", F.col("Total").isNull() | (F.col("Total") <= 0)),
     ]
@@ -50,6 +64,7 @@ def order_rules_mssql():
 def line_rules_mssql():
     return [
         ("orden_index_invalido", F.col("OrdenIndex").isNull() | (F.col("OrdenIndex") < 1)),
+        *_text("sku", "SKU", 40),
         ("cantidad_invalida", F.col("Cantidad").isNull() | (F.col("Cantidad") <= 0)),
         ("precio_invalido", F.col("PrecioUnit").isNull() | (F.col("PrecioUnit") <= 0)),
         ("descuento_invalido", F.col("DescuentoPct").isNotNull()
@@ -59,18 +74,33 @@ def line_rules_mssql():
 
 def client_rules_mysql():
     return [
-        ("nombre_requerido", F.col("nombre").isNull() | (F.trim(F.col("nombre")) == "")),
-        ("correo_invalido", F.col("correo").isNotNull() & ~F.col("correo").rlike(EMAIL_RE)),
-        ("genero_invalido", F.coalesce(F.col("genero"), F.lit("M")).isin(MYSQL_GENDERS) == F.lit(False)),
+        *_text("nombre", "nombre", 120),
+        _email("correo", "correo", False), ("correo_largo", _len_gt("correo", 150)),
+        ("genero_invalido", ~F.coalesce(F.col("genero"), F.lit("M")).isin(MYSQL_GENDERS)),
+        *_text("pais", "pais", 60),
     ]
 
 
+def product_rules_mysql():
+    return [*_text("codigo", "codigo_alt", 64), *_text("nombre", "nombre", 150), *_text("categoria", "categoria", 80)]
+
+
 def order_rules_mysql():
-    from ..functions.clean import parse_amount
+    """Amounts are text here: any present total passes, whatever it says."""
     return [
-        ("correo_invalido", F.col("correo").isNull() | ~F.col("correo").rlike(EMAIL_RE)),
+        _email("correo", "correo", True),
+        *_text("canal", "canal", 20),
         ("moneda_invalida", ~F.coalesce(F.col("moneda"), F.lit("USD")).isin(MYSQL_CURRENCIES)),
-        ("total_invalido", parse_amount(F.col("total")) <= 0),
+        ("total_requerido", F.col("total").isNull()),
+    ]
+
+
+def line_rules_mysql():
+    return [
+        ("orden_index_invalido", F.col("OrdenIndex").isNull() | (F.col("OrdenIndex") < 1)),
+        *_text("codigo", "codigo_alt", 64),
+        ("cantidad_invalida", F.col("cantidad").isNull() | (F.col("cantidad") <= 0)),
+        ("precio_requerido", F.col("precio_unit").isNull()),
     ]
 
 
@@ -104,7 +134,15 @@ def upsert_clients_by_email(stored: DataFrame, upload: DataFrame, key_col: str =
     cols = stored.columns
     keep = [c for c in keep_cols if c in cols]
     from .merge import _dedup
-    with_email = _dedup(upload.where(F.col(key_col).isNotNull()), [key_col], "_row", last=True)
+    named = upload.where(F.col(key_col).isNotNull())
+    with_email = _dedup(named, [key_col], "_row", last=True)
+    # of a repeated new email the first row inserts and later rows only update: kept columns come from the first
+    up_keep = [c for c in keep if c in upload.columns]
+    if up_keep:
+        first = named.groupBy(key_col).agg(*[F.min_by(c, "_row").alias(f"_first_{c}") for c in up_keep])
+        with_email = with_email.join(first, key_col)
+        for c in up_keep:
+            with_email = with_email.withColumn(c, F.col(f"_first_{c}")).drop(f"_first_{c}")
     st = stored.where(F.col(key_col).isNotNull()).groupBy(key_col).agg(F.min(id_col).alias("_sid"))
     matched = with_email.join(st, key_col, "left")
     updates = (matched.where(F.col("_sid").isNotNull()).drop(*keep)

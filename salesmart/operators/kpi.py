@@ -7,6 +7,8 @@ month) with the same month of the previous year by an equi join on
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -59,9 +61,9 @@ def monthly(df: DataFrame) -> DataFrame:
 
 def growth_vs_last_year(df: DataFrame) -> DataFrame:
     """KP2 / KP11: month vs same month of the previous year (percent)."""
-    m = monthly(df)
-    prev = m.select((F.col("Anio") + 1).alias("Anio"), "Mes", F.col("_v").alias("_pv"))
-    j = m.join(prev, ["Anio", "Mes"], "left")
+    # one scan: the monthly table is small, last year's month is one step back in its window
+    last_year = Window.partitionBy("Mes").orderBy("Anio").rangeBetween(-1, -1)
+    j = monthly(df).withColumn("_pv", F.max("_v").over(last_year))
     pct = F.try_divide((F.col("_v") - F.col("_pv")).cast("double") * 100, F.col("_pv").cast("double"))
     return j.select("Anio", "Mes", money(F.col("_v")).alias("ventas_usd"), money(F.col("_pv")).alias("ventas_anio_anterior"),
                     F.round(pct, 4).alias("crecimiento_pct"))
@@ -99,7 +101,11 @@ def sales_vs_targets(df: DataFrame, metas: DataFrame) -> DataFrame:
     """KP12 / KP6: client-product-month sales against targets (full outer),
     attainment percent and colour band."""
     s = df.groupBy("ClienteID", "ProductoID", "Anio", "Mes").agg(F.sum("TotalUSD").alias("_v"))
-    j = s.join(metas, ["ClienteID", "ProductoID", "Anio", "Mes"], "full_outer")
+    return _attainment(s.join(metas, ["ClienteID", "ProductoID", "Anio", "Mes"], "full_outer"))
+
+
+def _attainment(j: DataFrame) -> DataFrame:
+    """Sales ``_v`` and target ``MetaUSD`` per key, either may be null -> attainment percent and band."""
     pct = F.try_divide(F.coalesce(F.col("_v"), F.lit(0)).cast("double") * 100, F.col("MetaUSD").cast("double"))
     return j.select("ClienteID", "ProductoID", "Anio", "Mes", money(F.coalesce("_v", F.lit(0))).alias("ventas_usd"),
                     F.col("MetaUSD").cast("double").alias("meta_usd"),
@@ -107,6 +113,23 @@ def sales_vs_targets(df: DataFrame, metas: DataFrame) -> DataFrame:
                     clean.attainment_band(F.round(pct, 4)).alias("banda"))
 
 
+def sales_vs_prior_year_targets(fact: DataFrame, factor: float = 1.10) -> DataFrame:
+    """KP12 / KP6 with DW10 targets (factor x the same month of the previous year), in one shuffle.
+
+    The fact is dealt by (client, product, month); sums by year, and sums moved
+    a year on as targets, then meet in the same partition."""
+    key = ["ClienteID", "ProductoID", "Anio", "Mes"]
+    s = (fact.select(*key, "TotalUSD").repartition("ClienteID", "ProductoID", "Mes")
+         .groupBy(*key).agg(F.sum("TotalUSD").alias("_v")))
+    meta = (F.col("_v") * F.lit(Decimal(str(factor)))).cast("decimal(18,2)")
+    both = F.array(F.struct(F.col("Anio").alias("Anio"), F.col("_v").alias("v"), F.lit(None).cast("decimal(18,2)").alias("m")),
+                   F.struct((F.col("Anio") + 1).alias("Anio"), F.lit(None).alias("v"), meta.alias("m")))
+    j = (s.select("ClienteID", "ProductoID", "Mes", F.explode(both).alias("b"))
+         .groupBy("ClienteID", "ProductoID", F.col("b.Anio").alias("Anio"), "Mes")
+         .agg(F.max("b.v").alias("_v"), F.max("b.m").alias("MetaUSD")))
+    return _attainment(j)
+
+
 def average_ticket(df: DataFrame) -> DataFrame:
     """KP7: sales / distinct orders (order = (Fuente, transaction id))."""
     txn = clean.transaction_id(F.col("Fuente"), F.col("SourceKey"))
@@ -129,10 +152,9 @@ def sales_by_channel_month(df: DataFrame) -> DataFrame:
 def mom_accumulated(df: DataFrame) -> DataFrame:
     """KP10 (D9): running sum within the year of the month-over-month percent
     change; January compares with the previous December when present."""
-    m = monthly(df)
     idx = F.col("Anio") * 12 + F.col("Mes")
-    prev = m.select((F.col("Anio") * 12 + F.col("Mes") + 1).alias("_idx"), F.col("_v").alias("_pv"))
-    j = m.withColumn("_idx", idx).join(prev, "_idx", "left")
+    # a single window over the monthly table (12 rows a year)
+    j = monthly(df).withColumn("_pv", F.max("_v").over(Window.orderBy(idx).rangeBetween(-1, -1)))
     pct = F.coalesce(F.try_divide((F.col("_v") - F.col("_pv")).cast("double") * 100, F.col("_pv").cast("double")),
                      F.lit(0.0))
     w = Window.partitionBy("Anio").orderBy("Mes").rowsBetween(Window.unboundedPreceding, 0)

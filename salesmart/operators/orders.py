@@ -78,28 +78,53 @@ def duplicate_products(orders_items: DataFrame, items_col: str = "items", id_fie
     return orders_items.where(F.size(F.array_distinct(ids)) < F.size(ids))
 
 
-def apply_order_changes(orders: DataFrame, lines: DataFrame, events: DataFrame, key: str = "orden_id") -> tuple[DataFrame, DataFrame, DataFrame]:
+def apply_order_changes(orders: DataFrame, lines: DataFrame, events: DataFrame, key: str = "orden_id",
+                        total_col: str = "total", qty: str = "cantidad", price: str = "precio_unit",
+                        line_id: str = "orden_detalle_id") -> tuple[DataFrame, DataFrame, DataFrame]:
     """CH1-CH3 as one batch.
 
     ``events``: (op create|update|delete, orden_id, header columns..., items
-    array<struct>).  The last event per order wins (``seq`` column).  Update
-    replaces header and all lines; delete removes both; unknown ids for
-    update/delete go to the reject frame.  Returns (orders, lines, rejects).
-    """
+    array<struct>).  The last event per order wins (``seq`` column).
+
+    * create: a new header and its lines; an id that exists is rejected.
+    * update: header values given by the event replace the stored ones, all lines are replaced.
+    * delete: order and lines go.  Update or delete of an unknown id is rejected.
+    * create and update: the total, where orders have one and items a price, is the
+      sum of quantity x price of the items (0 without items); new lines get the id ``<order>-<position>``.
+    * Any other op is rejected.
+
+    Returns (orders, lines, rejects)."""
     from .merge import _dedup
     ev = _dedup(events, [key], "seq", last=True)     # map-side combined, not a per-order window
     known = orders.select(key).withColumn("_known", F.lit(True))
     ev = ev.join(known, key, "left")
-    rejects = ev.where(F.col("op").isin("update", "delete") & F.col("_known").isNull()) \
-        .select(key, "op", F.lit("unknown_order").alias("motivo"))
-    ok = ev.where(~(F.col("op").isin("update", "delete") & F.col("_known").isNull())
-                  & ~((F.col("op") == "create") & F.col("_known").isNotNull()))
-    touched = ok.select(key)
+    is_known = F.col("_known").isNotNull()
+    reason = (F.when(F.col("op").isin("update", "delete") & ~is_known, F.lit("unknown_order"))
+              .when((F.col("op") == "create") & is_known, F.lit("existing_order"))
+              .when(F.col("op").isNull() | ~F.col("op").isin("create", "update", "delete"), F.lit("unknown_op")))
+    ev = ev.withColumn("_motivo", reason)
+    rejects = ev.where(F.col("_motivo").isNotNull()).select(key, "op", F.col("_motivo").alias("motivo"))
+    ok = ev.where(F.col("_motivo").isNull())
+    written_ev = ok.where(F.col("op") != "delete")
     header_cols = [c for c in orders.columns if c != key]
-    new_orders = ok.where(F.col("op") != "delete").select(key, *[c for c in header_cols if c in ok.columns])
-    new_lines = (ok.where(F.col("op") != "delete").select(key, F.posexplode("items").alias("_pos", "_it"))
-                 .select(key, "_pos", "_it.*"))
-    out_orders = orders.join(touched, key, "left_anti").unionByName(new_orders, allowMissingColumns=True)
+    item_type = events.schema["items"].dataType
+    total = F.lit(None).cast("double")
+    if total_col in header_cols and {qty, price} <= set(item_type.elementType.names):
+        total = F.aggregate(F.coalesce("items", F.array().cast(item_type)), F.lit(0).cast("double"),
+                            lambda acc, x: acc + F.coalesce((x[qty] * x[price]).cast("double"), F.lit(0.0)))
+    given = [c for c in header_cols if c in events.columns and c != total_col]
+    e = written_ev.select(F.col(key), *[F.col(c).alias(f"_e_{c}") for c in given], total.alias("_e_total"))
+    stored = orders.select(key, *[F.col(c).alias(f"_o_{c}") for c in header_cols])
+    j = e.join(stored, key, "left")
+    types = {f.name: f.dataType for f in orders.schema.fields}
+    new_orders = j.select(key, *[
+        (F.col("_e_total").cast(types[c]) if c == total_col
+         else F.coalesce(F.col(f"_e_{c}"), F.col(f"_o_{c}")) if c in given else F.col(f"_o_{c}")).alias(c) for c in header_cols])
+    new_lines = (written_ev.select(key, F.posexplode("items").alias("_pos", "_it")).select(key, "_pos", "_it.*"))
+    if line_id in lines.columns and line_id not in new_lines.columns:
+        new_lines = new_lines.withColumn(line_id, F.concat_ws("-", F.col(key).cast("string"), F.col("_pos") + 1))
+    touched = ok.select(key)
+    out_orders = orders.join(touched, key, "left_anti").unionByName(new_orders)
     out_lines = lines.join(touched, key, "left_anti").unionByName(new_lines.drop("_pos"), allowMissingColumns=True)
     return out_orders, out_lines, rejects
 

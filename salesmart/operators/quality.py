@@ -79,7 +79,7 @@ def load_diagnostics(items: DataFrame, dim_t: DataFrame, dim_c: DataFrame, bridg
 
 def fx_coverage(items: DataFrame, dim_t: DataFrame) -> DataFrame:
     """AG7: distinct dates and rows of CRC sales with no rate for the day."""
-    t = F.broadcast(dim_t.select(F.col("Fecha").alias("_f"), "TC_CRC_USD"))
+    t = dim_t.select(F.col("Fecha").alias("_f"), "TC_CRC_USD")
     x = items.where(F.col("moneda") == "CRC").join(t, F.col("fecha_dt") == F.col("_f"), "inner")
     x = x.where(F.col("TC_CRC_USD").isNull())
     return x.agg(F.countDistinct("fecha_dt").alias("fechas_sin_tasa"), F.count(F.lit(1)).alias("filas_sin_tasa"))

@@ -71,12 +71,16 @@ def dim_tiempo(bounds: DataFrame, tipo_cambio: DataFrame | None = None,
                        F.coalesce("usd_crc", "_old_sell").cast("decimal(18,6)").alias("TC_USD_CRC"))
 
 
-def spine_bounds(*frames_and_cols: tuple[DataFrame, str]) -> DataFrame:
-    """Min/max date over several (frame, date column) pairs, as a 1-row frame."""
+def spine_bounds(*frames_and_cols: tuple[DataFrame, str], first: str = "1900-01-01", last: str = "2199-12-31") -> DataFrame:
+    """Min/max date over several (frame, date column) pairs, as a 1-row frame.
+
+    Dates outside ``first`` .. ``last`` do not stretch the spine: their rows find
+    no day and are counted as without a date (AG6)."""
     parts = [df.select(F.col(c).cast("date").alias("d")) for df, c in frames_and_cols]
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
+    u = u.where(F.col("d").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
     return u.agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
 
 
@@ -85,7 +89,7 @@ def spine_bounds(*frames_and_cols: tuple[DataFrame, str]) -> DataFrame:
 def dim_cliente(stg_clientes: DataFrame, dim_t: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """New clients joined to their creation date (inner: dates outside the
     spine are not inserted), keys after the existing maximum."""
-    t = F.broadcast(dim_t.select("Fecha", "TiempoID"))
+    t = dim_t.select("Fecha", "TiempoID")
     c = stg_clientes.join(t, stg_clientes.fecha_creado_dt == t.Fecha, "inner")
     c = c.select(F.col("source_system").alias("SourceSystem"), F.col("source_code").alias("SourceKey"),
                  F.col("cliente_email").alias("Email"), F.col("cliente_nombre").alias("Nombre"),
@@ -137,7 +141,8 @@ def fact_candidates(items: DataFrame, dim_t: DataFrame, dim_c: DataFrame, bridge
                     dim_p: DataFrame) -> DataFrame:
     """JN4 with left joins and match flags: used by the fact load and by the
     one-pass diagnostics (AG6)."""
-    t = F.broadcast(dim_t.select(F.col("Fecha").alias("_fecha"), "TiempoID", "Anio", "Mes", "TC_CRC_USD"))
+    # no hint: the spine spans the dates of the data, so Spark decides by its size
+    t = dim_t.select(F.col("Fecha").alias("_fecha"), "TiempoID", "Anio", "Mes", "TC_CRC_USD")
     c = dim_c.select(F.col("SourceSystem").alias("_cs"), F.col("SourceKey").alias("_ck"), "ClienteID")
     m = bridge.select(F.col("source_system").alias("_ms"), F.col("source_code").alias("_mc"),
                       F.col("sku_oficial").alias("_sku"))
@@ -163,7 +168,9 @@ def fact_ventas(items: DataFrame, dim_t: DataFrame, dim_c: DataFrame, bridge: Da
       source's own total column (D1)
     """
     it = items
-    if high_water is not None and "load_ts" in it.columns:
+    if high_water is not None:
+        if "load_ts" not in it.columns:
+            raise ValueError("high_water needs a load_ts column in the staged items")
         it = it.where(F.col("load_ts") > F.lit(high_water))
     x = fact_candidates(it, dim_t, dim_c, bridge, dim_p)
     ok = (F.col("TiempoID").isNotNull() & F.col("ClienteID").isNotNull() & F.col("_sku").isNotNull()

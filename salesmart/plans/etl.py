@@ -158,8 +158,7 @@ def write_fact(fact: DataFrame, path: str, mode: str = "overwrite") -> None:
     FactID): rows stay grouped by month (few files per month), and the hashed
     fact key lets a month holding a large share of the rows spread over
     several tasks (equal range keys could not be split)."""
-    n = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    (fact.repartitionByRange(n, "Anio", "Mes", "FactID").write.mode(mode)
+    (fact.repartitionByRange("Anio", "Mes", "FactID").write.mode(mode)
      .option("maxRecordsPerFile", 5_000_000).partitionBy("Anio", "Mes").parquet(path))
 
 

@@ -531,14 +531,20 @@ SELECT count(DISTINCT ok) AS ordenes_revisadas, CAST(0 AS BIGINT) AS descuadres
 """)
 
 ORACLE["orders_after_changes"] = with_lines("""
-SELECT '00000000-0000-0000-0000-' || printf('%012d', ok) AS orden_id, count(*) AS n_lineas,
-       CAST(sum(qty + CASE WHEN ok % 13 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS unidades
-FROM lx WHERE src = 2 AND ok % 11 <> 0 GROUP BY ok
+SELECT pre || '00000000-0000-0000-0000-' || printf('%012d', ok) AS orden_id, count(*) AS n_lineas,
+       CAST(sum(qty + more) AS BIGINT) AS unidades, count(*) AS ids_linea, true AS cuadra
+FROM (SELECT ok, qty, '' AS pre, CASE WHEN ok % 13 = 0 THEN 1 ELSE 0 END AS more FROM lx WHERE src = 2 AND ok % 11 <> 0
+      UNION ALL SELECT ok, qty, '77777777-', 1 FROM lx WHERE src = 2 AND ok % 19 = 0 AND ok % 11 <> 0)
+GROUP BY pre, ok
 """)
 
 ORACLE["order_change_rejects"] = """
-SELECT 'delete' AS op, 'unknown_order' AS motivo, count(*) AS filas
-FROM orders WHERE o_custkey % 5 = 2 AND o_orderkey % 101 = 0 HAVING count(*) > 0
+SELECT op, motivo, count(*) AS filas FROM (
+  SELECT 'delete' AS op, 'unknown_order' AS motivo FROM orders WHERE o_custkey % 5 = 2 AND o_orderkey % 101 = 0
+  UNION ALL SELECT 'merge', 'unknown_op' FROM orders WHERE o_custkey % 5 = 2 AND o_orderkey % 103 = 0
+  UNION ALL SELECT 'create', 'existing_order' FROM orders
+  WHERE o_custkey % 5 = 2 AND o_orderkey % 17 = 0 AND o_orderkey % 11 <> 0 AND o_orderkey % 13 <> 0)
+GROUP BY op, motivo
 """
 
 ORACLE["new_order_ids"] = """
@@ -556,14 +562,12 @@ FROM orders o LEFT JOIN lx l ON l.ok = o.o_orderkey
 WHERE o.o_custkey % 5 = 0 GROUP BY o.o_orderkey
 """)
 
-ORACLE["bulk_violations"] = """
+ORACLE["bulk_violations"] = with_lines("""
 SELECT 'Orden' AS hoja, 'correo_invalido' AS regla, count(*) AS filas
 FROM orders WHERE o_custkey % 5 = 1 AND o_custkey % 7 = 0 HAVING count(*) > 0
 UNION ALL
-SELECT 'Orden' AS hoja, 'total_invalido' AS regla, count(*) AS filas
-FROM orders o WHERE o_custkey % 5 = 1 AND NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)
-HAVING count(*) > 0
-"""
+SELECT 'OrdenDetalle', 'sku_requerido', count(*) FROM lx WHERE src = 0 AND NOT present HAVING count(*) > 0
+""")
 
 ORACLE["bulk_upsert"] = """
 SELECT 'actualizado' AS accion, count(*) AS filas FROM customer WHERE c_custkey % 5 = 0

@@ -42,9 +42,9 @@ def vw_ventas_mensuales(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = _w(spark, sf_dir)
     f = w["fact_ventas"]
     p = w["dim_producto"].select("ProductoID", "SKU", F.col("Nombre").alias("Producto"), "Categoria")
-    return (f.join(p, "ProductoID")
-            .groupBy("Anio", "Mes", "SKU", "Producto", "Categoria")
-            .agg(F.sum("Cantidad").cast("double").alias("Qty"), money(F.sum("TotalUSD")).alias("VentasUSD")))
+    per = f.groupBy("Anio", "Mes", "ProductoID").agg(F.sum("Cantidad").alias("_q"), F.sum("TotalUSD").alias("_v"))
+    return per.join(p, "ProductoID").select(       # a SKU is one row of the dimension: names join after the aggregate
+        "Anio", "Mes", "SKU", "Producto", "Categoria", F.col("_q").cast("double").alias("Qty"), money(F.col("_v")).alias("VentasUSD"))
 
 
 # ------------------------------------------------------------------ M2
@@ -196,10 +196,11 @@ def fx_coverage(spark, sf_dir):
 
 # ------------------------------------------------------------------ M6
 
-def _sales(spark, sf_dir):
+def _sales(spark, sf_dir, clients: bool = False, products: bool = False):
+    """The fact, joined only with the dimensions that the filter or grouping names."""
     from ..operators.kpi import sales_base
     w = _w(spark, sf_dir)
-    return sales_base(w["fact_ventas"], w["dim_cliente"], w["dim_producto"])
+    return sales_base(w["fact_ventas"], w["dim_cliente"] if clients else None, w["dim_producto"] if products else None)
 
 
 @register("kpi_total")
@@ -221,21 +222,21 @@ def kpi_growth_yoy(spark, sf_dir):
 def kpi_top_clients(spark, sf_dir):
     """KP3: top 10 clients by sales (WN1-style top-k with key tie-break)."""
     from ..operators import kpi
-    return kpi.top_clients(_sales(spark, sf_dir), 10)
+    return kpi.top_clients(_sales(spark, sf_dir, clients=True), 10)
 
 
 @register("kpi_top_products")
 def kpi_top_products(spark, sf_dir):
     """KP4: top 10 products by sales."""
     from ..operators import kpi
-    return kpi.top_products(_sales(spark, sf_dir), 10)
+    return kpi.top_products(_sales(spark, sf_dir, products=True), 10)
 
 
 @register("kpi_category_share")
 def kpi_category_share(spark, sf_dir):
     """KP5: sales and share per category."""
     from ..operators import kpi
-    return kpi.sales_by_category(_sales(spark, sf_dir))
+    return kpi.sales_by_category(_sales(spark, sf_dir, products=True))
 
 
 @register("kpi_avg_ticket")
@@ -270,10 +271,8 @@ def kpi_mom_accum(spark, sf_dir):
 def ventas_vs_metas(spark, sf_dir):
     """KP6/KP12 + DW10 + SC40: targets = 1.10 x the same month of the previous year."""
     from ..operators import kpi
-    from ..operators.warehouse import targets_from_prior_year
     w = _w(spark, sf_dir)
-    metas = targets_from_prior_year(w["fact_ventas"])
-    r = kpi.sales_vs_targets(w["fact_ventas"], metas)
+    r = kpi.sales_vs_prior_year_targets(w["fact_ventas"])
     c = w["dim_cliente"].select("ClienteID", "SourceSystem", "SourceKey")
     p = w["dim_producto"].select("ProductoID", "SKU")
     return r.join(c, "ClienteID").join(p, "ProductoID").drop("ClienteID", "ProductoID")
@@ -470,7 +469,16 @@ def _supabase_change_events(s):
                        "total", "items"))
     unknown = o.where(F.col("_ok") % 101 == 0).select(
         F.concat(F.lit("99999999-"), F.col("orden_id")).alias("orden_id"), F.lit("delete").alias("op"))
-    ev = deletes.unionByName(updates, allowMissingColumns=True).unionByName(unknown, allowMissingColumns=True)
+    # new orders copy an existing one's lines; every 17th is tried under the id it already has
+    creates = (o.where((F.col("_ok") % 19 == 0) & (F.col("_ok") % 11 != 0)).join(items, "orden_id")
+               .select(F.concat(F.lit("77777777-"), F.col("orden_id")).alias("orden_id"), F.lit("create").alias("op"), "cliente_id",
+                       "fecha", "canal", "moneda", "total", "items"))
+    again = (o.where((F.col("_ok") % 17 == 0) & (F.col("_ok") % 11 != 0) & (F.col("_ok") % 13 != 0))
+             .select("orden_id", F.lit("create").alias("op")))
+    bad_op = o.where(F.col("_ok") % 103 == 0).select(F.concat(F.lit("88888888-"), F.col("orden_id")).alias("orden_id"), F.lit("merge").alias("op"))
+    ev = deletes
+    for part in (updates, unknown, creates, again, bad_op):
+        ev = ev.unionByName(part, allowMissingColumns=True)
     return ev.withColumn("seq", F.lit(1))
 
 
@@ -479,9 +487,14 @@ def orders_after_changes(spark, sf_dir):
     """CH1-CH3: a batch of delete / update (replace lines) events applied."""
     from ..operators.orders import apply_order_changes
     s = _src(spark, sf_dir)["supabase"]
-    _, lines, _ = apply_order_changes(s["orden"], s["orden_detalle"], _supabase_change_events(s))
-    return lines.groupBy("orden_id").agg(F.count(F.lit(1)).alias("n_lineas"),
-                                         F.sum("cantidad").cast("long").alias("unidades"))
+    orders, lines, _ = apply_order_changes(s["orden"], s["orden_detalle"], _supabase_change_events(s))
+    per = lines.groupBy("orden_id").agg(F.count(F.lit(1)).alias("n_lineas"), F.sum("cantidad").cast("long").alias("unidades"),
+                                        F.sum((F.col("cantidad") * F.col("precio_unit")).cast("decimal(28,6)")).alias("_t"),
+                                        F.countDistinct("orden_detalle_id").alias("ids_linea"))
+    # an order that the batch wrote carries the total of its lines
+    return orders.join(per, "orden_id").select(
+        "orden_id", "n_lineas", "unidades", "ids_linea",
+        F.when(F.abs(F.col("total").cast("double") - F.col("_t").cast("double")) <= 0.01, True).otherwise(False).alias("cuadra"))
 
 
 @register("order_change_rejects")
@@ -528,7 +541,8 @@ def bulk_violations(spark, sf_dir):
     # JN19: a line names its order by the 1-based row position of the order sheet
     idx = global_row_number(s["mssql"]["Orden"].select("OrdenId"), ["OrdenId"], "OrdenIndex")
     lines = (s["mssql"]["OrdenDetalle"].withColumn("_row", F.col("OrdenDetalleId").cast("long"))
-             .join(idx, "OrdenId", "left"))
+             .join(idx, "OrdenId", "left")
+             .join(s["mssql"]["Producto"].select("ProductoId", "SKU"), "ProductoId", "left"))
     parts = [(n, bulk.sheet_violations(df, rules)) for n, df, rules in [
         ("Cliente", cl, bulk.client_rules_mysql()), ("Orden", orden, bulk.order_rules_mysql()),
         ("OrdenDetalle", lines, bulk.line_rules_mssql())]]

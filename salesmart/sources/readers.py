@@ -58,10 +58,6 @@ NEO4J_SCHEMAS = {
 SCHEMAS = {"mssql": MSSQL_SCHEMAS, "mysql": MYSQL_SCHEMAS, "supabase": SUPABASE_SCHEMAS,
            "mongo": MONGO_SCHEMAS, "neo4j": NEO4J_SCHEMAS}
 
-# Key column per relational table (jdbc partitioning, SRC1-SRC3).
-PARTITION_KEYS = {"Cliente": "ClienteId", "Producto": "ProductoId", "Orden": "OrdenId",
-                  "OrdenDetalle": "OrdenDetalleId"}
-
 
 def read_file_source(spark: SparkSession, source: str, base_path: str, fmt: str = "parquet") -> dict[str, DataFrame]:
     """SRC1-SRC5 from files: ``{base_path}/{table}`` per table, declared schema."""
@@ -74,13 +70,37 @@ def read_file_source(spark: SparkSession, source: str, base_path: str, fmt: str
     return out
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, in whatever file system it names."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def uuid_predicates(column: str, parts: int = 64) -> list[str]:
+    """Disjoint ranges over the first two hex digits of a UUID column that together cover every row (null included)."""
+    cuts = [f"{256 * i // parts:02x}" for i in range(parts)]
+    out = [f"{column}::text >= '{a}' AND {column}::text < '{b}'" for a, b in zip(cuts[1:], cuts[2:])]
+    first = f"{column} IS NULL" + (f" OR {column}::text < '{cuts[1]}'" if parts > 1 else f" OR {column} IS NOT NULL")
+    return [first, *out, *([f"{column}::text >= '{cuts[-1]}'"] if parts > 1 else [])]
+
+
 def read_jdbc_table(spark: SparkSession, url: str, table: str, props: dict, partition_column: str | None = None,
-                    lower: int | None = None, upper: int | None = None, num_partitions: int = 64) -> DataFrame:
-    """SRC1-SRC3 over JDBC: a partitioned parallel read replaces the page loop."""
+                    lower: int | None = None, upper: int | None = None, num_partitions: int = 64,
+                    predicates: list[str] | None = None, single: bool = False) -> DataFrame:
+    """SRC1-SRC3 over JDBC: a partitioned parallel read replaces the page loop.
+
+    Numeric keys: ``partition_column`` with bounds.  Other keys (UUIDs): one
+    partition for each of ``predicates``, see ``uuid_predicates``.  Reading a
+    whole table through one connection has to be asked for (``single``).
+    """
+    if predicates is not None:
+        return spark.read.jdbc(url, table, predicates=predicates, properties={k: str(v) for k, v in props.items()})
+    if not single and (partition_column is None or lower is None or upper is None):
+        raise ValueError("give partition_column with lower and upper, or predicates, or single=True")
     r = spark.read.format("jdbc").option("url", url).option("dbtable", table)
     for k, v in props.items():
         r = r.option(k, v)
-    if partition_column is not None and lower is not None and upper is not None:
+    if not single:
         r = (r.option("partitionColumn", partition_column).option("lowerBound", lower)
              .option("upperBound", upper).option("numPartitions", num_partitions))
     return r.load()
@@ -157,16 +177,17 @@ def read_bulk(spark: SparkSession, base_path: str, flavour: str = "mssql", fmt:
     out: dict[str, DataFrame | None] = {}
     for sheet, types in sheets.items():
         path = f"{base_path.rstrip('/')}/{sheet}.{fmt}"
-        try:
-            r = spark.read.option("header", True) if fmt == "csv" else spark.read
-            df = r.format(fmt).load(path)
-        except Exception:  # missing sheet
+        if not path_exists(spark, path):    # an absent sheet; every other failure is raised
             out[sheet] = None
             continue
-        # JN19: 1-based row position of the sheet.  Split ids grow with the
-        # file offset, so ranking them gives the file order without a single task.
+        r = spark.read.option("header", True) if fmt == "csv" else spark.read
+        df = r.format(fmt).load(path)
+        # JN19: 1-based row position of the sheet: files by name, splits by their offset,
+        # and inside a split the order of reading
         from ..operators.keys import global_row_number
-        df = global_row_number(df.withColumn("_mid", F.monotonically_increasing_id()), ["_mid"], "_row").drop("_mid")
+        place = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"),
+                          F.monotonically_increasing_id().alias("_mid"))
+        df = global_row_number(place, ["_file", "_start", "_mid"], "_row").drop("_file", "_start", "_mid")
         out[sheet] = coerce_sheet(df, types)
     return out
 

@@ -21,13 +21,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.warehouse import fact_ventas
+from ..sources.readers import path_exists
 
 
 def write_lines_by_year(items: DataFrame, path: str) -> None:
     """Input files for the stream: one folder per order year."""
-    n = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     key = F.xxhash64("source_system", "source_key_orden", "source_key_item")
-    (items.withColumn("anio", F.year("fecha_dt")).repartitionByRange(n, "anio", key)   # a hot year still splits
+    (items.withColumn("anio", F.year("fecha_dt")).repartitionByRange("anio", key)   # a hot year still splits
      .write.mode("overwrite").partitionBy("anio").parquet(path))
 
 
@@ -38,11 +38,10 @@ def stream_fact_load(spark: SparkSession, lines_path: str, dims: dict[str, DataF
            .parquet(lines_path))
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        try:
-            existing = spark.read.parquet(fact_path)
-            existing = existing.where(F.col("_batch") != batch_id)
-        except Exception:  # first batch: nothing written yet
-            existing = None
+        # nothing is there before the first batch; a fact that cannot be read stops the load
+        existing = None
+        if path_exists(spark, fact_path):
+            existing = spark.read.parquet(fact_path).where(F.col("_batch") != batch_id)
         new = fact_ventas(batch.drop("anio"), dims["dim_tiempo"], dims["dim_cliente"], dims["map_producto"],
                           dims["dim_producto"], existing=existing)
         new.write.mode("overwrite").parquet(f"{fact_path}/_batch={batch_id}")
@@ -85,18 +84,25 @@ def stream_fact_load_bucketed(spark: SparkSession, lines_path: str, dims: dict[s
 
 
 def dedup_stream(spark: SparkSession, lines_path: str, out_path: str, checkpoint: str,
-                 delay: str = "30 days", max_files_per_trigger: int | None = None) -> None:
-    """Rows later than the watermark are dropped by design; a historical
-    backfill is therefore read as one batch (no per-trigger file cap)."""
+                 max_files_per_trigger: int = 16) -> None:
+    """SM2: the first arrival of each (source, order, item) is kept, however late it comes.
+
+    Each micro-batch is deduplicated and anti-joined with the keys written so
+    far (three columns are read); no state grows with the history and no row is
+    dropped for being behind a watermark.  A replayed batch overwrites its own
+    folder."""
+    key = ["source_system", "source_key_orden", "source_key_item"]
     schema = spark.read.parquet(lines_path).schema
-    r = spark.readStream.schema(schema)
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    src = r.parquet(lines_path)
-    d = (src.withColumn("ts", F.col("fecha_dt").cast("timestamp")).withWatermark("ts", delay)
-         .dropDuplicatesWithinWatermark(["source_system", "source_key_orden", "source_key_item"]))
-    q = (d.writeStream.format("parquet").option("path", out_path).option("checkpointLocation", checkpoint)
-         .outputMode("append").trigger(availableNow=True).start())
+    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(lines_path)
+
+    def load_batch(batch: DataFrame, batch_id: int) -> None:
+        new = batch.dropDuplicates(key)
+        if path_exists(spark, out_path):
+            new = new.join(spark.read.parquet(out_path).where(F.col("_batch") != batch_id).select(*key), key, "left_anti")
+        new.write.mode("overwrite").parquet(f"{out_path}/_batch={batch_id}")
+
+    q = (src.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
     q.awaitTermination()
 
 

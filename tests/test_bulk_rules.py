@@ -29,7 +29,7 @@ def test_client_rules_mssql(spark, row, expected):
     assert _codes(spark, CLIENT, row, bulk.client_rules_mssql()) == expected
 
 
-LINE = "OrdenIndex int, Cantidad int, PrecioUnit int, DescuentoPct int"
+LINE = "OrdenIndex int, Cantidad int, PrecioUnit int, DescuentoPct int, SKU string"
 
 
 @pytest.mark.parametrize("row,expected", [
@@ -44,24 +44,25 @@ LINE = "OrdenIndex int, Cantidad int, PrecioUnit int, DescuentoPct int"
     ((1, 2, 0, None), ["precio_invalido"]),
 ])
 def test_line_rules_mssql(spark, row, expected):
-    assert _codes(spark, LINE, row, bulk.line_rules_mssql()) == expected
+    assert _codes(spark, LINE, (*row, "SKU-0001"), bulk.line_rules_mssql()) == expected
 
 
-ORDER_MYSQL = "correo string, moneda string, total string"
+ORDER_MYSQL = "correo string, moneda string, total string, canal string"
 
 
 @pytest.mark.parametrize("row,expected", [
     (("a@x.com", "USD", "1,200.50"), []),
     (("a@x.com", None, "1200,50"), []),                              # currency defaults to USD
     (("a@x.com", "EUR", "10"), ["moneda_invalida"]),
-    (("a@x.com", "CRC", "abc"), ["total_invalido"]),
+    (("a@x.com", "CRC", "abc"), []),                                 # any text is accepted as a total
+    (("a@x.com", "CRC", None), ["total_requerido"]),
     ((None, "CRC", "10"), ["correo_invalido"]),
 ])
 def test_order_rules_mysql(spark, row, expected):
-    assert _codes(spark, ORDER_MYSQL, row, bulk.order_rules_mysql()) == expected
+    assert _codes(spark, ORDER_MYSQL, (*row, "web"), bulk.order_rules_mysql()) == expected
 
 
 def test_mysql_gender_default(spark):
-    schema = "nombre string, correo string, genero string"
-    assert _codes(spark, schema, ("A", None, None), bulk.client_rules_mysql()) == []
-    assert _codes(spark, schema, ("A", None, "Q"), bulk.client_rules_mysql()) == ["genero_invalido"]
+    schema = "nombre string, correo string, genero string, pais string"
+    assert _codes(spark, schema, ("A", None, None, "CR"), bulk.client_rules_mysql()) == []
+    assert _codes(spark, schema, ("A", None, "Q", "CR"), bulk.client_rules_mysql()) == ["genero_invalido"]
