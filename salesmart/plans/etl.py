@@ -10,11 +10,14 @@ source scans).
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import threading
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.country import country_table
 from ..operators import equivalence as eqv
@@ -207,6 +210,28 @@ def warehouse_tables(spark: SparkSession, sf_dir: str, total_basis: str = "line"
         return out
 
 
+_BATCH_CACHE: dict = {}
+
+
+def incremental_batches(spark: SparkSession, sf_dir: str, cut: str = "2001-01-01") -> list[DataFrame]:
+    """IN1: the fact loaded in three runs (orders before ``cut``, the rest, everything again).
+
+    Each run is written before the next one starts, so a later run anti-joins
+    files and no earlier run is computed twice; the third must be empty."""
+    key = (session_key(spark), sf_dir.rstrip("/"), cut)
+    w = warehouse_tables(spark, sf_dir)
+    with _LOCK:
+        if key not in _BATCH_CACHE:
+            items = w["stg_orden_items"]
+            args = (w["dim_tiempo"], w["dim_cliente"], w["map_producto"], w["dim_producto"])
+            early = F.col("fecha_dt") < F.lit(cut).cast("date")
+            b1 = _write(spark, warehouse.fact_ventas(items.where(early), *args), f"{w['_base']}/lote_1")
+            b2 = _write(spark, warehouse.fact_ventas(items.where(~early), *args, existing=b1), f"{w['_base']}/lote_2")
+            b3 = _write(spark, warehouse.fact_ventas(items, *args, existing=b1.unionByName(b2)), f"{w['_base']}/lote_3")
+            _BATCH_CACHE[key] = [b1, b2, b3]
+        return _BATCH_CACHE[key]
+
+
 _RULES_CACHE: dict = {}
 
 
@@ -241,15 +266,60 @@ def write_fact_bucketed(fact: DataFrame, path: str, table: str, buckets: int) ->
     return fact.sparkSession.table(table)
 
 
+def read_manifest(spark: SparkSession, path: str) -> dict:
+    """The manifest of a run: {"run", "previous", "tables": {name: [folders]}, "schemas": {name: schema}}."""
+    return json.loads("\n".join(r[0] for r in spark.read.text(path).collect()))
+
+
+def manifest_table(spark: SparkSession, manifest: dict, name: str) -> DataFrame:
+    """A table of a published run: the union of its folders (the fact has one folder a run)."""
+    r = spark.read
+    if name in manifest["schemas"]:
+        r = r.schema(StructType.fromJson(manifest["schemas"][name]))
+    parts = [r.parquet(p) for p in manifest["tables"][name]]
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+
+
+def last_loads(spark: SparkSession, manifest: dict, names=("dim_cliente", "dim_producto", "fact_ventas", "tipo_cambio")) -> DataFrame:
+    """AG18: newest LoadTS of each loaded table (table, last_ts), the input of the run gate."""
+    parts = [manifest_table(spark, manifest, n).agg(F.max("LoadTS").alias("last_ts")).select(F.lit(n).alias("table"), "last_ts")
+             for n in names]
+    return reduce(lambda x, y: x.unionByName(y), parts)
+
+
+def staged_maxima(spark: SparkSession, manifest: dict) -> DataFrame:
+    """Newest load_ts of the staged rows behind each loaded table (table, max_ts)."""
+    behind = {"dim_cliente": "stg_clientes", "dim_producto": "map_producto", "fact_ventas": "stg_orden_items"}
+    parts = [manifest_table(spark, manifest, st).agg(F.max("load_ts").alias("max_ts")).select(F.lit(n).alias("table"), "max_ts")
+             for n, st in behind.items()]
+    return reduce(lambda x, y: x.unionByName(y), parts)
+
+
 def run_etl(spark: SparkSession, source_frames: dict, rates_feed: DataFrame, out_base: str,
             sources=None, run_date: str = DEFAULT_RUN_DATE, existing_max_sku: int = 0,
             total_basis: str = "line", fact_buckets: int | None = None,
-            fact_table: str = "fact_ventas") -> dict[str, str]:
-    """Entry A for real data: every table of the load written to a new
-    version folder under ``out_base`` (a shared location); returns the paths
-    to switch readers to (DW9: nothing is overwritten while it may be read).
-    Each table is read back before the next step uses it, so a lost executor
-    recomputes from files, not from the source extracts."""
+            fact_table: str = "fact_ventas", previous: str | None = None, load_ts=None,
+            high_water=None) -> dict[str, str]:
+    """Entry A for real data: one run of the load, published under ``out_base`` (a shared location).
+
+    Every table goes to a new version folder and is read back before the next
+    step uses it.  With ``previous`` (the manifest path of the run before) the
+    run is incremental: staging is merged into the previous tables, products
+    keep the SKU they were given, dimension members keep their surrogate keys,
+    and only fact rows that are not there yet are added, as one more folder
+    (``high_water``: only staged lines loaded after it are looked at, FL7).
+
+    ``load_ts`` (default: now) stamps staged rows (``load_ts``) and loaded rows
+    (``LoadTS``).  The manifest is written last and in one file: readers that go
+    through it see all of a run or nothing of it (DW9), and a failed run leaves
+    the previous manifest valid.  Returns the newest folder of each table, and
+    ``manifest``."""
+    started = _dt.datetime.now()
+    stamp = F.lit(load_ts if load_ts is not None else started).cast("timestamp")
+    old = read_manifest(spark, previous) if previous else None
+    before = (lambda name: manifest_table(spark, old, name)) if old else (lambda name: None)
+    if old and not existing_max_sku:
+        existing_max_sku = eqv.max_existing_sku(before("map_producto")).first()[0]
     w = build_warehouse(spark, None, sources=sources, run_date=run_date, existing_max_sku=existing_max_sku,
                         total_basis=total_basis, source_frames=source_frames, rates_feed=rates_feed)
     paths: dict[str, str] = {}
@@ -258,22 +328,67 @@ def run_etl(spark: SparkSession, source_frames: dict, rates_feed: DataFrame, out
         paths[name] = merge.publish(df, out_base, name)
         return spark.read.parquet(paths[name])
 
+    def stamped(df, col="LoadTS"):
+        return df.withColumn(col, F.coalesce(F.col(col), stamp) if col in df.columns else stamp)
+
     eq_map = pub("eq_map", w["eq_map"])
-    bridge = eqv.bridge_rows(w["eq_std"], eq_map, w["_products"])
-    bridge = pub("map_producto", merge.merge_overwrite(None, bridge, ["source_system", "source_code"], "pos")
-                 .drop("pos"))
-    clients = pub("stg_clientes", w["stg_clientes"])
+    batch = merge.merge_overwrite(None, eqv.bridge_rows(w["eq_std"], eq_map, w["_products"]), ["source_system", "source_code"], "pos")
+    batch = batch.drop("pos")
+    if old:
+        # a generated SKU stays what it was; a product new to its group takes the group's
+        was = before("map_producto").select("source_system", "source_code", F.col("sku_oficial").alias("_was"))
+        made = eq_map.where(F.col("sku_origin") == "generated").select(F.col("sku_oficial").alias("_made"))
+        j = batch.join(was, ["source_system", "source_code"], "left").join(made, batch.sku_oficial == made["_made"], "left")
+        kept = (j.where(F.col("_made").isNotNull() & F.col("_was").isNotNull()).groupBy("_made").agg(F.min("_was").alias("_kept")))
+        batch = (j.drop("_was").join(kept, "_made", "left")
+                 .withColumn("sku_oficial", F.coalesce("_kept", "sku_oficial")).drop("_made", "_kept"))
+    batch = batch.withColumn("load_ts", stamp)
+    if old:
+        gone = before("map_producto").join(batch.select("source_system", "source_code"), ["source_system", "source_code"], "left_anti")
+        batch = gone.unionByName(batch)
+    bridge = pub("map_producto", batch)
+    clients = w["stg_clientes"].withColumn("load_ts", stamp)
+    if old:
+        clients = merge.merge_coalesce(before("stg_clientes"), clients.withColumn("_one", F.lit(1)), staging.CLIENT_KEYS, "_one").drop("_one")
+    clients = pub("stg_clientes", clients)
     items_all = pub("items_all", w["items_all"])
-    rates = pub("tipo_cambio", w["tipo_cambio"])
-    items = pub("stg_orden_items", staging.stage_items(items_all))
+    rates = pub("tipo_cambio", merge.upsert_rates(before("tipo_cambio"), rates_feed))
+    staged = staging.stage_items(items_all).withColumn("load_ts", stamp)
+    if old:
+        key = ["source_system", "source_key_orden", "source_key_item"]
+        had = before("stg_orden_items")
+        staged = had.unionByName(staged.join(had.select(*key), key, "left_anti"))
+    items = pub("stg_orden_items", staged)
     bounds = warehouse.spine_bounds((items, "fecha_dt"), (clients, "fecha_creado_dt"))
     dim_t = pub("dim_tiempo", warehouse.dim_tiempo(bounds, rates))
-    dim_c = pub("dim_cliente", warehouse.dim_cliente(clients, dim_t))
-    dim_p = pub("dim_producto", warehouse.dim_producto(bridge))
-    fact = warehouse.fact_ventas(items, dim_t, dim_c, bridge, dim_p, total_basis=total_basis)
-    paths["fact_ventas"] = f"{out_base.rstrip('/')}/fact_ventas/v-{_dt.datetime.now().strftime('%Y%m%d%H%M%S%f')}"
+
+    def dimension(name, build):
+        had = before(name)
+        if had is None:
+            return pub(name, stamped(build(None)))
+        key = had.columns[0]
+        every = build(had)
+        return pub(name, stamped(every.join(had.select(key, "LoadTS"), key, "left")))
+
+    dim_c = dimension("dim_cliente", lambda had: warehouse.dim_cliente(clients, dim_t, had))
+    dim_p = dimension("dim_producto", lambda had: warehouse.dim_producto(bridge, had))
+    fact = warehouse.fact_ventas(items, dim_t, dim_c, bridge, dim_p, total_basis=total_basis,
+                                 existing=before("fact_ventas"), high_water=high_water)
+    fact = fact.withColumn("LoadTS", stamp)
+    run = started.strftime("%Y%m%d%H%M%S%f")
+    paths["fact_ventas"] = f"{out_base.rstrip('/')}/fact_ventas/v-{run}"
     if fact_buckets:
         write_fact_bucketed(fact, paths["fact_ventas"], fact_table, fact_buckets)
     else:
         write_fact(fact, paths["fact_ventas"], mode="errorifexists")
+    log = merge.append_log(before("run_log"), spark, "etl", "OK", f"run {run}", (_dt.datetime.now() - started).total_seconds())
+    pub("run_log", log)
+    tables = {n: [p] for n, p in paths.items()}
+    if old:
+        tables["fact_ventas"] = [*old["tables"]["fact_ventas"], paths["fact_ventas"]]
+    # a run may add no fact: its folder is then empty, so the schema is kept here
+    manifest = {"run": run, "previous": previous, "tables": tables, "schemas": {"fact_ventas": fact.schema.jsonValue()}}
+    paths["manifest"] = f"{out_base.rstrip('/')}/manifest/v-{run}"
+    # one small file, written last
+    spark.createDataFrame([(json.dumps(manifest),)], "value string").coalesce(1).write.mode("errorifexists").text(paths["manifest"])
     return paths

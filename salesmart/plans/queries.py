@@ -151,20 +151,18 @@ def fact_ventas(spark, sf_dir):
         F.col("TotalUSD").cast("double").alias("TotalUSD"), "MonedaOriginal")
 
 
+def _batches(spark, sf_dir):
+    from .etl import incremental_batches
+    return incremental_batches(spark, sf_dir)
+
+
 @register("incremental_load")
 def incremental_load(spark, sf_dir):
     """IN1/FL7/JN5/JN6: load orders before 2001-01-01, then the rest, then re-run
     everything; the re-run must add nothing."""
-    from ..operators.warehouse import fact_ventas as load
-    w = _w(spark, sf_dir)
-    items = w["stg_orden_items"]
-    args = (w["dim_tiempo"], w["dim_cliente"], w["map_producto"], w["dim_producto"])
-    cut = F.lit("2001-01-01").cast("date")
-    b1 = load(items.where(F.col("fecha_dt") < cut), *args)
-    b2 = load(items.where(F.col("fecha_dt") >= cut), *args, existing=b1)
-    b3 = load(items, *args, existing=b1.unionByName(b2))
+    batches = _batches(spark, sf_dir)
     parts = [b.agg(F.count(F.lit(1)).alias("filas")).select(F.lit(i).alias("lote"), "filas")
-             for i, b in enumerate([b1, b2, b3], start=1)]
+             for i, b in enumerate(batches, start=1)]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
@@ -749,13 +747,7 @@ def dw_counts_q(spark, sf_dir):
 def loaded_by_source_q(spark, sf_dir):
     """AG8: rows appended per source by the second incremental batch."""
     from ..operators.quality import loaded_by_source
-    from ..operators.warehouse import fact_ventas as load
-    w = _w(spark, sf_dir)
-    items = w["stg_orden_items"]
-    args = (w["dim_tiempo"], w["dim_cliente"], w["map_producto"], w["dim_producto"])
-    cut = F.lit("2001-01-01").cast("date")
-    b1 = load(items.where(F.col("fecha_dt") < cut), *args)
-    return loaded_by_source(load(items, *args, existing=b1))
+    return loaded_by_source(_batches(spark, sf_dir)[1])
 
 
 @register("orders_newest_page")
@@ -886,12 +878,10 @@ def run_gate(spark, sf_dir):
     """DW8 + AG18: should the load run?  Last loads = the fact after the first
     incremental batch and the full client dimension; staging maxima from the
     staged tables; 'now' = the newest staged order date."""
-    from ..operators.warehouse import fact_ventas as load
     from ..operators.warehouse import should_run
     w = _w(spark, sf_dir)
     items = w["stg_orden_items"]
-    args = (w["dim_tiempo"], w["dim_cliente"], w["map_producto"], w["dim_producto"])
-    b1 = load(items.where(F.col("fecha_dt") < F.lit("2001-01-01").cast("date")), *args)
+    b1 = _batches(spark, sf_dir)[0]
     as_ts = lambda c: F.to_timestamp(F.col(c).cast("string"), "yyyyMMdd")
     last = (b1.agg(F.max(as_ts("TiempoID")).alias("last_ts")).select(F.lit("fact_ventas").alias("table"), "last_ts")
             .unionByName(w["dim_cliente"].agg(F.max(as_ts("FechaCreacionID")).alias("last_ts"))
