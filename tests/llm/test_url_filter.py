@@ -36,3 +36,16 @@ def test_rule_edges(spark):
     both = u.rule_table(spark, [("allow", "b.c", "/x"), ("block", "b.c", "/x"), ("block", None, "/"), (None, "c", "/")])
     assert {(r.page_id, r.verdict) for r in u.judge(df, both).collect()} == {(1, "block"), (2, "allow")}
     assert u.judge(df.limit(0), both).count() == 0
+
+
+def test_query_matches_its_sql(spark):
+    import duckdb
+
+    from salesmart.llm.queries import ORACLE, QUERIES
+    sf = "/root/testdata/sf0.01"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{sf}/pages.parquet')")
+    cols = "page_id, host, path, rule, verdict"
+    want = sorted(con.execute(f"SELECT {cols} FROM ({ORACLE['op3_url_filter']})").fetchall(), key=repr)
+    got = sorted((tuple(r) for r in QUERIES["op3_url_filter"](spark, sf).select(*cols.split(", ")).collect()), key=repr)
+    assert got == want
