@@ -11,12 +11,14 @@ Texts are UTF-8 bytes; matches never cross texts.
 3. *Contexts.*  The strings around a repeated anchor lie in its context, the
    bytes from ``length - gram`` before it to ``length`` after its start.  Equal
    contexts of a gram collapse to one; what occurs twice is settled at once.
-4. *Windows.*  Among the different contexts of a gram, strings at the same
+4. *Comparison.*  Among the different contexts of a gram, strings at the same
    offset are compared by 64-bit multilinear hashes (random multipliers, so
    unequal strings agree with a chance under 2^-56).  All strings that share an
    anchor overlap in it, so per context only the first and the last repeated
    offset matter.  A gram with more than ``GROUP`` contexts is not held in one
    task: its strings are spread as rows and counted with aggregates.
+   The comparison can also be done by external induced suffix sorting
+   (``induced``), which needs no hashes but far more time per byte.
 5. *Spans.*  Covered intervals go back to every occurrence, are merged per
    distinct text, and the remaining bytes are hashed.
 
@@ -26,7 +28,8 @@ processed once.
 
 from __future__ import annotations
 
-import hashlib
+from array import array
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import written
+from .induced import scratch_folder, suffixes
 
 LENGTH, GRAM = 400, 200
 #: Contexts of one gram that a task compares in memory (about 0.6 kB each); more are compared as rows.
@@ -129,6 +133,46 @@ def repeated_offsets(groups: np.ndarray, before: np.ndarray, contexts: list[byte
     return np.where(some, last, -1), np.where(some, first, -1)
 
 
+def repeated_offsets_induced(groups: np.ndarray, before: np.ndarray, contexts: list[bytes], twice: np.ndarray, length: int = LENGTH,
+                             gram: int = GRAM, memory: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
+    """``repeated_offsets`` by external induced suffix sorting of the contexts, without hashes.
+
+    The contexts are one sequence with a separator of its own after each.
+    Neighbouring suffixes with a common prefix of ``length`` form a run; in a
+    run, suffixes of one gram at one offset are occurrences of one string.
+    """
+    symbols, owner = array("q"), array("q")
+    starts = []
+    for i, c in enumerate(contexts):
+        starts.append(len(symbols))
+        symbols.extend(x + len(contexts) for x in c)
+        symbols.append(i)
+        owner.extend([i] * (len(c) + 1))
+    hi, lo = np.full(len(contexts), -1), np.full(len(contexts), -1)
+
+    def settle(run: list[tuple[int, int]]) -> None:
+        n = Counter((int(groups[i]), a) for i, a in run)
+        for i, a in run:
+            if n[int(groups[i]), a] > 1 or twice[i]:
+                hi[i] = max(hi[i], a)
+                lo[i] = a if lo[i] < 0 else min(lo[i], a)
+
+    with scratch_folder() as folder:
+        run: list[tuple[int, int]] = []
+        for pos, lcp in suffixes(symbols, folder, memory):
+            if lcp < length:
+                settle(run)
+                run = []
+            if pos == len(symbols):
+                continue
+            i = owner[pos]
+            a = int(before[i]) - (pos - starts[i])
+            if 0 <= a <= length - gram and pos + length <= starts[i] + len(contexts[i]):
+                run.append((i, a))
+        settle(run)
+    return hi, lo
+
+
 def _window_hashes(before: np.ndarray, contexts: list[bytes], length: int, gram: int) -> np.ndarray:
     """Hash of the string that starts a bytes before the anchor, for a = 0 .. length - gram; contexts aligned at the anchor."""
     lead, width = length - gram, 2 * length - gram
@@ -151,13 +195,17 @@ def copies(rows: DataFrame, length: int = LENGTH) -> DataFrame:
     return written(rows.where(F.col("n_bytes") >= length).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "copies")
 
 
-def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH, gram: int = GRAM, group: int = GROUP) -> DataFrame:
+def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH, gram: int = GRAM, group: int = GROUP,
+                   engine: str = "windows") -> DataFrame:
     """key (MD5 of the text), text and spans (array of start, end in bytes) of every distinct text that holds a string of
     ``length`` bytes which also starts elsewhere, in this or another distinct text.
 
     Null and shorter texts have no such string.  Spans are maximal and in order.
-    Texts that occur twice (``copies``) are one text here.
+    Texts that occur twice (``copies``) are one text here.  ``engine``: how the
+    contexts of a gram are compared, by hashes of their "windows" or by
+    "induced" suffix sorting; both give the same spans.
     """
+    compared_by = {"windows": repeated_offsets, "induced": repeated_offsets_induced}[engine]
     if docs.isEmpty():
         return docs.sparkSession.createDataFrame([], "key binary, text string, spans array<struct<s:int,e:int>>")
     long_texts = _texts(docs, text_col).where(F.octet_length("text") >= length)
@@ -218,7 +266,7 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH
     def compare(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Rows sorted by gram: whole grams are compared, the last one waits for the next batch."""
         def settle(rows: pd.DataFrame) -> pd.DataFrame:
-            hi, lo = repeated_offsets(rows["gram"].to_numpy(np.int64), rows["before"].to_numpy(np.int64), list(rows["body"]),
+            hi, lo = compared_by(rows["gram"].to_numpy(np.int64), rows["before"].to_numpy(np.int64), list(rows["body"]),
                                       rows["twice"].to_numpy(bool), length, gram)
             return pd.DataFrame({"gram": rows["gram"].to_numpy(), "ctx": rows["ctx"].to_numpy(), "hi": hi.astype(np.int32),
                                  "lo": lo.astype(np.int32)})[hi >= 0]
@@ -302,7 +350,7 @@ def cut_spans(text: Column, spans: Column) -> Column:
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM,
-                   group: int = GROUP) -> DataFrame:
+                   group: int = GROUP, engine: str = "windows") -> DataFrame:
     """id, n_bytes, n_removed, n_spans and kept_sha256 of every row of ``docs``.
 
     * Null counts as empty; texts shorter than ``length`` bytes lose nothing.
@@ -314,7 +362,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = written(docs.select(F.col(id_col).alias("_id"), F.unhex(F.md5(text)).alias("key"), F.octet_length(text).cast("long").alias("n_bytes"),
                                F.sha2(text, 256).alias("all_sha256")), "substring_rows")
     whole = copies(rows, length)
-    spans = repeated_spans(docs, text_col, length, gram, group).join(whole, "key", "left_anti")
+    spans = repeated_spans(docs, text_col, length, gram, group, engine).join(whole, "key", "left_anti")
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["e"] - x["s"])
     results = (spans.select("key", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
                             F.sha2(cut_spans(F.col("text"), F.col("spans")), 256).alias("kept_sha256"))

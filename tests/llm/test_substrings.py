@@ -46,11 +46,12 @@ def made_up(seed, length):
     return texts
 
 
-@pytest.mark.parametrize("length,gram,group", [(60, 30, 10**6), (60, 30, 3), (100, 40, 10**6)])
-def test_brute_force(spark, length, gram, group):
+@pytest.mark.parametrize("length,gram,group,engine", [(60, 30, 10**6, "windows"), (60, 30, 3, "windows"), (100, 40, 10**6, "windows"),
+                                                      (60, 30, 10**6, "induced")])
+def test_brute_force(spark, length, gram, group, engine):
     texts = made_up(length + group % 7, length)
     df = spark.createDataFrame([(i, t, "k", 1) for i, t in enumerate(texts)], "doc_id long, text string, key string, spans int")
-    got = {r.doc_id: tuple(r)[1:] for r in ss.remove_repeats(df, length=length, gram=gram, group=group).collect()}
+    got = {r.doc_id: tuple(r)[1:] for r in ss.remove_repeats(df, length=length, gram=gram, group=group, engine=engine).collect()}
     want = brute(texts, length)
     assert [got[i] for i in range(len(texts))] == want
 
