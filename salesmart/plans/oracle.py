@@ -806,3 +806,36 @@ UNION ALL
 SELECT 'canal', ['WEB', 'TIENDA', 'APP', 'PARTNER', 'WEB'][CAST(substr(o_orderpriority, 1, 1) AS INTEGER)], count(*)
 FROM orders WHERE o_custkey % 5 = 1 GROUP BY 2
 """
+
+
+ORACLE["safe_casts"] = """
+SELECT CAST(o_orderkey AS BIGINT) AS id,
+  CASE o_orderkey % 4 WHEN 0 THEN o_orderkey + 0.25 WHEN 2 THEN o_orderkey ELSE 0 END::DOUBLE AS decimal_0,
+  CASE o_orderkey % 4 WHEN 2 THEN o_orderkey ELSE -1 END::INTEGER AS entero,
+  CASE o_orderkey % 4 WHEN 0 THEN o_orderkey + 0.25 WHEN 2 THEN o_orderkey END::DOUBLE AS flotante
+FROM orders
+"""
+
+ORACLE["safe_dates"] = """
+SELECT CAST(o_orderkey AS BIGINT) AS id, CASE WHEN o_orderkey % 6 < 5 THEN strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') END AS fecha
+FROM orders
+"""
+
+ORACLE["split_lists"] = """
+SELECT CAST(o_orderkey AS BIGINT) AS id, 'a' || CAST(o_orderkey % 3 AS VARCHAR) || '|b' || CAST(o_orderkey % 5 AS VARCHAR) AS valores,
+  CAST(2 AS INTEGER) AS n
+FROM orders
+"""
+
+ORACLE["object_ids"] = """
+SELECT CAST(o_orderkey AS BIGINT) AS id, CASE WHEN o_orderkey % 3 < 2 THEN printf('%024X', o_orderkey) END AS objeto FROM orders
+"""
+
+ORACLE["valid_order_ids"] = """
+SELECT CAST(o_orderkey AS BIGINT) AS id, CASE o_orderkey % 4 WHEN 0 THEN 'ORD-' ELSE 'O' END || CAST(o_orderkey AS VARCHAR) AS orden
+FROM orders WHERE o_orderkey % 4 < 2
+"""
+
+ORACLE["rate_backfill"] = """
+SELECT DATE '1995-08-02' AS desde, DATE '1998-08-02' AS hasta, caso = 'enero' AS cargar, caso FROM (VALUES ('enero'), ('todas')) t(caso)
+"""

@@ -932,3 +932,76 @@ def sql_clean_functions(spark, sf_dir):
         UNION ALL
         SELECT 'canal' AS campo, sm_channel(canal) AS valor, count(*) AS filas FROM sm_mysql_orden GROUP BY 2
     """)
+
+
+# ------------------------------------------------- cleaning helpers on messy text made from the orders
+
+def _orders_text(spark, sf_dir):
+    from ..sources import fixtures
+    return fixtures.read_table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("long").alias("id"), F.col("o_orderdate").cast("date").alias("d"))
+
+
+@register("safe_casts")
+def safe_casts(spark, sf_dir):
+    """SC9: decimal, int and float casts of order numbers written with commas, blanks, letters or nothing."""
+    from ..functions import clean
+    o = _orders_text(spark, sf_dir)
+    k, kind = F.col("id"), F.col("id") % 4
+    text = (F.when(kind == 0, F.concat((k / 1000).cast("long").cast("string"), F.lit(","), F.lpad((k % 1000).cast("string"), 3, "0"), F.lit(".25")))
+            .when(kind == 1, F.concat(F.lit("x"), k.cast("string"))).when(kind == 2, F.concat(F.lit(" "), k.cast("string"), F.lit(" "))).otherwise(F.lit("")))
+    o = o.withColumn("t", text)
+    return o.select("id", clean.safe_decimal("t", default=0).cast("double").alias("decimal_0"), clean.safe_int("t", default=-1).alias("entero"),
+                    clean.safe_float("t").alias("flotante"))
+
+
+@register("safe_dates")
+def safe_dates(spark, sf_dir):
+    """SC11 + SC31: order dates written in the five accepted formats or not as a date, back to one text form."""
+    from ..functions import clean
+    o = _orders_text(spark, sf_dir)
+    formats = ["yyyy-MM-dd", "yyyy-MM-dd 00:00:00", "yyyy/MM/dd", "dd/MM/yyyy", "dd-MM-yyyy"]
+    text = F.lit("n/a")
+    for i, f in enumerate(formats):
+        text = F.when(F.col("id") % 6 == i, F.date_format("d", f)).otherwise(text)
+    return o.select("id", clean.date_text(clean.safe_date(text)).alias("fecha"))
+
+
+@register("split_lists")
+def split_lists(spark, sf_dir):
+    """SC32: delimited lists with blanks, gaps and repeats -> trimmed distinct values."""
+    from ..functions import clean
+    a, b = F.concat(F.lit("a"), (F.col("id") % 3).cast("string")), F.concat(F.lit("b"), (F.col("id") % 5).cast("string"))
+    v = clean.split_list(F.concat(F.lit(" "), a, F.lit(", ,"), b, F.lit(" ,,"), a))
+    return _orders_text(spark, sf_dir).select("id", F.array_join(v, "|").alias("valores"), F.size(v).alias("n"))
+
+
+@register("object_ids")
+def object_ids(spark, sf_dir):
+    """SC38: quoted, padded and malformed object ids -> 24 hex digits or null."""
+    from ..functions import clean
+    h = F.lpad(F.hex(F.col("id")), 24, "0")
+    text = (F.when(F.col("id") % 3 == 0, F.concat(F.lit('"'), h, F.lit('"'))).when(F.col("id") % 3 == 1, F.concat(F.lit("  "), h))
+            .otherwise(F.concat(F.lit("zz"), h)))
+    return _orders_text(spark, sf_dir).select("id", clean.clean_object_id(text).alias("objeto"))
+
+
+@register("valid_order_ids")
+def valid_order_ids(spark, sf_dir):
+    """FL9: ids of the shape ORD-<digits> or O<digits>, whole string only."""
+    from ..operators.orders import valid_order_ids as keep_valid
+    k = F.col("id").cast("string")
+    text = (F.when(F.col("id") % 4 == 0, F.concat(F.lit("ORD-"), k)).when(F.col("id") % 4 == 1, F.concat(F.lit("O"), k))
+            .when(F.col("id") % 4 == 2, F.concat(F.lit("xORD-"), k)).otherwise(F.concat(F.lit("ORD-"), k, F.lit("b"))))
+    return keep_valid(_orders_text(spark, sf_dir).withColumn("orden", text), "orden").select("id", "orden")
+
+
+@register("rate_backfill")
+def rate_backfill(spark, sf_dir):
+    """IN3: three years of history are loaded only when under 100 rates exist; asked for the rates
+    of the first month and for all of them."""
+    from ..operators.warehouse import backfill_range
+    t = _w(spark, sf_dir)["tipo_cambio"]
+    some = t.where(F.col("fecha") < F.add_months(F.lit("1992-01-01").cast("date"), 1))
+    return backfill_range(some, "1998-08-02").withColumn("caso", F.lit("enero")).unionByName(
+        backfill_range(t, "1998-08-02").withColumn("caso", F.lit("todas")))
