@@ -158,7 +158,7 @@ def _batches(spark, sf_dir):
 
 @register("incremental_load")
 def incremental_load(spark, sf_dir):
-    """IN1/FL7/JN5/JN6: load orders before 2001-01-01, then the rest, then re-run
+    """IN1/JN5/JN6: load orders before 2001-01-01, then the rest, then re-run
     everything; the re-run must add nothing."""
     batches = _batches(spark, sf_dir)
     parts = [b.agg(F.count(F.lit(1)).alias("filas")).select(F.lit(i).alias("lote"), "filas")
@@ -358,7 +358,7 @@ def recommend_top5(spark, sf_dir):
 
 @register("codes_to_skus")
 def codes_to_skus_q(spark, sf_dir):
-    """JN12/AR9: Mongo product codes of every Mongo order line -> official SKU."""
+    """JN12: Mongo product codes of every Mongo order line -> official SKU."""
     from ..operators.rules import codes_to_skus
     from ..sources import fixtures
     w = _w(spark, sf_dir)
@@ -482,7 +482,7 @@ def _supabase_change_events(s):
 
 @register("orders_after_changes")
 def orders_after_changes(spark, sf_dir):
-    """CH1-CH3: a batch of delete / update (replace lines) events applied."""
+    """CH1-CH3: a batch of create / update (replace lines) / delete events applied; line ids and totals of what it wrote."""
     from ..operators.orders import apply_order_changes
     s = _src(spark, sf_dir)["supabase"]
     orders, lines, _ = apply_order_changes(s["orden"], s["orden_detalle"], _supabase_change_events(s))
@@ -497,7 +497,7 @@ def orders_after_changes(spark, sf_dir):
 
 @register("order_change_rejects")
 def order_change_rejects(spark, sf_dir):
-    """CH3: events naming unknown orders go to the reject frame."""
+    """CH1-CH3: events that cannot be applied (unknown order, existing order, unknown op) by reason."""
     from ..operators.orders import apply_order_changes
     s = _src(spark, sf_dir)["supabase"]
     _, _, rej = apply_order_changes(s["orden"], s["orden_detalle"], _supabase_change_events(s))
@@ -594,7 +594,7 @@ def stream_fact_load_q(spark, sf_dir):
 
 @register("stream_dedup")
 def stream_dedup_q(spark, sf_dir):
-    """SM2: every line sent twice; dropDuplicatesWithinWatermark keeps one."""
+    """SM2: every line sent twice; each micro-batch keeps what was not written before."""
     from ..streaming.ingest import dedup_stream, write_lines_by_year
     w = _w(spark, sf_dir)
     base = _stream_dir(spark, "dedup")
@@ -904,7 +904,7 @@ def max_existing_sku_q(spark, sf_dir):
 
 @register("bulk_orders_fk")
 def bulk_orders_fk(spark, sf_dir):
-    """JN18 + WN3 + BL2/BL4/BL5: the MySQL order sheet's emails resolved to
+    """JN18 + WN3: the MySQL order sheet's emails resolved to
     client ids (latest id per email, duplicates allowed); any unresolved
     order rejects the whole upload."""
     from ..operators.bulk import resolve_emails
@@ -920,7 +920,7 @@ def bulk_orders_fk(spark, sf_dir):
 
 @register("sql_clean_functions")
 def sql_clean_functions(spark, sf_dir):
-    """UD1-UD4: the cleaning rules called from SQL over the landed MySQL clients
+    """UD4: the cleaning rules called from SQL over the landed MySQL clients
     and order lines (session SQL functions, inlined as native expressions)."""
     from ..functions.sql_functions import register_sql_functions
     register_sql_functions(spark)
