@@ -71,6 +71,30 @@ def page(df: DataFrame, key: str, spec: PageSpec, allowed: tuple[str, ...]) -> D
     return ordered.offset((spec.page - 1) * spec.limit).limit(spec.limit)
 
 
+def page_after(df: DataFrame, key: str, spec: PageSpec, allowed: tuple[str, ...], last: tuple | None) -> DataFrame:
+    """SO1/SO2 for deep pages: the rows that follow ``last`` = (sort value, key) of the page before.
+
+    The border is a filter that reaches the scan, so every page costs a top-k of
+    ``limit`` rows however far down it is; ``spec.page`` does not enter.  Null
+    sort values come first ascending and last descending, as in ``page``."""
+    col = spec.sort_by if spec.sort_by in allowed else key
+    down = spec.sort_order == "desc"
+    if last is not None:
+        v, k = last
+        c = F.col(col)
+        past_key = F.col(key) < F.lit(k) if down else F.col(key) > F.lit(k)
+        if col == key:
+            df = df.where(past_key)
+        elif v is None:
+            df = df.where(c.isNull() & past_key if down else c.isNotNull() | past_key)
+        elif down:
+            df = df.where((c < F.lit(v)) | ((c == F.lit(v)) & past_key) | c.isNull())
+        else:
+            df = df.where((c > F.lit(v)) | ((c == F.lit(v)) & past_key))
+    o = [F.col(x).desc() if down else F.col(x).asc() for x in ([col, key] if col != key else [col])]
+    return df.orderBy(*o).limit(spec.limit)
+
+
 def page_count(df: DataFrame, limit: int) -> DataFrame:
     """SO1: total rows and pages (one aggregate)."""
     return df.agg(F.count(F.lit(1)).alias("total")).withColumn("paginas", F.ceil(F.col("total") / F.lit(limit)))

@@ -128,3 +128,15 @@ def test_plans_join_only_what_they_name(spark):
     for name in ("kpi_growth_yoy", "kpi_mom_accum", "kpi_channel_month", "kpi_active_clients"):
         assert "Join" not in tree(name) and tree(name).count("FileScan") == 1
     assert tree("ventas_vs_metas").count("Anio#") and tree("ventas_vs_metas").split("Join", 1)[1].count("REPARTITION") <= 1
+
+
+def test_keyset_pages_are_the_offset_pages(spark):
+    from salesmart.operators.listing import PageSpec, page, page_after
+    df = spark.range(60).select(F.col("id").alias("k"), F.when(F.col("id") % 7 > 0, F.col("id") % 5).alias("v"))
+    for sort_by, order in (("v", "asc"), ("v", "desc"), (None, "asc"), (None, "desc")):
+        last = None
+        for n in range(1, 10):
+            want = [tuple(r) for r in page(df, "k", PageSpec(page=n, limit=7, sort_by=sort_by, sort_order=order), ("v",)).collect()]
+            got = [tuple(r) for r in page_after(df, "k", PageSpec(limit=7, sort_by=sort_by, sort_order=order), ("v",), last).collect()]
+            assert got == want
+            last = (got[-1][1], got[-1][0])
