@@ -22,6 +22,7 @@ import hashlib
 import hmac
 import re
 
+import ahocorasick
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -58,7 +59,16 @@ PATTERNS = [
                          r"|(?<![\d-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])")),
     ("name", re.compile(rf"\b(?:(?:Mr|Mrs|Ms|Miss|Dr|Herr|Frau|Señora|Señor|Mme)\.?[ ]{_CAP}(?:[ ]{_CAP})?|(?:{_NAME})[ ]{_CAP})")),
 ]
-_HINT = re.compile(r"[@\d]|[A-ZΑ-ΩА-Я]")
+_DIGIT = re.compile(r"\d")
+#: Every number pattern consists of these characters and has at least seven: the stretches it can match in.
+_STRETCH = re.compile(r"[+(\d][\d .()+-]{6,}")
+_NUMBERS = ("ip", "card", "ssn", "phone")
+#: Titles and given names, to see in one pass whether the name pattern can match at all.
+_NAMES = ahocorasick.Automaton()
+for _n in [*(n for names in GIVEN.values() for n in names), "Mr", "Mrs", "Ms", "Miss", "Dr", "Herr", "Frau", "Señor", "Señora", "Mme"]:
+    _NAMES.add_word(_n + " ", True)
+    _NAMES.add_word(_n + ". ", True)
+_NAMES.make_automaton()
 ENTITIES = "array<struct<kind:string,canonical:string>>"
 
 
@@ -86,14 +96,19 @@ def canonical(kind: str, surface: str) -> str:
 def detect(text: str | None) -> list[tuple[str, str, int, int]]:
     """(kind, surface, first character, past the last) of every entity, in text order, without overlaps."""
     text = text or ""
-    if not _HINT.search(text):
+    # each pattern needs an "@", a digit or a name; most texts have none of them
+    wanted = {"email": "@" in text, "name": next(_NAMES.iter(text), None) is not None}
+    digits = _DIGIT.search(text) is not None
+    if not digits and not any(wanted.values()):
         return []
     found: list[tuple[str, str, int, int]] = []
     taken = bytearray(len(text))
+    stretches = [m.span() for m in _STRETCH.finditer(text)] if digits else []
     for kind, pattern in PATTERNS:
-        if kind == "email" and "@" not in text:
+        if not wanted.get(kind, digits):
             continue
-        for m in pattern.finditer(text):
+        places = stretches if kind in _NUMBERS else [(0, len(text))]
+        for m in (m for a, b in places for m in pattern.finditer(text, a, b)):
             a, b = m.span()
             if not any(taken[a:b]):
                 taken[a:b] = b"\1" * (b - a)
