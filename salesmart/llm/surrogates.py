@@ -12,8 +12,11 @@ address ranges, and for names the script and the gender of the given name.
 Two entities of a type must not share a surrogate, and no surrogate may be an
 entity of the corpus.  Both are checked over the whole corpus with joins on
 (type, surrogate); the later entity of a clash draws again with the next
-attempt, in rounds, until nothing clashes.  Only entities past attempt 0, a
-small table, have to be looked up when texts are rewritten.
+attempt, in rounds, until nothing clashes.  The space drawn from grows with the
+attempt (a syllable, a letter, a digit, a wider address range), so crowded
+types come to an end too; formats that cannot grow (social security numbers,
+cards, secrets, all of IPv4) raise after ``MAX_ROUNDS``.  Only entities past
+attempt 0, a small table, have to be looked up when texts are rewritten.
 """
 
 from __future__ import annotations
@@ -70,6 +73,10 @@ for _n in [*(n for names in GIVEN.values() for n in names), "Mr", "Mrs", "Ms", "
     _NAMES.add_word(_n + ". ", True)
 _NAMES.make_automaton()
 ENTITIES = "array<struct<kind:string,canonical:string>>"
+#: Fixed-format types give up after this many rounds: more than about three quarters of their values are taken.
+MAX_ROUNDS = 64
+#: Attempts that stay within a phone number's length, or within the private address ranges.
+SAME_LENGTH, SAME_RANGE = 4, 16
 
 
 def _name_parts(surface: str) -> tuple[str, str, str, str]:
@@ -143,20 +150,24 @@ def _script(word: str) -> str:
 
 
 def surrogate(kind: str, canon: str, attempt: int, key: bytes) -> str:
-    """The canonical form of the replacement."""
+    """The canonical form of the replacement; later attempts draw from larger spaces."""
     d = _Draw(key, kind, canon, attempt)
     digit = lambda: str(d.below(10))
     if kind == "email":
         local, _, domain = canon.partition("@")
         labels = domain.split(".")
         swap = lambda s: "".join(digit() if c.isdigit() else "abcdefghijklmnopqrstuvwxyz"[d.below(26)] if c.isalpha() else c for c in s)
-        return swap(local) + "@" + ".".join([*map(swap, labels[:-1]), labels[-1]])
+        more = "".join("abcdefghijklmnopqrstuvwxyz"[d.below(26)] for _ in range(attempt))
+        return swap(local) + more + "@" + ".".join([*map(swap, labels[:-1]), labels[-1]])
     if kind == "secret":
         return "".join("0123456789abcdef"[d.below(16)] for _ in canon)
     if kind == "ip":
         o = canon.split(".")
         keep = 1 if o[0] == "10" else 2 if o[:2] == ["192", "168"] or (o[0] == "172" and 16 <= int(o[1]) < 32) else 0
         first = [n for n in range(11, 224) if n not in (127, 172, 192)]
+        if keep and attempt:
+            # the largest private range, then any address
+            o, keep = (["10"], 1) if attempt < SAME_RANGE else ([], 0)
         return ".".join(o[:keep] + [str(first[d.below(len(first))]) if keep == 0 and i == 0 else str(1 + d.below(254)) for i in range(4 - keep)])
     if kind == "card":
         body = "".join(digit() for _ in canon[:-1])
@@ -167,7 +178,7 @@ def surrogate(kind: str, canon: str, attempt: int, key: bytes) -> str:
         script = _script(last)
         gender = given if given in ("m", "f", "") else _GIVEN_GENDER.get(given, "mf"[d.below(2)])
         syll = SYLLABLES[script]
-        surname = "".join(syll[d.below(len(syll))] for _ in range(3))
+        surname = "".join(syll[d.below(len(syll))] for _ in range(3 + attempt))
         if given in ("m", "f", ""):
             return f"{given} {surname}"
         names = GIVEN[(script, gender)]
@@ -175,7 +186,7 @@ def surrogate(kind: str, canon: str, attempt: int, key: bytes) -> str:
     if kind == "phone":
         # the country code stays: of one to three digits in front, those beyond a ten-digit number
         keep = max(0, min(3, len(canon) - 10))
-        return canon[:keep] + str(2 + d.below(8)) + "".join(digit() for _ in canon[keep + 1:])
+        return canon[:keep] + str(2 + d.below(8)) + "".join(digit() for _ in canon[keep + 1:]) + "".join(digit() for _ in range(attempt // SAME_LENGTH))
     return "".join(digit() for _ in canon)
 
 
@@ -183,7 +194,7 @@ def render(kind: str, surface: str, new: str) -> str:
     """``new`` (canonical) in the format of ``surface``: digit groups, letter case, title."""
     if kind in ("phone", "card", "ssn"):
         digits = iter(new)
-        return "".join(next(digits) if c.isdigit() else c for c in surface)
+        return "".join(next(digits) if c.isdigit() else c for c in surface) + "".join(digits)
     if kind == "name":
         lead, _, given, _ = _name_parts(surface)
         first, _, last = new.rpartition(" ")
@@ -228,11 +239,12 @@ def resolve(entities: DataFrame, key: bytes) -> DataFrame:
 
     Of entities that drew the same surrogate the first by canonical form keeps
     it; the others, and any that drew an entity of the corpus, draw again.
+    Raises ValueError if a format that cannot grow holds too few values.
     """
     drawn = lambda df: df.withColumn("surrogate", _drawn(F.col("kind"), F.col("canonical"), F.col("attempt"), key))
     table = written(drawn(entities.select("kind", "canonical").distinct().withColumn("attempt", F.lit(0))), "surrogates")
     own = table.select("kind", F.col("canonical").alias("surrogate"))
-    while True:
+    for _ in range(MAX_ROUNDS):
         # an earlier round's surrogate stays: the lowest (attempt, canonical) of a clash keeps it
         first = table.groupBy("kind", "surrogate").agg(F.min(F.struct("attempt", "canonical")).alias("first"), F.count(F.lit(1)).alias("n"))
         clash = (table.join(first.where("n > 1"), ["kind", "surrogate"])
@@ -243,6 +255,8 @@ def resolve(entities: DataFrame, key: bytes) -> DataFrame:
             return table
         again = drawn(table.join(clash, ["kind", "canonical"], "left_semi").withColumn("attempt", F.col("attempt") + 1))
         table = written(table.join(clash, ["kind", "canonical"], "left_anti").unionByName(again.select(*table.columns)), "surrogates")
+    kinds = sorted(r["kind"] for r in clash.select("kind").distinct().collect())
+    raise ValueError(f"too few surrogates of the format of {', '.join(kinds)}: still clashing after {MAX_ROUNDS} rounds")
 
 
 def pseudonymise(docs: DataFrame, key: bytes, text_col: str = "text", name: str = "entities") -> DataFrame:

@@ -60,6 +60,34 @@ def test_clashes_are_resolved(spark, monkeypatch):
     assert all(r.surrogate == sg.surrogate(r.kind, r.canonical, r.attempt, KEY) for r in got)
 
 
+def test_more_entities_than_the_first_pool(spark, monkeypatch):
+    # 2,744 titled Latin surnames, 1,728 Cyrillic ones, 64,516 addresses in 192.168 and 260 short addresses at attempt 0
+    letters = "abcdefghijklmnop"
+    rows = [("name", f" {a}{b}{c}x") for a in letters for b in letters for c in letters]
+    rows += [("name", f"m {a}{b}{c}") for a in "абвгдежзик" for b in "абвгдежзик" for c in "абвгдежзиклмнопрстуф"]
+    rows += [("ip", f"192.168.{a}.{b}") for a in range(256) for b in range(0, 256, 2)]
+    rows += [("email", f"{a}@{b}.de") for a in "abcdefghijklmnopqrstuvwxyz" for b in "0123456789"]
+    rows += [("email", f"{a}@{b}.de") for a in "0123456789" for b in "0123456789"]
+    monkeypatch.setattr(sg, "MAX_ROUNDS", 12)
+    got = sg.resolve(spark.createDataFrame(rows, "kind string, canonical string"), KEY).collect()
+    own = set(rows)
+    assert {(r.kind, r.canonical) for r in got} == own and len(got) == len(own)
+    new = {(r.kind, r.surrogate) for r in got}
+    assert len(new) == len(got) and not own & new
+    assert all(r.surrogate.startswith(("192.168.", "10.")) for r in got if r.kind == "ip")
+
+
+def test_phone_grows_and_full_formats_raise(spark, monkeypatch):
+    late = sg.surrogate("phone", "1234567", sg.SAME_LENGTH, KEY)
+    assert len(late) == 8 and re.sub(r"\D", "", sg.render("phone", "+1 23 45 67", late)) == late
+    monkeypatch.setattr(sg, "MAX_ROUNDS", 2)
+    monkeypatch.setattr(sg, "surrogate", lambda kind, canon, attempt, key: "1")
+    df = spark.createDataFrame([("ssn", "2"), ("ssn", "3")], "kind string, canonical string")
+    monkeypatch.setattr(sg, "_drawn", lambda *a: F.lit("1"))
+    with pytest.raises(ValueError, match="ssn"):
+        sg.resolve(df, KEY)
+
+
 def test_edges_and_late_attempts(spark):
     many = " ".join(f"{a}{b}@x.de" for a in "abcdefghijklmnopqrst" for b in "abcdefghijklmnopqrstuvwxyz")
     rows = [(1, None, "e"), (2, "", "e"), (3, many, "e"), (3, many, "e"), (4, "zz@y.de " * 20000, "e"), (5, "plain", "e")]
