@@ -1,20 +1,23 @@
 """License scans: Dice coefficient over word bigrams against licence templates.
 
-Text and templates are normalised to lower-case words.  A text is cut into
-segments (lines and sentences); every run of consecutive segments is a
-candidate passage.  Dice(A, B) = 2 |A and B| / (|A| + |B|) over bigram
-multisets is at most 2 min(|A|, |B|) / (|A| + |B|), so a template of m bigrams
-can only reach the threshold t on passages of t m / (2 - t) to (2 - t) m / t
-bigrams; runs outside those bounds, and runs with too few bigrams that occur
-in the template at all, are pruned before any multiset is counted.
+Text and templates are normalised to lower-case words; every run of words is a
+candidate passage, wherever lines and sentences end.  Dice(A, B) =
+2 |A and B| / (|A| + |B|) over bigram multisets is at most
+2 min(|A|, |B|) / (|A| + |B|), so a template of m bigrams can only reach the
+threshold t on passages of t m / (2 - t) to (2 - t) m / t bigrams.  A bigram at
+the edge of a run that is not in the template only lowers its Dice, so the best
+runs begin and end with bigrams of the template: those, where enough of them
+lie close together, are the only runs whose multisets are counted.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
 from collections import Counter
+from heapq import heapify, heappop, heappush
+from math import ceil
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -59,7 +62,6 @@ TEMPLATES = [
 MATCHES = "array<struct<license:string,family:string,dice:double,c0:int,c1:int>>"
 
 _WORD = re.compile(r"[^\W_]+")
-_CUT = re.compile(r"\n|[.!?;:]+(?=\s)")
 
 
 def words_of(text: str | None) -> list[str]:
@@ -88,6 +90,25 @@ class Scanner:
                 self.index.setdefault(g, []).append(len(self.templates))
             self.templates.append((name, family, grams, grams.total()))
 
+    def _best(self, k: int, at: list[int], x: int, w: list[str], end: int) -> tuple | None:
+        """The best run from hit ``x`` of template ``k`` that ends by word ``end``, as (-dice, -words, first word, hit, template)."""
+        grams, m = self.templates[k][2:]
+        t, s, best = self.threshold, at[x], None
+        most, seen, shared = (2 - t) * m / t, {}, 0
+        for y in range(x, len(at)):
+            i = at[y]
+            n = i - s + 1
+            if n > most or i + 2 > end:
+                break
+            g = (w[i], w[i + 1])
+            seen[g] = c = seen.get(g, 0) + 1
+            if c <= grams[g]:
+                shared += 1
+                d = 2 * shared / (n + m)
+                if d >= t and (best is None or (-d, -n - 1) < best[:2]):
+                    best = (-d, -n - 1, s, x, k)
+        return best
+
     def scan(self, text: str | None) -> list[tuple[str, str, float, int, int]]:
         """Matches as (license, family, dice, first character, past the last), in text order; overlapping runs: the best."""
         text = text or ""
@@ -98,38 +119,37 @@ class Scanner:
             for k in known(g, ()):
                 hits.setdefault(k, []).append(i)
         t = self.threshold
-        hopeful = [k for k, at in hits.items() if len(at) >= t * self.templates[k][3] / (2 - t)]
-        if not hopeful:
+        runs = []
+        for k, at in hits.items():
+            m = self.templates[k][3]
+            need = max(1, ceil(t * m / (2 - t) - 1e-9))             # hits that a run has at least
+            if len(at) < need:
+                continue
+            a = np.array(at)
+            for x in np.nonzero(a[need - 1:] - a[:len(a) - need + 1] < (2 - t) * m / t)[0].tolist():
+                run = self._best(k, at, x, w, len(w))
+                if run:
+                    runs.append(run)
+        if not runs:
             return []
+        # the best run first; one that meets a taken word is cut short to the best run before it
+        heapify(runs)
+        taken, out = bytearray(len(w)), []
+        while runs:
+            d, words, s, x, k = heappop(runs)
+            e = s - words
+            stop = taken.find(1, s, e)
+            if stop < 0:
+                taken[s:e] = b"\1" * (e - s)
+                out.append((s, e, k, -d))
+            elif stop > s:
+                run = self._best(k, hits[k], x, w, stop)
+                if run:
+                    heappush(runs, run)
         lowered = text.lower()
         plain = text if len(lowered) == len(text) else lowered       # rare letters change length when lowered
         spans = [m.span() for m in _WORD.finditer(plain.lower())]
-        begins = [s for s, _ in spans]
-        # segments as word numbers: each starts at a word and ends before the next segment's first word
-        starts = sorted({0, len(w), *(bisect_left(begins, m.end()) for m in _CUT.finditer(plain))})
-        found = []
-        for k in hopeful:
-            name, family, grams, m = self.templates[k]
-            least, most = t * m / (2 - t), (2 - t) * m / t
-            at = hits[k]
-            for si, s in enumerate(starts[:-1]):
-                near = bisect_left(at, s)
-                if near == len(at) or at[near] - s > most:
-                    continue
-                for e in starts[si + 1:]:
-                    n = e - s - 1                                   # bigrams of the run
-                    if n > most:
-                        break
-                    if n < least or 2 * (bisect_left(at, e - 1) - near) < t * (n + m):
-                        continue
-                    d = dice(Counter(zip(w[s:e], w[s + 1:e])), grams)
-                    if d >= t:
-                        found.append((d, e - s, -s, name, family, s, e))
-        out: list[tuple] = []
-        for d, _, _, name, family, s, e in sorted(found, reverse=True):
-            if all(e <= o[0] or s >= o[1] for o in out):
-                out.append((s, e, name, family, d))
-        return [(name, family, d, spans[s][0], spans[e - 1][1]) for s, e, name, family, d in sorted(out)]
+        return [(*self.templates[k][:2], d, spans[s][0], spans[e - 1][1]) for s, e, k, d in sorted(out)]
 
 
 def matches(text: Column, templates: list[tuple[str, str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> Column:

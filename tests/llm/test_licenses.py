@@ -51,6 +51,33 @@ def test_pruned_scan_finds_what_the_full_one_finds():
         assert got <= best + 1e-12 and (got >= whole - 1e-12 if whole >= 0.8 else True)
 
 
+def test_notices_inside_running_sentences():
+    sc = lc.Scanner()
+    found = lambda text: [(m[0], text[m[3]:m[4]]) for m in sc.scan(text)]
+    assert found("This project is released under the MIT License.") == [("MIT", "released under the MIT License")]
+    assert found("As said, this text is licensed under CC BY 4.0 and free") == [("CC-BY-4.0", "licensed under CC BY 4.0")]
+    twice = "code released under the MIT License, text licensed under CC BY-NC 4.0 except where noted, all released under the MIT License"
+    assert [m[0] for m in sc.scan(twice)] == ["MIT", "CC-BY-NC-4.0", "MIT"]
+
+
+def test_scan_reaches_the_best_run_anywhere():
+    rnd = random.Random(5)
+    small = [t for t in lc.TEMPLATES if len(t[2]) < 90]
+    sc = lc.Scanner(small)
+    reached = 0
+    for _ in range(60):
+        t = rnd.choice(small)[2].strip(".").split()
+        for _ in range(rnd.randrange(3)):
+            t.insert(rnd.randrange(len(t)), rnd.choice(["the", "zz", "GNU", "License"]))
+        around = [[rnd.choice(["of", "under", "the", "License", "this", "work", "is"]) for _ in range(rnd.randrange(1, 9))] for _ in "ab"]
+        text = " ".join([*around[0], *t, *around[1]])
+        best = brute_best(text, small)
+        got = max((m[2] for m in sc.scan(text)), default=0.0)
+        assert abs(got - best) < 1e-12 if best >= lc.THRESHOLD else got == 0
+        reached += best >= lc.THRESHOLD
+    assert reached > 30
+
+
 def test_query_and_edges(spark):
     rows = QUERIES["op9_licenses"](spark, "/root/testdata/sf0.01").collect()
     docs = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
