@@ -1,5 +1,6 @@
 """Licence passages against a scan without pruning."""
 import random
+import re
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -62,7 +63,8 @@ def test_notices_inside_running_sentences():
 
 def test_scan_reaches_the_best_run_anywhere():
     rnd = random.Random(5)
-    small = [t for t in lc.TEMPLATES if len(t[2]) < 90]
+    # without the notices that name no version: they lie inside longer relatives, which a run may give way to
+    small = [t for t in lc.TEMPLATES if len(t[2]) < 90 and (re.search(r"\d", t[0]) or t[0] == "MIT")]
     sc = lc.Scanner(small)
     reached = 0
     for _ in range(60):
@@ -78,6 +80,30 @@ def test_scan_reaches_the_best_run_anywhere():
     assert reached > 30
 
 
+GNU = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU {0}General Public License as published "
+       "by the Free Software Foundation, either version {1} of the License, or (at your option) any later version. This program is distributed in "
+       "the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR "
+       "PURPOSE. See the GNU {0}General Public License for more details.")
+
+
+def test_near_relatives_keep_their_licence():
+    sc = lc.Scanner()
+    names = lambda text: [m[0] for m in sc.scan(text)]
+    for kind, version, name in [("", "2", "GPL-2.0"), ("", "3", "GPL-3.0"), ("Affero ", "3", "AGPL-3.0"), ("Lesser ", "3", "LGPL-3.0"),
+                                ("Lesser ", "2.1", "LGPL-2.1")]:
+        assert names("x " + GNU.format(kind, version) + " y") == [name]
+    two = next(t for n, _, t in lc.TEMPLATES if n == "BSD-2-Clause")
+    three = " Neither the name of {} nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+    assert names(two) == ["BSD-2-Clause"]
+    assert names(two + three.format("the Example Foundation")) == ["BSD-3-Clause"]
+    assert names("code under the terms of the Artistic License 2.0; texts licensed under CC0 1.0") == ["Artistic-2.0", "CC0-1.0"]
+    assert names("(c) 2020 X. All rights reserved.") == ["All rights reserved"]
+    assert names("Licensed under CC BY-NC 3.0") == ["CC-BY-NC-3.0"]
+    assert names("This work is licensed under the GNU Free Documentation License") == ["GFDL"]
+    for name, _, t in lc.TEMPLATES:
+        assert names("we say that " + t.strip(".") + " and go on") == [name]
+
+
 def test_query_and_edges(spark):
     rows = QUERIES["op9_licenses"](spark, "/root/testdata/sf0.01").collect()
     docs = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
