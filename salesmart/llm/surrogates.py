@@ -2,7 +2,7 @@
 
 Detected: e-mail addresses, phone numbers, IPv4 addresses, payment card
 numbers, social security numbers, hexadecimal secrets, and person names (a
-title or a known given name before a capitalised surname).  Each entity has a
+title or a known given name, see ``given_names``, before a capitalised surname).  Each entity has a
 canonical form; its surrogate is drawn from HMAC-SHA256 of a secret key, the
 type, the canonical form and an attempt number.  So one entity gets the same
 surrogate in every document (coreference), in the format it was written in:
@@ -31,8 +31,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import written
+from .given_names import KNOWN
 
-#: Given names by script and gender; surnames by script.
+#: Given names of surrogates by script and gender (names are detected by these and ``KNOWN``); surnames by script.
 GIVEN = {
     ("latin", "f"): ["Alice", "Anna", "Clara", "Elena", "Emma", "Julia", "Laura", "Lucia", "Maria", "Marie", "Nora", "Olivia", "Paula",
                      "Rosa", "Sarah", "Sofia"],
@@ -48,8 +49,14 @@ SYLLABLES = {"latin": ["bar", "den", "fal", "gor", "hen", "kel", "lin", "mar", "
              "greek": ["βαρ", "γερ", "δαν", "καλ", "λαμ", "μαρ", "νικ", "παπ", "ρος", "στα", "τελ", "χρι"]}
 TITLES = {"mr": "m", "mrs": "f", "ms": "f", "miss": "f", "herr": "m", "frau": "f", "señor": "m", "señora": "f", "mme": "f", "dr": ""}
 
-_GIVEN_GENDER = {n.lower(): g for (_, g), names in GIVEN.items() for n in names}
-_NAME = "|".join(sorted((n for names in GIVEN.values() for n in names), key=len, reverse=True))
+#: Gender of a given name; names of both genders have none.
+_GIVEN_GENDER: dict[str, str] = {}
+for (_, _g), _names in [*KNOWN.items(), *GIVEN.items()]:
+    for _n in _names:
+        _GIVEN_GENDER[_n.lower()] = _g if _GIVEN_GENDER.get(_n.lower(), _g) == _g else ""
+_ALL_GIVEN = sorted({n for lists in (KNOWN, GIVEN) for names in lists.values() for n in names})
+#: One branch a first letter, so that a word is compared with few names.
+_NAME = "|".join(f"{c}(?:{'|'.join(n[1:] for n in _ALL_GIVEN if n[0] == c)})" for c in sorted({n[0] for n in _ALL_GIVEN}))
 _CAP = r"[A-ZÀ-ÖØ-ÞΆ-ΏΑ-ΩА-ЯЁ][^\W\d_]+"
 #: Types in order of precedence; a later type does not match inside an earlier one's span.
 PATTERNS = [
@@ -68,7 +75,7 @@ _STRETCH = re.compile(r"[+(\d][\d .()+-]{6,}")
 _NUMBERS = ("ip", "card", "ssn", "phone")
 #: Titles and given names, to see in one pass whether the name pattern can match at all.
 _NAMES = ahocorasick.Automaton()
-for _n in [*(n for names in GIVEN.values() for n in names), "Mr", "Mrs", "Ms", "Miss", "Dr", "Herr", "Frau", "Señor", "Señora", "Mme"]:
+for _n in [*_ALL_GIVEN, "Mr", "Mrs", "Ms", "Miss", "Dr", "Herr", "Frau", "Señor", "Señora", "Mme"]:
     _NAMES.add_word(_n + " ", True)
     _NAMES.add_word(_n + ". ", True)
 _NAMES.make_automaton()
@@ -176,7 +183,8 @@ def surrogate(kind: str, canon: str, attempt: int, key: bytes) -> str:
     if kind == "name":
         given, _, last = canon.rpartition(" ")
         script = _script(last)
-        gender = given if given in ("m", "f", "") else _GIVEN_GENDER.get(given, "mf"[d.below(2)])
+        either = "mf"[d.below(2)] if given not in ("m", "f", "") else given
+        gender = _GIVEN_GENDER.get(given) or either
         syll = SYLLABLES[script]
         surname = "".join(syll[d.below(len(syll))] for _ in range(3 + attempt))
         if given in ("m", "f", ""):

@@ -41,6 +41,22 @@ def test_names_keep_gender_and_script():
             assert given in sg.GIVEN[(script, gender)] and sg._script(surname) == script
 
 
+@pytest.mark.parametrize("name,gender", [("James Wilson", "m"), ("Mary Johnson", "f"), ("Robert Brown", "m"), ("Fatima Hassan", "f"),
+                                         ("Krzysztof Nowak", "m"), ("Дмитрий Соколов", "m"), ("Татьяна Соколова", "f"), ("Γιάννης Παππάς", "m")])
+def test_common_names_outside_the_replacement_pool(name, gender):
+    given = name.split(" ")[0]
+    assert all(given not in names for names in sg.GIVEN.values())
+    new, seen = sg.replace(f"Then {name} came.", {}, KEY)
+    assert seen == [("name", name.lower())] and not any(w in new for w in name.split(" "))
+    assert new.split(" ")[1] in sg.GIVEN[(sg._script(given), gender)]
+
+
+def test_names_of_both_genders_and_other_words():
+    assert sg.replace("Then Robin Miller came.", {}, KEY)[1] == [("name", "robin miller")]
+    assert sg.detect("in April Showers; Will Congress act, Virginia Beach") == []
+    assert {g for n in ("mary", "james", "robin") for g in [sg._GIVEN_GENDER[n]]} == {"f", "m", ""}
+
+
 def test_coreference_across_formats():
     a, _ = sg.replace("+1 (504) 555-2652 Ab@Example.com Mr. Weber", {}, KEY)
     b, _ = sg.replace("+1 504-555-2652 ab@example.com Herr Weber", {}, KEY)
