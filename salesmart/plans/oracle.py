@@ -569,6 +569,36 @@ UNION ALL
 SELECT 'OrdenDetalle', 'sku_requerido', count(*) FROM lx WHERE src = 0 AND NOT present HAVING count(*) > 0
 """)
 
+ORACLE["bulk_violations_all"] = with_lines("""
+SELECT fuente, hoja, regla, count(*) AS filas FROM (
+  SELECT ['mssql','mysql'][CAST(c_custkey % 5 AS INTEGER) + 1] AS fuente, 'Cliente' AS hoja,
+         CASE WHEN trim(coalesce(c_name, '')) = '' THEN 'nombre_requerido' ELSE 'nombre_largo' END AS regla
+  FROM customer WHERE c_custkey % 5 IN (0, 1) AND (trim(coalesce(c_name, '')) = '' OR length(c_name) > 120)
+  UNION ALL
+  SELECT k.s, 'Producto', CASE WHEN length(pa.nm) > 150 THEN 'nombre_largo' ELSE 'categoria_requerido' END
+  FROM parts pa CROSS JOIN (VALUES (0, 'mssql'), (1, 'mysql')) k(k, s)
+  WHERE CASE WHEN pa.p % 97 = 0 THEN k.k = 1 WHEN pa.p % 97 = 1 THEN false ELSE pa.p % 10 <> k.k END
+    AND (length(pa.nm) > 150 OR trim(coalesce(pa.cat, '')) = '')
+  UNION ALL
+  SELECT 'mssql', 'Orden', 'canal_invalido' FROM orders WHERE o_custkey % 5 = 0 AND substr(o_orderpriority, 1, 1) = '4'
+  UNION ALL
+  SELECT 'mssql', 'Orden', 'total_invalido' FROM orders WHERE o_custkey % 5 = 0 AND coalesce(o_totalprice, 0) <= 0
+  UNION ALL
+  SELECT 'mssql', 'Orden', 'email_invalido' FROM orders
+  WHERE o_custkey % 5 = 0 AND o_custkey NOT IN (SELECT c_custkey FROM customer)
+  UNION ALL
+  SELECT 'mysql', 'Orden', 'correo_invalido' FROM orders
+  WHERE o_custkey % 5 = 1 AND (o_custkey % 7 = 0 OR o_custkey NOT IN (SELECT c_custkey FROM customer))
+  UNION ALL
+  SELECT fuente, 'OrdenDetalle', CASE src WHEN 0 THEN 'sku_requerido' ELSE 'codigo_requerido' END
+  FROM lx WHERE src IN (0, 1) AND NOT present
+  UNION ALL
+  SELECT fuente, 'OrdenDetalle', 'cantidad_invalida' FROM lx WHERE src IN (0, 1) AND qty <= 0
+  UNION ALL
+  SELECT fuente, 'OrdenDetalle', 'precio_invalido' FROM lx WHERE src = 0 AND cents <= 0
+) t GROUP BY 1, 2, 3
+""")
+
 ORACLE["bulk_upsert"] = """
 SELECT 'actualizado' AS accion, count(*) AS filas FROM customer WHERE c_custkey % 5 = 0
 UNION ALL SELECT 'insertado', count(*) FROM customer WHERE c_custkey % 5 = 1

@@ -551,6 +551,38 @@ def bulk_violations(spark, sf_dir):
     return u.groupBy("hoja", "regla").agg(F.count(F.lit(1)).alias("filas"))
 
 
+@register("bulk_violations_all")
+def bulk_violations_all(spark, sf_dir):
+    """FL15/FL16 + JN19: rule violations of all eight bulk sheets (four a relational source) built from the sources."""
+    from ..operators import bulk
+    from ..operators.keys import global_row_number
+    s = _src(spark, sf_dir)
+    ms, my = s["mssql"], s["mysql"]
+    ms_orden = ms["Orden"].join(ms["Cliente"].select("ClienteId", "Email"), "ClienteId", "left")
+    my_orden = my["Orden"].join(my["Cliente"].select(F.col("id").alias("cliente_id"), "correo"), "cliente_id", "left")
+    # JN19: a line names its order by the 1-based row position of the order sheet
+    ms_idx = global_row_number(ms["Orden"].select("OrdenId"), ["OrdenId"], "OrdenIndex")
+    my_idx = global_row_number(my["Orden"].select(F.col("id").alias("orden_id")), ["orden_id"], "OrdenIndex")
+    ms_lines = (ms["OrdenDetalle"].join(ms_idx, "OrdenId", "left")
+                .join(ms["Producto"].select("ProductoId", "SKU"), "ProductoId", "left"))
+    my_lines = (my["OrdenDetalle"].join(my_idx, "orden_id", "left")
+                .join(my["Producto"].select(F.col("id").alias("producto_id"), "codigo_alt"), "producto_id", "left"))
+    u = None
+    for fuente, hoja, df, row, rules in [
+            ("mssql", "Cliente", ms["Cliente"], "ClienteId", bulk.client_rules_mssql()),
+            ("mssql", "Producto", ms["Producto"], "ProductoId", bulk.product_rules_mssql()),
+            ("mssql", "Orden", ms_orden, "OrdenId", bulk.order_rules_mssql()),
+            ("mssql", "OrdenDetalle", ms_lines, "OrdenDetalleId", bulk.line_rules_mssql()),
+            ("mysql", "Cliente", my["Cliente"], "id", bulk.client_rules_mysql()),
+            ("mysql", "Producto", my["Producto"], "id", bulk.product_rules_mysql()),
+            ("mysql", "Orden", my_orden, "id", bulk.order_rules_mysql()),
+            ("mysql", "OrdenDetalle", my_lines, "id", bulk.line_rules_mysql())]:
+        x = bulk.sheet_violations(df, rules, row).select(
+            F.lit(fuente).alias("fuente"), F.lit(hoja).alias("hoja"), F.explode("violaciones").alias("regla"))
+        u = x if u is None else u.unionByName(x)
+    return u.groupBy("fuente", "hoja", "regla").agg(F.count(F.lit(1)).alias("filas"))
+
+
 @register("bulk_upsert")
 def bulk_upsert(spark, sf_dir):
     """BL1 + AG19: upload of clients upserted by email into the SQL Server clients."""
