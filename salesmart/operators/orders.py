@@ -58,10 +58,13 @@ def merge_repeated_products(lines: DataFrame, order_col: str, product_col: str,
 def total_mismatches(orders: DataFrame, lines: DataFrame, key: str, total_col: str, line_total: F.Column,
                      tolerance: float = 0.01, keep_all: bool = False) -> DataFrame:
     """AG14: stored order total vs sum of its lines, beyond a tolerance
-    (``keep_all``: every order with lines, flagged in ``descuadre``)."""
-    s = lines.groupBy(key).agg(F.sum(line_total).alias("_lines"))
-    j = orders.select(key, F.col(total_col).alias("_stored")).join(s, key, "inner")
-    j = j.withColumn("descuadre", F.abs(F.col("_stored") - F.col("_lines")) > tolerance)
+    (``keep_all``: every order, flagged in ``descuadre``).  An order without
+    lines should have a total of 0 (``sin_lineas`` marks it), one without a
+    total matches no sum."""
+    s = lines.groupBy(key).agg(F.coalesce(F.sum(line_total), F.lit(0)).alias("_lines"))
+    j = orders.select(key, F.col(total_col).alias("_stored")).join(s, key, "left")
+    j = j.withColumn("sin_lineas", F.col("_lines").isNull()).withColumn("_lines", F.coalesce("_lines", F.lit(0)))
+    j = j.withColumn("descuadre", F.coalesce(F.abs(F.col("_stored") - F.col("_lines")) > tolerance, F.lit(True)))
     return j if keep_all else j.where("descuadre")
 
 

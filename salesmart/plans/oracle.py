@@ -869,3 +869,53 @@ FROM orders WHERE o_orderkey % 4 < 2
 ORACLE["rate_backfill"] = """
 SELECT DATE '1995-08-02' AS desde, DATE '1998-08-02' AS hasta, caso = 'enero' AS cargar, caso FROM (VALUES ('enero'), ('todas')) t(caso)
 """
+
+
+# ------------------------------------------------------- features over all the sources they cover
+
+ORACLE["order_payload_violations_all"] = """
+SELECT ['mongo','supabase','neo4j'][k] AS fuente, regla, count(*) AS filas FROM (
+  SELECT CASE o_custkey % 5 WHEN 3 THEN 1 WHEN 2 THEN 2 ELSE 3 END AS k, 'sin_items' AS regla FROM orders o
+  WHERE o_custkey % 5 IN (2, 3, 4) AND NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)
+  UNION ALL
+  SELECT 1, 'canal_invalido' FROM orders WHERE o_custkey % 5 = 3 AND substr(o_orderpriority, 1, 1) IN ('3', '4')
+  UNION ALL
+  SELECT 2, 'canal_invalido' FROM orders WHERE o_custkey % 5 = 2 AND substr(o_orderpriority, 1, 1) = '2'
+) t GROUP BY 1, 2
+"""
+
+ORACLE["bridge_validation_all"] = with_all("""
+SELECT s AS fuente, CASE k WHEN 2 THEN NOT (p % 97 = 1 OR p % 10 = 5) WHEN 3 THEN p % 10 NOT IN (6, 7, 8) ELSE true END AS valido,
+       count(*) AS filas
+FROM pres WHERE k IN (2, 3, 4) GROUP BY 1, 2
+""", PRESENT_CTE)
+
+ORACLE["lookup_by_name_all"] = with_all("""
+SELECT s AS fuente, source_code AS codigo, sku AS sku_oficial FROM pres
+""", PRESENT_CTE)
+
+ORACLE["sku_by_name_fallback_all"] = with_all("""
+SELECT s AS fuente, source_code AS codigo, sku AS sku_por_nombre FROM pres WHERE k <> 0
+""", PRESENT_CTE)
+
+# only SQL Server stores a total that is not the sum of its lines; order totals there carry tax
+ORACLE["order_total_check_all"] = with_lines("""
+SELECT """ + SRC_NAMES + """[CAST(o.o_custkey % 5 AS INTEGER) + 1] AS fuente, count(*) AS ordenes_revisadas,
+       count(*) FILTER (WHERE s.ok IS NULL) AS sin_lineas,
+       count(*) FILTER (WHERE o.o_custkey % 5 = 0
+                        AND abs(CAST(o.o_totalprice AS DECIMAL(18,2)) - coalesce(s.total, 0)) > 0.01) AS descuadres
+FROM orders o LEFT JOIN (
+  SELECT ok, sum(CAST(round(qty * cents * (100 - CAST(pct AS INTEGER)) / 10000.0, 2) AS DECIMAL(18,2))) AS total
+  FROM lx GROUP BY ok) s ON s.ok = o.o_orderkey
+GROUP BY 1
+""")
+
+ORACLE["duplicate_products_in_orders_all"] = with_lines("""
+SELECT DISTINCT fuente, CASE src WHEN 3 THEN printf('%024d', ok) ELSE printf('ORD-%06d', ok) END AS orden_id
+FROM lx WHERE src IN (3, 4) GROUP BY fuente, src, ok, p HAVING count(*) > 1
+""")
+
+ORACLE["codes_to_skus_all"] = with_all("""
+SELECT DISTINCT pres.s AS fuente, pres.source_code AS code, pres.sku AS SKU
+FROM lx JOIN pres ON lx.p = pres.p AND lx.src = pres.k WHERE lx.src IN (2, 3)
+""", PRESENT_CTE)

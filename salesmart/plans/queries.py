@@ -451,7 +451,7 @@ def order_total_check(spark, sf_dir):
     o = s["Orden"].select(F.col("id").alias("orden_id"), parse_amount(F.col("total")).alias("total"))
     d = s["OrdenDetalle"]
     lt = (F.col("cantidad") * parse_amount(F.col("precio_unit"))).cast("decimal(18,2)")
-    j = total_mismatches(o, d, "orden_id", "total", lt, keep_all=True)
+    j = total_mismatches(o, d, "orden_id", "total", lt, keep_all=True).where(~F.col("sin_lineas"))
     return j.agg(F.count(F.lit(1)).alias("ordenes_revisadas"),
                   F.count(F.when(F.col("descuadre"), 1)).alias("descuadres"))
 
@@ -1037,3 +1037,127 @@ def rate_backfill(spark, sf_dir):
     some = t.where(F.col("fecha") < F.add_months(F.lit("1992-01-01").cast("date"), 1))
     return backfill_range(some, "1998-08-02").withColumn("caso", F.lit("enero")).unionByName(
         backfill_range(t, "1998-08-02").withColumn("caso", F.lit("todas")))
+
+
+# ------------------------------------------------------------------ features over all the sources they cover
+
+def _union(parts):
+    out = None
+    for x in parts:
+        out = x if out is None else out.unionByName(x)
+    return out
+
+
+def _product_names(s):
+    """(fuente, codigo, nombre, categoria) of every source's products, by the code the bridge knows them by."""
+    code = {"mssql": F.col("ProductoId").cast("string"), "mysql": F.col("codigo_alt"),
+            "supabase": F.coalesce(F.when(F.trim("sku") != "", F.col("sku")), F.col("producto_id")),
+            "mongo": F.col("codigo_mongo"), "neo4j": F.col("id")}
+    table = {"mssql": "Producto", "mysql": "Producto", "supabase": "producto", "mongo": "productos", "neo4j": "Producto"}
+    return {k: s[k][table[k]].select(F.lit(k).alias("fuente"), code[k].alias("codigo"), "nombre", "categoria") for k in code}
+
+
+def _nested_items(orders, lines, key, line_key, product):
+    """``orders`` with their lines as an array; null without lines."""
+    items = lines.groupBy(F.col(line_key).alias(key)).agg(
+        F.collect_list(F.struct(F.col(product).alias("producto_id"), "cantidad", "precio_unit")).alias("items"))
+    return orders.join(items, key, "left")
+
+
+@register("order_payload_violations_all")
+def order_payload_violations_all(spark, sf_dir):
+    """FL17: Mongo, Supabase and Neo4j orders checked against their source's order payload rules."""
+    from ..functions.validate import violations
+    from ..operators.orders import payload_rules
+    s = _src(spark, sf_dir)
+    orders = {"mongo": s["mongo"]["ordenes"],
+              "supabase": _nested_items(s["supabase"]["orden"], s["supabase"]["orden_detalle"], "orden_id", "orden_id", "producto_id"),
+              "neo4j": _nested_items(s["neo4j"]["Orden"], s["neo4j"]["CONTIENE"], "id", "from_id", "to_id")}
+    v = _union(o.select(F.lit(k).alias("fuente"), F.explode(violations(payload_rules(k))).alias("regla")) for k, o in orders.items())
+    return v.groupBy("fuente", "regla").agg(F.count(F.lit(1)).alias("filas"))
+
+
+@register("bridge_validation_all")
+def bridge_validation_all(spark, sf_dir):
+    """JN22: Supabase, Neo4j and document products' (SKU, name, category) checked against the bridge."""
+    from ..functions.clean import normalize_sku
+    from ..operators.orders import validate_against_bridge
+    s = _src(spark, sf_dir)
+    sku = {"supabase": (s["supabase"]["producto"], "sku"), "neo4j": (s["neo4j"]["Producto"], "sku"),
+           "mongo": (s["mongo"]["productos"], "equivalencias.sku")}
+    p = _union(df.select(F.lit(k).alias("fuente"), normalize_sku(F.col(c)).alias("_sku"), "nombre", "categoria")
+               for k, (df, c) in sku.items())
+    v = validate_against_bridge(p, _w(spark, sf_dir)["map_producto"], "_sku", "nombre", "categoria")
+    return v.groupBy("fuente", "valido").agg(F.count(F.lit(1)).alias("filas"))
+
+
+@register("lookup_by_name_all")
+def lookup_by_name_all(spark, sf_dir):
+    """ER6: official SKU of each product of the five sources by (name, category)."""
+    from ..operators.equivalence import lookup_by_name as lk
+    p = _union(_product_names(_src(spark, sf_dir)).values())
+    return lk(p, _w(spark, sf_dir)["eq_map"], "nombre", "categoria").select("fuente", "codigo", "sku_oficial")
+
+
+@register("sku_by_name_fallback_all")
+def sku_by_name_fallback_all(spark, sf_dir):
+    """WN2/JN21: each MySQL, Supabase, Mongo and Neo4j product resolved through the bridge by
+    (name, category) with source priority and newest row first."""
+    from ..operators.equivalence import best_bridge_by_name
+    p = _union(df for k, df in _product_names(_src(spark, sf_dir)).items() if k != "mssql")
+    return best_bridge_by_name(p, _w(spark, sf_dir)["map_producto"], "nombre", "categoria").select(
+        "fuente", "codigo", "sku_por_nombre")
+
+
+@register("order_total_check_all")
+def order_total_check_all(spark, sf_dir):
+    """AG14: stored totals of the five sources vs the sum of their lines (net of the line discount where there is one);
+    orders without lines count too."""
+    from ..functions.clean import parse_amount
+    from ..operators.orders import total_mismatches
+    s = _src(spark, sf_dir)
+    item = F.explode("items").alias("it")
+    per = {"mssql": (s["mssql"]["Orden"], "OrdenId", F.col("Total"), s["mssql"]["OrdenDetalle"], F.col("OrdenId"),
+                     F.col("Cantidad") * F.col("PrecioUnit") * (1 - F.coalesce("DescuentoPct", F.lit(0)) / 100)),
+           "mysql": (s["mysql"]["Orden"], "id", parse_amount(F.col("total")), s["mysql"]["OrdenDetalle"], F.col("orden_id"),
+                     F.col("cantidad") * parse_amount(F.col("precio_unit"))),
+           "supabase": (s["supabase"]["orden"], "orden_id", F.col("total"), s["supabase"]["orden_detalle"], F.col("orden_id"),
+                        F.col("cantidad") * F.col("precio_unit")),
+           "mongo": (s["mongo"]["ordenes"], "_id", F.col("total"), s["mongo"]["ordenes"].select("_id", item), F.col("_id"),
+                     F.col("it.cantidad") * F.col("it.precio_unit")),
+           "neo4j": (s["neo4j"]["Orden"], "id", F.col("total"), s["neo4j"]["CONTIENE"], F.col("from_id"),
+                     F.col("cantidad") * F.col("precio_unit"))}
+    parts = []
+    for k, (o, key, total, d, ref, amount) in per.items():
+        o = o.select(F.col(key).alias("orden_id"), total.cast("decimal(18,2)").alias("total"))
+        d = d.select(ref.alias("orden_id"), amount.cast("decimal(18,2)").alias("_line"))
+        j = total_mismatches(o, d, "orden_id", "total", F.col("_line"), keep_all=True)
+        parts.append(j.agg(F.count(F.lit(1)).alias("ordenes_revisadas"), F.count_if("sin_lineas").alias("sin_lineas"),
+                           F.count_if("descuadre").alias("descuadres")).select(F.lit(k).alias("fuente"), "*"))
+    return _union(parts)
+
+
+@register("duplicate_products_in_orders_all")
+def duplicate_products_in_orders_all(spark, sf_dir):
+    """FL18: graph and document orders that list a product twice."""
+    from ..operators.orders import duplicate_products
+    s = _src(spark, sf_dir)
+    graph = _nested_items(s["neo4j"]["Orden"].select("id"), s["neo4j"]["CONTIENE"], "id", "from_id", "to_id")
+    orders = {"neo4j": graph.select(F.col("id").alias("orden_id"), "items"),
+              "mongo": s["mongo"]["ordenes"].select(F.col("_id").alias("orden_id"), "items")}
+    return _union(duplicate_products(o.where(F.col("items").isNotNull())).select(F.lit(k).alias("fuente"), "orden_id")
+                  for k, o in orders.items())
+
+
+@register("codes_to_skus_all")
+def codes_to_skus_all(spark, sf_dir):
+    """JN12: product codes of every Mongo and Supabase order line -> official SKU."""
+    from ..operators.rules import codes_to_skus
+    s, w = _src(spark, sf_dir), _w(spark, sf_dir)
+    ids = {"mongo": s["mongo"]["productos"].select(F.col("_id").alias("producto_id"), F.col("codigo_mongo").alias("code")),
+           "supabase": s["supabase"]["producto"].select("producto_id", F.coalesce(F.when(F.trim("sku") != "", F.col("sku")),
+                                                                                  F.col("producto_id")).alias("code"))}
+    lines = {"mongo": s["mongo"]["ordenes"].select(F.explode("items.producto_id").alias("producto_id")),
+             "supabase": s["supabase"]["orden_detalle"].select("producto_id")}
+    return _union(codes_to_skus(lines[k].distinct().join(ids[k], "producto_id").select("code").distinct(),
+                                w["map_producto"], w["dim_producto"], k).select(F.lit(k).alias("fuente"), "code", "SKU") for k in ids)

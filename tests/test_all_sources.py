@@ -12,3 +12,25 @@ def test_bulk_violations_cover_both_sources(spark):
     got = {(r.fuente, r.hoja, r.regla) for r in _rows(spark, "bulk_violations_all")}
     assert {("mssql", "Orden", "canal_invalido"), ("mssql", "OrdenDetalle", "sku_requerido"), ("mysql", "Orden", "correo_invalido"),
             ("mysql", "OrdenDetalle", "codigo_requerido")} <= got
+
+
+def test_every_named_source_shows_up(spark):
+    five = {"mssql", "mysql", "supabase", "mongo", "neo4j"}
+    for name, sources in [("order_payload_violations_all", {"mongo", "supabase", "neo4j"}), ("lookup_by_name_all", five),
+                          ("bridge_validation_all", {"supabase", "neo4j", "mongo"}), ("sku_by_name_fallback_all", five - {"mssql"}),
+                          ("order_total_check_all", five), ("codes_to_skus_all", {"mongo", "supabase"})]:
+        assert {r.fuente for r in _rows(spark, name)} == sources, name
+
+
+def test_orders_without_lines_are_checked(spark):
+    orders = spark.read.parquet(f"{SF}/orders.parquet").count()
+    got = _rows(spark, "order_total_check_all")
+    assert sum(r.ordenes_revisadas for r in got) == orders and sum(r.sin_lineas for r in got) == 27
+
+
+def test_total_mismatches_keeps_orders_without_lines(spark):
+    from pyspark.sql import functions as F
+    from salesmart.operators.orders import total_mismatches
+    o = spark.createDataFrame([(1, 5.0), (2, 3.0), (3, 0.0), (4, None)], "k int, total double")
+    d = spark.createDataFrame([(1, 5.0), (4, 1.0)], "k int, v double")
+    assert {r.k for r in total_mismatches(o, d, "k", "total", F.col("v")).collect()} == {2, 4}
