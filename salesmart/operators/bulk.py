@@ -158,3 +158,41 @@ def upsert_clients_by_email(stored: DataFrame, upload: DataFrame, key_col: str =
     actions = (updates.select("_row", F.lit("actualizado").alias("accion"))
                .unionByName(inserts.select("_row", F.lit("insertado").alias("accion"))))
     return new_table, actions
+
+
+def append_clients(stored: DataFrame, upload: DataFrame, id_col: str = "id", defaults: dict | None = None) -> DataFrame:
+    """BL2: every uploaded client becomes a new row, also with an e-mail that is
+    stored already; ids follow the largest one in the order of ``_row``.
+    ``defaults`` fill missing values.  Orders of the upload find their client
+    by ``resolve_emails`` (the last of an e-mail wins)."""
+    from .keys import global_row_number
+    new = upload
+    for c, v in (defaults or {}).items():
+        new = new.withColumn(c, F.coalesce(F.col(c), F.lit(v)) if c in upload.columns else F.lit(v))
+    max_id = stored.agg(F.coalesce(F.max(id_col), F.lit(0))).first()[0]     # a scalar
+    new = (global_row_number(new, ["_row"], "_k")
+           .withColumn(id_col, (F.lit(max_id) + F.col("_k")).cast(stored.schema[id_col].dataType)))
+    return stored.unionByName(new.select(*[c for c in stored.columns if c in new.columns]), allowMissingColumns=True)
+
+
+def upsert_products(stored: DataFrame, upload: DataFrame, key_col: str, id_col: str) -> tuple[DataFrame, DataFrame]:
+    """BL3: a stored product of the same ``key_col`` (SKU or codigo_alt) keeps its
+    id and takes the values of the last uploaded row; other keys get new ids,
+    by the first row that names them.  Returns (new table, per-key action)."""
+    from .keys import global_row_number
+    last = merge_overwrite(None, upload, [key_col], "_row").drop("_row", id_col)
+    first = upload.groupBy(key_col).agg(F.min("_row").alias("_first"))
+    j = last.join(first, key_col).join(stored.select(key_col, F.col(id_col).alias("_sid")), key_col, "left")
+    updates = j.where(F.col("_sid").isNotNull()).withColumn(id_col, F.col("_sid"))
+    max_id = stored.agg(F.coalesce(F.max(id_col), F.lit(0))).first()[0]     # a scalar
+    inserts = (global_row_number(j.where(F.col("_sid").isNull()), ["_first"], "_k")
+               .withColumn(id_col, (F.lit(max_id) + F.col("_k")).cast(stored.schema[id_col].dataType)))
+    kept = stored.join(updates.select(key_col), key_col, "left_anti").select(*stored.columns)
+    # columns the upload does not have stay as stored
+    own = [c for c in stored.columns if c not in upload.columns and c != id_col]
+    updates = updates.join(stored.select(key_col, *own), key_col) if own else updates
+    table = kept.unionByName(updates.select(*stored.columns)).unionByName(
+        inserts.select(*[c for c in stored.columns if c in inserts.columns]), allowMissingColumns=True)
+    actions = (updates.select(key_col, F.lit("actualizado").alias("accion"))
+               .unionByName(inserts.select(key_col, F.lit("insertado").alias("accion"))))
+    return table, actions

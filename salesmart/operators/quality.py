@@ -112,6 +112,18 @@ def rate_status(tipo_cambio: DataFrame, today) -> DataFrame:
     return agg.withColumn("estado", fx_status(F.col("ultima_fecha"), F.col("tasas_hoy"), today))
 
 
+def rates_of_day(tipo_cambio: DataFrame, today) -> DataFrame:
+    """AG11: the day's two rates in one row; null where one is missing."""
+    t = tipo_cambio.where(F.col("fecha") == F.lit(today).cast("date"))
+    rate = lambda de, a: F.max(F.when((F.col("de") == de) & (F.col("a") == a), F.col("tasa")))
+    return t.agg(rate("USD", "CRC").alias("tasa_usd_crc"), rate("CRC", "USD").alias("tasa_crc_usd"))
+
+
+def last_log_rows(log: DataFrame, n: int = 10) -> DataFrame:
+    """AG11: the last ``n`` rows of the run log (SNK8), newest first."""
+    return log.orderBy(F.desc("ts"), "tipo", "estado", "mensaje").limit(n)
+
+
 def last_load(df: DataFrame, col: str = "LoadTS") -> DataFrame:
     """AG18: max load timestamp with the 1900-01-01 default."""
     return df.agg(F.coalesce(F.max(col), F.lit("1900-01-01").cast("timestamp")).alias("last_load"))

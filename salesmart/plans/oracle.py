@@ -919,3 +919,28 @@ ORACLE["codes_to_skus_all"] = with_all("""
 SELECT DISTINCT pres.s AS fuente, pres.source_code AS code, pres.sku AS SKU
 FROM lx JOIN pres ON lx.p = pres.p AND lx.src = pres.k WHERE lx.src IN (2, 3)
 """, PRESENT_CTE)
+
+ORACLE["stream_daily_channel_sales"] = """
+SELECT CAST(date_trunc('day', ts) AS DATE) AS dia, ['WEB','TIENDA','APP','PARTNER','WEB'][CAST(user_id % 5 AS INTEGER) + 1] AS canal,
+       count(*) AS compras, round(sum(value), 4) AS valor
+FROM events WHERE event_type = 'purchase' GROUP BY 1, 2
+"""
+
+ORACLE["fx_rates_today"] = with_all("""
+SELECT max(sell) AS tasa_usd_crc, max(buy) AS tasa_crc_usd FROM rates WHERE fecha = (SELECT max(d) FROM staged)
+""", RATE_DAYS_CTE)
+
+ORACLE["bulk_append_clients"] = """
+SELECT count(*) * 2 AS filas, count(*) * 2 AS ids, CAST(max(c_custkey) + count(*) AS BIGINT) AS ultimo,
+       count(*) FILTER (WHERE c_custkey % 7 <> 0) AS correos
+FROM customer WHERE c_custkey % 5 = 1
+"""
+
+ORACLE["bulk_upsert_products"] = """
+WITH x AS (SELECT k.s AS fuente, CASE WHEN p_partkey % 97 = 0 THEN k.k = 1 WHEN p_partkey % 97 = 1 THEN false
+                                      ELSE p_partkey % 10 <> k.k END AS stored
+           FROM part CROSS JOIN (VALUES (0, 'mssql'), (1, 'mysql')) k(k, s))
+SELECT fuente, CASE WHEN stored THEN 'actualizado' ELSE 'insertado' END AS accion, count(*) AS filas FROM x GROUP BY 1, 2
+UNION ALL
+SELECT fuente, 'total_tabla', count(*) FROM x GROUP BY 1
+"""

@@ -142,7 +142,7 @@ def dim_producto(spark, sf_dir):
 @register("fact_ventas")
 def fact_ventas(spark, sf_dir):
     """DW7/DW9 over the whole run: sources (SE2 union) -> staging (JN1-JN3, FL1-FL4,
-    SC2, SC6-SC8, SC10, SC12-SC14, SC17, SC21-SC25) -> dims (DW1-DW6) -> fact (JN4, SC26-SC28, FL6, JN5)."""
+    SC2, SC6-SC8, SC10, SC12-SC14, SC17, SC21-SC22, SC24-SC25) -> dims (DW1-DW6) -> fact (JN4, SC26-SC28, FL6, JN5)."""
     w = _w(spark, sf_dir)
     p = w["dim_producto"].select("ProductoID", "SKU")
     return w["fact_ventas"].join(p, "ProductoID").select(
@@ -1161,3 +1161,56 @@ def codes_to_skus_all(spark, sf_dir):
              "supabase": s["supabase"]["orden_detalle"].select("producto_id")}
     return _union(codes_to_skus(lines[k].distinct().join(ids[k], "producto_id").select("code").distinct(),
                                 w["map_producto"], w["dim_producto"], k).select(F.lit(k).alias("fuente"), "code", "SKU") for k in ids)
+
+
+@register("stream_daily_channel_sales")
+def stream_daily_channel_sales_q(spark, sf_dir):
+    """SM3: purchase events per 1-day tumbling window and channel (of the buyer: ``user_id % 5``) with a watermark."""
+    from ..sources.fixtures import FIXTURE_CHANNELS, pick
+    from ..streaming.ingest import daily_sales_stream, read_latest_by_key
+    base = _stream_dir(spark, "daily_channel")
+    daily_sales_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet", f"{base}/out", f"{base}/ckpt",
+                       channel=pick((F.col("user_id") % 5).cast("int"), FIXTURE_CHANNELS))
+    r = read_latest_by_key(spark, f"{base}/out", "dia", "canal")
+    return r.select("dia", "canal", "compras", F.round("valor", 4).alias("valor"))
+
+
+@register("fx_rates_today")
+def fx_rates_today(spark, sf_dir):
+    """AG11: the two rates as of the last order date of the data."""
+    from ..operators.quality import rates_of_day
+    w = _w(spark, sf_dir)
+    today = w["stg_orden_items"].agg(F.max("fecha_dt")).first()[0]
+    return rates_of_day(w["tipo_cambio"], today).select(*[F.col(c).cast("double").alias(c) for c in ("tasa_usd_crc", "tasa_crc_usd")])
+
+
+@register("bulk_append_clients")
+def bulk_append_clients(spark, sf_dir):
+    """BL2: every MySQL client uploaded once more: all appended with new ids, no e-mail is merged."""
+    from ..operators import bulk
+    c = _src(spark, sf_dir)["mysql"]["Cliente"]
+    up = c.withColumnRenamed("id", "_row")
+    t = bulk.append_clients(c, up, "id", {"genero": "M"})
+    return t.agg(F.count(F.lit(1)).alias("filas"), F.countDistinct("id").alias("ids"), F.max("id").cast("long").alias("ultimo"),
+                 F.countDistinct("correo").alias("correos"))
+
+
+@register("bulk_upsert_products")
+def bulk_upsert_products(spark, sf_dir):
+    """BL3: every part uploaded as a product of SQL Server (by SKU) and MySQL (by codigo_alt): updates and inserts."""
+    from ..operators import bulk
+    from ..sources import fixtures
+    s = _src(spark, sf_dir)
+    p = fixtures.read_table(spark, sf_dir, "part")
+    pk = F.col("p_partkey")
+    up = p.select(pk.alias("_row"), fixtures.sku_of(pk).alias("SKU"), F.concat(F.lit("ALT-"), pk.cast("string")).alias("codigo_alt"),
+                  F.lit("nuevo").alias("nombre"), F.col("p_type").alias("categoria"))
+    parts = []
+    for fuente, key, i, names in [("mssql", "SKU", "ProductoId", {"nombre": "Nombre", "categoria": "Categoria"}),
+                                  ("mysql", "codigo_alt", "id", {})]:
+        table, actions = bulk.upsert_products(
+            s[fuente]["Producto"], up.select("_row", key, "nombre", "categoria").withColumnsRenamed(names), key, i)
+        f = F.lit(fuente).alias("fuente")
+        parts += [actions.groupBy("accion").agg(F.count(F.lit(1)).alias("filas")).select(f, "accion", "filas"),
+                  table.agg(F.countDistinct(i).alias("filas")).select(f, F.lit("total_tabla").alias("accion"), "filas")]
+    return _union(parts)

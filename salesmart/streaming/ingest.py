@@ -8,8 +8,8 @@
 * SM2 ``dedup_stream``: the same lines arriving twice, de-duplicated on the
   business key within a watermark (``dropDuplicatesWithinWatermark``).
 * SM3 ``daily_sales_stream``: purchase events summed per 1-day tumbling
-  window and channel-less key with a watermark for late data; ``update``
-  output merged into a table by window start.
+  window, and channel where one is given, with a watermark for late data;
+  ``update`` output merged into a table by window start and channel.
 
 All use ``trigger(availableNow=True)``: process what is there, then stop.
 Checkpoints live under the shared checkpoint folder.
@@ -17,7 +17,7 @@ Checkpoints live under the shared checkpoint folder.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.warehouse import fact_ventas
@@ -107,7 +107,8 @@ def dedup_stream(spark: SparkSession, lines_path: str, out_path: str, checkpoint
 
 
 def daily_sales_stream(spark: SparkSession, events_path: str, out_path: str, checkpoint: str,
-                       delay: str = "1 day") -> None:
+                       delay: str = "1 day", channel: Column | None = None) -> None:
+    """SM3: purchases per day, and per ``channel`` (column ``canal``) if given."""
     import os
     schema = spark.read.parquet(events_path).schema
     if events_path.endswith(".parquet"):   # a single file: stream its folder, filtered to that name
@@ -120,15 +121,17 @@ def daily_sales_stream(spark: SparkSession, events_path: str, out_path: str, che
     # UTC epoch) follow the wall-clock days whatever the session time zone.
     secs = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', "
                   "CAST(ts AS TIMESTAMP_NTZ))")
+    keys = [] if channel is None else [channel.alias("canal")]
     agg = (ev.where(F.col("event_type") == "purchase")
            .withColumn("ts", F.timestamp_micros(secs))
            .withWatermark("ts", delay)
-           .groupBy(F.window("ts", "1 day").alias("w"))
+           .groupBy(F.window("ts", "1 day").alias("w"), *keys)
            .agg(F.count(F.lit(1)).alias("compras"), F.sum("value").alias("valor")))
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         start_day = F.floor(F.unix_micros(F.col("w.start")) / F.lit(86_400_000_000)).cast("int")
-        rows = batch.select(F.date_add(F.lit("1970-01-01").cast("date"), start_day).alias("dia"), "compras", "valor")
+        rows = batch.select(F.date_add(F.lit("1970-01-01").cast("date"), start_day).alias("dia"),
+                            *(["canal"] if keys else []), "compras", "valor")
         rows.write.mode("overwrite").parquet(f"{out_path}/_batch={batch_id}")
 
     q = (agg.writeStream.outputMode("update").foreachBatch(upsert).option("checkpointLocation", checkpoint)
@@ -136,9 +139,9 @@ def daily_sales_stream(spark: SparkSession, events_path: str, out_path: str, che
     q.awaitTermination()
 
 
-def read_latest_by_key(spark: SparkSession, path: str, key: str) -> DataFrame:
+def read_latest_by_key(spark: SparkSession, path: str, *keys: str) -> DataFrame:
     """Merge the per-batch update outputs: the latest batch wins per key."""
     df = spark.read.parquet(path)
-    return (df.groupBy(key).agg(F.max_by(F.struct(*[c for c in df.columns if c not in (key, "_batch")]),
-                                         F.col("_batch")).alias("v"))
-            .select(key, "v.*"))
+    return (df.groupBy(*keys).agg(F.max_by(F.struct(*[c for c in df.columns if c not in (*keys, "_batch")]),
+                                           F.col("_batch")).alias("v"))
+            .select(*keys, "v.*"))

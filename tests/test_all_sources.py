@@ -34,3 +34,25 @@ def test_total_mismatches_keeps_orders_without_lines(spark):
     o = spark.createDataFrame([(1, 5.0), (2, 3.0), (3, 0.0), (4, None)], "k int, total double")
     d = spark.createDataFrame([(1, 5.0), (4, 1.0)], "k int, v double")
     assert {r.k for r in total_mismatches(o, d, "k", "total", F.col("v")).collect()} == {2, 4}
+
+
+def test_append_and_upsert_keep_ids(spark):
+    from salesmart.operators import bulk
+    stored = spark.createDataFrame([(3, "a", "x"), (7, "b", "y")], "id int, codigo_alt string, nombre string")
+    up = spark.createDataFrame([(1, "b", "y1"), (2, "c", "z"), (3, "b", "y2"), (4, "d", "w"), (5, "c", "z2")],
+                               "_row int, codigo_alt string, nombre string")
+    table, actions = bulk.upsert_products(stored, up, "codigo_alt", "id")
+    assert sorted(map(tuple, table.collect())) == [(3, "a", "x"), (7, "b", "y2"), (8, "c", "z2"), (9, "d", "w")]
+    assert sorted(map(tuple, actions.collect())) == [("b", "actualizado"), ("c", "insertado"), ("d", "insertado")]
+    clients = spark.createDataFrame([(4, "e@x.y", "F")], "id int, correo string, genero string")
+    more = spark.createDataFrame([(2, None, None), (1, "e@x.y", "X")], "_row int, correo string, genero string")
+    got = sorted(map(tuple, bulk.append_clients(clients, more, "id", {"genero": "M"}).collect()))
+    assert got == [(4, "e@x.y", "F"), (5, "e@x.y", "X"), (6, None, "M")]
+
+
+def test_last_log_rows_and_rates(spark):
+    from salesmart.operators.quality import last_log_rows, rates_of_day
+    log = spark.sql("SELECT 'etl' AS tipo, 'OK' AS estado, CAST(id AS string) AS mensaje, timestamp_seconds(id) AS ts FROM range(15)")
+    assert [r.mensaje for r in last_log_rows(log).collect()] == [str(i) for i in range(14, 4, -1)]
+    rates = spark.sql("SELECT DATE'2020-01-01' AS fecha, 'USD' AS de, 'CRC' AS a, 510.0 AS tasa")
+    assert [(r[0] and float(r[0]), r[1]) for r in rates_of_day(rates, "2020-01-01").collect()] == [(510.0, None)]
