@@ -10,8 +10,10 @@ text is toxic: words that toxic documents use far more often than clean ones
 (log-odds with a document-frequency floor) are counted per word, and documents
 above the median share are grade 2, the others grade 1.
 
-The model is fitted with NumPy on a bounded sample of labelled rows
-(``MAX_LABELLED``, drawn by id hash); scoring runs inside Arrow batches on
+The model is fitted with NumPy on a bounded sample of labelled texts
+(``MAX_LABELLED``, drawn by hash), of any length: words are counted on the
+executors, once an id and text, and the driver gets the vocabulary (at most
+``max_vocab`` terms) and each text's counts of it; scoring runs inside Arrow batches on
 every document and its whole text, with the model (at most ``max_vocab``
 weights) in the closure.
 """
@@ -27,14 +29,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import written
+
 #: Upper bound (expected size) of the labelled documents the model is fitted on.
 MAX_LABELLED = 8_000
-#: UTF-8 bytes of one training text that the driver holds at most; longer texts are left out of the fit.
-MAX_TRAIN_BYTES = 60_000
 GRADES = 2
 
 _WORD = re.compile(r"[^\W\d_]+")
 
+COUNTS = "struct<terms:array<string>,ns:array<long>>"
+KNOWN_COUNTS = "struct<at:array<int>,ns:array<long>,share:double>"
 SCORE = "struct<expected_severity:double,p_ge_1:double,p_ge_2:double,grade:int>"
 
 
@@ -82,7 +86,30 @@ def _value(n: int) -> float:
     return float(np.log1p(n))
 
 
-def fit_texts(texts: list[str], toxic: list[bool], max_vocab: int = 1024, min_df: int = 4, rounds: int = 500,
+MAX_VOCAB, MIN_DF = 1024, 4
+
+
+def _odds(df: tuple[int, int], n: tuple[int, int]) -> tuple[float, float]:
+    """Log-odds of a term for toxic documents, and its size in units of its error."""
+    odds = np.log((df[1] + 0.5) / (n[1] + 1)) - np.log((df[0] + 0.5) / (n[0] + 1))
+    return odds, abs(odds) / np.sqrt(1 / (df[1] + 0.5) + 1 / (df[0] + 0.5))
+
+
+def _vocabulary(df: dict[str, tuple[int, int]], n: tuple[int, int], max_vocab: int) -> tuple[list[str], set[str]]:
+    """What toxic documents use more, of the terms ranked by the log-odds in units of its error; and the toxic words."""
+    odds = {t: _odds(x, n) for t, x in df.items()}
+    vocab = [t for t in sorted(odds, key=lambda t: (-odds[t][1], t))[:max_vocab] if odds[t][0] > 0 and odds[t][1] > 2.5]
+    return vocab, {t for t in vocab if odds[t][0] > np.log(8) and odds[t][1] > 3}
+
+
+def _known(terms, ns, at: dict[str, int], marked: set[str]) -> tuple[list[int], list[int], float]:
+    """The counts of the vocabulary as (numbers, counts), and the share of toxic words."""
+    own = [(at[t], int(k)) for t, k in zip(terms, ns) if t in at]
+    share = sum(k for t, k in zip(terms, ns) if t in marked) / max(1, sum(ns))
+    return [i for i, _ in own], [k for _, k in own], share
+
+
+def fit_texts(texts: list[str], toxic: list[bool], max_vocab: int = MAX_VOCAB, min_df: int = MIN_DF, rounds: int = 500,
               ridge: float = 1e-5) -> OrdinalModel:
     """The model of labelled texts.  No rows, or rows of one class: a model that grades everything 0."""
     y = np.array(toxic, bool)
@@ -91,43 +118,32 @@ def fit_texts(texts: list[str], toxic: list[bool], max_vocab: int = 1024, min_df
     df = [Counter(), Counter()]
     for text, t in zip(texts, y):           # counts are made twice rather than held for every text
         df[int(t)].update(counts(text).keys())
-    n = [int((~y).sum()), int(y.sum())]
-    odds = {t: np.log((df[1][t] + 0.5) / (n[1] + 1)) - np.log((df[0][t] + 0.5) / (n[0] + 1)) for t in df[0].keys() | df[1].keys()
-            if df[0][t] + df[1][t] >= min_df}
-    # the vocabulary: what toxic documents use more, ranked by the log-odds in units of its error
-    def z_score(t: str) -> float:
-        return abs(odds[t]) / np.sqrt(1 / (df[1][t] + 0.5) + 1 / (df[0][t] + 0.5))
-    vocab = [t for t in sorted(odds, key=lambda t: (-z_score(t), t))[:max_vocab] if odds[t] > 0 and z_score(t) > 2.5]
-    marked = {t for t in vocab if odds[t] > np.log(8) and z_score(t) > 3}
-    keep = set(vocab)
-    docs, share = [], []
-    for text in texts:
-        c = counts(text)
-        share.append(sum(k for t, k in c.items() if t in marked) / max(1, sum(c.values())))
-        docs.append({t: k for t, k in c.items() if t in keep})
-    share = np.array(share)
+    n = (int((~y).sum()), int(y.sum()))
+    vocab, marked = _vocabulary({t: (df[0][t], df[1][t]) for t in df[0].keys() | df[1].keys() if df[0][t] + df[1][t] >= min_df}, n, max_vocab)
+    at = {t: i for i, t in enumerate(vocab)}
+    docs = [_known(c.keys(), c.values(), at, marked) for c in map(counts, texts)]
+    return _train(vocab, np.repeat(np.arange(len(docs)), [len(d[0]) for d in docs]), np.array([i for d in docs for i in d[0]], int),
+                  np.array([k for d in docs for k in d[1]], float), np.array([d[2] for d in docs]), y, rounds, ridge)
+
+
+def _train(vocab: list[str], rows: np.ndarray, cols: np.ndarray, ns: np.ndarray, share: np.ndarray, y: np.ndarray, rounds: int = 500,
+           ridge: float = 1e-5) -> OrdinalModel:
+    """The model of term counts ``ns`` at (row, term number), shares of toxic words and labels."""
     median = float(np.median(share[y]))
     grade = np.where(y, 1 + (share > median), 0)
-
-    at = {t: i for i, t in enumerate(vocab)}
-    rows, cols, vals = [], [], []
-    for i, c in enumerate(docs):
-        for t, k in c.items():
-            if t in at:
-                rows.append(i), cols.append(at[t]), vals.append(_value(k))
-    rows, cols, vals = np.array(rows, int), np.array(cols, int), np.array(vals)
+    vals = np.log1p(ns)
     w = np.zeros(len(vocab))
     b = np.array([np.log((grade < k).sum() / max(1, (grade >= k).sum())) for k in (1, 2)])
-    weight = np.full(len(docs), 1 / len(docs))
+    weight = np.full(len(y), 1 / len(y))
     m = [np.zeros(len(w) + 2), np.zeros(len(w) + 2)]
     for step in range(1, rounds + 1):         # Adam on the exact gradient of the cumulative-link likelihood
-        z = np.bincount(rows, vals * w[cols], len(docs))
+        z = np.bincount(rows, vals * w[cols], len(y))
         s = _sigmoid(z[:, None] - b[None, :])                   # P(grade >= 1), P(grade >= 2)
-        upper = np.column_stack([np.ones(len(docs)), s])        # P(>= 0), P(>= 1), P(>= 2)
-        lower = np.column_stack([s, np.zeros(len(docs))])
-        i = np.arange(len(docs))
+        upper = np.column_stack([np.ones(len(y)), s])        # P(>= 0), P(>= 1), P(>= 2)
+        lower = np.column_stack([s, np.zeros(len(y))])
+        i = np.arange(len(y))
         p = np.maximum(upper[i, grade] - lower[i, grade], 1e-9)
-        slope = np.column_stack([np.zeros(len(docs)), s * (1 - s), np.zeros(len(docs))])
+        slope = np.column_stack([np.zeros(len(y)), s * (1 - s), np.zeros(len(y))])
         up, low = slope[i, grade], slope[i, grade + 1]
         dz = -weight * (up - low) / p
         db = np.zeros(2)
@@ -147,17 +163,49 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """The model of ``labels`` (id, 0 or 1) over the documents they name.
 
     Null ids, labels and texts are left out; the higher of several labels of an
-    id holds.  Beyond ``max_labelled`` rows an id-hash share of that expected
-    size is used, which bounds the broadcast and what the driver holds.
+    id holds.  A text counts once an id, whatever its length.  Beyond
+    ``max_labelled`` ids, and then beyond as many texts, a hash share of that
+    expected size is used, which bounds the broadcast and what the driver holds.
     """
     lab = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
            .groupBy(F.col(id_col).alias("_id")).agg((F.max(label_col) > 0).alias("toxic")))
     n = lab.count()
     if n > max_labelled:
         lab = lab.where(F.pmod(F.xxhash64("_id"), F.lit(1_000_000)) < int(1_000_000 * max_labelled / n))
-    named = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).where(F.octet_length("_text") <= MAX_TRAIN_BYTES)
-    rows = named.join(F.broadcast(lab), "_id").orderBy("_id", "_text").collect()
-    return fit_texts([r["_text"] for r in rows], [r["toxic"] for r in rows])
+
+    @F.pandas_udf(COUNTS)
+    def counted(texts: pd.Series) -> pd.DataFrame:
+        cs = [counts(t) for t in texts]
+        return pd.DataFrame({"terms": [list(c) for c in cs], "ns": [list(c.values()) for c in cs]})
+    named = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).where(F.col("_text").isNotNull())
+    rows = (named.join(F.broadcast(lab), "_id").withColumn("_d", F.sha2("_text", 256)).withColumn("c", counted("_text"))
+            .groupBy("_id", "_d").agg(F.any_value("toxic").alias("toxic"), F.any_value("c").alias("c")))
+    rows = written(rows.select("_id", "_d", "toxic", "c.terms", "c.ns"), "toxicity_counts")
+    n = rows.count()
+    if n > max_labelled:
+        rows = rows.where(F.pmod(F.xxhash64("_id", "_d"), F.lit(1_000_000)) < int(1_000_000 * max_labelled / n))
+    class_n = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len(class_n) < 2:
+        return OrdinalModel()
+    n2 = (class_n[False], class_n[True])
+    # the same ranking as _vocabulary, which sees the terms that can be in it; ties beyond the last keep the term order
+    a, b = F.col("df0") + 0.5, F.col("df1") + 0.5
+    z = F.abs(F.log(b / (n2[1] + 1)) - F.log(a / (n2[0] + 1))) / F.sqrt(1 / b + 1 / a)
+    terms = (rows.select("toxic", F.explode("terms").alias("t")).groupBy("t")
+             .agg(F.count_if(~F.col("toxic")).alias("df0"), F.count_if("toxic").alias("df1"))
+             .where(F.col("df0") + F.col("df1") >= MIN_DF).orderBy(z.desc(), "t").limit(MAX_VOCAB))
+    vocab, marked = _vocabulary({r["t"]: (r["df0"], r["df1"]) for r in terms.collect()}, n2, MAX_VOCAB)
+    at = {t: i for i, t in enumerate(vocab)}
+
+    @F.pandas_udf(KNOWN_COUNTS)
+    def known(terms: pd.Series, ns: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([_known(t, k, at, marked) for t, k in zip(terms, ns)], columns=["at", "ns", "share"])
+    got = rows.select("_id", "_d", "toxic", known("terms", "ns").alias("k")).select(
+        "_id", "_d", "toxic", "k.at", "k.ns", "k.share").orderBy("_id", "_d").drop("_id", "_d").toArrow().combine_chunks()
+    flat = lambda c: np.array(got[c].combine_chunks().flatten())
+    lengths = np.array([len(x) for x in got["at"]])
+    return _train(vocab, np.repeat(np.arange(len(lengths)), lengths), flat("at").astype(int), flat("ns").astype(float),
+                  np.array(got["share"]), np.array(got["toxic"]).astype(bool))
 
 
 def score(model: OrdinalModel, text: Column) -> Column:

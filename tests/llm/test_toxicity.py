@@ -37,6 +37,45 @@ def test_held_out_rows(spark):
     assert hit >= 0.88 * n and wrong <= 0.01 * clean
 
 
+def _labelled(spark, pad):
+    """200 documents, every other toxic; ``pad`` times four words that all have, in the toxic ones."""
+    rnd = np.random.default_rng(1)
+    clean = ["".join(chr(97 + int(x)) for x in rnd.integers(0, 26, 7)) for _ in range(300)]
+    bad = ["badword", "worseword", "awfulword"]
+    rows = []
+    for i in range(200):
+        words = list(rnd.choice(clean, 60)) + ["of", "the", "in", "and"] * (1 + (pad if i % 2 else 0)) + (list(rnd.choice(bad, 6 if i % 4 == 1 else 40)) if i % 2 else [])
+        rows.append((i, " ".join(words)))
+    return rows, spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int")
+
+
+def test_long_toxic_texts_are_fitted(spark):
+    # all toxic texts are longer than 60,000 bytes
+    rows, labels = _labelled(spark, 4500)
+    assert min(len(t) for i, t in rows if i % 2) > 60_000
+    model = tx.fit(spark.createDataFrame(rows, "doc_id long, text string"), labels)
+    assert model.weights.get("badword", 0) > 0 and model.severity(rows[1][1])[1] > 0.5 > model.severity(rows[0][1])[1]
+
+
+def test_fit_equals_fit_texts_and_repeats_count_once(spark):
+    rows, labels = _labelled(spark, 0)
+    repeated = rows + rows[:1] * 500 + [(1, None)]
+    got = tx.fit(spark.createDataFrame(repeated, "doc_id long, text string"), labels)
+    want = tx.fit_texts([t for _, t in rows], [bool(i % 2) for i, _ in rows])
+    assert got.weights.keys() == want.weights.keys()
+    assert all(abs(got.weights[t] - w) < 1e-6 for t, w in want.weights.items()) and np.allclose(got.thresholds, want.thresholds, atol=1e-6)
+
+
+def test_one_id_with_many_texts_is_bounded(spark, monkeypatch):
+    rows, labels = _labelled(spark, 0)
+    many = rows + [(0, f"text number{i} of one id") for i in range(3000)]
+    seen = []
+    train = tx._train
+    monkeypatch.setattr(tx, "_train", lambda *a, **k: seen.append(len(a[5])) or train(*a, **k))
+    tx.fit(spark.createDataFrame(many, "doc_id long, text string"), labels, max_labelled=1000)
+    assert 850 < seen[0] < 1150
+
+
 def test_edges(spark):
     assert tx.fit_texts([], []).severity("any words") [3] == 0
     assert tx.fit_texts(["a", "b"], [True, True]).severity("a")[0] < 1e-6
