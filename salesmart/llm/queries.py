@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, licenses, mixing, quality_rules, sharding, simhash, substrings, surrogates, toxicity, url_filter
+from . import (decontaminate, graph_search, licenses, mixing, quality_rules, ranked_search, sharding, simhash, substrings, surrogates, toxicity,
+               trie, url_filter)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -146,3 +147,84 @@ def op8_surrogates(spark, sf_dir):
 def op5_substrings(spark, sf_dir):
     """Bytes of every document inside 400-byte strings that also start elsewhere."""
     return substrings.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@register
+def op11_conversation_trie(spark, sf_dir):
+    """Prefix trie of the rebuilt conversations, one row a node."""
+    return trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+ORACLE["op11_conversation_trie"] = r"""
+WITH own AS (
+  SELECT conv_id, list(k ORDER BY turn NULLS FIRST, r, k) AS ks, list(b ORDER BY turn NULLS FIRST, r, k) AS bs
+  FROM (SELECT conv_id, turn, r, sha256(strlen(r) || ':' || r || ':' || x) AS k, strlen(x) AS b
+        FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL))
+  GROUP BY conv_id),
+hashed AS (
+  SELECT conv_id, ks, bs, conv_id - conv_id % 5 AS base,
+    xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+      lambda acc, b: list_reduce(list_concat([xor(acc, b)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+        lambda y, z: xor(y >> 1, (y & 1) * 3988292384::BIGINT))), 4294967295::BIGINT) % 9 AS h
+  FROM own),
+seqs AS (
+  SELECT c.conv_id, array_to_string(list_concat(coalesce(c0.ks[1:h], []), c.ks[h + 1:]), '') AS k,
+         list_concat(coalesce(c0.bs[1:h], []), c.bs[h + 1:]) AS bs
+  FROM hashed c LEFT JOIN own c0 ON c0.conv_id = c.base),
+parts AS (
+  SELECT conv_id, d, k[1:64 * d] AS node, len(bs) = d AS ends, CASE WHEN d > 0 THEN bs[d] ELSE 0 END AS b
+  FROM (SELECT *, unnest(range(0, len(bs) + 1)) AS d FROM seqs)),
+nodes AS (
+  SELECT d, node, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(b) AS saved,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM parts GROUP BY d, node),
+kids AS (SELECT d - 1 AS d, node[1:64 * (d - 1)] AS node, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1, 2),
+whole AS (SELECT nodes.*, coalesce(kids.n, 0) AS n_children FROM nodes LEFT JOIN kids USING (d, node)),
+subtrees AS (
+  SELECT a AS d, node[1:64 * a] AS node, sum(saved)::BIGINT AS saved_tokens, count(*) FILTER (WHERE n_children = 0) AS n_leaves
+  FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM whole) GROUP BY 1, 2)
+SELECT w.conv_id, w.d AS depth, up.conv_id AS parent_conv_id, w.n_convs, w.n_children, s.n_leaves, s.saved_tokens, w.ends_sha256
+FROM whole w JOIN subtrees s ON s.d = w.d AND s.node = w.node
+LEFT JOIN nodes up ON up.d = w.d - 1 AND up.node = w.node[1:64 * (w.d - 1)]
+"""
+
+
+@register
+def op12_graph_search(spark, sf_dir):
+    """The 20 nearest vectors found for every vector whose id is divisible by 20."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return graph_search.nearest(vectors, F.col("vec_id") % 20 == 0)
+
+
+@register
+def op13_ranked_search(spark, sf_dir):
+    """The 50 documents with the highest score for every benchmark item."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ranked_search.rank(docs, table(spark, sf_dir, "benchmark"))
+
+
+ORACLE["op13_ranked_search"] = r"""
+WITH words AS (
+  SELECT d.doc_id, d.row, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT doc_id, text, row_number() OVER () AS row FROM documents) d),
+counts AS (SELECT doc_id, row, term, count(*) AS tf FROM words GROUP BY ALL),
+sizes AS (SELECT row, sum(tf)::BIGINT AS n FROM counts GROUP BY row),
+corpus AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM sizes),
+freqs AS (SELECT term, count(*)::BIGINT AS df FROM counts GROUP BY term),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+weights AS (
+  SELECT item_id, term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+  FROM asked JOIN freqs USING (term) CROSS JOIN corpus),
+scores AS (
+  SELECT item_id, doc_id, row, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // terms))))::BIGINT AS score
+  FROM weights JOIN counts USING (term) JOIN sizes USING (row) CROSS JOIN corpus
+  GROUP BY item_id, doc_id, row),
+ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST) AS rank, doc_id, score
+  FROM scores WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
