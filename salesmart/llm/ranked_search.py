@@ -313,7 +313,7 @@ def rank(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
         ids = docs.where(F.col(text_col).isNotNull()).select(F.unhex(F.md5(F.col(text_col))).alias("digest"), F.col(id_col).alias("id"))
         few = Window.partitionBy("digest").orderBy(F.col("id").asc_nulls_first())
         wanted = written(scores.select("digest").distinct(), "search_found")
-        ids = ids.join(wanted, "digest", "left_semi").withColumn("r", F.row_number().over(few)).where(F.col("r") <= k).drop("r")
+        ids = ids.withColumn("r", F.row_number().over(few)).where(F.col("r") <= k).drop("r").join(wanted, "digest", "left_semi")
         first = ids.groupBy("digest").agg(F.min(F.struct(F.col("id").isNotNull(), F.col("id"))).alias("first"))
         by_text = Window.partitionBy("item").orderBy(F.col("score").desc(), "first")
         top = scores.join(first, "digest").withColumn("r", F.row_number().over(by_text)).where(F.col("r") <= k).drop("r", "first")
