@@ -145,8 +145,8 @@ def op8_surrogates(spark, sf_dir):
 
 @register
 def op5_substrings(spark, sf_dir):
-    """Bytes of every document inside 400-byte strings that also start elsewhere."""
-    return substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    """Bytes of every document inside 400-byte strings that also start elsewhere, and the text that is left."""
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"), with_text=True)
 
 
 @register

@@ -16,7 +16,7 @@ Texts are UTF-8 bytes; matches never cross texts.
    unequal strings agree with a chance under 2^-56).  All strings that share an
    anchor overlap in it, so per context only the first and the last repeated
    offset matter.  A gram with more than ``GROUP`` contexts is not held in one
-   task: its strings are spread as rows and counted with aggregates.
+   task: its strings are dealt by content and counted with aggregates.
    The comparison can also be done by external induced suffix sorting
    (``induced``), which needs no hashes but far more time per byte.
 5. *Spans.*  Covered intervals go back to every occurrence, are merged per
@@ -42,8 +42,10 @@ from .common import written
 from .induced import scratch_folder, suffixes
 
 LENGTH, GRAM = 400, 200
-#: Contexts of one gram that a task compares in memory (about 0.6 kB each); more are compared as rows.
-GROUP = 20_000
+#: Contexts of one gram that a task compares in memory (about 0.6 kB each); more are dealt by content (``_crowded``).
+GROUP = 256
+#: Offsets that ``_crowded`` takes together.
+RANGE = 25
 _BLOCK = 1 << 18
 _POS_BITS = 24
 _U = np.uint64
@@ -173,8 +175,8 @@ def repeated_offsets_induced(groups: np.ndarray, before: np.ndarray, contexts: l
     return hi, lo
 
 
-def _window_hashes(before: np.ndarray, contexts: list[bytes], length: int, gram: int) -> np.ndarray:
-    """Hash of the string that starts a bytes before the anchor, for a = 0 .. length - gram; contexts aligned at the anchor."""
+def _sums(before: np.ndarray, contexts: list[bytes], length: int, gram: int) -> np.ndarray:
+    """Running sums of a multilinear hash over each context, aligned at the anchor: any stretch is one difference."""
     lead, width = length - gram, 2 * length - gram
     table = np.zeros((len(contexts), width), np.uint8)
     for i, (b, c) in enumerate(zip(before, contexts)):
@@ -182,6 +184,12 @@ def _window_hashes(before: np.ndarray, contexts: list[bytes], length: int, gram:
     mult = np.random.default_rng(20240229).integers(0, 1 << 64, width, dtype=_U)
     total = np.zeros((len(contexts), width + 1), _U)
     np.cumsum((table.astype(_U) + _U(1)) * mult[None, :], axis=1, dtype=_U, out=total[:, 1:])
+    return total
+
+
+def _window_hashes(before: np.ndarray, contexts: list[bytes], length: int, gram: int) -> np.ndarray:
+    """Hash of the string that starts a bytes before the anchor, for a = 0 .. length - gram."""
+    total, lead = _sums(before, contexts, length, gram), length - gram
     a = np.arange(lead + 1)
     return total[:, lead - a + length] - total[:, lead - a]
 
@@ -302,20 +310,60 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH
 
 
 def _crowded(rows: DataFrame, length: int, gram: int) -> DataFrame:
-    """The comparison of ``repeated_offsets`` for grams with very many contexts: one row a string, counted by aggregates."""
+    """The comparison of ``repeated_offsets`` for grams with many contexts, dealt by content and counted by aggregates.
+
+    Offsets are taken in ranges.  All strings that start in a range share its
+    *core*, and its *window* holds them all.  A window that two contexts share
+    repeats every string of the range; a core that only one window has repeats
+    none.  What is left, different windows around one core, is compared string
+    by string, one context a window.
+    """
     lead = length - gram
+    rows = written(rows, "crowded")
+    ranges = [(lo, min(lo + RANGE - 1, lead)) for lo in range(0, lead + 1, RANGE)]
+
+    @F.pandas_udf("array<struct<lo:int,hi:int,core:bigint,window:bigint>>")
+    def parts_of(before: pd.Series, body: pd.Series, ctx: pd.Series) -> pd.Series:
+        b, size = before.to_numpy(np.int64), body.str.len().to_numpy(np.int64)
+        total = _sums(b, list(body), length, gram)
+        first, last = np.maximum(0, length - (size - b)), np.minimum(b, lead)
+        own = ctx.to_numpy(np.int64).view(_U) * _U(_ODD)
+        out = [[] for _ in b]
+        for lo, hi in ranges:
+            core = total[:, lead - hi + length] - total[:, lead - lo]
+            window = total[:, lead - lo + length] - total[:, lead - hi]
+            whole = (first <= lo) & (last >= hi)
+            window = np.where(whole, window, window ^ own)             # a range that a text's end cuts is like no other
+            for i in np.flatnonzero((first <= hi) & (last >= lo)):
+                out[i].append({"lo": lo, "hi": hi, "core": int(core[i].view(np.int64)), "window": int(window[i].view(np.int64))})
+        return pd.Series(out, dtype=object)
 
     @F.pandas_udf("array<bigint>")
     def hashes(before: pd.Series, body: pd.Series) -> pd.Series:
         h = _window_hashes(before.to_numpy(np.int64), list(body), length, gram)
         return pd.Series(list(h.view(np.int64)), dtype=object)
 
-    each = (rows.select("gram", "ctx", "twice", "before", F.octet_length("body").alias("size"), F.posexplode(hashes("before", "body")).alias("a", "h"))
-            .where((F.col("a") <= F.col("before")) & (F.col("a") >= length - (F.col("size") - F.col("before"))) & (F.col("a") <= lead)))
-    each = written(each.select("gram", "ctx", "twice", "a", "h"), "strings")
+    parts = rows.select("gram", "ctx", F.explode(parts_of("before", "body", "ctx")).alias("p")).select("gram", "ctx", "p.*")
+    parts = written(parts, "crowded_ranges")
+    windows = parts.groupBy("gram", "lo", "core", "window").agg(F.min("ctx").alias("ctx"), F.max("ctx").alias("other"))
+    windows = written(windows, "crowded_windows")
+    shared = windows.where("ctx <> other").select("gram", "lo", "window")
+    by_window = parts.join(shared, ["gram", "lo", "window"], "left_semi").select("gram", "ctx", "hi", "lo")
+    mixed = windows.groupBy("gram", "lo", "core").agg(F.min("window").alias("x"), F.max("window").alias("y")).where("x <> y")
+    asked = windows.join(mixed.select("gram", "lo", "core"), ["gram", "lo", "core"], "left_semi")
+    asked = written(asked.groupBy("gram", "ctx").agg(F.collect_set("lo").alias("los")), "crowded_asked")       # at most the ranges
+    size = F.octet_length("body")
+    each = (rows.join(asked, ["gram", "ctx"]).select("gram", "ctx", "los", "before", size.alias("size"), F.posexplode(hashes("before", "body")).alias("a", "h"))
+            .where((F.col("a") <= F.col("before")) & (F.col("a") >= length - (F.col("size") - F.col("before"))) & (F.col("a") <= lead)
+                   & F.array_contains("los", F.expr(f"CAST(a - a % {RANGE} AS INT)"))))
+    each = written(each.select("gram", "ctx", "a", "h"), "strings")
     again = each.groupBy("gram", "a", "h").agg(F.min("ctx").alias("x"), F.max("ctx").alias("y")).where("x <> y").select("gram", "a", "h")
-    both = each.join(again, ["gram", "a", "h"], "left_semi").unionByName(each.where("twice"))
-    return both.groupBy("gram", "ctx").agg(F.max("a").cast("int").alias("hi"), F.min("a").cast("int").alias("lo"))
+    a = F.col("a").cast("int")
+    by_string = each.join(again, ["gram", "a", "h"], "left_semi").select("gram", "ctx", a.alias("hi"), a.alias("lo"))
+    twice = rows.where("twice").select("gram", "ctx", F.least(F.col("before"), F.lit(lead)).alias("hi"),
+                                       F.greatest(F.lit(0), length - (size - F.col("before"))).alias("lo"))
+    return (by_window.unionByName(by_string).unionByName(twice.where("lo <= hi"))
+            .groupBy("gram", "ctx").agg(F.max("hi").cast("int").alias("hi"), F.min("lo").cast("int").alias("lo")))
 
 
 def _merged(spans: Column) -> Column:
@@ -349,13 +397,23 @@ def cut_spans(text: Column, spans: Column) -> Column:
     return of(text, spans)
 
 
+def _left_over(text: Column, spans: Column) -> Column:
+    """``text`` without ``spans``, put together from the pieces between them; bytes of a character that a cut splits become U+FFFD."""
+    data = text.cast("binary")
+    ends = F.concat(F.array(F.lit(0)), F.transform(spans, lambda x: x["e"]))
+    starts = F.concat(F.transform(spans, lambda x: x["s"]), F.array(F.octet_length(text)))
+    pieces = F.zip_with(ends, starts, lambda e, s: F.hex(F.substr(data, e + 1, s - e)))
+    return F.make_valid_utf8(F.unhex(F.array_join(pieces, "")).cast("string"))
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM,
-                   group: int = GROUP, engine: str = "windows") -> DataFrame:
-    """id, n_bytes, n_removed, n_spans and kept_sha256 of every row of ``docs``.
+                   group: int = GROUP, engine: str = "windows", with_text: bool = False) -> DataFrame:
+    """id, n_bytes, n_removed, n_spans and kept_sha256 of every row of ``docs``; ``with_text``: and the text that is left.
 
     * Null counts as empty; texts shorter than ``length`` bytes lose nothing.
     * A text that occurs twice as a whole, or a row repeated, loses all its bytes.
     * Ids may be null or repeated: the text decides.  Other columns do not enter.
+    * The text that is left is '' for null; where a cut splits a character its remaining bytes are replaced by U+FFFD.
     * An empty table gives an empty result.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -364,12 +422,22 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     whole = copies(rows, length)
     spans = repeated_spans(docs, text_col, length, gram, group, engine).join(whole, "key", "left_anti")
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["e"] - x["s"])
-    results = (spans.select("key", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
-                            F.sha2(cut_spans(F.col("text"), F.col("spans")), 256).alias("kept_sha256"))
+    kept = [F.sha2(cut_spans(F.col("text"), F.col("spans")), 256).alias("kept_sha256"), "spans"]
+    no_spans = F.lit(None).cast("array<struct<s:int,e:int>>").alias("spans")
+    results = (spans.select("key", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), *kept)
                .unionByName(whole.select("key", F.lit(-1).cast("long").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"),
-                                         F.sha2(F.lit(""), 256).alias("kept_sha256"))))
+                                         F.sha2(F.lit(""), 256).alias("kept_sha256"), no_spans)))
+    results = written(results, "substring_results")
     zero = F.lit(0).cast("long")
     taken = F.when(F.col("n_removed") < 0, F.col("n_bytes")).otherwise(F.coalesce("n_removed", zero))
-    return rows.join(written(results, "substring_results"), "key", "left").select(
-        F.col("_id").alias(id_col), "n_bytes", taken.alias("n_removed"), F.coalesce("n_spans", zero).alias("n_spans"),
-        F.coalesce("kept_sha256", "all_sha256").alias("kept_sha256"))
+    columns = [F.col("_id").alias(id_col), "n_bytes", taken.alias("n_removed"), F.coalesce("n_spans", zero).alias("n_spans"),
+               F.coalesce("kept_sha256", "all_sha256").alias("kept_sha256")]
+    if not with_text:
+        return rows.join(results.drop("spans"), "key", "left").select(*columns)
+    # texts are read again where they lie and meet what was found for them
+    full = docs.select(F.col(id_col).alias("_id"), F.unhex(F.md5(text)).alias("key"), F.octet_length(text).cast("long").alias("n_bytes"),
+                       text.alias("text"))
+    left = (F.when(F.col("n_removed") < 0, F.lit("")).when(F.col("spans").isNull(), F.col("text"))
+            .otherwise(_left_over(F.col("text"), F.col("spans"))))
+    columns[-1] = F.coalesce("kept_sha256", F.sha2("text", 256)).alias("kept_sha256")
+    return full.join(results, "key", "left").select(*columns, left.alias(text_col))

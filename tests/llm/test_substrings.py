@@ -47,7 +47,7 @@ def made_up(seed, length):
 
 
 @pytest.mark.parametrize("length,gram,group,engine", [(60, 30, 10**6, "windows"), (60, 30, 3, "windows"), (100, 40, 10**6, "windows"),
-                                                      (60, 30, 10**6, "induced")])
+                                                      (100, 40, 3, "windows"), (90, 20, 1, "windows"), (60, 30, 10**6, "induced")])
 def test_brute_force(spark, length, gram, group, engine):
     texts = made_up(length + group % 7, length)
     df = spark.createDataFrame([(i, t, "k", 1) for i, t in enumerate(texts)], "doc_id long, text string, key string, spans int")
@@ -56,6 +56,21 @@ def test_brute_force(spark, length, gram, group, engine):
     assert [got[i] for i in range(len(texts))] == want
 
 
+def test_text_that_is_left(spark):
+    texts = made_up(11, 60)
+    df = spark.createDataFrame([(i, t, "k", 1) for i, t in enumerate(texts)], "doc_id long, text string, key string, spans int")
+    rows = ss.remove_repeats(df, length=60, gram=30, with_text=True).collect()
+    want = brute(texts, 60)
+    assert [tuple(r)[1:5] for r in sorted(rows, key=lambda r: r.doc_id)] == want
+    whole = 0
+    for r in rows:
+        if "\ufffd" not in r.text:
+            whole += 1
+            assert hashlib.sha256(r.text.encode()).hexdigest() == r.kept_sha256
+        assert len(r.text.replace("\ufffd", "").encode()) <= r.n_bytes - r.n_removed
+    assert whole > len(texts) // 2
+
+
 def test_blocks_give_the_same_anchors(monkeypatch):
     data = "".join(random.Random(1).choice("abcd ") for _ in range(5000)).encode()
     whole = ss.Anchors(60, 30).of(data)
@@ -68,7 +83,7 @@ def test_blocks_give_the_same_anchors(monkeypatch):
 def test_query_matches_brute_force(spark):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
-    got = {r.doc_id: tuple(r)[1:] for r in QUERIES["op5_substrings"](spark, sf).collect()}
+    got = {r.doc_id: tuple(r)[1:5] for r in QUERIES["op5_substrings"](spark, sf).collect()}
     assert [got[d.doc_id] for d in docs] == brute([d.text for d in docs], 400)
 
 
