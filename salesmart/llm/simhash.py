@@ -120,7 +120,9 @@ def links(fps: DataFrame, max_bits: int = 2, dense: int = 64) -> DataFrame:
     if max_bits < 0 or max_bits % 2:
         raise ValueError("max_bits must be an even number of bits")
     homes = fps.select(F.col("fp").alias("h_fp"), home_anchor(F.col("fp")).alias("anchor"))
-    visits = fps.select("fp", F.explode(anchors(F.col("fp"), max_bits)).alias("anchor"))
+    # a narrow file is few splits: deal the fingerprints out before each becomes a hundred and more rows
+    tasks = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    visits = fps.repartition(tasks, "fp").select("fp", F.explode(anchors(F.col("fp"), max_bits)).alias("anchor"))
     crowded = written(homes.groupBy("anchor").count().where(F.col("count") > dense).select("anchor"), "simhash_dense")
     any_crowded = not crowded.isEmpty()
     light = homes.join(crowded, "anchor", "left_anti") if any_crowded else homes
