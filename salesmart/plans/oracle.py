@@ -944,3 +944,7 @@ SELECT fuente, CASE WHEN stored THEN 'actualizado' ELSE 'insertado' END AS accio
 UNION ALL
 SELECT fuente, 'total_tabla', count(*) FROM x GROUP BY 1
 """
+
+from . import upload_queries  # noqa: E402
+
+ORACLE |= upload_queries.oracle()

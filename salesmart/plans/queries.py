@@ -1214,3 +1214,10 @@ def bulk_upsert_products(spark, sf_dir):
         parts += [actions.groupBy("accion").agg(F.count(F.lit(1)).alias("filas")).select(f, "accion", "filas"),
                   table.agg(F.countDistinct(i).alias("filas")).select(f, F.lit("total_tabla").alias("accion"), "filas")]
     return _union(parts)
+
+
+# ------------------------------------------------------------------ modules of their own
+
+from . import upload_queries  # noqa: E402
+
+QUERIES |= upload_queries.QUERIES
