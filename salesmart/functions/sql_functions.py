@@ -41,3 +41,56 @@ def register_sql_functions(spark: SparkSession) -> list[str]:
     for name, (args, ret, body) in bodies.items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({args}) RETURNS {ret} RETURN {body}")
     return list(bodies)
+
+
+def register_rule_functions(spark: SparkSession, rules, bridge, dim_p, k: int = 5) -> list[str]:
+    """UD2: the four look-ups as SQL table functions over comma-separated lists.
+
+    ``sm_skus_por_codigos_mongo`` and ``sm_skus_por_codigo_supabase`` give the
+    SKU of each code of the list (JN12); ``sm_consecuentes_por_skus`` (Mongo
+    codes) and ``sm_consecuentes`` (Supabase codes) the ``k`` best rules whose
+    antecedent is exactly the list and whose consequent shares nothing with it
+    (AR8), with the products of both sides as JSON.  Blank entries of a list
+    are ignored, repeated ones count once.  The rules are ranked and their sides
+    written out before a call: a call is an equi-join on the list's canonical text.
+    """
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from ..operators.rules import side_products_json
+    order = Window.partitionBy("Antecedent").orderBy(F.desc("confidence"), F.desc("lift"), F.asc("Consequent"))
+    best = rules.withColumn("rango", F.row_number().over(order)).where(F.col("rango") <= k)
+    names = []
+    for source, code, skus, rules_fn in (("mongo", "CodigoMongo", "sm_skus_por_codigos_mongo", "sm_consecuentes_por_skus"),
+                                         ("supabase", "CodigoSupabase", "sm_skus_por_codigo_supabase", "sm_consecuentes")):
+        own = bridge.where(F.col("source_system") == source).select(F.col("source_code").alias("codigo"), F.col("sku_oficial").alias("s"), F.lit(0).alias("p"))
+        also = dim_p.where(F.col("SourceSystem") == source).select(F.col("SourceKey").alias("codigo"), F.col("SKU").alias("s"), F.lit(1).alias("p"))
+        (own.unionByName(also).where(F.col("s").isNotNull()).groupBy("codigo").agg(F.min_by("s", "p").alias("SKU"))
+         .createOrReplaceTempView(f"sm_codigos_{source}"))
+        full = best
+        for side, name in (("antecedents", "ProductosAntecedente"), ("consequents", "ProductosConsecuente")):
+            full = full.join(side_products_json(best, side, dim_p, bridge, source, "CodigoSupa" if source == "supabase" else code, name),
+                             ["Antecedent", "Consequent"], "left")
+        full.createOrReplaceTempView(f"sm_reglas_{source}")
+        spark.sql(f"""
+            CREATE OR REPLACE TEMPORARY FUNCTION {skus}(lista STRING) RETURNS TABLE ({code} STRING, SKU STRING) RETURN
+            SELECT c.codigo, c.SKU
+            FROM (SELECT explode(array_distinct(filter(transform(split(lista, ','), x -> trim(x)), x -> x <> ''))) AS parte) e
+            JOIN sm_codigos_{source} c ON c.codigo = e.parte""")
+        spark.sql(f"""
+            CREATE OR REPLACE TEMPORARY FUNCTION {rules_fn}(lista STRING)
+            RETURNS TABLE (Antecedent STRING, Consequent STRING, Support DOUBLE, Confidence DOUBLE, Lift DOUBLE, Rango INT,
+                           ProductosAntecedente STRING, ProductosConsecuente STRING) RETURN
+            SELECT r.Antecedent, r.Consequent, r.support, r.confidence, r.lift, r.rango, r.ProductosAntecedente, r.ProductosConsecuente
+            FROM sm_reglas_{source} r
+            WHERE r.Antecedent = array_join(array_sort(array_distinct(filter(transform(split(lista, ','), x -> trim(x)), x -> x <> ''))), ', ')""")
+        names += [skus, rules_fn]
+    return names
+
+
+def register_config_function(spark: SparkSession, settings, name: str = "sm_config") -> str:
+    """UD1: the value of a setting by name, from a settings table (nombre, valor); null if there is none.  A name given twice has its greatest value."""
+    settings.createOrReplaceTempView(f"{name}_tabla")
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(clave STRING) RETURNS STRING "
+              f"RETURN (SELECT max(t.valor) FROM {name}_tabla t WHERE t.nombre = clave)")
+    return name

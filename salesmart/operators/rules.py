@@ -179,3 +179,31 @@ def rule_products_json(rules: DataFrame, dim_p: DataFrame, side: str = "conseque
             .agg(F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("_pos", "SKU", "Nombre", "codigo"))),
                                        lambda s: F.struct(s["SKU"].alias("SKU"), s["Nombre"].alias("Nombre"),
                                                           s["codigo"].alias("codigo")))).alias("productos_json")))
+
+
+def side_products_json(rules: DataFrame, side: str, dim_p: DataFrame, bridge: DataFrame, source: str, code_name: str, name: str) -> DataFrame:
+    """(Antecedent, Consequent, ``name``): the products of one side as a JSON array of SKU, Nombre and, where the
+    source has one, its own code under ``code_name`` (SC34, AR10)."""
+    x = rules.select("Antecedent", "Consequent", F.explode(side).alias("SKU"))
+    own = bridge.where(F.col("source_system") == source).select(F.col("sku_oficial").alias("_sku"), F.col("source_code").alias("_code"))
+    j = x.join(dim_p.select("SKU", "Nombre"), "SKU").join(own, F.col("SKU") == F.col("_sku"), "left")
+    row = F.struct("SKU", "Nombre", F.col("_code").alias(code_name))
+    return j.groupBy("Antecedent", "Consequent").agg(F.to_json(F.sort_array(F.collect_set(row))).alias(name))
+
+
+def recommend_from_codes(lines: DataFrame, rules: DataFrame, bridge: DataFrame, dim_p: DataFrame, source: str, code_name: str, k: int = 5,
+                         basket_col: str = "basket", code_col: str = "code") -> DataFrame:
+    """AR9: baskets of source codes to recommendations with the products of both sides.
+
+    ``lines``: (basket, code).  Codes meet the bridge once each, not once a
+    line; codes without a SKU are dropped, and a basket asks with the set of
+    SKUs that is left (JN12, then JN11/AR8).  The sides of a rule are written
+    out once a rule, however many baskets get it (AR10).
+    """
+    skus = codes_to_skus(lines.select(code_col).distinct(), bridge, dim_p, source, code_col).select(code_col, "SKU")
+    asked = (lines.select(basket_col, code_col).join(skus, code_col).groupBy(basket_col)
+             .agg(F.array_sort(F.collect_set("SKU")).alias("items")))
+    found = recommend(asked, rules, k, "items", (basket_col,))
+    for side, name in (("antecedents", "productos_antecedente"), ("consequents", "productos_consecuente")):
+        found = found.join(side_products_json(rules, side, dim_p, bridge, source, code_name, name), ["Antecedent", "Consequent"], "left")
+    return found

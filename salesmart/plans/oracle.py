@@ -413,24 +413,27 @@ FROM isets
 """, *_mining_ctes(item, min_support))
 
 
+RULE_CTES = """
+sets AS MATERIALIZED (SELECT s, cnt, array_to_string(s, ', ') AS t FROM isets),
+splits AS MATERIALIZED (
+  SELECT cnt, array_to_string(list_filter(s, lambda x, i: ((m >> (i - 1)) & 1) = 1), ', ') AS a,
+         array_to_string(list_filter(s, lambda x, i: ((m >> (i - 1)) & 1) = 0), ', ') AS c
+  FROM (SELECT s, cnt, unnest(range(1, (1 << len(s)) - 1)) AS m FROM sets WHERE len(s) >= 2)
+),
+total AS MATERIALIZED (SELECT n FROM nb),
+rules AS MATERIALIZED (
+  SELECT sp.a, sp.c, sp.cnt / n AS sup, (sp.cnt / n) / (ia.cnt / n) AS conf, ((sp.cnt / n) / (ia.cnt / n)) / (ic.cnt / n) AS lift
+  FROM splits sp JOIN sets ia ON ia.t = sp.a JOIN sets ic ON ic.t = sp.c, total
+)
+"""
+
+
 def _rules_sql(item: str, min_support: float, min_conf: float, min_lift: float) -> str:
+    # the splits of frequent itemsets meet their sides by text: joins on lists compare every pair
     return with_all(f"""
-SELECT array_to_string(a, ', ') AS Antecedent, array_to_string(c, ', ') AS Consequent,
-       round(sup, 9) AS support, round(conf, 9) AS confidence, round(lift, 9) AS lift
+SELECT a AS Antecedent, c AS Consequent, round(sup, 9) AS support, round(conf, 9) AS confidence, round(lift, 9) AS lift
 FROM rules WHERE conf >= {min_conf} AND lift >= {min_lift}
-""", *_mining_ctes(item, min_support), """
-splits AS (
-  SELECT s, cnt, list_filter(s, lambda x, i: ((m >> (i - 1)) & 1) = 1) AS a,
-         list_filter(s, lambda x, i: ((m >> (i - 1)) & 1) = 0) AS c
-  FROM isets, LATERAL (SELECT unnest(range(1, (1 << len(s)) - 1)) AS m) WHERE len(s) >= 2
-),
-rules AS (
-  SELECT sp.a, sp.c, sp.cnt / nb.n AS sup,
-         (sp.cnt / nb.n) / (ia.cnt / nb.n) AS conf,
-         ((sp.cnt / nb.n) / (ia.cnt / nb.n)) / (ic.cnt / nb.n) AS lift
-  FROM splits sp JOIN isets ia ON ia.s = sp.a JOIN isets ic ON ic.s = sp.c CROSS JOIN nb
-)
-""")
+""", *_mining_ctes(item, min_support), RULE_CTES)
 
 
 ORACLE["frequent_itemsets_sku"] = _itemsets_sql("sku", 0.002)
@@ -945,6 +948,6 @@ UNION ALL
 SELECT fuente, 'total_tabla', count(*) FROM x GROUP BY 1
 """
 
-from . import upload_queries  # noqa: E402
+from . import rule_queries, stream_queries, upload_queries  # noqa: E402
 
-ORACLE |= upload_queries.oracle()
+ORACLE |= upload_queries.oracle() | rule_queries.oracle() | stream_queries.oracle()

@@ -5,12 +5,16 @@
   written to its own ``batch=<id>`` folder with overwrite, so a replayed
   batch replaces its own output (idempotent sink) and the anti join on
   (Fuente, SourceKey) keeps re-sent lines out.
-* SM2 ``dedup_stream``: the same lines arriving twice, de-duplicated on the
-  business key within a watermark (``dropDuplicatesWithinWatermark``).
+* SM2 ``dedup_stream``: the same lines arriving twice; the first of a business
+  key is kept.  It asks the keys written so far; ``dedup_stream_state`` asks a
+  state store instead, so a micro-batch costs what it holds, not the history.
 * SM3 ``daily_sales_stream``: purchase events summed per 1-day tumbling
   window, and channel where one is given, with a watermark for late data;
   ``update`` output merged into a table by window start and channel.
 
+* ``late_sales_stream`` keeps the watermark as a table: rows behind it are
+  written apart instead of being dropped.
+
 All use ``trigger(availableNow=True)``: process what is there, then stop.
 Checkpoints live under the shared checkpoint folder.
 """
@@ -106,6 +110,61 @@ def dedup_stream(spark: SparkSession, lines_path: str, out_path: str, checkpoint
     q.awaitTermination()
 
 
+def dedup_stream_state(spark: SparkSession, lines_path: str, out_path: str, checkpoint: str, max_files_per_trigger: int = 16) -> None:
+    """SM2 without reading back what was written: keys live in a RocksDB state store, hash-partitioned, on disk.
+
+    The first arrival of each key is kept however late a repeat comes, so the
+    state holds every key once; a micro-batch looks up its own keys only and
+    checkpoints what it changed.  A replayed batch overwrites its own folder.
+    """
+    key = ["source_system", "source_key_orden", "source_key_item"]
+    schema = spark.read.parquet(lines_path).schema
+    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(lines_path)
+    conf = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+            "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        q = (src.dropDuplicates(key).writeStream
+             .foreachBatch(lambda batch, i: batch.write.mode("overwrite").parquet(f"{out_path}/_batch={i}"))
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+        q.awaitTermination()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def late_sales_stream(spark: SparkSession, events_path: str, out_path: str, checkpoint: str, delay_days: int = 1) -> None:
+    """SM3 with late data: one run over the files that came since the last; on-time sums by day, late rows apart.
+
+    The watermark of a micro-batch is the latest event time of all earlier ones
+    less ``delay_days``.  Each batch notes its own latest time in a small table
+    (one row a batch), which replays overwrite, so a repeated batch sees the
+    watermark it saw first.  ``{out}/dias``: day, purchases and value of the
+    rows in time, to be summed over the batches; ``{out}/tarde``: every row
+    behind the watermark, as it came; ``{out}/marcas``: the notes.
+    """
+    src = spark.readStream.schema(spark.read.parquet(events_path).schema).parquet(events_path)
+
+    def load_batch(batch: DataFrame, batch_id: int) -> None:
+        mark = None
+        if path_exists(spark, f"{out_path}/marcas"):
+            notes = spark.read.schema("ts timestamp_ntz, _batch long").parquet(f"{out_path}/marcas")
+            mark = notes.where(F.col("_batch") < batch_id).agg(F.max("ts").alias("ts")).first()["ts"]     # a scalar
+        ts = F.col("ts").cast("timestamp_ntz")
+        late = F.lit(False) if mark is None else F.coalesce(ts < F.lit(mark).cast("timestamp_ntz") - F.expr(f"INTERVAL {int(delay_days)} DAYS"), F.lit(False))
+        split = batch.withColumn("_late", late)
+        bought = split.where(~F.col("_late") & (F.col("event_type") == "purchase"))
+        (bought.groupBy(F.to_date("ts").alias("dia")).agg(F.count(F.lit(1)).alias("compras"), F.sum("value").alias("valor"))
+         .write.mode("overwrite").parquet(f"{out_path}/dias/_batch={batch_id}"))
+        split.where("_late").drop("_late").write.mode("overwrite").parquet(f"{out_path}/tarde/_batch={batch_id}")
+        batch.agg(F.max(ts).alias("ts")).write.mode("overwrite").parquet(f"{out_path}/marcas/_batch={batch_id}")
+
+    q = (src.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+
+
 def daily_sales_stream(spark: SparkSession, events_path: str, out_path: str, checkpoint: str,
                        delay: str = "1 day", channel: Column | None = None) -> None:
     """SM3: purchases per day, and per ``channel`` (column ``canal``) if given."""
