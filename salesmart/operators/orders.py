@@ -38,6 +38,37 @@ def graph_order_lines(orden: DataFrame, realizo: DataFrame, contiene: DataFrame,
     return o.join(lines, "id", "left")
 
 
+def graph_orders_page(orden: DataFrame, realizo: DataFrame, contiene: DataFrame, producto: DataFrame, pertenece: DataFrame,
+                      categoria: DataFrame, page: int = 1, limit: int = 20, newest: bool = False) -> DataFrame:
+    """JN13 with its paging: orders that have a client are cut to one page by date (SO2), then expanded.
+
+    Only the page's lines meet products and categories.  A line whose product
+    or category is absent does not count; an order without any line keeps one row with nulls.
+    """
+    o = orden.join(realizo.select(F.col("to_id").alias("id"), F.col("from_id").alias("cliente_id")), "id")
+    by = [F.col("fecha").desc(), F.col("id").desc()] if newest else [F.col("fecha").asc(), F.col("id").asc()]
+    one = o.orderBy(*by).offset((page - 1) * limit).limit(limit)
+    lines = one.select(F.col("id").alias("_id")).join(contiene, F.col("_id") == F.col("from_id"))
+    lines = lines.join(producto.select(F.col("id").alias("to_id"), F.col("nombre").alias("producto_nombre")), "to_id")
+    belongs = pertenece.select(F.col("from_id").alias("to_id"), F.col("to_id").alias("categoria_id"))
+    lines = lines.join(belongs, "to_id").join(categoria.select(F.col("id").alias("categoria_id"), F.col("nombre").alias("categoria")), "categoria_id")
+    lines = lines.select("_id", F.col("to_id").alias("producto_id"), "producto_nombre", "categoria", "cantidad", "precio_unit",
+                         (F.col("cantidad") * F.col("precio_unit")).alias("subtotal"), *(["seq"] if "seq" in contiene.columns else []))
+    return one.join(lines, F.col("id") == F.col("_id"), "left").drop("_id")
+
+
+def include_related(parents: DataFrame, children: DataFrame, key: str, item_cols: list[str], order_by: str, name: str = "items") -> DataFrame:
+    """JN20: ``parents`` plus ``name``, the array of their children (structs of ``item_cols``, by ``order_by``; empty if there are none).
+
+    Two calls nest two levels: the inner one's array is a column like any other
+    of the children.  A parent's array is one cell, so page the parents first.
+    """
+    item = F.struct(F.col(order_by).alias("_o"), F.struct(*item_cols).alias("v"))
+    arrays = children.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(item)), lambda x: x["v"]).alias(name))
+    kind = dict(arrays.dtypes)[name]
+    return parents.join(arrays, key, "left").withColumn(name, F.coalesce(name, F.array().cast(kind)))
+
+
 def nested_orders(lines: DataFrame, order_cols: list[str], item_cols: list[str], seq_col: str | None = None) -> DataFrame:
     """AG16: one row per order with its items as an array of structs (orders
     without items keep an empty array); AG13 total = sum(qty * price)."""
