@@ -295,11 +295,37 @@ def staged_maxima(spark: SparkSession, manifest: dict) -> DataFrame:
     return reduce(lambda x, y: x.unionByName(y), parts)
 
 
-def run_etl(spark: SparkSession, source_frames: dict, rates_feed: DataFrame, out_base: str,
-            sources=None, run_date: str = DEFAULT_RUN_DATE, existing_max_sku: int = 0,
-            total_basis: str = "line", fact_buckets: int | None = None,
-            fact_table: str = "fact_ventas", previous: str | None = None, load_ts=None,
-            high_water=None) -> dict[str, str]:
+def run_etl(spark: SparkSession, source_frames: dict, rates_feed: DataFrame, out_base: str, **options) -> dict[str, str]:
+    """``load_run`` with its run log: a run that fails leaves a row with status ERROR (SNK8).
+
+    That row lies outside every manifest (``{out_base}/run_log_failed``): the
+    failed run has none, and the one before stays as it was.  The error goes on to the caller.
+    """
+    started = _dt.datetime.now()
+    try:
+        return load_run(spark, source_frames, rates_feed, out_base, **options)
+    except Exception as e:
+        row = merge.append_log(None, spark, "etl", "ERROR", f"{type(e).__name__}: {e}"[:500], (_dt.datetime.now() - started).total_seconds())
+        row.coalesce(1).write.mode("append").parquet(f"{out_base.rstrip('/')}/run_log_failed")
+        raise
+
+
+def run_log(spark: SparkSession, out_base: str, manifest: str | None) -> DataFrame:
+    """SNK8/AG11: the log rows of the runs behind a manifest and of all failed runs."""
+    from ..sources.readers import path_exists
+    failed = f"{out_base.rstrip('/')}/run_log_failed"
+    parts = [manifest_table(spark, read_manifest(spark, manifest), "run_log")] if manifest else []
+    parts += [spark.read.parquet(failed)] if path_exists(spark, failed) else []
+    if not parts:
+        return spark.createDataFrame([], "tipo string, estado string, mensaje string, duracion_seg double, ts timestamp")
+    return reduce(lambda x, y: x.unionByName(y), parts)
+
+
+def load_run(spark: SparkSession, source_frames: dict, rates_feed: DataFrame, out_base: str,
+             sources=None, run_date: str = DEFAULT_RUN_DATE, existing_max_sku: int = 0,
+             total_basis: str = "line", fact_buckets: int | None = None,
+             fact_table: str = "fact_ventas", previous: str | None = None, load_ts=None,
+             high_water=None) -> dict[str, str]:
     """Entry A for real data: one run of the load, published under ``out_base`` (a shared location).
 
     Every table goes to a new version folder and is read back before the next
@@ -307,7 +333,10 @@ def run_etl(spark: SparkSession, source_frames: dict, rates_feed: DataFrame, out
     run is incremental: staging is merged into the previous tables, products
     keep the SKU they were given, dimension members keep their surrogate keys,
     and only fact rows that are not there yet are added, as one more folder
-    (``high_water``: only staged lines loaded after it are looked at, FL7).
+    (``high_water``: only staged lines loaded after it are looked at, FL7; the
+    value "stored" takes the mark of the run before, 1900-01-01 without one).
+    Every run publishes the newest ``load_ts`` it has staged as the table
+    ``high_water``, which only moves forward (SNK9).
 
     ``load_ts`` (default: now) stamps staged rows (``load_ts``) and loaded rows
     (``LoadTS``).  The manifest is written last and in one file: readers that go
@@ -372,6 +401,10 @@ def run_etl(spark: SparkSession, source_frames: dict, rates_feed: DataFrame, out
 
     dim_c = dimension("dim_cliente", lambda had: warehouse.dim_cliente(clients, dim_t, had))
     dim_p = dimension("dim_producto", lambda had: warehouse.dim_producto(bridge, had))
+    state = before("high_water") if old and "high_water" in old["tables"] else None
+    if isinstance(high_water, str) and high_water == "stored":
+        high_water = (state.first()["hw"] if state is not None else None) or _dt.datetime(1900, 1, 1)      # a scalar
+    pub("high_water", merge.advance_high_water(state, items, "load_ts"))
     fact = warehouse.fact_ventas(items, dim_t, dim_c, bridge, dim_p, total_basis=total_basis,
                                  existing=before("fact_ventas"), high_water=high_water)
     fact = fact.withColumn("LoadTS", stamp)

@@ -948,6 +948,6 @@ UNION ALL
 SELECT fuente, 'total_tabla', count(*) FROM x GROUP BY 1
 """
 
-from . import detail_queries, rule_queries, stream_queries, upload_queries  # noqa: E402
+from . import detail_queries, rule_queries, run_queries, stream_queries, upload_queries  # noqa: E402
 
-ORACLE |= upload_queries.oracle() | rule_queries.oracle() | stream_queries.oracle() | detail_queries.oracle()
+ORACLE |= upload_queries.oracle() | rule_queries.oracle() | stream_queries.oracle() | detail_queries.oracle() | run_queries.oracle()

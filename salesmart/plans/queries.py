@@ -1218,6 +1218,6 @@ def bulk_upsert_products(spark, sf_dir):
 
 # ------------------------------------------------------------------ modules of their own
 
-from . import detail_queries, rule_queries, stream_queries, upload_queries  # noqa: E402
+from . import detail_queries, rule_queries, run_queries, stream_queries, upload_queries  # noqa: E402
 
-QUERIES |= upload_queries.QUERIES | rule_queries.QUERIES | stream_queries.QUERIES | detail_queries.QUERIES
+QUERIES |= upload_queries.QUERIES | rule_queries.QUERIES | stream_queries.QUERIES | detail_queries.QUERIES | run_queries.QUERIES
