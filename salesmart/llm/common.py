@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import inspect
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -73,3 +75,32 @@ def once(df: DataFrame, value: Column, name: str) -> DataFrame:
     expensive array would be built again for every use.
     """
     return df.select("*", F.explode(F.array(value)).alias(name))
+
+
+def own_columns(*parameters: str):
+    """For ``fn(docs, ...)``: the caller's columns go in under neutral names and come back under their own.
+
+    Whatever they are called (helper names of ``fn``, names with dots, the same
+    name twice), their values stay; ``parameters`` are the arguments of ``fn``
+    that name one of them.  A column with the name of one that ``fn`` adds is replaced by it.
+    """
+    def deco(fn):
+        signature = inspect.signature(fn)
+
+        @functools.wraps(fn)
+        def run(docs: DataFrame, *args, **kw) -> DataFrame:
+            bound = signature.bind(docs, *args, **kw)
+            bound.apply_defaults()
+            back = {f"c{i}_": n for i, n in enumerate(docs.columns)}
+            at = {n: c for c, n in reversed(back.items())}
+            bound.arguments["docs"] = docs.toDF(*back)
+            for p in parameters:
+                if bound.arguments[p] not in at:
+                    raise ValueError(f"no column {bound.arguments[p]!r}")
+                bound.arguments[p] = at[bound.arguments[p]]
+            out = fn(*bound.args, **bound.kwargs)
+            added = {c for c in out.columns if c not in back}
+            kept = [c for c in out.columns if c in added or back[c] not in added]
+            return out.select(*kept).toDF(*[back.get(c, c) for c in kept])
+        return run
+    return deco

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import own_columns, written
 
 WINDOW = 10
 #: Benchmark text that one automaton may hold (UTF-8 bytes); each byte costs some tens of bytes of automaton.
@@ -125,6 +125,7 @@ def _merged(spans: Column) -> Column:
     return F.aggregate(F.array_sort(spans), F.array().cast(kind), add)
 
 
+@own_columns("text_col")
 def mark(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
          name: str = "hits", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` plus the struct ``name``: n_words, spans (hit runs as word numbers and character offsets), items.
@@ -163,7 +164,10 @@ def n_hit(hits: Column) -> Column:
     return F.aggregate(hits["spans"], F.lit(0).cast("long"), lambda n, s: n + s["w1"] - s["w0"])
 
 
+@own_columns("text_col")
 def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **kw) -> DataFrame:
-    """The rows of ``docs`` without any hit word, with their own columns."""
+    """The rows of ``docs`` without any hit word, with their own columns, whatever these are called.
+
+    Null and empty texts have no words and stay; repeated rows stay or go together; an empty table or benchmark changes nothing."""
     marked = mark(docs, benchmark, text_col, name="_hits", **kw)
     return marked.where(F.size("_hits.spans") == 0).select(*docs.columns)

@@ -29,6 +29,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import own_columns
+
 THRESHOLD = 0.8
 
 _BSD = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided "
@@ -302,6 +304,10 @@ def matches(text: Column, templates: list[tuple[str, str, str]] = TEMPLATES, thr
     return of(text)
 
 
+@own_columns("text_col")
 def scan(docs: DataFrame, text_col: str = "text", name: str = "licenses", **kw) -> DataFrame:
-    """``docs`` plus the array ``name``; rows and their number stay, a column of that name is replaced."""
+    """``docs`` plus the array ``name``; rows and their number stay, a column of that name is replaced.
+
+    Null and empty texts have no matches, an empty table stays empty, equal texts match alike.  Of two templates that fit a
+    passage the same the first by Dice, length and name wins."""
     return docs.withColumn(name, matches(F.col(text_col), **kw))

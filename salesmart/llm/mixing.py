@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.keys import global_row_number
-from .common import n_words, written
+from .common import n_words, own_columns, written
 from .ranks import _join, running_sum, running_sum_in_buckets
 
 BLOCK, EPOCHS = 64, 3
@@ -152,6 +152,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     return out.select("id", "key", "size", "source", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
+@own_columns("id_col", "text_col", "source_col")
 def repeat_to_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **kw) -> DataFrame:
     """``docs`` in the mix's proportions: each row as often as the mix takes it, to the nearest whole time (half: up).
 

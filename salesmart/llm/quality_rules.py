@@ -21,7 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import UPPER, let, once, words, written
+from .common import UPPER, let, once, own_columns, words, written
 
 #: Upper bound of the labelled rows a list is fitted on (expected size; the rows are drawn by id hash).
 MAX_LABELLED = 20_000
@@ -260,11 +260,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return learn(table, list(feats), **params)
 
 
+@own_columns("text_col")
 def judge(docs: DataFrame, rules: DecisionList, text_col: str = "text", name: str = "_st") -> DataFrame:
     """``docs`` plus ``name`` (statistics struct), ``base_failed``, ``rule`` (index of the rule that fired) and ``kept``.
 
     A null or empty text has no words, so it fails the base rule.  Texts of any
-    length are judged whole.  Columns of ``docs`` with these names are replaced.
+    length are judged whole.  Columns of ``docs`` with these names are replaced, all others stay as they are.
     """
     out = with_stats(docs.drop("base_failed", "rule", "kept"), text_col, name)
     st = F.col(name)
@@ -273,8 +274,12 @@ def judge(docs: DataFrame, rules: DecisionList, text_col: str = "text", name: st
         "kept", ~F.col("base_failed") & F.col("rule").isNull())
 
 
+@own_columns("text_col")
 def keep_good(docs: DataFrame, rules: DecisionList, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that pass, with their own columns only."""
+    """The rows of ``docs`` that pass, with their own columns only, whatever these are called.
+
+    Null and empty texts fail the base rule and go; texts of any length are judged whole; repeated rows stay or go together.
+    An empty table stays empty."""
     out = with_stats(docs.select("*", F.lit(0).alias("_one")), text_col)
     st = F.col("_st")
     return out.where(~base_failed(st) & rules.fired(features(st)).isNull()).select(*[docs[c] for c in docs.columns])

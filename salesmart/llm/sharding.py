@@ -22,7 +22,7 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import values, written
+from .common import own_columns, values, written
 from .ranks import running_sum
 
 #: Hex digits of the first summary (at most 16^4 rows) and prefixes split in one round.
@@ -180,7 +180,10 @@ def assign(docs: DataFrame, n: int = 24, id_col: str = "doc_id", text_col: str =
     return out.select(F.col("_id").alias(id_col), "size", "text_crc32", "shard", "slot")
 
 
+@own_columns("text_col")
 def with_shard(docs: DataFrame, n: int = 24, text_col: str = "text", name: str = "shard") -> DataFrame:
-    """``docs`` plus the shard, from the border keys: texts are read once more and not shuffled."""
+    """``docs`` plus the shard, from the border keys: texts are read once more and not shuffled.
+
+    Equal texts share a shard, and so do all null texts; a column called ``name`` is replaced, all others stay.  No rows: an empty result."""
     _, border_keys = plan(docs.select(text_key(F.col(text_col)).alias("key"), text_size(F.col(text_col)).alias("size")), n)
     return docs.withColumn(name, shard_of(text_key(F.col(text_col)), border_keys).cast("int"))

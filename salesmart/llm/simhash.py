@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import own_columns, written
 
 BITS, SEED = 64, 42
 #: First bits of the 21 three-bit blocks; the 64th bit is a block of its own.
@@ -197,6 +197,7 @@ def fingerprint_hex(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
+@own_columns("id_col", "text_col")
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 2) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each component the row with the smallest id.
 

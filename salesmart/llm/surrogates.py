@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import own_columns, written
 from .given_names import KNOWN
 
 #: Given names of surrogates by script and gender (names are detected by these and ``KNOWN``); surnames by script.
@@ -267,6 +267,7 @@ def resolve(entities: DataFrame, key: bytes) -> DataFrame:
     raise ValueError(f"too few surrogates of the format of {', '.join(kinds)}: still clashing after {MAX_ROUNDS} rounds")
 
 
+@own_columns("text_col")
 def pseudonymise(docs: DataFrame, key: bytes, text_col: str = "text", name: str = "entities") -> DataFrame:
     """``docs`` with entities of ``text_col`` replaced, plus the array ``name`` of (kind, canonical) mentions.
 

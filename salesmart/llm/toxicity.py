@@ -13,7 +13,7 @@ above the median share are grade 2, the others grade 1.
 The model is fitted with NumPy on a bounded sample of labelled texts
 (``MAX_LABELLED``, drawn by hash), of any length: words are counted on the
 executors, once an id and text, and the driver gets the vocabulary (at most
-``max_vocab`` terms) and each text's counts of it; scoring runs inside Arrow batches on
+``max_vocab`` terms) and each text's counts of it.  Thresholds are set by held-out halves (``_fitted``); scoring runs inside Arrow batches on
 every document and its whole text, with the model (at most ``max_vocab``
 weights) in the closure.
 """
@@ -29,11 +29,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import own_columns, written
 
 #: Upper bound (expected size) of the labelled documents the model is fitted on.
 MAX_LABELLED = 8_000
 GRADES = 2
+#: Largest share of held-out clean texts that may reach an even chance of grade 1.
+MAX_FLAGGED = 0.01
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -122,10 +124,36 @@ def fit_texts(texts: list[str], toxic: list[bool], max_vocab: int = MAX_VOCAB, m
     vocab, marked = _vocabulary({t: (df[0][t], df[1][t]) for t in df[0].keys() | df[1].keys() if df[0][t] + df[1][t] >= min_df}, n, max_vocab)
     at = {t: i for i, t in enumerate(vocab)}
     docs = [_known(c.keys(), c.values(), at, marked) for c in map(counts, texts)]
-    return _train(vocab, np.repeat(np.arange(len(docs)), [len(d[0]) for d in docs]), np.array([i for d in docs for i in d[0]], int),
+    return _fitted(vocab, np.repeat(np.arange(len(docs)), [len(d[0]) for d in docs]), np.array([i for d in docs for i in d[0]], int),
                   np.array([k for d in docs for k in d[1]], float), np.array([d[2] for d in docs]), y, rounds, ridge)
 
 
+def _fitted(vocab: list[str], rows: np.ndarray, cols: np.ndarray, ns: np.ndarray, share: np.ndarray, y: np.ndarray, *how) -> OrdinalModel:
+    """The trained model, its thresholds moved together by what its two halves show of each other.
+
+    Toxic texts are few, so the likelihood's own thresholds let many of them
+    pass.  Each half of the rows is scored by a model of the other half; the
+    thresholds go down as far as at most ``MAX_FLAGGED`` of the clean texts
+    reach an even chance of grade 1, but no further than that share of the
+    toxic ones needs, and never up.
+    """
+    model = _train(vocab, rows, cols, ns, share, y, *how)
+    half = np.arange(len(y)) // 2 % 2
+    z = np.zeros(len(y))
+    for f in (0, 1):
+        train = half != f
+        if y[train].all() or not y[train].any():
+            return model
+        own, number = train[rows], np.cumsum(train) - 1
+        other = _train(vocab, number[rows[own]], cols[own], ns[own], share[train], y[train], *how)
+        w = np.array([other.weights.get(t, 0.0) for t in vocab])
+        z[~train] = (np.bincount(rows, np.log1p(ns) * w[cols], len(y)) - other.thresholds[0])[~train]
+    clean, toxic = np.sort(z[~y]), np.sort(z[y])
+    cut = max(clean[len(clean) - 1 - int(MAX_FLAGGED * len(clean))], toxic[int(MAX_FLAGGED * len(toxic))])
+    model.thresholds = [b + min(0.0, float(cut) + 1e-6) for b in model.thresholds]
+    return model
+
+
 def _train(vocab: list[str], rows: np.ndarray, cols: np.ndarray, ns: np.ndarray, share: np.ndarray, y: np.ndarray, rounds: int = 500,
            ridge: float = 1e-5) -> OrdinalModel:
     """The model of term counts ``ns`` at (row, term number), shares of toxic words and labels."""
@@ -204,7 +232,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         "_id", "_d", "toxic", "k.at", "k.ns", "k.share").orderBy("_id", "_d").drop("_id", "_d").toArrow().combine_chunks()
     flat = lambda c: np.array(got[c].combine_chunks().flatten())
     lengths = np.array([len(x) for x in got["at"]])
-    return _train(vocab, np.repeat(np.arange(len(lengths)), lengths), flat("at").astype(int), flat("ns").astype(float),
+    return _fitted(vocab, np.repeat(np.arange(len(lengths)), lengths), flat("at").astype(int), flat("ns").astype(float),
                   np.array(got["share"]), np.array(got["toxic"]).astype(bool))
 
 
@@ -216,6 +244,10 @@ def score(model: OrdinalModel, text: Column) -> Column:
     return of(text)
 
 
+@own_columns("text_col")
 def judge(docs: DataFrame, model: OrdinalModel, text_col: str = "text", name: str = "severity") -> DataFrame:
-    """``docs`` plus the struct ``name``; a column of that name is replaced, rows and their number stay."""
+    """``docs`` plus the struct ``name``; a column of that name is replaced, rows and their number stay.
+
+    Texts of any length are scored whole; null, empty and wordless ones are
+    grade 0.  Of equally likely grades the lower is given.  Equal texts are judged alike."""
     return docs.withColumn(name, score(model, F.col(text_col)))
