@@ -350,17 +350,26 @@ def load_run(spark: SparkSession, source_frames: dict, rates_feed: DataFrame, ou
     if old and not existing_max_sku:
         existing_max_sku = eqv.max_existing_sku(before("map_producto")).first()[0]
     w = build_warehouse(spark, None, sources=sources, run_date=run_date, existing_max_sku=existing_max_sku,
-                        total_basis=total_basis, source_frames=source_frames, rates_feed=rates_feed)
+                        total_basis=total_basis, source_frames=source_frames, rates_feed=rates_feed, defer_equivalence=True)
     paths: dict[str, str] = {}
 
     def pub(name, df):
-        paths[name] = merge.publish(df, out_base, name)
+        paths[name] = merge.publish(df() if callable(df) else df, out_base, name)
         return spark.read.parquet(paths[name])
 
+    def pub_all(**jobs):
+        # independent tables of one step are written as concurrent jobs; a callable runs jobs to make its frame
+        with ThreadPoolExecutor(max_workers=len(jobs)) as ex:
+            return list(ex.map(lambda x: pub(*x), jobs.items()))
+
     def stamped(df, col="LoadTS"):
         return df.withColumn(col, F.coalesce(F.col(col), stamp) if col in df.columns else stamp)
 
-    eq_map = pub("eq_map", w["eq_map"])
+    clients = w["stg_clientes"].withColumn("load_ts", stamp)
+    if old:
+        clients = merge.merge_coalesce(before("stg_clientes"), clients.withColumn("_one", F.lit(1)), staging.CLIENT_KEYS, "_one").drop("_one")
+    eq_map, clients, items_all, rates = pub_all(eq_map=w["_eq_map_fn"], stg_clientes=clients, items_all=w["items_all"],
+                                                tipo_cambio=merge.upsert_rates(before("tipo_cambio"), rates_feed))
     batch = merge.merge_overwrite(None, eqv.bridge_rows(w["eq_std"], eq_map, w["_products"]), ["source_system", "source_code"], "pos")
     batch = batch.drop("pos")
     if old:
@@ -375,36 +384,28 @@ def load_run(spark: SparkSession, source_frames: dict, rates_feed: DataFrame, ou
     if old:
         gone = before("map_producto").join(batch.select("source_system", "source_code"), ["source_system", "source_code"], "left_anti")
         batch = gone.unionByName(batch)
-    bridge = pub("map_producto", batch)
-    clients = w["stg_clientes"].withColumn("load_ts", stamp)
-    if old:
-        clients = merge.merge_coalesce(before("stg_clientes"), clients.withColumn("_one", F.lit(1)), staging.CLIENT_KEYS, "_one").drop("_one")
-    clients = pub("stg_clientes", clients)
-    items_all = pub("items_all", w["items_all"])
-    rates = pub("tipo_cambio", merge.upsert_rates(before("tipo_cambio"), rates_feed))
     staged = staging.stage_items(items_all).withColumn("load_ts", stamp)
     if old:
         key = ["source_system", "source_key_orden", "source_key_item"]
         had = before("stg_orden_items")
         staged = had.unionByName(staged.join(had.select(*key), key, "left_anti"))
-    items = pub("stg_orden_items", staged)
+    bridge, items = pub_all(map_producto=batch, stg_orden_items=staged)
     bounds = warehouse.spine_bounds((items, "fecha_dt"), (clients, "fecha_creado_dt"))
-    dim_t = pub("dim_tiempo", warehouse.dim_tiempo(bounds, rates))
 
     def dimension(name, build):
         had = before(name)
         if had is None:
-            return pub(name, stamped(build(None)))
+            return stamped(build(None))
         key = had.columns[0]
-        every = build(had)
-        return pub(name, stamped(every.join(had.select(key, "LoadTS"), key, "left")))
+        return stamped(build(had).join(had.select(key, "LoadTS"), key, "left"))
 
-    dim_c = dimension("dim_cliente", lambda had: warehouse.dim_cliente(clients, dim_t, had))
-    dim_p = dimension("dim_producto", lambda had: warehouse.dim_producto(bridge, had))
     state = before("high_water") if old and "high_water" in old["tables"] else None
     if isinstance(high_water, str) and high_water == "stored":
         high_water = (state.first()["hw"] if state is not None else None) or _dt.datetime(1900, 1, 1)      # a scalar
-    pub("high_water", merge.advance_high_water(state, items, "load_ts"))
+    dim_t, dim_p, _ = pub_all(dim_tiempo=lambda: warehouse.dim_tiempo(bounds, rates),
+                              dim_producto=lambda: dimension("dim_producto", lambda had: warehouse.dim_producto(bridge, had)),
+                              high_water=merge.advance_high_water(state, items, "load_ts"))
+    dim_c = pub("dim_cliente", dimension("dim_cliente", lambda had: warehouse.dim_cliente(clients, dim_t, had)))
     fact = warehouse.fact_ventas(items, dim_t, dim_c, bridge, dim_p, total_basis=total_basis,
                                  existing=before("fact_ventas"), high_water=high_water)
     fact = fact.withColumn("LoadTS", stamp)
