@@ -8,7 +8,9 @@ The expressions meet the rules on the first four bytes of a SHA-256 digest (an
 equi-join), the full digests confirm, and the longest confirmed rule wins.
 
 Work grows with the distinct URLs: equal (host, path) pairs are judged once, so
-a URL that a third of all rows repeat costs one row in the join.
+a URL that a third of all rows repeat costs one row in that join.  On the way
+back its rows stay where they are: the verdicts of the few URLs with a large
+share of the rows are broadcast, only the rows of the others are shuffled.
 """
 
 from __future__ import annotations
@@ -16,10 +18,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, values
+from .common import ascii_lower, values, written
 
 #: Hex digits of the digest on which URLs and rules meet (four bytes).
 PREFIX_HEX = 8
+#: A URL of at most ``HOT_CHARS`` characters with more than one ``HOT_PART``-th of all rows, and ``HOT_ROWS`` at least, is
+#: hot.  There are fewer than ``HOT_PART`` such URLs, with their rules at most 8 MB of text to broadcast.
+HOT_PART, HOT_ROWS, HOT_CHARS = 1024, 4096, 1024
 
 
 def url_host(url: Column) -> Column:
@@ -68,7 +73,7 @@ def judge(pages: DataFrame, rules: DataFrame, url_col: str = "url", default: str
                  (F.length("host") + F.length("path")).alias("len"))
     r = r.withColumn("key", F.substring("r_digest", 1, PREFIX_HEX))
 
-    urls = out.select(F.col(host).alias("u_host"), F.col(path).alias("u_path")).distinct()
+    urls = written(out.groupBy(F.col(host).alias("u_host"), F.col(path).alias("u_path")).agg(F.count(F.lit(1)).alias("n")), "urls")
     ints = lambda xs: F.array(*[F.lit(int(x)) for x in xs]).cast("array<int>")
     parts = F.split("u_host", r"\.")
     suffixes = F.transform(F.filter(ints(labels), lambda n: n <= F.size(parts)),
@@ -79,9 +84,14 @@ def judge(pages: DataFrame, rules: DataFrame, url_col: str = "url", default: str
              .select("u_host", "u_path", _digest(F.col("s"), F.col("p")).alias("digest"))
              .withColumn("key", F.substring("digest", 1, PREFIX_HEX)))
     fits = exprs.join(r, "key").where(F.col("digest") == F.col("r_digest"))
-    best = (fits.groupBy("u_host", "u_path")
-            .agg(F.max(F.struct("len", "host_len", "rule", "verdict")).alias("best"))
-            .select(F.col("u_host").alias(host), F.col("u_path").alias(path),
-                    F.col("best.rule").alias(rule), F.col("best.verdict").alias(verdict)))
-    return (out.join(best, [host, path], "left")
-            .withColumn(verdict, F.coalesce(F.col(verdict), F.lit(default))))
+    best = (fits.groupBy("u_host", "u_path").agg(F.max(F.struct("len", "host_len", "rule", "verdict")).alias("best"))
+            .select("u_host", "u_path", F.col("best.rule").alias(rule), F.col("best.verdict").alias(verdict)))
+    best = written(urls.join(best, ["u_host", "u_path"], "left")
+                   .select(F.col("u_host").alias(host), F.col("u_path").alias(path), rule,
+                           F.coalesce(F.col(verdict), F.lit(default)).alias(verdict), F.col("n").alias("_n")), "url_verdicts")
+    rows = best.agg(F.sum("_n")).first()[0] or 0
+    # every (host, path) has its verdict, so inner joins keep all rows
+    crowded = (F.col("_n") > max(rows // HOT_PART, HOT_ROWS)) & (F.length(host) + F.length(path) <= HOT_CHARS)
+    hot, others = F.broadcast(best.where(crowded).drop("_n")), best.where(~crowded).drop("_n")
+    cold = out.join(hot.select(host, path), [host, path], "left_anti").join(others, [host, path])
+    return out.join(hot, [host, path]).union(cold)

@@ -1,6 +1,8 @@
 """URL rules against plain Python."""
 import re
 
+from pyspark.sql import functions as F
+
 from salesmart.llm import url_filter as u
 from salesmart.llm.queries import URL_RULES
 
@@ -38,6 +40,21 @@ def test_rule_edges(spark):
     assert u.judge(df.limit(0), both).count() == 0
 
 
+def test_hot_urls_meet_their_verdict_by_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(u, "HOT_ROWS", 3)
+    monkeypatch.setattr(u, "HOT_CHARS", 40)
+    # a fitted, an unfitted, a null and an overlong URL with many rows, and the rest
+    many = ["http://a.example.org/es/1", "http://x.net/", None, "http://x.com/de/" + "y" * 50]
+    urls = [t for t in many for _ in range(20)] + URLS
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(urls)], "page_id long, url string")
+    out = u.judge(df.select("page_id", "url", F.lit("same").alias("x"), F.lit("name").alias("x")), u.rule_table(spark, URL_RULES))
+    assert out.columns.count("x") == 2
+    got = sorted((r.page_id, r.host, r.path, r.rule or "", r.verdict) for r in out.select("page_id", "host", "path", "rule", "verdict").collect())
+    assert got == sorted((i, *(x if x is not None else "" for x in brute(t, URL_RULES))) for i, t in enumerate(urls))
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Union" in plan
+
+
 def test_query_matches_its_sql(spark):
     import duckdb
 
