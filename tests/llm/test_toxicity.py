@@ -1,4 +1,8 @@
 """The ordinal model on constructed and held-out rows."""
+import math
+import re
+from collections import Counter
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -37,8 +41,7 @@ def test_held_out_rows(spark):
     assert hit >= 0.88 * n and wrong <= 0.01 * clean
 
 
-def _labelled(spark, pad):
-    """200 documents, every other toxic; ``pad`` times four words that all have, in the toxic ones."""
+def _labelled_rows(pad):
     rnd = np.random.default_rng(1)
     clean = ["".join(chr(97 + int(x)) for x in rnd.integers(0, 26, 7)) for _ in range(300)]
     bad = ["badword", "worseword", "awfulword"]
@@ -46,7 +49,13 @@ def _labelled(spark, pad):
     for i in range(200):
         words = list(rnd.choice(clean, 60)) + ["of", "the", "in", "and"] * (1 + (pad if i % 2 else 0)) + (list(rnd.choice(bad, 6 if i % 4 == 1 else 40)) if i % 2 else [])
         rows.append((i, " ".join(words)))
-    return rows, spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int")
+    return rows, [(i, i % 2) for i in range(200)]
+
+
+def _labelled(spark, pad):
+    """200 documents, every other toxic; ``pad`` times four words that all have, in the toxic ones."""
+    rows, labels = _labelled_rows(pad)
+    return rows, spark.createDataFrame(labels, "doc_id long, toxic int")
 
 
 def test_long_toxic_texts_are_fitted(spark):
@@ -87,6 +96,63 @@ def test_edges(spark):
     assert tx.judge(docs.limit(0), model).count() == 0
 
 
+def own_counts(text):
+    """Counts of a text's lower-cased words and of their first four and five letters, marked with ^."""
+    out = Counter()
+    for w in re.findall(r"[^\W\d_]+", (text or "").lower()):
+        out[w] += 1
+        for k in (4, 5):
+            if len(w) > k:
+                out["^" + w[:k]] += 1
+    return out
+
+
+def test_query_matches_plain_python(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    model = tx.fit(docs, labels)
+    b1, b2 = model.thresholds
+    assert model.weights and b1 < b2
+    want = {}
+    for r in docs.collect():
+        z = sum(math.log1p(n) * model.weights.get(t, 0.0) for t, n in own_counts(r.text).items())
+        p1, p2 = (1 / (1 + math.exp(min(700, b - z))) for b in (b1, b2))
+        chances = [1 - p1, p1 - p2, p2]
+        want[r.doc_id] = (p1 + p2, p1, p2, chances.index(max(chances)))
+    rows = QUERIES["op4_toxicity"](spark, sf).collect()
+    assert len(rows) == len(want)
+    for r in rows:
+        e, p1, p2, grade = want[r.doc_id]
+        assert abs(r.expected_severity - e) < 1e-6 and abs(r.p_ge_1 - p1) < 1e-6 and abs(r.p_ge_2 - p2) < 1e-6
+        assert r.grade == grade
+
+
+def test_training_ends_near_the_least_loss():
+    rows, _ = _labelled_rows(0)
+    texts, y = [t for _, t in rows], np.array([i % 2 == 1 for i, _ in rows])
+    vocab = sorted({t for x in texts for t in own_counts(x)})
+    x = np.array([[math.log1p(own_counts(t)[v]) for v in vocab] for t in texts])
+    share = np.array([sum(n for w, n in own_counts(t).items() if w in ("badword", "worseword", "awfulword")) / len(t.split()) for t in texts])
+    grade = np.where(y, 1 + (share > np.median(share[y])), 0)
+    ridge = 0.01
+
+    def loss(w, b):
+        s = 1 / (1 + np.exp(b[None, :] - (x @ w)[:, None]))
+        p = np.column_stack([1 - s[:, 0], s[:, 0] - s[:, 1], s[:, 1]])
+        return -np.log(np.maximum(p[np.arange(len(p)), grade], 1e-300)).mean() + ridge / 2 * (w @ w)
+
+    at = np.nonzero(x)
+    model = tx._train(vocab, at[0], at[1], np.expm1(x[at]), share, y, 500, ridge)
+    w, b = np.array([model.weights.get(v, 0.0) for v in vocab]), np.array(model.thresholds)
+    least, rnd = loss(w, b), np.random.default_rng(2)
+    assert least < 0.5 * loss(np.zeros(len(w)), np.array([0.0, math.log(3)]))
+    for size in (0.03, 0.1, 0.3):
+        for _ in range(20):
+            step = rnd.normal(size=len(w) + 2)
+            step *= size / np.linalg.norm(step)
+            assert loss(w + step[:-2], b + step[-2:]) > least - 1e-4
+
+
 def test_query(spark):
     rows = QUERIES["op4_toxicity"](spark, "/root/testdata/sf0.001").collect()
     assert len(rows) == spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()
