@@ -80,7 +80,9 @@ def judge(pages: DataFrame, rules: DataFrame, url_col: str = "url", default: str
                            lambda n: F.array_join(F.slice(parts, -n, n), "."))
     prefixes = F.transform(F.filter(ints(lengths), lambda n: n <= F.length("u_path")),
                            lambda n: F.substr(F.col("u_path"), F.lit(1), n))
-    exprs = (urls.withColumn("s", F.explode(suffixes)).withColumn("p", F.explode(prefixes))
+    # a narrow file is few splits: deal the URLs out before each becomes many expressions
+    tasks = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    exprs = (urls.repartition(tasks, "u_host", "u_path").withColumn("s", F.explode(suffixes)).withColumn("p", F.explode(prefixes))
              .select("u_host", "u_path", _digest(F.col("s"), F.col("p")).alias("digest"))
              .withColumn("key", F.substring("digest", 1, PREFIX_HEX)))
     fits = exprs.join(r, "key").where(F.col("digest") == F.col("r_digest"))
