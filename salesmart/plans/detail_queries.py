@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import clean
 from ..operators import kpi, orders, staging, warehouse
 from ..operators import equivalence as eqv
+from ..sources.readers import relationship_triplets
 from .etl import source_tables, warehouse_tables
 
 
@@ -29,6 +30,17 @@ def graph_orders_newest_page(spark, sf_dir):
     return _page(spark, sf_dir, page=1, limit=40, newest=True)
 
 
+def graph_triplets_all(spark, sf_dir):
+    """SRC5: every relationship of the graph with both end nodes, whichever its type."""
+    t = relationship_triplets(source_tables(spark, sf_dir)["neo4j"])
+
+    def named(end):
+        return F.coalesce(F.col(f"{end}_props")["nombre"], F.col(f"{end}_props")["canal"])
+    return t.select(F.col("type").alias("tipo"), F.col("from_label").alias("de_etiqueta"), F.col("from_id").alias("de_id"), named("from").alias("de_nombre"),
+                    F.col("to_label").alias("a_etiqueta"), F.col("to_id").alias("a_id"), named("to").alias("a_nombre"),
+                    F.col("props")["seq"].cast("int").alias("seq"), F.col("props")["cantidad"].cast("int").alias("cantidad"))
+
+
 def include_client_orders(spark, sf_dir):
     """JN20: clients with their orders, each with its lines (two levels of nesting)."""
     s = source_tables(spark, sf_dir)["mssql"]
@@ -101,12 +113,12 @@ def shared_cleaners(spark, sf_dir):
             .groupBy("g", "c", "genero", "canal").agg(F.count(F.lit(1)).alias("filas")))
 
 
-QUERIES = {f.__name__: f for f in (graph_orders_third_page, graph_orders_newest_page, include_client_orders, include_product_lines, include_line_parents,
+QUERIES = {f.__name__: f for f in (graph_orders_third_page, graph_orders_newest_page, graph_triplets_all, include_client_orders, include_product_lines, include_line_parents,
                                    fact_source_totals, kpi_total_filters, equivalence_without_source, shared_cleaners)}
 
 
 def oracle() -> dict[str, str]:
-    from .oracle import FACTK_CTE, with_all, with_lines
+    from .oracle import FACTK_CTE, PRESENT_CTE, with_all, with_lines
 
     def graph_page(way: str, offset: int) -> str:
         return with_lines(f"""
@@ -126,6 +138,19 @@ FROM page LEFT JOIN (SELECT * FROM lp WHERE present) l ON l.ok = page.ok LEFT JO
     return {
         "graph_orders_third_page": graph_page("ASC", 80),
         "graph_orders_newest_page": graph_page("DESC", 0),
+        "graph_triplets_all": with_all("""
+, o AS (SELECT o_orderkey AS ok, o_custkey AS ck, printf('ORD-%06d', o_orderkey) AS id,
+          ['WEB','TIENDA','APP','PARTNER','WEB'][CAST(substr(o_orderpriority, 1, 1) AS INTEGER)] AS canal FROM orders WHERE o_custkey % 5 = 4)
+SELECT 'REALIZO' AS tipo, 'Cliente' AS de_etiqueta, printf('C%05d', o.ck) AS de_id, c_name AS de_nombre, 'Orden' AS a_etiqueta, o.id AS a_id,
+       o.canal AS a_nombre, CAST(NULL AS INTEGER) AS seq, CAST(NULL AS INTEGER) AS cantidad
+FROM o LEFT JOIN customer ON c_custkey = o.ck
+UNION ALL
+SELECT 'CONTIENE', 'Orden', o.id, o.canal, 'Producto', 'SKU' || CAST(1000 + l.p AS VARCHAR), CASE WHEN l.present THEN pa.nm END,
+       CAST(l.line_id AS INTEGER), CAST(l.qty AS INTEGER)
+FROM lx l JOIN o ON o.ok = l.ok JOIN parts pa ON pa.p = l.p WHERE l.src = 4
+UNION ALL
+SELECT 'PERTENECE_A', 'Producto', 'SKU' || CAST(1000 + p AS VARCHAR), nm, 'Categoria', 'CAT-' || cat, cat, NULL, NULL FROM pres WHERE k = 4
+""", PRESENT_CTE),
         "include_client_orders": with_lines(f"""
 , l AS ({own}),
 o AS (SELECT o_orderkey AS ok, o_custkey AS ck, count(l.ok) AS n, coalesce(sum(l.qty), 0) AS u FROM orders LEFT JOIN l ON l.ok = o_orderkey

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -118,6 +118,32 @@ def graph_triplets(edges: DataFrame, from_nodes: DataFrame, to_nodes: DataFrame)
     return edges.join(f, "from_id", "left").join(t, "to_id", "left")
 
 
+#: Labels at both ends of each relationship type.
+GRAPH_ENDS = {"REALIZO": ("Cliente", "Orden"), "CONTIENE": ("Orden", "Producto"), "PERTENECE_A": ("Producto", "Categoria")}
+
+
+def _properties(df: DataFrame, *ids: str) -> Column:
+    own = [c for c in df.columns if c not in ids]
+    return F.map_from_arrays(F.array(*[F.lit(c) for c in own]).cast("array<string>"),
+                             F.array(*[F.col(c).cast("string") for c in own]).cast("array<string>"))
+
+
+def relationship_triplets(graph: dict[str, DataFrame], ends: dict[str, tuple[str, str]] = GRAPH_ENDS) -> DataFrame:
+    """SRC5: all relationships in one frame: ``type``, label, id and properties of both ends, and the edge's own properties.
+
+    Labels and types differ in their properties, which are therefore maps from
+    name to text.  An end without a node keeps its id and has null properties.
+    """
+    parts = []
+    for kind, (a, b) in ends.items():
+        f, t = (graph[n].select(F.col("id").alias(f"{end}_id"), _properties(graph[n], "id").alias(f"{end}_props"))
+                for end, n in (("from", a), ("to", b)))
+        e = graph[kind].select(F.lit(kind).alias("type"), F.lit(a).alias("from_label"), F.lit(b).alias("to_label"), "from_id", "to_id",
+                               _properties(graph[kind], "from_id", "to_id").alias("props"))
+        parts.append(e.join(f, "from_id", "left").join(t, "to_id", "left"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def parse_fx_feed(feed: DataFrame, text_col: str = "xml") -> DataFrame:
     """SRC6: repeated <DES_FECHA>/<NUM_VALOR> pairs in a text column.
 

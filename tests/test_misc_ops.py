@@ -177,3 +177,20 @@ def test_streaming_load_into_bucketed_fact(spark, tmp_path):
     got = spark.table("fact_stream_test")
     assert got.count() == w["fact_ventas"].count()
     assert got.groupBy("Fuente", "SourceKey").count().where("count > 1").count() == 0
+
+
+def test_relationship_triplets_of_all_types(spark):
+    from salesmart.sources.readers import relationship_triplets
+    graph = {"Cliente": spark.createDataFrame([("c1", "Ana", None)], "id string, nombre string, pais string"),
+             "Orden": spark.createDataFrame([("o1", 2.5)], "id string, total double"),
+             "Producto": spark.createDataFrame([], "id string, nombre string"),
+             "Categoria": spark.createDataFrame([("k1",)], "id string"),
+             "REALIZO": spark.createDataFrame([("c1", "o1"), ("c1", "o1"), ("c9", None)], "from_id string, to_id string"),
+             "CONTIENE": spark.createDataFrame([("o1", "p1", 3)], "from_id string, to_id string, cantidad int"),
+             "PERTENECE_A": spark.createDataFrame([], "from_id string, to_id string")}
+    got = sorted(((r.type, r.from_label, r.from_id, r.from_props, r.to_label, r.to_id, r.to_props, r.props)
+                  for r in relationship_triplets(graph).collect()), key=repr)
+    ana, order = {"nombre": "Ana", "pais": None}, {"total": "2.5"}
+    assert got == sorted([("REALIZO", "Cliente", "c1", ana, "Orden", "o1", order, {})] * 2
+                         + [("REALIZO", "Cliente", "c9", None, "Orden", None, None, {}),
+                            ("CONTIENE", "Orden", "o1", order, "Producto", "p1", None, {"cantidad": "3"})], key=repr)
