@@ -77,6 +77,33 @@ def once(df: DataFrame, value: Column, name: str) -> DataFrame:
     return df.select("*", F.explode(F.array(value)).alias(name))
 
 
+#: Parts of the text hashes (at most 2^18 numbers are broadcast) and salts over which the rows of one text are dealt.
+PART_BITS, SALTS = 18, 16
+
+
+def text_part(text: Column) -> Column:
+    """The part of the hash space that a text lies in; null for null."""
+    return F.when(text.isNotNull(), F.shiftrightunsigned(F.xxhash64(text), 64 - PART_BITS))
+
+
+def with_few(docs: DataFrame, text_col: str, few: DataFrame, name: str) -> DataFrame:
+    """``docs`` plus the column ``name`` of ``few`` (_d: SHA-256 of a text, each once; _part: its ``text_part``; ``name``), null elsewhere.
+
+    For a ``few`` that names few of the texts: those outside its parts, and null
+    texts, stay where they are.  The others are shuffled by digest, equal texts
+    dealt over salts by the partition they come from.
+    """
+    none = F.lit(None).cast(few.schema[name].dataType).alias(name)
+    if few.isEmpty():
+        return docs.select("*", none)
+    parts, docs = F.broadcast(few.select("_part").distinct()), docs.withColumn("_part", text_part(F.col(text_col)))
+    still = docs.join(parts, "_part", "left_anti").drop("_part").select("*", none)
+    moved = docs.join(parts, "_part", "left_semi").drop("_part").withColumns({
+        "_d": F.sha2(text_col, 256), "_salt": F.pmod(F.spark_partition_id(), F.lit(SALTS))})
+    salted = few.select("_d", name, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
+    return still.unionByName(moved.join(salted, ["_d", "_salt"], "left").drop("_d", "_salt"))
+
+
 def own_columns(*parameters: str):
     """For ``fn(docs, ...)``: the caller's columns go in under neutral names and come back under their own.
 

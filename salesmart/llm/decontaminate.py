@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import own_columns, written
+from .common import own_columns, text_part, with_few, written
 
 WINDOW = 10
 #: Benchmark text that one automaton may hold (UTF-8 bytes); each byte costs some tens of bytes of automaton.
@@ -144,19 +144,21 @@ def mark(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col
     parts = []
     for k in range(n_blocks):
         items = bench.where(F.pmod(F.xxhash64("item", "body"), F.lit(n_blocks)) == k).distinct().collect()
-        seen = docs.where(F.col(text_col).isNotNull()).select(F.sha2(text_col, 256).alias("_d"), F.col(text_col).alias("_t"))
-        seen = seen.select("_d", _scan_column(spark, [tuple(r) for r in items], F.col("_t"), window).alias("h"))
+        seen = docs.where(F.col(text_col).isNotNull()).select(F.sha2(text_col, 256).alias("_d"), text_part(F.col(text_col)).alias("_part"),
+                                                              F.col(text_col).alias("_t"))
+        seen = seen.select("_d", "_part", _scan_column(spark, [tuple(r) for r in items], F.col("_t"), window).alias("h"))
         parts.append(written(seen.where(F.size("h.spans") > 0).dropDuplicates(["_d"]), "decontaminate_block"))
     hits = parts[0]
     for p in parts[1:]:
         hits = hits.unionByName(p)
-    hits = hits.groupBy("_d").agg(F.flatten(F.collect_list("h.spans")).alias("s"), F.flatten(F.collect_list("h.items")).alias("i"))
-    hits = written(hits.select("_d", _merged(F.col("s")).alias("s"), F.array_sort(F.array_distinct("i")).alias("i")), "decontaminate_hits")
-    out = docs.drop(name).withColumn("_d", F.sha2(text_col, 256)).join(hits, "_d", "left")
+    hits = hits.groupBy("_d", "_part").agg(F.flatten(F.collect_list("h.spans")).alias("s"), F.flatten(F.collect_list("h.items")).alias("i"))
+    hit = F.struct(_merged(F.col("s")).alias("spans"), F.array_sort(F.array_distinct("i")).alias("items"))
+    hits = written(hits.select("_d", "_part", hit.alias("_hit")), "decontaminate_hits")
+    out = with_few(docs.drop(name), text_col, hits, "_hit")
     words = _scan_column(spark, [], F.col(text_col), window)["n_words"]
     kind = "array<struct<w0:int,w1:int,c0:int,c1:int>>"
-    return out.withColumn(name, F.struct(words.alias("n_words"), F.coalesce("s", F.array().cast(kind)).alias("spans"),
-                                         F.coalesce("i", F.array().cast("array<string>")).alias("items"))).drop("_d", "s", "i")
+    return out.withColumn(name, F.struct(words.alias("n_words"), F.coalesce("_hit.spans", F.array().cast(kind)).alias("spans"),
+                                         F.coalesce("_hit.items", F.array().cast("array<string>")).alias("items"))).drop("_hit")
 
 
 def n_hit(hits: Column) -> Column:

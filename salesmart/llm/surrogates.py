@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import own_columns, written
+from .common import own_columns, text_part, with_few, written
 from .given_names import KNOWN
 
 #: Given names of surrogates by script and gender (names are detected by these and ``KNOWN``); surnames by script.
@@ -84,9 +84,6 @@ ENTITIES = "array<struct<kind:string,canonical:string>>"
 MAX_ROUNDS = 64
 #: Attempts that stay within a phone number's length, or within the private address ranges.
 SAME_LENGTH, SAME_RANGE = 4, 16
-#: Parts of the text hashes (2^18 numbers at most are broadcast: those with a text that needs a later attempt), and
-#: salts over which the rows of one such text are dealt.
-PART_BITS, SALTS = 18, 16
 
 
 def _name_parts(surface: str) -> tuple[str, str, str, str]:
@@ -280,8 +277,7 @@ def pseudonymise(docs: DataFrame, key: bytes, text_col: str = "text", name: str
     * Surrogates depend on the key and, for the rare clashes, on the entities of ``docs``.
     """
     text = F.col(text_col)
-    part = F.when(text.isNotNull(), F.shiftrightunsigned(F.xxhash64(text), 64 - PART_BITS))
-    named = (docs.where(text.isNotNull()).select(F.sha2(text_col, 256).alias("_d"), part.alias("_part"), entities_column(text).alias("e"))
+    named = (docs.where(text.isNotNull()).select(F.sha2(text_col, 256).alias("_d"), text_part(text).alias("_part"), entities_column(text).alias("e"))
              .where(F.size("e") > 0))
     named = written(named.select("_d", "_part", F.explode("e").alias("e")).select("_d", "_part", "e.kind", "e.canonical"), "entities")
     late = written(resolve(named, key).where("attempt > 0").select("kind", "canonical", "attempt"), "surrogates_late")
@@ -290,19 +286,7 @@ def pseudonymise(docs: DataFrame, key: bytes, text_col: str = "text", name: str
                 .agg(F.collect_list(F.struct("kind", "canonical", "attempt")).alias("_late")))
     per_text = written(per_text, "entities_late")
     out = docs.drop(name)
-    none = F.lit(None).cast("array<struct<kind:string,canonical:string,attempt:int>>").alias("_late")
-    if per_text.isEmpty():
-        out = out.select("*", none)
-    else:
-        # texts outside the parts that hold a late one (null texts too) stay where they are
-        parts = F.broadcast(per_text.select("_part").distinct())
-        out = out.withColumn("_part", part)
-        still = out.join(parts, "_part", "left_anti").drop("_part").select("*", none)
-        # the others meet their attempts by digest, equal texts dealt over salts by the partition they come from
-        moved = out.join(parts, "_part", "left_semi").drop("_part").withColumns({
-            "_d": F.sha2(text_col, 256), "_salt": F.pmod(F.spark_partition_id(), F.lit(SALTS))})
-        salted = per_text.select("_d", "_late", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
-        out = still.unionByName(moved.join(salted, ["_d", "_salt"], "left").drop("_d", "_salt"))
+    out = with_few(docs.drop(name), text_col, per_text, "_late")
 
     @F.pandas_udf(f"struct<text:string,entities:{ENTITIES}>")
     def rewritten(texts: pd.Series, lates: pd.Series) -> pd.DataFrame:

@@ -5,6 +5,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from salesmart.llm import common
 from salesmart.llm import surrogates as sg
 from salesmart.llm.queries import QUERIES
 
@@ -144,7 +145,7 @@ def own_surrogates(texts):
 
 def test_texts_with_late_entities_match_plain_python(spark, monkeypatch):
     # few parts, so texts with and without late entities share some; one of them, and null, on many rows
-    monkeypatch.setattr(sg, "PART_BITS", 4)
+    monkeypatch.setattr(common, "PART_BITS", 4)
     letters = "abcdefghijklmnopqrstuvwxyz"
     texts = [f"from {a}{b}@x.de to {b}{c}@x.de" for a in letters[:12] for b in letters[:12] for c in letters[:3]]
     texts += [f"plain {i} 192.168.{i}.7" for i in range(200)] + [f"no entity {i}" for i in range(50)] + [None, ""]
