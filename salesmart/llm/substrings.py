@@ -16,7 +16,8 @@ Texts are UTF-8 bytes; matches never cross texts.
    unequal strings agree with a chance under 2^-56).  All strings that share an
    anchor overlap in it, so per context only the first and the last repeated
    offset matter.  A gram with more than ``GROUP`` contexts is not held in one
-   task: its strings are dealt by content and counted with aggregates.
+   task: its strings are dealt by content and counted with aggregates; rows of
+   a range that very many share are found without a shuffle.
    The comparison can also be done by external induced suffix sorting
    (``induced``), which needs no hashes but far more time per byte.
 5. *Spans.*  Covered intervals go back to every occurrence, are merged per
@@ -46,6 +47,8 @@ LENGTH, GRAM = 400, 200
 GROUP = 256
 #: Offsets that ``_crowded`` takes together.
 RANGE = 25
+#: A key of ``_crowded`` with more than 1 / HOT of all rows is broadcast.
+HOT = 1024
 _BLOCK = 1 << 18
 _POS_BITS = 24
 _U = np.uint64
@@ -345,12 +348,12 @@ def _crowded(rows: DataFrame, length: int, gram: int) -> DataFrame:
 
     parts = rows.select("gram", "ctx", F.explode(parts_of("before", "body", "ctx")).alias("p")).select("gram", "ctx", "p.*")
     parts = written(parts, "crowded_ranges")
-    windows = parts.groupBy("gram", "lo", "core", "window").agg(F.min("ctx").alias("ctx"), F.max("ctx").alias("other"))
+    windows = parts.groupBy("gram", "lo", "core", "window").agg(F.min("ctx").alias("ctx"), F.max("ctx").alias("other"), F.count(F.lit(1)).alias("n"))
     windows = written(windows, "crowded_windows")
-    shared = windows.where("ctx <> other").select("gram", "lo", "window")
-    by_window = parts.join(shared, ["gram", "lo", "window"], "left_semi").select("gram", "ctx", "hi", "lo")
-    mixed = windows.groupBy("gram", "lo", "core").agg(F.min("window").alias("x"), F.max("window").alias("y")).where("x <> y")
-    asked = windows.join(mixed.select("gram", "lo", "core"), ["gram", "lo", "core"], "left_semi")
+    by_window = _rows_of(parts, windows.where("ctx <> other"), ["gram", "lo", "window"]).select("gram", "ctx", "hi", "lo")
+    mixed = (windows.groupBy("gram", "lo", "core").agg(F.min("window").alias("x"), F.max("window").alias("y"), F.count(F.lit(1)).alias("n"))
+             .where("x <> y").select("gram", "lo", "core", "n"))
+    asked = _rows_of(windows, written(mixed, "crowded_cores"), ["gram", "lo", "core"])
     asked = written(asked.groupBy("gram", "ctx").agg(F.collect_set("lo").alias("los")), "crowded_asked")       # at most the ranges
     size = F.octet_length("body")
     each = (rows.join(asked, ["gram", "ctx"]).select("gram", "ctx", "los", "before", size.alias("size"), F.posexplode(hashes("before", "body")).alias("a", "h"))
@@ -366,6 +369,18 @@ def _crowded(rows: DataFrame, length: int, gram: int) -> DataFrame:
             .groupBy("gram", "ctx").agg(F.max("hi").cast("int").alias("hi"), F.min("lo").cast("int").alias("lo")))
 
 
+def _rows_of(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """``rows`` whose ``on`` is among ``keys``, which hold each with its number ``n`` of rows.
+
+    A key with a large share of the rows (fewer than ``HOT`` can have one) is
+    broadcast and its rows stay in place; only the others are shuffled.
+    """
+    bound = rows.count() // HOT
+    hot = F.broadcast(keys.where(F.col("n") > bound).select(*on))
+    others = keys.where(F.col("n") <= bound).select(*on)
+    return rows.join(hot, on, "left_semi").unionByName(rows.join(hot, on, "left_anti").join(others, on, "left_semi"))
+
+
 def _merged(spans: Column) -> Column:
     """Intervals joined where they touch or overlap, in order."""
     kind = "array<struct<s:int,e:int>>"

@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from salesmart.llm import substrings as ss
 from salesmart.llm.queries import QUERIES
@@ -94,3 +95,37 @@ def test_edges(spark):
     assert rows == [(0, 0), (0, 0), (1001, 1000), (1001, 1000)]
     assert ss.remove_repeats(df.limit(0)).count() == 0
     assert ss.remove_repeats(df.where("text is null")).count() == 2
+
+
+def test_rows_of_a_hot_key_stay_in_place(spark):
+    rows = spark.range(0, 8000, 1, 8).selectExpr("IF(id % 8 < 6, 7, 1000 + id DIV 16) AS gram", "IF(id % 8 < 6, 3, id % 2) AS lo", "id AS ctx")
+    keys = rows.where("gram = 7 OR gram % 3 = 0").groupBy("gram", "lo").agg(F.count(F.lit(1)).alias("n"))
+    got = ss._rows_of(rows, keys, ["gram", "lo"])
+    want = rows.join(keys, ["gram", "lo"], "left_semi")
+    ids = [r.ctx for r in got.collect()]
+    assert sorted(ids) == sorted(r.ctx for r in want.collect()) and len(ids) == len(set(ids)) > 6000
+    held = got.where("gram = 7").groupBy(F.spark_partition_id()).count().collect()
+    assert len(held) == 8 and max(r["count"] for r in held) == 750
+
+
+def test_one_core_with_many_windows(spark, monkeypatch):
+    """Copies of one passage between changing ends: the joins over ranges of offsets leave large keys in place."""
+    joins = []
+
+    def seen(rows, keys, on):
+        out = rows_of(rows, keys, on)
+        n, bound = {tuple(r)[:-1]: r["n"] for r in keys.select(*on, "n").collect()}, rows.count() // ss.HOT
+        joins.append((tuple(on), max(n.values(), default=0) > bound, rows.join(keys, on, "left_semi").count() == out.count()))
+        return out
+    rows_of = ss._rows_of
+    monkeypatch.setattr(ss, "_rows_of", seen)
+    rnd = random.Random(5)
+    word = lambda: "".join(rnd.choice("abcdef") for _ in range(rnd.randrange(2, 7)))
+    passage = " ".join(word() for _ in range(20))
+    texts = [" ".join([*(word() for _ in range(12)), passage, *(word() for _ in range(12))]) for _ in range(150)]
+    texts += [t[:40] + "#" + t[41:] for t in texts[:40]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: tuple(r)[1:] for r in ss.remove_repeats(df, length=60, gram=30, group=20).collect()}
+    assert [got[i] for i in range(len(texts))] == brute(texts, 60)
+    assert joins and {j[0] for j in joins} == {("gram", "lo", "window"), ("gram", "lo", "core")}
+    assert all(j[1] and j[2] for j in joins)
